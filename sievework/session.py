@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +32,23 @@ def local_session(cpus: int | None = None, app: str = "sievework", **conf: str)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Makes this package importable on the session's executors, once a session.
+
+    The source goes out as a zip through Spark's own file server, so neither a shared
+    folder nor a PYTHONPATH on the executors is needed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_sievework_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    if root.parent.suffix != ".zip":
+        target = Path(tempfile.mkdtemp(prefix="sievework-")) / "sievework.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for path in sorted(root.rglob("*.py")):
+                z.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(target))
+    context._sievework_shipped = True
+    return spark

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from sievework.session import local_session  # noqa: E402
+from sievework.session import local_session, ship  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,5 +21,5 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
-    yield session
+    yield ship(session)
     session.stop()
