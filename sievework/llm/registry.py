@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, packing, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -24,3 +24,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments")
