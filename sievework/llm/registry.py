@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, warc
+from . import bpe, packing, quality_rules, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -36,3 +36,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments")
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_rules.judge(docs)
