@@ -95,3 +95,32 @@ def totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+class HashArrays:
+    """Values by 64-bit key, in arrays sorted by hash with a directory over the leading bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing):
+        hashes = mix(keys.astype(np.uint64))
+        order = np.argsort(hashes)
+        self.hashes, self.values, self.missing = hashes[order], values[order], missing
+        self.shift = np.uint64(64 - max(4, min(22, int(len(keys)).bit_length())))
+        tops = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64)
+        self.directory = np.append(np.searchsorted(self.hashes, tops << self.shift), len(keys)).astype(np.int32)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(keys), self.missing, self.values.dtype)
+        hashes = mix(keys)
+        at = self.directory[(hashes >> self.shift).astype(np.int32)]
+        last = len(self.hashes) - 1
+        np.minimum(at, last, out=at)
+        short = np.flatnonzero(self.hashes[at] < hashes)
+        while len(short):
+            at[short] += 1
+            short = short[at[short] <= last]
+            short = short[self.hashes[at[short]] < hashes[short]]
+        np.minimum(at, last, out=at)
+        out = self.values[at]
+        out[self.hashes[at] != hashes] = self.missing
+        return out

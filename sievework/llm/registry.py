@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, warc
+from . import bpe, packing, quality_rules, setjoin, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -42,3 +42,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs)
+
+
+@_query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return setjoin.near_duplicates(docs)
