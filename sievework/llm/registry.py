@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, setjoin, warc
+from . import bpe, packing, quality_rules, setjoin, suffix_dedup, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -48,3 +48,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return setjoin.near_duplicates(docs)
+
+
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.digests(docs)
