@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, setjoin, suffix_dedup, warc
+from . import bpe, packing, quality_rules, setjoin, sharding, suffix_dedup, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -54,3 +54,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.digests(docs)
+
+
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
