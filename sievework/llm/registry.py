@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, setjoin, sharding, suffix_dedup, warc
+from . import bpe, lattice, packing, quality_rules, setjoin, sharding, suffix_dedup, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -59,3 +59,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
