@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, packing, quality_rules, setjoin, sharding, suffix_dedup, warc
+from . import bpe, lattice, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -65,3 +65,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
+
+
+@_query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
