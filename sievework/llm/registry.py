@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
+from . import bpe, crf, lattice, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -70,3 +70,10 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crf.held_out())
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return crf.score(docs, crf.fit(docs, labels), keep=("doc_id", "held_out"))
