@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -72,6 +73,16 @@ def store(frame: DataFrame, name: str) -> DataFrame:
     return Stored(frame, name).df
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files that nothing refers to any more.
+
+    Spark does so when the driver collects garbage, which a driver that only plans
+    rarely needs to; between the phases of an operator the files would pile up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_key(*columns: str) -> F.Column:
     """A 64-bit key of a row's values; equal rows share it."""
     return F.xxhash64(*[F.col(c) for c in columns])

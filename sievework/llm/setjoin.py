@@ -2,10 +2,10 @@
 
 A document is the set of its distinct `width`-word shingles, as 64-bit keys whose order
 is the global order: a class of frequency (0: not known to be frequent), then a hash.
-Rare shingles come first. Two sets that are similar enough share a key among the first
-few of each, and the first shared key obeys a bound on both positions and sizes; from
-that, a shuffle of those few keys links documents into coarse groups that are sure to
-hold every similar pair. Within a coarse group the sets stand in a trie; each set
+Rare shingles come first. Two sets that are similar enough share a known number of keys
+among the first few of each; a shuffle of those few keys counts what pairs share, or,
+under keys that many sets have, chains sets of similar size. That links documents into
+coarse groups that are sure to hold every similar pair. Within a coarse group the sets stand in a trie; each set
 walks it once, overlaps are carried along shared paths, and a subtree is left as soon as
 the lengths that remain can't reach the threshold, or all its sets are linked already.
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, join_hot, row_key, slices, store
+from .common import bounded, has_rows, join_hot, release, row_key, slices, store
 from .components import connected_components
 
 WIDTH = 5
@@ -48,6 +48,10 @@ BLOCK = 2_000_000
 #: Rows of a broadcast semi-join side at most (8 bytes each).
 KEYS = 2_000_000
 LEADERS = 8
+#: Nodes under a key up to which their pairs are counted; larger keys are chained.
+GROUP = 64
+#: Percent of a set's keys dealt out beyond those of which one must be shared.
+SHARE = 5
 
 
 # ---------------------------------------------------------------- sets
@@ -142,66 +146,131 @@ def frequencies(docs: DataFrame, width: int, most: int = FREQUENT) -> tuple[kern
 # ---------------------------------------------------------------- coarse groups
 
 
-def link_sizes(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between nodes that share a key, in chains along which sizes stay within reach.
+def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
+    """How many of a set's first keys are dealt out.
 
-    reach is the largest set that can have this key as its first in common with the
-    node's. Of a pair within reach all nodes of sizes between are in one chain, so
-    chains hold every such pair.
+    A few more than any similar set must share one of: then it must share SHARE percent
+    of the larger set's keys, which a common passage in long texts does not reach.
+    """
+    return np.minimum(size, (100 - percent + SHARE) * size // 100 + 1)
+
+
+def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Keys that two similar sets of these sizes have in common among those dealt out, at least.
+
+    One of the two runs out first; all that they share but what follows there lies among both's first keys.
+    """
+    larger = np.maximum(a, b)
+    overlap = -(-percent * (a + b) // (100 + percent))
+    return np.maximum(1, overlap - (larger - prefix_length(larger, percent)))
+
+
+def chain(keys: np.ndarray, sizes: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """For entries in order of key and size, whether each begins a chain.
+
+    Within a key a chain goes on while sizes stay within reach of one before; every
+    pair of sizes similar enough is in one chain.
     """
-    order = np.lexsort((sizes, keys))
-    keys, nodes, sizes, reach = keys[order], nodes[order], sizes[order], reach[order]
     at = _runs(keys)
-    group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(keys))))
-    lift = group * (1 << 32)
+    lift = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(keys)))) << 32
     far = np.maximum.accumulate(reach + lift)
-    linked = np.flatnonzero((keys[1:] == keys[:-1]) & (sizes[1:] + lift[1:] <= far[:-1]) & (nodes[1:] != nodes[:-1]))
-    a, b = np.minimum(nodes[linked], nodes[linked + 1]), np.maximum(nodes[linked], nodes[linked + 1])
-    if not len(a):
-        return a, b
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-    return a[new], b[new]
+    begins = np.ones(len(keys), bool)
+    begins[1:] = (keys[1:] != keys[:-1]) | (sizes[1:] + lift[1:] > far[:-1])
+    return begins
 
 
 _MIXED = "kind int, doc_id long, text_key long, n long, node long, bucket int, body binary"
 _NAMES = [c.split(" ")[0] for c in _MIXED.split(", ")]
 _KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4"), ("reach", "<i4")])
+_MEMBER, _ENTRIES, _EDGE, _CHAINS = range(4)
+_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4")])
+_CHAIN = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4"), ("reach", "<i4")])
 
 
 def _mixed(rows: int, /, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(rows, k) for c, k in zip(_NAMES, _KINDS, strict=True)], names=_NAMES)
 
 
+def _edges(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
+    """Edge rows, equal ones added up: n and node are the ends, doc_id how often, text_key how often is enough."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b, need = a[order], b[order], need[order]
+    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(a)))
+    least = np.minimum.reduceat(need, new) if len(a) else need
+    return _mixed(len(new), kind=np.full(len(new), _EDGE, np.int32), n=a[new], node=b[new], doc_id=times, text_key=least)
+
+
+def _pairs(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs within each key of at most GROUP entries whose sizes can be similar, with how many keys they need."""
+    at = _runs(entries["key"])
+    many = np.diff(np.append(at, len(entries)))
+    out = []
+    for g in np.unique(many[many > 1]).tolist():
+        rows = at[many == g][:, None] + np.arange(g)
+        i, j = np.triu_indices(g, 1)
+        for block in np.array_split(rows, max(1, len(rows) * len(i) // 2_000_000)):
+            x, y = entries[block[:, i].ravel()], entries[block[:, j].ravel()]
+            p, q = x["size"].astype(np.int64), y["size"].astype(np.int64)
+            ok = 100 * np.minimum(p, q) >= percent * np.maximum(p, q)
+            out.append((x["node"][ok], y["node"][ok], needed(p[ok], q[ok], percent)))
+    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
+
+
+def _linked(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): neighbours in the chains of a table of chain entries, in order of key and size; and which begin one."""
+    begins = chain(table["key"], table["size"].astype(np.int64), table["reach"].astype(np.int64))
+    on = np.flatnonzero(~begins)
+    return on, begins
+
+
 def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, total: int) -> tuple[DataFrame, DataFrame]:
-    """(members, edges): one row (doc_id, text_key, n, node) per document, and coarse edges (a, b)."""
+    """(members, edges): one row (doc_id, text_key, n, node) per document, and coarse edges (a, b).
+
+    Two nodes have an edge if they share enough of their first keys in keys of at most
+    GROUP nodes, or follow one another in a chain of a larger key.
+    """
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + total // 5_000_000)
     shared = spark.sparkContext.broadcast(frequent)
 
-    def edges_of(entries: np.ndarray) -> pa.RecordBatch:
-        a, b = link_sizes(entries["key"], entries["node"], entries["size"].astype(np.int64), entries["reach"].astype(np.int64))
-        return _mixed(len(a), kind=np.full(len(a), 2, np.int32), n=a, node=b)
+    def chained(entries: np.ndarray) -> np.ndarray:
+        table = np.zeros(len(entries), _CHAIN)
+        for name in ("key", "node", "size"):
+            table[name] = entries[name]
+        table["reach"] = 100 * entries["size"].astype(np.int64) // percent
+        return table
+
+    def large_keys(entries: np.ndarray) -> np.ndarray:
+        at = _runs(entries["key"])
+        many = np.diff(np.append(at, len(entries)))
+        return np.repeat(many > GROUP, many)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def dealt() -> Iterator[pa.RecordBatch]:
-            entries = np.concatenate(held)
-            # equal sets within the task are one; chains within it are linked here
-            entries = entries[np.lexsort((entries["node"], entries["key"]))]
-            same = (entries["key"][1:] == entries["key"][:-1]) & (entries["node"][1:] == entries["node"][:-1])
-            entries = entries[np.append(True, ~same)]
-            yield edges_of(entries)
-            entries = chains(entries)
-            bucket = (kernels.mix(entries["key"]) % np.uint64(parts)).astype(np.int32)
+        def bodies(kind: int, table: np.ndarray) -> pa.RecordBatch:
+            bucket = (kernels.mix(table["key"].copy()) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            entries, bucket = entries[order], bucket[order]
+            table, bucket = table[order], bucket[order]
             at = _runs(bucket)
-            bodies = [entries[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
-            yield _mixed(len(at), kind=np.ones(len(at), np.int32), bucket=bucket[at], body=bodies)
+            cut = [table[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
+            return _mixed(len(at), kind=np.full(len(at), kind, np.int32), bucket=bucket[at], body=cut)
+
+        def dealt() -> Iterator[pa.RecordBatch]:
+            entries = _distinct(np.concatenate(held))
+            large = large_keys(entries)
+            yield bodies(_ENTRIES, entries[~large])
+            if large.any():
+                # a chain within the task is linked here and goes on as its smallest set with its widest reach
+                table = chained(entries[large])
+                on, begins = _linked(table)
+                yield _edges(table["node"][on - 1], table["node"][on], np.zeros(len(on), np.int64))
+                first = np.flatnonzero(begins)
+                out = table[first]
+                out["reach"] = np.maximum.reduceat(table["reach"], first)
+                yield bodies(_CHAINS, out)
 
         for batch in slices(batches, "text", 2 << 20):
             keys, first = shingle_sets(batch.column(0), width, shared.value)
@@ -210,12 +279,9 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
             rows = len(batch)
             yield _mixed(rows, kind=np.zeros(rows, np.int32), doc_id=batch.column(1), text_key=batch.column(2), n=n, node=pa.array(node, mask=n == 0), bucket=(np.arange(rows) % parts).astype(np.int32))
             at = np.arange(len(keys)) - np.repeat(first[:-1], n)
-            # position i may hold the first shared key with a set of at most `reach` shingles
-            size_ = np.repeat(n, n)
-            reach = (100 * size_ - (100 + percent) * at) // percent
-            use = (100 * reach >= percent * size_) & (reach > 0)
+            use = at < np.repeat(prefix_length(n, percent), n)
             made = np.zeros(int(use.sum()), _ENTRY)
-            made["key"], made["node"], made["size"], made["reach"] = keys[use], np.repeat(node, n)[use], size_[use], reach[use]
+            made["key"], made["node"], made["size"] = keys[use], np.repeat(node, n)[use], np.repeat(n, n)[use]
             held.append(made)
             size += len(made)
             if size >= WINDOW // 2:
@@ -224,37 +290,35 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
         if held:
             yield from dealt()
 
-    def chains(entries: np.ndarray) -> np.ndarray:
-        """One entry per chain: its smallest set, with the widest reach of all.
-
-        Sizes from there to that reach are covered without a gap, so whatever meets a
-        member of the chain in another task meets this entry too.
-        """
-        entries = entries[np.lexsort((entries["size"], entries["key"]))]
-        key, size, reach = entries["key"], entries["size"].astype(np.int64), entries["reach"].astype(np.int64)
-        at = _runs(key)
-        lift = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(key)))) * (1 << 32)
-        far = np.maximum.accumulate(reach + lift)
-        begins = np.ones(len(key), bool)
-        begins[1:] = (key[1:] != key[:-1]) | (size[1:] + lift[1:] > far[:-1])
-        first = np.flatnonzero(begins)
-        out = entries[first]
-        out["reach"] = np.maximum.reduceat(reach, first)
-        return out
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held: dict[int, list] = {_ENTRIES: [np.zeros(0, _ENTRY)], _CHAINS: [np.zeros(0, _CHAIN)]}
         for batch in batches:
             kind = np.asarray(batch.column(0))
-            if (kind != 1).any():
-                yield batch.filter(pa.array(kind != 1))
-            held += [np.frombuffer(b, _ENTRY) for b in batch.filter(pa.array(kind == 1)).column(6).to_pylist()]
-        if held:
-            yield edges_of(np.concatenate(held))
+            rest = (kind != _ENTRIES) & (kind != _CHAINS)
+            if rest.any():
+                yield batch.filter(pa.array(rest))
+            for k, dtype in ((_ENTRIES, _ENTRY), (_CHAINS, _CHAIN)):
+                held[k] += [np.frombuffer(b, dtype) for b in batch.filter(pa.array(kind == k)).column(6).to_pylist()]
+        entries, chains = _distinct(np.concatenate(held[_ENTRIES])), np.concatenate(held[_CHAINS])
+        large = large_keys(entries) | np.isin(entries["key"], chains["key"])
+        yield _edges(*_pairs(entries[~large], percent))
+        table = np.concatenate([chained(entries[large]), chains])
+        table = table[np.lexsort((table["size"], table["key"]))]
+        on, _ = _linked(table)
+        yield _edges(table["node"][on - 1], table["node"][on], np.zeros(len(on), np.int64))
 
     mixed = docs.select("text", "doc_id", "text_key").mapInArrow(deal, _MIXED).repartition(parts, "bucket").mapInArrow(meet, _MIXED).drop("bucket", "body")
     done = store(mixed, "sketch")
-    return done.where("kind = 0").select("doc_id", "text_key", "n", "node"), done.where("kind = 2").select(F.col("n").alias("a"), F.col("node").alias("b"))
+    release(spark)
+    edges = done.where(f"kind = {_EDGE}").groupBy(F.col("n").alias("a"), F.col("node").alias("b")).agg(F.sum("doc_id").alias("times"), F.min("text_key").alias("need"))
+    return done.where(f"kind = {_MEMBER}").select("doc_id", "text_key", "n", "node"), edges.where("times >= need").select("a", "b")
+
+
+def _distinct(entries: np.ndarray) -> np.ndarray:
+    """entries in order of key, size and node, equal ones once."""
+    entries = entries[np.lexsort((entries["node"], entries["size"], entries["key"]))]
+    same = (entries["key"][1:] == entries["key"][:-1]) & (entries["node"][1:] == entries["node"][:-1])
+    return entries[np.append(True, ~same)] if len(entries) else entries
 
 
 # ---------------------------------------------------------------- the trie
@@ -415,8 +479,10 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
     coarse = store(connected_components(edges).withColumnRenamed("component", "comp"), "coarse")
     wanted = members.join(coarse, "node").groupBy("node", "comp").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"))
     wanted = store(wanted, "wanted")
-    keys = wanted.select("text_key").distinct()
-    texts = docs.join(F.broadcast(keys) if bounded(keys, KEYS) else keys, "text_key", "left_semi").select("text")
+    weights = wanted.groupBy("comp").agg(F.sum("n").alias("weight"), F.count("*").alias("of"))
+    wanted = store(join_hot(wanted, weights, "comp", "of", "inner"), "wanted")
+    release(spark)
+    few = bounded(wanted, KEYS)
     shared = spark.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,18 +498,23 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
                     bodies.append(keys_[first[i] : first[i + 1]].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(bodies, pa.binary())], names=["node", "body"])
 
-    bodies = texts.mapInArrow(run, "node long, body binary")
-    sizes = store(wanted.groupBy("comp").agg(F.sum("n").alias("weight")).where(F.col("weight") > block), "large")
-    bodies = bodies.join(wanted.select("node", "comp", "n"), "node")
+    def bodies(which: str) -> DataFrame:
+        """(node, comp, n, weight, body); only small tables move while they are few."""
+        chosen = wanted.where(which)
+        keys, nodes = chosen.select("text_key").distinct(), chosen.drop("text_key", "of")
+        texts = docs.join(F.broadcast(keys) if few else keys, "text_key", "left_semi").select("text")
+        return texts.mapInArrow(run, "node long, body binary").join(F.broadcast(nodes) if few else nodes, "node")
+
     none = F.col("node").alias("known")
-    if not sizes.limit(1).count():
-        found = _join_blocks(bodies.select(F.col("comp").cast("string").alias("block"), "node", none, "body"), percent)
-        return found.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    small = bodies(f"weight <= {block}").select(F.col("comp").cast("string").alias("block"), "node", none, "body")
+    found = _join_blocks(small, percent).select(F.col("a").alias("node"), F.col("b").alias("label"))
+    if not has_rows(wanted.where(f"weight > {block}")):
+        return found
+    found = store(found, "labels")
 
-    bodies = store(bodies.join(sizes, "comp", "left"), "bodies")
-    small = bodies.where("weight is null").select(F.col("comp").cast("string").alias("block"), "node", none, "body")
-    large = bodies.where("weight is not null").withColumn("parts", F.ceil(F.col("weight") / block).cast("int")).dropDuplicates(["node"])
+    large = bodies(f"weight > {block}").withColumn("parts", F.ceil(F.col("weight") / block).cast("int")).dropDuplicates(["node"])
     large = store(large.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "large")
+    release(spark)
     # round one: every part with the leaders of its group
     leaders = large.groupBy("comp", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(LEADERS))).agg(F.min("node").alias("node"))
     lead = large.join(leaders.select("comp", "node"), ["comp", "node"], "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -463,7 +534,7 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
     second = _join_blocks(base.select(*pick).unionByName(rest.select(*pick)), percent)
     links = first.unionByName(second)
     labels = connected_components(links).select("node", F.col("component").alias("label"))
-    return _join_blocks(small, percent).select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(labels)
+    return found.unionByName(labels)
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75, block: int = BLOCK) -> DataFrame:
