@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,9 +31,13 @@ from .common import slices, store
 from .ranks import rank_within
 
 #: Nodes of the search before the incumbent is returned.
-NODES = 3000
+NODES = 8000
 #: Completions tried at a node, those with least waste first.
-BRANCHES = 24
+BRANCHES = 6
+#: Lengths looked at for one place in a completion, longest first.
+REACH = 48
+#: Nodes between two best-fit runs over what is left, which renew the incumbent.
+RENEW = 128
 
 
 # ---------------------------------------------------------------- search
@@ -40,41 +45,52 @@ BRANCHES = 24
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Sequences needed at least: the better of the sum bound and the bound by large pieces."""
-    sizes = sorted(counts)
-    total = sum(s * n for s, n in counts.items())
-    best = -(-total // capacity)
-    for k in {s for s in sizes if 2 * s <= capacity} | {0}:
-        big = sum(n for s, n in counts.items() if s > capacity - k)
-        mid = {s: n for s, n in counts.items() if capacity / 2 < s <= capacity - k}
-        low = sum(s * n for s, n in counts.items() if k <= s <= capacity / 2)
-        room = sum(mid.values()) * capacity - sum(s * n for s, n in mid.items())
-        best = max(best, big + sum(mid.values()) + max(0, -(-(low - room) // capacity)))
+    n = np.zeros(capacity + 1, np.int64)
+    for size, number in counts.items():
+        n[size] = number
+    pieces_, tokens = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(n * np.arange(capacity + 1)))
+    best = -(-int(tokens[-1]) // capacity)
+    half = capacity // 2
+    for k in range(half + 1):
+        big = int(pieces_[-1] - pieces_[capacity - k + 1])  # more than capacity - k: alone but for pieces below k
+        mid = int(pieces_[capacity - k + 1] - pieces_[half + 1])
+        room = mid * capacity - int(tokens[capacity - k + 1] - tokens[half + 1])
+        low = int(tokens[half + 1] - tokens[k])
+        best = max(best, big + mid + max(0, -(-(low - room) // capacity)))
     return best
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Best-fit decreasing over a length table: patterns (lengths, longest first) and their numbers."""
     open_: dict[int, list[tuple[tuple[int, ...], int]]] = {}  # by room left
+    rooms: list[int] = []
+
+    def put(room: int, pattern: tuple[int, ...], bins: int) -> None:
+        if room not in open_:
+            open_[room] = []
+            insort(rooms, room)
+        open_[room].append((pattern, bins))
+
     for size in sorted(counts, reverse=True):
         left = counts[size]
         while left:
-            room = min((r for r in open_ if r >= size), default=None)
-            groups = open_[room] if room is not None else [((), left)]
-            pattern, bins = groups.pop()
-            if room is not None and not groups:
-                del open_[room]
+            at = bisect_left(rooms, size)
+            room = rooms[at] if at < len(rooms) else None
+            pattern, bins = open_[room].pop() if room is not None else ((), left)
+            if room is not None and not open_[room]:
+                del open_[room], rooms[at]
             room = capacity if room is None else room
             fit = room // size
             full = min(bins, left // fit)
             if full:
-                open_.setdefault(room - fit * size, []).append((pattern + (size,) * fit, full))
+                put(room - fit * size, pattern + (size,) * fit, full)
                 left -= full * fit
                 bins -= full
             if left and bins and left < fit:
-                open_.setdefault(room - left * size, []).append((pattern + (size,) * left, 1))
+                put(room - left * size, pattern + (size,) * left, 1)
                 left, bins = 0, bins - 1
             if bins and pattern:
-                open_.setdefault(room, []).append((pattern, bins))
+                put(room, pattern, bins)
     found: Counter = Counter()
     for groups in open_.values():
         for pattern, bins in groups:
@@ -82,37 +98,46 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return sorted(found.items(), reverse=True)
 
 
-def completions(sizes: list[int], counts: dict[int, int], room: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` from the given lengths (longest first), least waste first.
+def completions(sizes: list[int], counts: dict[int, int], room: int, most: int = BRANCHES) -> list[tuple[int, ...]]:
+    """Undominated fillings of `room` from sizes (ascending) with counts, least waste first.
 
-    A filling is dominated when one of its pieces could give way to a longer unused one
-    that still fits, or when a further piece fits: some other filling then wastes less
-    and leaves smaller pieces, so those branches need no search.
+    A filling is dominated when a further piece fits, or one of its pieces can give way
+    to a longer unused one: the other filling wastes less and leaves smaller pieces.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
+    found: dict[tuple[int, ...], int] = {}
     steps = 0
 
-    def add(at: int, left: int, taken: tuple[int, ...]) -> None:
+    def add(most_at: int, left: int, taken: tuple[int, ...]) -> None:
         nonlocal steps
         steps += 1
-        if steps > 40 * most:
+        if counts.get(left, 0) > taken.count(left):  # nothing wasted
+            found[(*taken, left)] = 0
+            return
+        top = bisect_right(sizes, min(left, most_at)) - 1
+        if top < 0:
+            found.setdefault(taken, left)
             return
-        grew = False
-        for i in range(at, len(sizes)):
+        fits = False
+        for i in range(top, max(-1, top - REACH), -1):
             s = sizes[i]
-            if s <= left and counts[s] - taken.count(s) > 0:
-                grew = True
-                add(i, left - s, (*taken, s))
-                if s == left or len(found) > 4 * most:
+            if counts[s] > taken.count(s):
+                fits = True
+                if steps > 12 * REACH or sum(w == 0 for w in found.values()) >= most:
                     break
-        if not grew:
-            found.append((left, taken))
+                add(s, left - s, (*taken, s))
+        if not fits:
+            found.setdefault(taken, left)
 
-    add(0, room, ())
+    add(room, room, ())
     out = []
-    for left, taken in sorted(found, key=lambda x: (x[0], [-s for s in x[1]])):
-        used = Counter(taken)
-        if any(s > t and s - t <= left and counts[s] - used[s] > 0 for t in used for s in sizes):
+    for taken, left in sorted(found.items(), key=lambda x: (x[1], [-s for s in x[0]])):
+        better = False
+        for t in set(taken):
+            i = bisect_right(sizes, t + left) - 1
+            while i >= 0 and sizes[i] > t and not better:
+                better = counts[sizes[i]] > taken.count(sizes[i])
+                i -= 1
+        if left and (better or any(s <= left and counts[s] > taken.count(s) for s in sizes[: bisect_right(sizes, left)])):
             continue
         out.append(taken)
         if len(out) == most:
@@ -123,48 +148,69 @@ def completions(sizes: list[int], counts: dict[int, int], room: int, most: int)
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and their numbers, with as few sequences as the search finds.
 
-    Optimal when the bound is met or the search ends within its nodes.
+    Optimal when the bound is met or the search ends within its nodes. Each step fills
+    as many sequences with one pattern as the counts allow, so it uses up a length and a
+    descent has no more steps than there are lengths; fewer at a time is the other branch.
     """
     counts = {s: n for s, n in counts.items() if n > 0}
     if not counts:
         return []
-    bound = lower_bound(counts, capacity)
-    best = best_fit(counts, capacity)
+    bound, best = lower_bound(counts, capacity), best_fit(counts, capacity)
     least = sum(n for _, n in best)
-    spent = 0
-
-    def search(left: dict[int, int], done: list, used: int) -> None:
-        nonlocal best, least, spent
-        if least == bound or spent >= nodes:
-            return
-        spent += 1
-        if not left:
-            if used < least:
-                best, least = list(done), used
-            return
-        # waste bound: what is left must fit below the incumbent
-        if used + lower_bound(left, capacity) >= least:
-            return
-        rest = best_fit(left, capacity)
-        if used + sum(n for _, n in rest) < least:
-            best, least = done + rest, used + sum(n for _, n in rest)
-            if least == bound:
-                return
-        sizes = sorted(left, reverse=True)
-        top = sizes[0]
-        free = {**left, top: left[top] - 1}
-        for filling in completions([s for s in sizes if s <= capacity - top], free, capacity - top, BRANCHES):
+    total = sum(s * n for s, n in counts.items())
+    left, sizes = dict(counts), sorted(counts)
+    done: list[tuple[tuple[int, ...], int]] = []
+    used = wasted = spent = 0
+
+    def branches() -> Iterator[tuple[tuple[int, ...], int]]:
+        top = sizes[-1]
+        left[top] -= 1
+        fillings = completions(sizes, left, capacity - top)
+        left[top] += 1
+        for filling in fillings:
             pattern = (top, *filling)
-            need = Counter(pattern)
-            times = min(left[s] // k for s, k in need.items())
+            times = min(left[s] // k for s, k in Counter(pattern).items())
             for k in dict.fromkeys((times, 1)):
-                after = {s: n - k * need.get(s, 0) for s, n in left.items() if n > k * need.get(s, 0)}
-                search(after, [*done, (pattern, k)], used + k)
-                if least == bound or spent >= nodes:
-                    return
-
-    if least > bound:
-        search(counts, [], 0)
+                yield pattern, k
+
+    def take(pattern: tuple[int, ...], k: int) -> None:
+        for s in pattern:
+            left[s] -= k
+            if not left[s]:
+                del left[s]
+                del sizes[bisect_left(sizes, s)]
+
+    def give(pattern: tuple[int, ...], k: int) -> None:
+        for s in pattern:
+            if s not in left:
+                left[s] = 0
+                insort(sizes, s)
+            left[s] += k
+
+    stack = [branches()] if least > bound else []
+    while stack and spent < nodes and least > bound:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            if done:
+                pattern, k = done.pop()
+                give(pattern, k)
+                used -= k
+                wasted -= k * (capacity - sum(pattern))
+            continue
+        pattern, k = step
+        spent += 1
+        waste = wasted + k * (capacity - sum(pattern))
+        if waste > (least - 1) * capacity - total:  # the incumbent is no worse
+            continue
+        take(pattern, k)
+        done.append(step)
+        used, wasted = used + k, waste
+        if not left or spent % RENEW == 0:
+            rest = best_fit(left, capacity)
+            if used + sum(n for _, n in rest) < least:
+                best, least = done + rest, used + sum(n for _, n in rest)
+        stack.append(branches() if left else iter(()))
     merged: Counter = Counter()
     for pattern, n in best:
         merged[pattern] += n
