@@ -1,35 +1,8 @@
-"""Registered queries over the driver's tables, each beside the SQL that checks it."""
+"""All registered queries over the driver's tables, each beside the SQL that checks it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import evaluating, mining, scoring  # noqa: F401  they register their queries
+from .registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(build: Query) -> Query:
-        QUERIES[name] = build
-        if sql is not None:
-            ORACLE_SQL[name] = sql
-        return build
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query(
-    "cand_extract",
-    "SELECT doc_id, CAST(length(text) AS BIGINT) AS n FROM documents",
-)
-def cand_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("long").alias("n"))
+__all__ = ["ORACLE_SQL", "QUERIES"]
