@@ -85,14 +85,18 @@ def technique_names(context: Column, patterns: Patterns = lex.TECHNIQUES) -> Col
     return F.array_compact(F.array(*tries))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _first_match(texts: Column, tries: list[str]) -> Column:
     """Of the first pattern that any of an array of texts matches, the first such text; null if none does."""
 
-    def one(pattern: str) -> Callable[[Column], Column]:
-        return lambda own: F.get(F.filter(own, lambda t: t.rlike(f"(?i){pattern}")), F.lit(0))
+    def one(pattern: str) -> Column:
+        return F.get(F.filter(texts, lambda t: t.rlike(f"(?i){pattern}")), F.lit(0))
 
-    # the array is bound once for all patterns
-    return F.get(F.transform(F.array(texts), lambda own: F.coalesce(*[one(p)(own) for p in tries])), F.lit(0))
+    return F.coalesce(*[one(p) for p in tries])
 
 
 def _worth_it(text: Column, tries: list[str]) -> Column:
@@ -102,17 +106,24 @@ def _worth_it(text: Column, tries: list[str]) -> Column:
     return text.rlike("(?i)" + "|".join(f"(?:{p})" for p in tries))
 
 
+def _evidence(parts: Column, whole: Column, patterns: Patterns) -> Column:
+    """array<struct<technique, line>> of the techniques that any of the parts of a text shows."""
+
+    def body(b: Column) -> Column:
+        pairs = [F.struct(F.lit(name).alias("technique"), F.when(_worth_it(b["whole"], tries), _first_match(b["parts"], tries)).alias("line")) for name, tries in patterns.items()]
+        return F.filter(F.array(*pairs), lambda p: p["line"].isNotNull())
+
+    return _bound(F.struct(parts.alias("parts"), whole.alias("whole")), body)
+
+
 def technique_lines(context: Column, patterns: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
     """array<struct<technique, line>>: each technique with its evidence sentence, in lexicon order.
 
     The first pattern that any sentence matches decides, then the first such sentence.
     General techniques go where a specific one that covers them is there.
     """
-    whole, found = F.regexp_replace(context, "\n", " "), []
-    for name, tries in patterns.items():
-        line = F.when(_worth_it(whole, tries), _first_match(T.sentences(context), tries))
-        found.append(F.when(line.isNotNull(), F.struct(F.lit(name).alias("technique"), line.alias("line"))))
-    return without_superseded(F.array_compact(F.array(*found)), supersedes)
+    found = _evidence(T.sentences(context), F.regexp_replace(context, "\n", " "), patterns)
+    return _bound(found, lambda pairs: without_superseded(pairs, supersedes))
 
 
 def without_superseded(pairs: Column, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
@@ -150,11 +161,8 @@ def document_species(rows: DataFrame, key: str, text: str, patterns: Patterns =
 
 def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns = lex.DOCUMENT_TECHNIQUES) -> DataFrame:
     """(key, techniques): technique to the first line that matches its first matching pattern."""
-    entries = []
-    for name, tries in patterns.items():
-        line = F.when(_worth_it(F.col(text), tries), _first_match(T.lines(F.col(text)), tries))
-        entries.append(F.when(line.isNotNull(), F.struct(F.lit(name), T.strip(line))))
-    return rows.select(key, F.map_from_entries(F.array_compact(F.array(*entries))).alias("techniques"))
+    pairs = _evidence(T.lines(F.col(text)), F.col(text), patterns)
+    return rows.select(key, F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["technique"], T.strip(p["line"])))).alias("techniques"))
 
 
 # ------------------------------------------------------------------ candidates
