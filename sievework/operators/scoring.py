@@ -124,7 +124,7 @@ def encode(rows: DataFrame, text: str, load: Callable[[], Encoder], vector: str
                 out += encoder(texts.iloc[i : i + batch].fillna("").tolist())
             yield pd.Series(out)
 
-    return rows.withColumn(vector, unit(run(F.col(text))))
+    return rows.withColumn(vector, run(F.col(text))).withColumn(vector, unit(F.col(vector)))
 
 
 def unit(vector: Column) -> Column:

@@ -172,8 +172,8 @@ def excel(rows: DataFrame) -> DataFrame:
 
 def plain(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of whole text files; bytes that are no UTF-8 are left out."""
-    raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.regexp_replace(F.decode("content", "UTF-8"), "�", "").alias("text"))
+    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    return raw.select("path", F.regexp_replace("value", "\ufffd", "").alias("text"))
 
 
 def supplementary(spark: SparkSession, path: str) -> DataFrame:
