@@ -128,7 +128,7 @@ def joined_pages(pages: DataFrame, keys: list[str], order: list[str], text: str
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """(path, id, description, seq) of FASTA records, split on lines that begin with >."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     return fasta_records(whole, "value")
 
 
@@ -172,7 +172,7 @@ def excel(rows: DataFrame) -> DataFrame:
 
 def plain(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of whole text files; bytes that are no UTF-8 are left out."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     return raw.select("path", F.regexp_replace("value", "\ufffd", "").alias("text"))
 
 
@@ -219,7 +219,7 @@ def gold_json(spark: SparkSession, path: str) -> DataFrame:
 
 def gold_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, ln, line) of a text file in order."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     return whole.select("path", F.posexplode(X.lines(F.col("value"))).alias("ln", "line"))
 
 
