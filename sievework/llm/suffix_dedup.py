@@ -403,11 +403,16 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     return store(lists.mapInArrow(merge, "key long, spans binary"), "ranges")
 
 
+#: Columns of our own beside those of the documents.
+_KEY, _SPANS = "__repeat_key", "__repeat_spans"
+
+
 def with_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """docs with a column spans (null: nothing goes)."""
-    keyed = docs.withColumn("key", row_key("doc_id", "text"))
-    ranges = removed_ranges(keyed.select("key", F.coalesce("text", F.lit("")).alias("text")), length, gram)
-    return keyed.join(F.broadcast(ranges) if bounded(ranges, RANGES) else ranges, "key", "left").drop("key")
+    """docs with a last column of spans (null: nothing goes)."""
+    keyed = docs.withColumn(_KEY, row_key("doc_id", "text"))
+    ranges = removed_ranges(keyed.select(F.col(_KEY).alias("key"), F.coalesce("text", F.lit("")).alias("text")), length, gram)
+    ranges = ranges.select(F.col("key").alias(_KEY), F.col("spans").alias(_SPANS))
+    return keyed.join(F.broadcast(ranges) if bounded(ranges, RANGES) else ranges, _KEY, "left").select(*docs.columns, _SPANS)
 
 
 def _kept(raw: memoryview, spans: bytes | None) -> tuple[bytes, int]:
@@ -433,7 +438,7 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
             made = [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    spanned = with_spans(docs.select("doc_id", "text"), length, gram).select("doc_id", "text", "spans")
+    spanned = with_spans(docs.select("doc_id", "text"), length, gram)
     return spanned.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -454,6 +459,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             made = [*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 : -1]]
             yield pa.RecordBatch.from_arrays(made, names=columns)
 
-    spanned = with_spans(docs, length, gram).select(*columns, "spans")
-    out = spanned.mapInArrow(run, docs.schema)
+    out = with_spans(docs, length, gram).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
