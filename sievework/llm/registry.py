@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, crf, lattice, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
+from .oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {}
-ORACLE_SQL = {}
 
 
 def _query(build):
@@ -35,7 +37,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @_query
