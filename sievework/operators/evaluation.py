@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,3 +62,20 @@ def report(totals: DataFrame) -> DataFrame:
     """The totals as lines of a report (value)."""
     parts = [F.format_string("True Positives: %d", "tp"), F.format_string("False Positives: %d", "fp"), F.format_string("False Negatives: %d", "fn"), F.lit(""), F.format_string("Precision: %.4f", "precision"), F.format_string("Recall: %.4f", "recall"), F.format_string("F1 Score: %.4f", "f1")]
     return totals.select(F.explode(F.array(F.lit("Evaluation"), F.lit("=========="), F.lit(""), *parts)).alias("value"))
+
+
+def similar_to_gold(rows: DataFrame, gold: DataFrame, least: float = 0.85, pmid: str = "pmid", seq: str = "sequence") -> DataFrame:
+    """rows with similar: whether a gold sequence of the document is nearly the same (matching-blocks ratio).
+
+    Lengths bound the ratio from above, so pairs that can't reach it are never compared.
+    """
+
+    @F.pandas_udf("double")
+    def ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    pairs = rows.select(pmid, F.col(seq).alias("_a")).distinct().join(gold.select(F.col("pmid").alias("_p"), F.col("sequence").alias("_b")).distinct(), F.col(pmid) == F.col("_p"))
+    pairs = pairs.where(2 * F.least(F.length("_a"), F.length("_b")) >= least * (F.length("_a") + F.length("_b")))
+    near = pairs.withColumn("_r", ratio_of(T.letters_only(F.col("_a")), F.col("_b"))).where(F.col("_r") >= least)
+    near = near.select(F.col(pmid).alias("_p"), "_a").distinct().withColumn("_near", F.lit(True))
+    return rows.join(near, (F.col(pmid) == F.col("_p")) & (F.col(seq) == F.col("_a")), "left").withColumn("similar", F.coalesce("_near", F.lit(False))).drop("_p", "_a", "_near")

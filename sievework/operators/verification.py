@@ -11,6 +11,7 @@ import json
 import math
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -163,29 +164,32 @@ def species_prompt(species: Column, context: Column) -> Column:
     return F.concat_ws("\n", F.lit("Decide which plant species the peptides of this document come from."), F.lit('Answer with one JSON object: {"species_confirmed": bool, "confidence": 0..1, "verified_species": null, "evidence_line": "", "reason": ""}'), F.concat(F.lit("Document: "), F.col("pmid")), F.concat(F.lit("Named in it: "), F.array_join(species, ", ")), F.concat(F.lit("Text:\n"), F.substring(context, 1, 4000)))
 
 
-def ask(prompts: DataFrame, load: Callable[[], Model], flag: str, attempts: int, partitions: int = 0) -> DataFrame:
+def ask(prompts: DataFrame, load: Callable[[], Model], flag: str, attempts: int, partitions: int = 0, threads: int = 4) -> DataFrame:
     """(prompt, response, tries) of distinct prompts; a bad or failed answer is asked for again.
 
+    A task waits for `threads` answers at a time; partitions sets how many tasks ask.
+
     A prompt's answer hangs on the prompt alone, so a task that runs twice gives the
     same row; the answer of the last attempt stays, empty if all failed.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
-        for batch in batches:
-            texts, tries = [], []
-            for prompt in batch["prompt"]:
-                text = ""
-                for k in range(1, attempts + 1):
-                    try:
-                        text = model(prompt)
-                    except Exception as e:  # counted as an answer that can't be read
-                        text = f"error: {e}"
-                    if well_formed(text, flag):
-                        break
-                texts.append(text)
-                tries.append(k)
-            yield pd.DataFrame({"prompt": batch["prompt"], "response": texts, "tries": tries})
+
+        def one(prompt: str) -> tuple[str, str, int]:
+            text = ""
+            for k in range(1, attempts + 1):
+                try:
+                    text = model(prompt)
+                except Exception as e:  # counted as an answer that can't be read
+                    text = f"error: {e}"
+                if well_formed(text, flag):
+                    break
+            return prompt, text, k
+
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                yield pd.DataFrame(list(pool.map(one, batch["prompt"])), columns=["prompt", "response", "tries"])
 
     each = prompts.select("prompt").distinct()
     return (each.repartition(partitions) if partitions else each).mapInPandas(run, "prompt string, response string, tries int")
@@ -259,3 +263,23 @@ def with_synthesized(rows: DataFrame) -> DataFrame:
 def label_from_strength(strength: Column) -> Column:
     """Support of a model that grades evidence: High, Medium, Low, anything else."""
     return F.when(strength == "High", "strong").when(strength == "Medium", "moderate").when(strength == "Low", "weak").otherwise("reject")
+
+
+def read_graded(response: Column) -> Column:
+    """The verdict of a model that answers with verified, confidence, evidence_strength and reason."""
+    v = json_object(response)
+    value = F.coalesce(F.try_variant_get(v, "$.verified", "boolean"), F.try_variant_get(v, "$.valid_sequence", "boolean"), F.lit(False))
+    reason = F.coalesce(F.try_variant_get(v, "$.reason", "string"), F.lit(""))
+    low = F.lower(reason)
+    return F.struct(
+        v.isNotNull().alias("ok"),
+        F.when(v.isNull(), F.lit("no object")).alias("error"),
+        value.alias("valid_sequence"),
+        F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        label_from_strength(F.try_variant_get(v, "$.evidence_strength", "string")).alias("support_type"),
+        F.array().cast("array<string>").alias("linked_techniques"),
+        reason.alias("reason"),
+        F.try_variant_get(v, "$.species", "string").alias("species"),
+        (low.contains("synthesize") | low.contains("synthetic")).alias("is_synthesized"),
+        F.lit(None).cast("string").alias("synthesized_line"),
+    )

@@ -185,3 +185,16 @@ def test_new_files_are_mined_once(spark, tmp_path):
     docs([3]).write.mode("append").parquet(str(tmp_path / "in"))
     start()
     assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
+def test_graded_answers(spark):
+    texts = ['x {"verified": true, "confidence": 0.8, "evidence_strength": "High", "reason": "Synthetic one"}', '{"valid_sequence": true, "evidence_strength": "Low"}', "none"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", verification.read_graded(F.col("t")).alias("v")).orderBy("i").collect()
+    assert [(r.v.ok, r.v.valid_sequence, r.v.confidence, r.v.support_type, r.v.is_synthesized) for r in rows] == [(True, True, 0.8, "strong", True), (True, True, 0.0, "weak", False), (False, False, 0.0, "reject", False)]
+
+
+def test_similar_to_gold(spark):
+    rows = spark.createDataFrame([("1", "MKTLLVWCDE"), ("1", "MKTLLVWCDEAAAAA"), ("2", "MKTLLVWCDE"), ("1", "mktllvwcdf")], "pmid string, sequence string")
+    gold = spark.createDataFrame([("1", "MKTLLVWCDF")], "pmid string, sequence string")
+    got = {(r.pmid, r.sequence): r.similar for r in evaluation.similar_to_gold(rows, gold).collect()}
+    assert got == {("1", "MKTLLVWCDE"): True, ("1", "MKTLLVWCDEAAAAA"): False, ("2", "MKTLLVWCDE"): False, ("1", "mktllvwcdf"): True}
