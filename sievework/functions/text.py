@@ -51,19 +51,43 @@ def replace_each(text: Column, pattern: str, change: Callable[[Column], Column])
     return F.array_join(F.zip_with(F.split(text, pattern, -1), made, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
 
 
-def matches(rows: DataFrame, text: str, pattern: str, keys: list[str]) -> DataFrame:
-    """rows, one for each match: no (from 0), match and start (character offset).
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    A match starts after the gaps and matches before it, so offsets are running sums
-    over the pieces between matches; keys name a row.
+
+def located(text: Column, pattern: str) -> Column:
+    """array<struct<no, match, start>>: every match of pattern with its number and character offset, both from 0.
+
+    A match starts after the gaps and matches before it. The sums run over blocks of
+    about the root of their number, all within the row: no text is copied to a match.
     """
-    gaps = F.split(F.col(text), pattern, -1)
-    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    pieces = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("match"))
-    out = rows.select("*", F.posexplode(pieces).alias("no", "_piece"))
-    upto = Window.partitionBy(*keys).orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    ends = F.sum(F.length("_piece.gap") + F.length("_piece.match")).over(upto)
-    return out.withColumn("match", F.col("_piece.match")).withColumn("start", (ends - F.length("match")).cast("long")).drop("_piece")
+    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, n: a + n)
+
+    def body(b: Column) -> Column:
+        found, sizes = b["found"], b["sizes"]
+        n = F.size(found)
+        step = F.greatest(F.floor(F.sqrt(n)).cast("int"), F.lit(1))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / step).cast("int")), lambda k: total(F.slice(sizes, k * step + 1, step)))
+
+        def starts(c: Column) -> Column:
+            def one(m: Column, i: Column) -> Column:
+                k = F.floor(i / step).cast("int")
+                upto = total(F.slice(c, 1, k)) + total(F.slice(sizes, k * step + 1, i - k * step + 1))
+                return F.struct(i.alias("no"), m.alias("match"), (upto - F.length(m)).alias("start"))
+
+            return F.transform(found, one)
+
+        return F.when(n > 0, bound(blocks, starts)).otherwise(F.array().cast("array<struct<no:int,match:string,start:bigint>>"))
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sizes = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found, lambda g, m: (F.length(g) + F.length(m)).cast("long"))
+    return F.when(text.isNotNull(), bound(F.struct(found.alias("found"), sizes.alias("sizes")), body))
+
+
+def matches(rows: DataFrame, text: str, pattern: str) -> DataFrame:
+    """rows without the text, one for each match: no, match and start."""
+    return rows.withColumn("_m", F.explode(located(F.col(text), pattern))).select(*[c for c in rows.columns if c != text], "_m.no", "_m.match", "_m.start")
 
 
 # ------------------------------------------------------------------ identifiers and repairs

@@ -85,11 +85,6 @@ def technique_names(context: Column, patterns: Patterns = lex.TECHNIQUES) -> Col
     return F.array_compact(F.array(*tries))
 
 
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, however often body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _first_match(texts: Column, tries: list[str]) -> Column:
     """Of the first pattern that any of an array of texts matches, the first such text; null if none does."""
 
@@ -113,7 +108,7 @@ def _evidence(parts: Column, whole: Column, patterns: Patterns) -> Column:
         pairs = [F.struct(F.lit(name).alias("technique"), F.when(_worth_it(b["whole"], tries), _first_match(b["parts"], tries)).alias("line")) for name, tries in patterns.items()]
         return F.filter(F.array(*pairs), lambda p: p["line"].isNotNull())
 
-    return _bound(F.struct(parts.alias("parts"), whole.alias("whole")), body)
+    return T.bound(F.struct(parts.alias("parts"), whole.alias("whole")), body)
 
 
 def technique_lines(context: Column, patterns: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
@@ -123,7 +118,7 @@ def technique_lines(context: Column, patterns: Patterns = lex.TECHNIQUES, supers
     General techniques go where a specific one that covers them is there.
     """
     found = _evidence(T.sentences(context), F.regexp_replace(context, "\n", " "), patterns)
-    return _bound(found, lambda pairs: without_superseded(pairs, supersedes))
+    return T.bound(found, lambda pairs: without_superseded(pairs, supersedes))
 
 
 def without_superseded(pairs: Column, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
@@ -168,11 +163,24 @@ def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns
 # ------------------------------------------------------------------ candidates
 
 
-def raw_matches(rows: DataFrame, key: str, text: str, source: Column, pattern: str = lex.CANDIDATE) -> DataFrame:
-    """Every match with its offset, its sequence, and how often the document has that sequence."""
-    found = T.matches(rows.select(key, F.col(text).alias("_text")), "_text", pattern, [key])
-    found = found.withColumn("source", source).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
-    return found.withColumn("occurrences", F.count("*").over(Window.partitionBy(key, "source", "sequence")))
+def raw_matches(rows: DataFrame, key: str, text: str, source: Column, pattern: str = lex.CANDIDATE, where: Callable[[Column], Column] | None = None, reach: int = 1000, line: bool = False) -> DataFrame:
+    """Matches with offset, context, sequence, and how often the document has that sequence.
+
+    where drops sequences before anything else is made of them; line adds the first line
+    that holds the match. All that needs the text is done within the document's row, so
+    what moves on is a match and its surroundings, never the text.
+    """
+    whole = F.col(text)
+    found = F.transform(T.located(whole, pattern), lambda m: F.struct(m["no"].alias("no"), m["match"].alias("match"), m["start"].alias("start"), T.candidate_letters(m["match"], source).alias("sequence")))
+    if where is not None:
+        found = F.filter(found, lambda m: where(m["sequence"]))
+
+    def around(m: Column) -> Column:
+        more = [T.first_line_with(whole, m["match"]).alias("sequence_line")] if line else []
+        return F.struct(m["no"].alias("no"), m["match"].alias("match"), m["start"].alias("start"), m["sequence"].alias("sequence"), T.around(whole, m["start"], F.length(m["match"]), reach).alias("context"), *more)
+
+    out = rows.select(key, F.explode(F.transform(found, around)).alias("_m")).select(key, "_m.*").withColumn("source", source)
+    return out.withColumn("occurrences", F.count("*").over(Window.partitionBy(key, "source", "sequence")))
 
 
 def without_words(found: DataFrame, key: str, words: DataFrame | None) -> DataFrame:
@@ -184,29 +192,31 @@ def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_wor
     """Candidates of running text: one row per document and sequence, its first accepted occurrence."""
     body = T.reconstruct(F.col(text)) if rebuild else F.col(text)
     ready = rows.select(key, body.alias("_body"))
-    found = without_words(raw_matches(ready, key, "_body", F.lit(source)), key, bad_words).where(plausible(F.col("sequence")))
-    found = found.withColumn("context", T.around(F.col("_text"), F.col("start"), F.length("match")))
-    found = found.where(~gene_like(F.col("sequence"), F.col("context")))
+    found = raw_matches(ready, key, "_body", F.lit(source), where=plausible, line=True)
+    found = without_words(found, key, bad_words).where(~gene_like(F.col("sequence"), F.col("context")))
     found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.col("occurrences"), table_like(F.col("context")), **(keywords or {})))
     first = Window.partitionBy(key, "source", "sequence").orderBy("start")
     found = found.where(F.col("score") >= least).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    return _finished(found.withColumn("sequence_line", T.first_line_with(F.col("_text"), F.col("match"))), key, techniques)
+    return _finished(found, key, techniques)
 
 
 def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = r"(?i)\b(peptide|sequence|residue|amino acid)\b", techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
     """Candidates of cells in the 19 lines below a header line, with seven lines of context."""
-    each = rows.select(key, F.col(text).alias("_text"), F.posexplode(T.lines(F.col(text))).alias("ln", "line"))
+    each = rows.select(key, F.posexplode(T.lines(F.col(text))).alias("ln", "line"))
     order = Window.partitionBy(key).orderBy("ln")
     each = each.withColumn("_near", F.max(F.col("line").rlike(header).cast("int")).over(order.rowsBetween(-19, -1)))
     each = each.withColumn("context", F.array_join(F.collect_list("line").over(order.rowsBetween(-3, 3)), "\n")).where("_near = 1")
-    cell = each.select(key, "_text", "ln", "context", F.posexplode(T.cells(F.col("line"))).alias("_cell", "cell"))
+    cell = each.select(key, "ln", "context", F.posexplode(T.cells(F.col("line"))).alias("_cell", "cell"))
     found = cell.select("*", F.posexplode(F.regexp_extract_all(T.reconstruct(F.col("cell")), F.lit(lex.CANDIDATE), F.lit(0))).alias("_at", "match"))
     found = found.withColumn("source", F.lit(source)).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
     found = without_words(found, key, bad_words).where(likely_peptide(F.col("sequence"), F.col("context")))
     first = Window.partitionBy(key, "sequence").orderBy("ln", "_cell", "_at")
     found = found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
     found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.lit(1), F.lit(True)))
-    found = found.withColumn("sequence_line", T.first_line_with(F.col("_text"), F.col("match"))).withColumn("start", F.col("ln").cast("long"))
+    found = found.withColumn("start", F.col("ln").cast("long"))
+    # the document's text comes to its few accepted cells, in one join
+    whole = rows.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    found = found.join(whole, F.col(key) == F.col("_key")).withColumn("sequence_line", T.first_line_with(F.col("_text"), F.col("match"))).drop("_key", "_text")
     return _finished(found, key, techniques)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
@@ -51,8 +51,8 @@ def weighted(rows: DataFrame, seq: str, idf: DataFrame, n: int = 3) -> DataFrame
     """(seq, gram, w): unit vectors of tf-idf; grams the references don't have are dropped before the norm."""
     terms = rows.select(seq, F.explode(grams(F.col(seq), n)).alias("gram")).groupBy(seq, "gram").agg(F.count("*").alias("tf"))
     terms = terms.join(idf.select("gram", "idf"), "gram").withColumn("v", F.col("tf") * F.col("idf"))
-    norms = terms.groupBy(seq).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    return terms.join(norms, seq).select(seq, "gram", (F.col("v") / F.col("norm")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(seq)))
+    return terms.select(seq, "gram", (F.col("v") / norm).alias("w"))
 
 
 def nearest(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: int = 3) -> DataFrame:

@@ -24,13 +24,9 @@ firsts AS (SELECT * FROM counted WHERE {PLAUSIBLE} QUALIFY row_number() OVER (PA
 """
 
 
-def _raw(spark, sf_dir):
-    return mining.raw_matches(folded(spark, sf_dir, upper()), "doc_id", "text", F.lit("pdf_text"))
-
-
-def _firsts(spark, sf_dir):
+def _firsts(spark, sf_dir, reach=0):
     first = Window.partitionBy("doc_id", "sequence").orderBy("start")
-    found = _raw(spark, sf_dir).where(mining.plausible(F.col("sequence")))
+    found = mining.raw_matches(folded(spark, sf_dir, upper()), "doc_id", "text", F.lit("pdf_text"), where=mining.plausible, reach=reach)
     return found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
 
 
@@ -41,8 +37,8 @@ def cand_extract(spark, sf_dir):
 
 @query("cand_offsets", f"WITH {RAW} SELECT doc_id, CAST(no AS BIGINT) AS no, match, start, substring(up, greatest(start - 20, 0) + 1, start + length(match) + 20 - greatest(start - 20, 0)) AS context FROM placed")
 def cand_offsets(spark, sf_dir):
-    near = T.around(F.col("_text"), F.col("start"), F.length("match"), 20)
-    return _raw(spark, sf_dir).select("doc_id", F.col("no").cast("long").alias("no"), "match", "start", near.alias("context"))
+    found = mining.raw_matches(folded(spark, sf_dir, upper()), "doc_id", "text", F.lit("pdf_text"), reach=20)
+    return found.select("doc_id", F.col("no").cast("long").alias("no"), "match", "start", "context")
 
 
 @query(
@@ -102,15 +98,15 @@ TABLE_LIKE = f"({R.sql_any('lower(context)', R.TABLE_WORDS)} OR len(list_filter(
       + CASE WHEN length(sequence) >= 20 AND {R.sql_letters('sequence')} >= 10 THEN 4 WHEN length(sequence) >= 15 AND {R.sql_letters('sequence')} >= 8 THEN 2 ELSE 0 END, 0) AS BIGINT) AS score FROM c""",
 )
 def score_context_kw(spark, sf_dir):
-    found = _firsts(spark, sf_dir).withColumn("context", T.around(F.col("_text"), F.col("start"), F.length("match")))
+    found = _firsts(spark, sf_dir, 1000)
     score = mining.candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.col("occurrences"), mining.table_like(F.col("context"), R.TABLE_WORDS), R.PEPTIDE_WORDS, R.TABLE_WORDS, "the|and", "the|of")
     return found.select("doc_id", "sequence", score.cast("long").alias("score"))
 
 
 @query("gene_filter", f"WITH {RAW}, c AS (SELECT *, substring(up, greatest(start - 200, 0) + 1, start + length(match) + 200 - greatest(start - 200, 0)) AS context FROM firsts) SELECT doc_id, sequence, {R.sql_gene('sequence', 'context', lex.GENE_TERMS, lex.PEPTIDE_TERMS)} AS gene FROM c")
 def gene_filter(spark, sf_dir):
-    near = T.around(F.col("_text"), F.col("start"), F.length("match"), 200)
-    return _firsts(spark, sf_dir).select("doc_id", "sequence", mining.gene_like(F.col("sequence"), near).alias("gene"))
+    found = _firsts(spark, sf_dir, 200)
+    return found.select("doc_id", "sequence", mining.gene_like(F.col("sequence"), F.col("context")).alias("gene"))
 
 
 @query("table_like", f"SELECT doc_id, {TABLE_LIKE.replace('context', 'text')} AS is_table FROM (SELECT doc_id, replace({FOLD}, ' | ', chr(9)) AS text FROM documents)")

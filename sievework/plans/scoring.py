@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import scoring, verification
 from . import registry as R
 from .registry import AA, TOKEN, UP, query, table, upper
@@ -179,7 +178,7 @@ def verify_stub(spark, sf_dir):
     from . import mining as plans
 
     docs = R.folded(spark, sf_dir)
-    found = plans._firsts(spark, sf_dir).select(F.concat_ws(":", "doc_id", "sequence").alias("id"), F.col("doc_id").cast("string").alias("pmid"), "sequence", F.lit("").alias("sequence_line"), "source", T.around(F.col("_text"), F.col("start"), F.length("match"), 100).alias("context"), F.lit(1.0).alias("evidence_score"), F.lit(0.9).alias("sequence_score"), F.lit(None).cast("double").alias("bio_score"))
+    found = plans._firsts(spark, sf_dir, 100).select(F.concat_ws(":", "doc_id", "sequence").alias("id"), F.col("doc_id").cast("string").alias("pmid"), "sequence", F.lit("").alias("sequence_line"), "source", "context", F.lit(1.0).alias("evidence_score"), F.lit(0.9).alias("sequence_score"), F.lit(None).cast("double").alias("bio_score"))
     pairs = mining.technique_lines(F.col("context"), R.TECHNIQUES, R.SUPERSEDES)
     found = found.withColumn("techniques", F.transform(pairs, lambda p: p["technique"])).withColumn("technique_lines", F.transform(pairs, lambda p: p["line"]))
     documents = docs.select(F.col("doc_id").cast("string").alias("pmid"), F.array_sort(mining.technique_names(F.col("text"), R.SPECIES)).alias("species"), F.substring("text", 1, 4000).alias("head"))
