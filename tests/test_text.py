@@ -115,11 +115,11 @@ def test_mine_end_to_end(spark):
     text = "The peptide MKTLLVWCDE was sequenced by Edman degradation. Abbreviations: QQRSTVW, none.\nPeptide QQRSTVWQQ too. MKTLLVW-\nCDE again."
     rows = spark.createDataFrame([("1", text)], "pmid string, text string")
     got = {r.sequence: r for r in mining.mine(rows, "pmid", "text").collect()}
-    assert set(got) == {"MKTLLVWCDE", "QQRSTVWQQ"}
+    assert set(got) == {"MKTLLVWCDE", "QQRSTVW", "QQRSTVWQQ"}
     assert got["MKTLLVWCDE"].techniques == ["Edman Sequencing"] and got["MKTLLVWCDE"].evidence_score == 5.0
     assert got["MKTLLVWCDE"].sequence_line.startswith("The peptide MKTLLVWCDE")
-    bad = spark.createDataFrame([("1", "QQRSTVWQQ")], "pmid string, sequence string")
-    assert {r.sequence for r in mining.mine(rows, "pmid", "text", bad_words=bad).collect()} == {"MKTLLVWCDE"}
+    bad = mining.abbreviation_words(rows, "pmid", "text")
+    assert {r.sequence for r in mining.mine(rows, "pmid", "text", bad_words=bad).collect()} == {"MKTLLVWCDE", "QQRSTVWQQ"}
 
 
 def test_mine_tables(spark):
