@@ -10,7 +10,10 @@ tries for the groups whose common prefix goes on. Common prefixes of neighbours
 two arrays say at which distances before the anchor a string of `length` bytes recurs.
 
 Work per anchor is on distinct contexts: equal ones are one, with a count, before the
-shuffle. Where a third of all documents share a passage, each task sends it once.
+shuffle. Where a third of all documents share a passage, each task sends it once. An
+anchor with very many contexts is split: strings that start STEP or fewer bytes apart
+before their anchors have all bytes between in common, so contexts meet in parts by the
+hash of those bytes, each part with its own suffix arrays.
 
 Texts are judged whole, as UTF-8, on the input; matches never cross documents. Null is
 empty. Rows equal in doc_id and text share a key: both are searched and both lose what
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, row_key, slices, store
+from .common import bounded, has_rows, row_key, slices, store
 
 LENGTH = 400
 GRAM = 200
@@ -39,6 +42,8 @@ SHALLOW = 32
 FILTER_BITS = 1 << 28
 #: Rows of removed ranges that are broadcast at most.
 RANGES = 400_000
+#: Contexts (as sent by tasks) from which an anchor is split, and distances in a part.
+CROWD, STEP = 20_000, 25
 
 
 # ---------------------------------------------------------------- sorting
@@ -365,11 +370,39 @@ def verdicts(found: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "ctx long, ranges binary")
 
 
-def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def split_crowds(found: DataFrame, length: int, crowd: int = CROWD, step: int = STEP) -> DataFrame:
+    """found with the anchors of more than `crowd` rows in parts: contexts cut to a few distances each.
+
+    A part's key is the anchor, its distances, and the hash of the bytes that a string
+    at any of them holds; equal strings are in the same part.
+    """
+    crowds = store(found.groupBy("h").agg(F.count("*").alias("rows")).where(F.col("rows") > crowd).select("h"), "crowds")
+    if not has_rows(crowds):
+        return found
+    # rows are shared among crowds, so there are few; beyond the bound the join shuffles
+    small = F.broadcast(crowds) if bounded(crowds, 1_000_000) else crowds
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for h, ctx, n, left, low, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                for begin in range(low - low % step, left + 1, step):
+                    a, b = max(low, begin), min(left, begin + step - 1)
+                    core = body[left - begin : left + length - (begin + step - 1)]
+                    key = int.from_bytes(hashlib.blake2b(core, digest_size=8, key=(h & (1 << 64) - 1).to_bytes(8, "big"), salt=begin.to_bytes(4, "big")).digest(), "big", signed=True)
+                    out.append((key, ctx, n, b, a, body[left - b : left + length - a]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["h", "ctx", "n", "left", "low", "body"])
+
+    names = ["h", "ctx", "n", "left", "low", "body"]
+    parts = found.select(*names).join(small, "h", "left_semi").select(*names).mapInArrow(run, "h long, ctx long, n long, left int, low int, body binary")
+    return found.select(*names).join(small, "h", "left_anti").select(*names).unionByName(parts)
+
+
+def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """(key, spans): for rows of docs (key, text) that lose bytes, maximal runs as pairs of 32-bit ends."""
     bits = repeated_anchors(docs, length, gram)
     found = store(contexts(docs, bits, length, gram), "contexts")
-    hits = found.select("ctx", "places").join(verdicts(found, length), "ctx")
+    hits = found.select("ctx", "places").join(verdicts(split_crowds(found, length, crowd), length), "ctx")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -42,6 +42,14 @@ def test_repeats(spark, length, gram):
     assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, length)
 
 
+@pytest.mark.parametrize("crowd", [0, 3])
+def test_repeats_with_split_anchors(spark, crowd, monkeypatch):
+    rows, split = passages(), suffix_dedup.split_crowds
+    monkeypatch.setattr(suffix_dedup, "split_crowds", lambda found, length, _: split(found, length, crowd, 5))
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"), 40, 20).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, 40)
+
+
 def test_many_contexts_of_one_anchor():
     rng = random.Random(8)
     core, length = bytes(rng.choice(b"abc") for _ in range(30)), 40
