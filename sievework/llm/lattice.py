@@ -24,6 +24,7 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +107,7 @@ def _classes_to_cells(classes: DataFrame, tables: int, probes: int, scale: float
         for batch in batches:
             cls, n, label = (np.asarray(batch.column(i)) for i in range(3))
             lists = batch.column(3)
-            sizes = np.asarray(pa.compute.list_value_length(lists))
+            sizes = np.asarray(pc.list_value_length(lists))
             for size in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == size)
                 x = np.asarray(lists.take(pa.array(rows)).flatten()).reshape(len(rows), size)

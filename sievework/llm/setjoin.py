@@ -26,7 +26,6 @@ kept, one result a row.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
