@@ -77,11 +77,11 @@ def abbr_anti(spark, sf_dir):
     return found.groupBy("doc_id", "sequence").agg(F.count("*").alias("n"))
 
 
-@query("abbreviations", "SELECT doc_id, list_sort(list_distinct(list_filter(list_transform(string_split('ABC, ' || w || '; ' || w || ', x;Z9 , y', ';'), lambda p: regexp_extract(trim(p), '^([A-Za-z0-9]+)\\s*,', 1)), lambda t: t <> ''))) AS terms FROM (SELECT doc_id, regexp_extract(" + FOLD + ", '[A-Za-z]+') AS w FROM documents)")
+@query("abbreviations", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split('ABC, ' || w || '; ' || w || ', x;Z9 , y', ';'), lambda p: regexp_extract(trim(p), '^([A-Za-z0-9]+)\\s*,', 1)), lambda t: t <> ''))), '|') AS terms FROM (SELECT doc_id, regexp_extract(" + FOLD + ", '[A-Za-z]+') AS w FROM documents)")
 def abbreviations(spark, sf_dir):
     word = F.regexp_extract("text", "[A-Za-z]+", 0)
     text = F.concat(F.lit("Title\nAbbreviations: ABC, "), word, F.lit("; "), word, F.lit(", x;Z9 , y\n\nMORE, z; NOT, here"))
-    return folded(spark, sf_dir).select("doc_id", F.array_sort(T.abbreviations(text)).alias("terms"))
+    return folded(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(T.abbreviations(text)), "|").alias("terms"))
 
 
 KEYWORD_SCORE = " + ".join([f"3 * CAST(contains(lower(context), '{w}') AS INT)" for w in R.PEPTIDE_WORDS] + [f"5 * CAST(contains(lower(context), '{w}') AS INT)" for w in R.TABLE_WORDS])
@@ -195,14 +195,14 @@ def evidence_score(spark, sf_dir):
     return folded(spark, sf_dir).select("doc_id", mining.evidence_score(names, R.WEIGHTS).alias("score"))
 
 
-@query("technique_names", f"SELECT doc_id, {R.sql_technique(FOLD, R.TECHNIQUES)} AS techniques FROM documents")
+@query("technique_names", f"SELECT doc_id, array_to_string({R.sql_technique(FOLD, R.TECHNIQUES)}, '|') AS techniques FROM documents")
 def technique_names(spark, sf_dir):
-    return folded(spark, sf_dir).select("doc_id", mining.technique_names(F.col("text"), R.TECHNIQUES).alias("techniques"))
+    return folded(spark, sf_dir).select("doc_id", F.array_join(mining.technique_names(F.col("text"), R.TECHNIQUES), "|").alias("techniques"))
 
 
-@query("doc_species", f"SELECT doc_id, list_sort({R.sql_technique(FOLD, R.SPECIES)}) AS species FROM documents")
+@query("doc_species", f"SELECT doc_id, array_to_string(list_sort({R.sql_technique(FOLD, R.SPECIES)}), '|') AS species FROM documents")
 def doc_species(spark, sf_dir):
-    return mining.document_species(folded(spark, sf_dir), "doc_id", "text", R.SPECIES)
+    return mining.document_species(folded(spark, sf_dir), "doc_id", "text", R.SPECIES).withColumn("species", F.array_join("species", "|"))
 
 
 @query(
@@ -263,8 +263,8 @@ def supp_cells(spark, sf_dir):
     f AS (SELECT *, min(CASE WHEN score = best THEN p_partkey END) OVER (PARTITION BY p_size) AS first FROM b),
     l AS (SELECT p_size, flatten(list(ts ORDER BY p_partkey)) AS ts, flatten(list(ls ORDER BY p_partkey)) AS ls FROM f WHERE p_partkey > first GROUP BY 1)
     SELECT f.p_size, f.p_partkey, CAST(f.score AS BIGINT) AS score,
-      CASE WHEN l.ts IS NULL THEN f.ts ELSE list_sort(list_distinct(list_concat(f.ts, l.ts))) END AS techniques,
-      CASE WHEN l.ls IS NULL THEN f.ls ELSE list_concat(f.ls, list_sort(list_filter(list_distinct(l.ls), lambda x: NOT list_contains(f.ls, x)))) END AS technique_lines
+      array_to_string(CASE WHEN l.ts IS NULL THEN f.ts ELSE list_sort(list_distinct(list_concat(f.ts, l.ts))) END, '|') AS techniques,
+      array_to_string(CASE WHEN l.ls IS NULL THEN f.ls ELSE list_concat(f.ls, list_sort(list_filter(list_distinct(l.ls), lambda x: NOT list_contains(f.ls, x)))) END, '|') AS technique_lines
     FROM f LEFT JOIN l USING (p_size) WHERE f.p_partkey = f.first""",
 )
 def merge_candidates(spark, sf_dir):
@@ -272,7 +272,7 @@ def merge_candidates(spark, sf_dir):
     merged = merging.merge_candidates(part, ["p_size"], ["p_partkey"])
     # the SQL sorts the lines that were added
     lines = F.concat(F.slice("technique_lines", 1, 1), F.array_sort(F.slice("technique_lines", 2, 1_000_000)))
-    return merged.select("p_size", "p_partkey", F.col("score").cast("long").alias("score"), "techniques", lines.alias("technique_lines"))
+    return merged.select("p_size", "p_partkey", F.col("score").cast("long").alias("score"), F.array_join("techniques", "|").alias("techniques"), F.array_join(lines, "|").alias("technique_lines"))
 
 
 @query(
@@ -316,7 +316,7 @@ def fasta_records(spark, sf_dir):
     return readers.fasta_records(rows, "_t")
 
 
-@query("evidence_records", "SELECT p_partkey, p_type AS sequence, [p_brand] AS techniques, [p_name] AS technique_lines, 1.0::DOUBLE AS evidence_score, p_name AS evidence_text, CAST(p_size AS BIGINT) AS score FROM part")
+@query("evidence_records", "SELECT p_partkey, p_type AS sequence, p_brand AS techniques, p_name AS technique_lines, 1.0::DOUBLE AS evidence_score, p_name AS evidence_text, CAST(p_size AS BIGINT) AS score FROM part")
 def evidence_records(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", *[F.col("p_type").alias(c) for c in ("sequence", "original_sequence", "normalized_sequence", "sequence_line")], F.array("p_brand").alias("techniques"), F.array("p_name").alias("technique_lines"), F.lit(None).cast("double").alias("evidence_score"), F.col("p_name").alias("context"), F.col("p_size").cast("long").alias("score"), F.lit("csv").alias("source"))
-    return mining.evidence(part, ["p_partkey"]).select("p_partkey", "sequence", "techniques", "technique_lines", "evidence_score", "evidence_text", "score")
+    return mining.evidence(part, ["p_partkey"]).select("p_partkey", "sequence", F.array_join("techniques", "|").alias("techniques"), F.array_join("technique_lines", "|").alias("technique_lines"), "evidence_score", "evidence_text", "score")
