@@ -191,9 +191,14 @@ def merge_numbered_lines(rows: DataFrame, keys: list[str], line: str = "line", n
     return merged.select(*keys, number, F.when(F.col("_n") > 1, F.col("_whole")).otherwise(F.col("_line")).alias(line))
 
 
+def first_with(parts: Column, target: Column) -> Column:
+    """The first of an array of texts that holds target, stripped; empty where none does."""
+    return F.coalesce(strip(F.get(F.filter(parts, lambda x: x.contains(target)), F.lit(0))), F.lit(""))
+
+
 def first_line_with(text: Column, target: Column) -> Column:
     """The first line that holds target, stripped; empty where none does."""
-    return F.coalesce(strip(F.get(F.filter(lines(text), lambda x: x.contains(target)), F.lit(0))), F.lit(""))
+    return first_with(lines(text), target)
 
 
 def around(text: Column, start: Column, length: Column, reach: int = 1000) -> Column:

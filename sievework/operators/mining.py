@@ -175,11 +175,15 @@ def raw_matches(rows: DataFrame, key: str, text: str, source: Column, pattern: s
     if where is not None:
         found = F.filter(found, lambda m: where(m["sequence"]))
 
-    def around(m: Column) -> Column:
-        more = [T.first_line_with(whole, m["match"]).alias("sequence_line")] if line else []
+    def around(m: Column, *more: Column) -> Column:
         return F.struct(m["no"].alias("no"), m["match"].alias("match"), m["start"].alias("start"), m["sequence"].alias("sequence"), T.around(whole, m["start"], F.length(m["match"]), reach).alias("context"), *more)
 
-    out = rows.select(key, F.explode(F.transform(found, around)).alias("_m")).select(key, "_m.*").withColumn("source", source)
+    def with_line(own: Column) -> Column:
+        return F.transform(found, lambda m: around(m, T.first_with(own, m["match"]).alias("sequence_line")))
+
+    # lines are cut once a document, not once a match
+    made = T.bound(T.lines(whole), with_line) if line else F.transform(found, lambda m: around(m))
+    out = rows.select(key, F.explode(made).alias("_m")).select(key, "_m.*").withColumn("source", source)
     return out.withColumn("occurrences", F.count("*").over(Window.partitionBy(key, "source", "sequence")))
 
 
