@@ -1,8 +1,8 @@
 """Quality rules with an n-gram perplexity band per language.
 
 The language model is a modified Kneser-Ney model of UTF-8 byte n-grams, one per
-language, counted by Spark over every document: tasks pre-count their n-grams with
-numpy, Spark adds them up. The smoothed log-probabilities stand in arrays sorted by
+language, counted by Spark over every distinct text of it: tasks pre-count their n-grams
+with numpy, Spark adds them up. The smoothed log-probabilities stand in arrays sorted by
 hash, with a directory over the leading hash bits, and go to the tasks by broadcast.
 That table is checked for size: if the corpus has more than `table` distinct n-grams,
 the order is lowered until it fits (two-byte grams always do), never the data.
@@ -12,11 +12,13 @@ words with a letter or digit (bytes of symbols are cheap one by one, so a mean o
 bytes would hide them). The accepted band of a language reaches from its lower quartile
 less `low` interquartile ranges to its upper quartile plus `high` of them, wider for
 short documents, whose means scatter: the ranges are multiplied by 1 + sqrt(40 / words).
+Quartiles, like the model, are over distinct texts: copies have one vote together, or a
+group of them could make the band its own; every row is then judged.
 Both ends reject: text far too predictable (boilerplate, repeats) and text far too
 surprising (symbols, noise).
 
 Null text is empty; documents without a scorable n-gram, and languages with fewer than
-`least` documents, have no band. Null language is a language of its own. Languages
+`least` distinct texts, have no band. Null language is a language of its own. Languages
 share a model if their 24-bit codes collide. Repeated rows are judged alike; an empty
 table gives no rows.
 """
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, slices, store
+from .common import bounded, row_key, slices, store
 
 ORDER = 5
 #: n-grams in a broadcast table at most (12 bytes each).
@@ -40,6 +42,8 @@ TABLE = 6_000_000
 LOW, HIGH, LEAST = 2.0, 2.0, 50
 #: Languages whose bands are broadcast at most.
 LANGUAGES = 10_000
+#: Keys of repeated texts that are broadcast at most (8 bytes each).
+REPEATED = 2_000_000
 _CODE = 24
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -72,6 +76,19 @@ def grams(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, order: int)
     return keys, first
 
 
+def distinct_texts(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
+    """(text, code, vote) of docs, one row for each vote (key of language and text).
+
+    Texts without copies stay where they are; only those with copies move.
+    """
+    rows = docs.select("text", "code", "vote")
+    again = store(rows.groupBy("vote").agg(F.count("*").alias("copies")).where("copies > 1").select("vote"), "again")
+    if not bounded(again, repeated):
+        return rows.dropDuplicates(["vote"])
+    again = F.broadcast(again)
+    return rows.join(again, "vote", "left_anti").unionByName(rows.join(again, "vote", "left_semi").dropDuplicates(["vote"])).select("text", "code", "vote")
+
+
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(key, n) over all documents of docs (text, code)."""
 
@@ -167,7 +184,7 @@ class KneserNey:
 
 
 def fit(docs: DataFrame, order: int = ORDER, table: int = TABLE) -> KneserNey:
-    """The model of docs (text, code), counted over every row."""
+    """The model of docs (text, code), counted over all of them."""
     counts = store(count_grams(docs, order), "grams")
     while order > 2 and counts.count() > table:
         order -= 1
@@ -249,12 +266,14 @@ def measure(docs: DataFrame, model: KneserNey | None, keep: tuple[str, ...]) ->
 
 def judge(docs: DataFrame, order: int = ORDER, table: int = TABLE, low: float = LOW, high: float = HIGH, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns of docs (doc_id, text, lang), base figures, log_ppl, base_failed and kept."""
-    coded = docs.withColumn("code", language_code())
-    figures = store(measure(coded, fit(coded, order, table), keep), "figures")
+    coded = docs.withColumn("code", language_code()).withColumn("vote", row_key("code", "text"))
+    model = fit(distinct_texts(coded), order, table)
+    figures = store(measure(coded, model, (*keep, "vote")), "figures")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     figures = figures.withColumn("base_failed", failed)
     quartile = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
-    bands = figures.where("log_ppl is not null and not base_failed").groupBy("code").agg(quartile.alias("_q"), F.count("*").alias("_docs")).where(F.col("_docs") >= least)
+    votes = figures.where("log_ppl is not null and not base_failed").groupBy("code", "vote").agg(F.min("log_ppl").alias("log_ppl"))
+    bands = votes.groupBy("code").agg(quartile.alias("_q"), F.count("*").alias("_docs")).where(F.col("_docs") >= least)
     # languages are few; a language with a third of all documents stays where its rows are
     q1, q3 = F.col("_q")[0], F.col("_q")[1]
     width = F.greatest(q3 - q1, F.lit(0.05)) * (1 + F.sqrt(40 / F.greatest(F.col("n_words"), F.lit(1))))

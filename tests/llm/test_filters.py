@@ -54,6 +54,23 @@ def test_noise_is_rejected_and_a_smaller_table_lowers_the_order(spark):
         assert sum(kept[i] for i in range(120)) >= 118
 
 
+def test_copies_have_one_vote(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice(["an", "the", "ing", "er", "ou", "st"]) for _ in range(rng.randint(1, 3))) for _ in range(300)]
+    clean = lambda: " ".join(rng.choice(words) for _ in range(120))
+    rows, noise = [(i, clean(), "en") for i in range(120)], (901, " ".join("".join(rng.choice("0123456789abcdefXYZ!?") for _ in range(9)) for _ in range(120)), "en")
+    alone = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame([*rows, noise], "doc_id long, text string, lang string")).collect()}
+    copies = [(1000 + i, rows[7][1], "en") for i in range(600)] + [(2000 + i, *noise[1:]) for i in range(300)]
+    frame = spark.createDataFrame([*rows, noise, *copies], "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in quality_rules.judge(frame).collect()}
+    assert len(out) == len(rows) + 1 + len(copies) and sum(out[i].kept for i in range(120)) >= 118
+    assert all(out[i].kept == alone[i].kept and out[i].log_ppl == pytest.approx(alone[i].log_ppl) for i in alone)
+    assert all(out[i].kept == (i < 2000) for i in out if i >= 1000)
+    coded = frame.withColumn("code", F.lit(3).cast("long")).withColumn("vote", F.xxhash64("text"))
+    for most in (quality_rules.REPEATED, 1):
+        assert sorted(r.text for r in quality_rules.distinct_texts(coded, most).collect()) == sorted({r[1] for r in [*rows, noise]})
+
+
 @needs_tables
 def test_quality_rules_agree_with_labels(spark):
     out = registry.QUERIES["op5_quality_rules"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
