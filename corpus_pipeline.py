@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm import packing, pii, quality_rules, setjoin, suffix_dedup
-from sievework.llm.common import bounded, has_rows, row_key, store
+from sievework.llm.common import bounded, has_rows, join_hot, row_key, store
 
 #: Rows of a decision table that is broadcast at most (8 bytes each).
 BROADCAST = 2_000_000
@@ -30,20 +30,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest doc_id.
+    """One document of each class of near-duplicates: the smallest doc_id, then the least key of its text.
 
-    Rows without doc_id go if their class has a document with one. Rows equal in doc_id
+    A row is known by doc_id and text, so rows that share a doc_id or lack it are judged
+    one by one; only a class without any doc_id keeps a row without. Rows equal in doc_id
     and text stay once.
     """
-    classes = store(setjoin.near_duplicates(docs.select("doc_id", "text")), "classes")
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("_id")
-    gone = classes.where("component_id is not null and not (doc_id <=> component_id)").select(key).distinct()
-    kept = docs.withColumn("_id", key).join(_small(store(gone, "gone")), "_id", "left_anti")
-    again = store(classes.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select("_id"), "again")
+    classes = store(setjoin.classes_of_rows(docs.select("doc_id", "text")), "classes")
+    key = row_key("doc_id", "text_key").alias("_row")
+    linked = classes.where("label is not null")
+    first = F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("text_key"))).alias("first")
+    chosen = store(linked.groupBy("label").agg(first, F.count("*").alias("rows")), "chosen")
+    gone = join_hot(linked, chosen, "label", "rows", "inner").where("not (doc_id <=> component_id) or text_key <> first").select(key).distinct()
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+    kept = rows.join(_small(store(gone, "gone")), "_row", "left_anti")
+    again = store(classes.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select("_row"), "again")
     if not has_rows(again):
         return kept.select(*docs.columns)
-    once = kept.join(_small(again), "_id", "left_anti")
-    more = kept.join(_small(again), "_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    once = kept.join(_small(again), "_row", "left_anti")
+    more = kept.join(_small(again), "_row", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more).select(*docs.columns)
 
 

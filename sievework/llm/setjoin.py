@@ -536,8 +536,12 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
     return found.unionByName(labels)
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text)."""
+def classes_of_rows(docs: DataFrame, width: int = WIDTH, percent: int = 75, block: int = BLOCK) -> DataFrame:
+    """(doc_id, text_key, n, label, copies, component_id) of each row of docs (doc_id, text).
+
+    label names the row's class, whether or not a row of it has a doc_id; it and copies
+    are null for rows that are alone.
+    """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", row_key("text"))
     frequent, total = frequencies(docs, width)
     members, edges = sketch(docs, width, percent, frequent, total)
@@ -545,8 +549,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75, bloc
     labels = similar_nodes(docs, members, edges, width, percent, frequent, block).dropDuplicates(["node"])
     nodes = store(nodes.join(labels, "node", "left").where("copies > 1 or label is not null").withColumn("label", F.coalesce("label", "node")), "nodes")
     named = nodes.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
-    named = store(join_hot(nodes.select("node", "label", "copies"), named, "label", "size", "inner").select("node", "component_id", "copies"), "named")
-    linked = join_hot(members.where("node is not null"), named, "node", "copies", "left").select("doc_id", "n", "component_id", F.col("copies"))
-    alone = members.where("node is null").select("doc_id", "n", F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("copies"))
-    both = linked.unionByName(alone)
+    named = store(join_hot(nodes.select("node", "label", "copies"), named, "label", "size", "inner").select("node", "label", "component_id", "copies"), "named")
+    linked = join_hot(members.where("node is not null"), named, "node", "copies", "left").select("doc_id", "text_key", "n", "label", "copies", "component_id")
+    none = F.lit(None).cast("long")
+    alone = members.where("node is null").select("doc_id", "text_key", "n", none.alias("label"), none.alias("copies"), none.alias("component_id"))
+    return linked.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75, block: int = BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text)."""
+    both = classes_of_rows(docs, width, percent, block)
     return both.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

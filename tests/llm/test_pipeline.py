@@ -69,3 +69,25 @@ def test_odd_rows_pass_all_stages(spark):
         for _, stage in corpus_pipeline.STAGES:
             frame = store(stage(spark, frame, SF), "odd")
         frame.collect()
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    base = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(5)]
+    near = [t + " more" for t in base]
+    rows = [
+        (1, base[0]), (None, near[0]),  # the row without doc_id goes
+        (None, "nothing like the others in any of its words"), (None, ""), (None, ""), (None, None),
+        (2, base[1]), (7, near[1]), (7, "its own words and no one else has them"),  # one text of doc_id 7 goes
+        (None, base[2]), (None, near[2]), (None, near[2]),  # a class without doc_id keeps one
+        (9, base[3]), (9, near[3]), (9, near[3]),  # a class of one doc_id keeps one
+        (None, base[4]), (None, near[4]), (11, near[4] + " still"), (12, base[4]),
+    ]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, label int")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns and len(set(got)) == len(got)
+    sure = [(1, base[0]), rows[2], (None, ""), (None, None), (2, base[1]), rows[8], (11, near[4] + " still")]
+    assert set(sure) <= set(got)
+    left = set(got) - set(sure)
+    assert sorted(i or 0 for i, _ in left) == [0, 9]
+    assert {t for i, t in left if i is None} <= {base[2], near[2]} and {t for i, t in left if i == 9} <= {base[3], near[3]}
