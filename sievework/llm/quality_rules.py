@@ -5,7 +5,8 @@ language, counted by Spark over every distinct text of it: tasks pre-count their
 with numpy, Spark adds them up. The smoothed log-probabilities stand in arrays sorted by
 hash, with a directory over the leading hash bits, and go to the tasks by broadcast.
 That table is checked for size: if the corpus has more than `table` distinct n-grams,
-the order is lowered until it fits (two-byte grams always do), never the data.
+the same model is made by Spark joins and each distinct text scored by a join with it.
+The order is the same at every size.
 
 A document's log-perplexity is its negative log-probability divided by its number of
 words with a letter or digit (bytes of symbols are cheap one by one, so a mean over
@@ -29,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, row_key, slices, store
+from .common import bounded, join_hot, release, row_key, slices, store
 
 ORDER = 5
 #: n-grams in a broadcast table at most (12 bytes each).
@@ -122,6 +123,13 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return docs.select("text", "code").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def discounts(tallies: list[float]) -> np.ndarray:
+    """What is taken from counts of 1, 2, and 3 or more; tallies: how many n-grams have counts 1 to 4."""
+    y = tallies[0] / max(1.0, tallies[0] + 2 * tallies[1])
+    cuts = np.array([min(c, max(0.0, c - (c + 1) * y * tallies[c] / tallies[c - 1])) if tallies[c - 1] else 0.5 * c for c in (1, 2, 3)])
+    return np.clip(cuts, 0.05, [0.95, 1.9, 2.85])
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney over packed byte n-grams."""
 
@@ -139,10 +147,7 @@ class KneserNey:
             context = self._context(own)
             at = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(own) else np.zeros(0, np.int64)
             of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(own))))
-            tallies = [float((n == c).sum()) for c in (1, 2, 3, 4)]
-            y = tallies[0] / max(1.0, tallies[0] + 2 * tallies[1])
-            cuts = np.array([min(c, max(0.0, c - (c + 1) * y * tallies[c] / tallies[c - 1])) if tallies[c - 1] else 0.5 * c for c in (1, 2, 3)])
-            cuts = np.clip(cuts, 0.05, [0.95, 1.9, 2.85])
+            cuts = discounts([float((n == c).sum()) for c in (1, 2, 3, 4)])
             cut = cuts[np.minimum(n, 3).astype(int) - 1] if len(n) else n
             total = np.add.reduceat(n, at) if len(n) else n
             spare = np.add.reduceat(cut, at) if len(n) else n
@@ -183,18 +188,59 @@ class KneserNey:
         return out
 
 
-def fit(docs: DataFrame, order: int = ORDER, table: int = TABLE) -> KneserNey:
-    """The model of docs (text, code), counted over all of them."""
-    counts = store(count_grams(docs, order), "grams")
-    while order > 2 and counts.count() > table:
-        order -= 1
-        low = F.lit((1 << 8 * order) - 1)
-        head = F.shiftright(F.col("key"), 40)
-        counts = store(counts.groupBy(F.shiftleft(head, 40).bitwiseOR(F.col("key").bitwiseAND(low)).alias("key")).agg(F.sum("n").alias("n")), "grams")
+def fit(counts: DataFrame, order: int = ORDER) -> KneserNey:
+    """The model of n-gram counts (key, n)."""
     got = counts.toArrow()
     return KneserNey(got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy(), order)
 
 
+def fit_table(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(key, n, log_p): what KneserNey says of the n-grams of counts (key, n), without a table in memory.
+
+    A context has at most 256 next bytes and an n-gram at most 256 bytes to its left, so
+    no key of a window or join has more rows.
+    """
+    low, key = F.lit((1 << 40) - 1), F.col("key")
+    head = key.bitwiseAND(F.lit(~((1 << 40) - 1)))
+    shorter = lambda k: head.bitwiseOR(key.bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
+    levels = [counts]
+    for k in range(order, 1, -1):  # continuation counts: distinct bytes to the left
+        levels.append(store(levels[-1].groupBy(shorter(k).alias("key")).agg(F.count("*").alias("n")), "level"))
+    lower = None
+    for k, level in enumerate(reversed(levels), 1):
+        cuts = discounts([float(x) for x in level.agg(*[F.count(F.when(F.col("n") == c, 1)) for c in (1, 2, 3, 4)]).first()])
+        cut = F.element_at(F.array(*[F.lit(float(c)) for c in cuts]), F.least("n", F.lit(3)).cast("int"))
+        context = Window.partitionBy("context")
+        own = level.withColumn("context", head.bitwiseOR(F.shiftright(key.bitwiseAND(low), 8))).withColumn("cut", cut)
+        own = own.withColumn("total", F.sum("n").over(context)).withColumn("spare", F.sum("cut").over(context))
+        if lower is None:
+            own = own.withColumn("base", F.lit(1 / 256))
+        else:
+            own = own.withColumn("shorter", shorter(k)).join(lower.select(key.alias("shorter"), F.col("p").alias("base")), "shorter")
+        p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("spare") / F.col("total") * F.col("base")
+        lower = store(own.select("key", "n", p.alias("p")), "model")
+        release(counts.sparkSession)
+    return lower.select("key", "n", F.log("p").cast("float").cast("double").alias("log_p"))
+
+
+def text_nats(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
+    """(vote, nats) of docs (text, code, vote) by a model that fit_table made of the same texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            data, offsets = kernels.flat(batch.column(0))
+            keys, first = grams(data, offsets, np.asarray(batch.column(1)), order)
+            text = np.repeat(np.arange(len(batch)), np.diff(first))
+            sort = np.lexsort((keys, text))
+            keys, text = keys[sort], text[sort]
+            at = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))) if len(keys) else np.zeros(0, np.int64)
+            times = np.diff(np.append(at, len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch.column(2))[text[at]]), pa.array(keys[at].view(np.int64)), pa.array(times.astype(np.int64))], names=["vote", "key", "times"])
+
+    found = docs.select("text", "code", "vote").mapInArrow(run, "vote long, key long, times long")
+    return join_hot(found, model, "key", "n", "inner").groupBy("vote").agg((-F.sum(F.col("times") * F.col("log_p"))).alias("nats"))
+
+
 def base_figures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
     texts = len(offsets) - 1
@@ -243,7 +289,7 @@ _FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def measure(docs: DataFrame, model: KneserNey | None, keep: tuple[str, ...]) -> DataFrame:
-    """keep columns of docs (text, code), the base figures, and log_ppl (null: no n-gram)."""
+    """keep columns of docs (text, code), the base figures, n_lettered, and nats (null: no n-gram, or no model)."""
     source = docs.select("text", "code", *[c for c in keep if c != "code"])
     rest = [c for c in source.columns[1:]]
     shared = source.sparkSession.sparkContext.broadcast(model)
@@ -253,22 +299,30 @@ def measure(docs: DataFrame, model: KneserNey | None, keep: tuple[str, ...]) ->
         for batch in slices(batches, "text", 1 << 20):
             data, offsets = kernels.flat(batch.column(0))
             figures = base_figures(data, offsets)
-            keys, first = grams(data, offsets, np.asarray(batch.column(1)), lm.order)
-            n = np.diff(first)
-            sums = kernels.totals(lm.log_p(keys).astype(np.float64), first) if len(keys) else np.zeros(len(n))
-            ppl = -sums / np.maximum(figures["n_lettered"], 1)
-            made = [pa.array(figures[c].astype(np.int64)) for c in _FIGURES] + [pa.array(ppl, mask=(n == 0) | (figures["n_lettered"] == 0))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*rest, *_FIGURES, "log_ppl"])
-
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*rest).schema], *[f"{c} long" for c in _FIGURES], "log_ppl double"])
+            nats = pa.nulls(len(batch), pa.float64())
+            if lm is not None:
+                keys, first = grams(data, offsets, np.asarray(batch.column(1)), lm.order)
+                sums = kernels.totals(lm.log_p(keys).astype(np.float64), first) if len(keys) else np.zeros(len(batch))
+                nats = pa.array(-sums, mask=np.diff(first) == 0)
+            made = [*[pa.array(figures[c].astype(np.int64)) for c in (*_FIGURES, "n_lettered")], nats]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*rest, *_FIGURES, "n_lettered", "nats"])
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*rest).schema], *[f"{c} long" for c in (*_FIGURES, "n_lettered")], "nats double"])
     return source.mapInArrow(run, schema)
 
 
 def judge(docs: DataFrame, order: int = ORDER, table: int = TABLE, low: float = LOW, high: float = HIGH, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns of docs (doc_id, text, lang), base figures, log_ppl, base_failed and kept."""
     coded = docs.withColumn("code", language_code()).withColumn("vote", row_key("code", "text"))
-    model = fit(distinct_texts(coded), order, table)
-    figures = store(measure(coded, model, (*keep, "vote")), "figures")
+    texts = distinct_texts(coded)
+    counts = store(count_grams(texts, order), "grams")
+    small = counts.count() <= table
+    figures = store(measure(coded, fit(counts, order) if small else None, (*keep, "vote")), "figures")
+    if not small:
+        nats = text_nats(texts, fit_table(counts, order), order)
+        nats = store(nats.join(figures.groupBy("vote").agg(F.count("*").alias("copies")), "vote"), "nats")
+        figures = join_hot(figures.drop("nats"), nats, "vote", "copies", "left")
+    figures = figures.withColumn("log_ppl", F.when(F.col("n_lettered") > 0, F.col("nats") / F.col("n_lettered")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     figures = figures.withColumn("base_failed", failed)
     quartile = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
