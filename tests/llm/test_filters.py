@@ -161,6 +161,20 @@ def test_selected_candidates():
     assert all(0.5 <= x < 1 for x in right)
 
 
+def test_texts_without_digit_or_at_are_searched():
+    model = pii.selector()
+    texts = ["john(at)example.org", "jane[at]example.org", "la [at] re [dot] net", "pwd = XqZbTrWkLmPv", "access_key=QwErTyUiOpAsDfGh", "auth: AbCdEfGhIjKlMn", "Passwd = XqZbTrWkLmPv"]
+    texts += ["AKIA" + "QWERTYUIOPASDFGH", "ASIA" + "QWERTYUIOPASDFGH", "ghp_" + "AbCdEfGhIjKlMnOpQr", "sk-" + "AbCdEfGhIjKlMnOpQr", "xoxb-" + "AbCdEfGhIjKlMnOpQr", "abcdef" * 6, "ab:cd:ef:ab:cd:ef:ab:cd"]
+    found = 0
+    for body in texts:
+        text = f"the word is {body} and so on" + " or other" * 20
+        assert pii.candidates(text), body
+        added = pii.find(text, model)[1]
+        assert added == pii.find(text + " 7", model)[1], body
+        found += bool(added)
+    assert pii.find("the word is verla(at)tiones.org and so on", model)[1] and found >= 5
+
+
 def test_digests_and_redaction(spark):
     texts = [None, "", "mail a@b.co or 10.1.2.3", "+1 (225) 555-0123 é +44 20 7946 0958", "plain", "4111111111111111"]
     rows = [(i, t, "s", None if t is None else len(t)) for i, t in enumerate(texts)] + [(1, "", "s", 0)]
