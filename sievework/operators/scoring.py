@@ -138,14 +138,20 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def context_scores(rows: DataFrame, key: str, references: DataFrame, vector: str = "embedding", most: int = 4096) -> DataFrame:
-    """(key, bio_score): highest cosine to any reference vector, 0 at least.
+    """(key, bio_score) of each row: highest cosine to any reference vector, 0 at least.
 
-    References are a stated query set of `most` vectors at most (checked), broadcast;
-    every row then looks at all of them in one expression.
+    Up to `most` distinct reference vectors (counted) are broadcast, and every row looks at all
+    of them in one expression. More are cut into blocks of about that size; rows meet every
+    block in a Cartesian product without a broadcast, and the maximum over blocks stays.
     """
-    refs = references.select(unit(F.col(vector)).alias("r")).distinct().limit(most + 1)
-    packed = refs.agg(F.collect_list("r").alias("refs"))
-    checked = packed.select(F.when(F.size("refs") <= most, F.col("refs")).otherwise(F.raise_error(F.lit(f"more than {most} reference vectors"))).alias("refs"))
-    own = rows.select(key, unit(F.col(vector)).alias("v")).crossJoin(F.broadcast(checked))  # one row
+    refs = references.select(unit(F.col(vector)).alias("r")).distinct()
+    own = rows.select(key, unit(F.col(vector)).alias("v"))
     best = F.array_max(F.transform("refs", lambda r: dot(F.col("v"), r)))
-    return own.select(key, F.greatest(F.coalesce(best, F.lit(0.0)), F.lit(0.0)).alias("bio_score"))
+    score = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)).alias("bio_score")
+    if refs.limit(most + 1).count() <= most:
+        return own.crossJoin(F.broadcast(refs.agg(F.collect_list("r").alias("refs")))).select(key, score(best))  # one row
+    blocks = -(-refs.count() // most)
+    packed = refs.groupBy(F.pmod(F.xxhash64("r"), F.lit(blocks)).alias("block")).agg(F.collect_list("r").alias("refs"))
+    each = own.groupBy(key, "v").agg(F.count("*").cast("int").alias("_copies")).crossJoin(packed.select("refs").hint("shuffle_replicate_nl"))
+    top = each.select(key, "v", "_copies", best.alias("_best")).groupBy(key, "v", "_copies").agg(F.max("_best").alias("_best"))
+    return top.select(key, score(F.col("_best")), F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(key, "bio_score")

@@ -110,7 +110,7 @@ def run(
     if encoder is None:
         found = found.withColumn("bio_score", F.lit(None).cast("double"))
     else:
-        refs = scoring.encode(spark.createDataFrame([(c,) for c in contexts], "t string"), "t", encoder)
+        refs = save(scoring.encode(spark.createDataFrame([(c,) for c in contexts], "t string"), "t", encoder), "references")
         own = save(scoring.encode(found.select("context").distinct(), "context", encoder), "contexts")
         found = found.join(scoring.context_scores(own, "context", refs), "context", "left")
     found = save(found, "scored")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import json
 import math
 
@@ -198,3 +199,16 @@ def test_similar_to_gold(spark):
     gold = spark.createDataFrame([("1", "MKTLLVWCDF")], "pmid string, sequence string")
     got = {(r.pmid, r.sequence): r.similar for r in evaluation.similar_to_gold(rows, gold).collect()}
     assert got == {("1", "MKTLLVWCDE"): True, ("1", "MKTLLVWCDEAAAAA"): False, ("2", "MKTLLVWCDE"): False, ("1", "mktllvwcdf"): True}
+
+
+def test_context_scores_beyond_one_block_of_references(spark):
+    rng = random.Random(3)
+    vectors = [[rng.gauss(0, 1) for _ in range(4)] for _ in range(60)]
+    rows = [*enumerate(vectors), (7, vectors[7]), (7, vectors[8]), (None, vectors[1]), (90, None), (91, [0.0] * 4)]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>")
+    refs = spark.createDataFrame([(v,) for v in [*vectors[20:], vectors[20], None]], "embedding array<double>")
+    wanted = sorted(((r.id, round(r.bio_score, 9)) for r in scoring.context_scores(frame, "id", refs).collect()), key=str)
+    assert len(wanted) == len(rows)
+    for most in (1, 7, 39):
+        got = scoring.context_scores(frame, "id", refs, most=most)
+        assert sorted(((r.id, round(r.bio_score, 9)) for r in got.collect()), key=str) == wanted, most
