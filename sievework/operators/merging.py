@@ -52,10 +52,10 @@ def join_by_prefix(files: DataFrame, keys: DataFrame, name: str, key: str) -> Da
     """Files whose name starts with a key, one row per such key.
 
     A name is cut to each length that keys have and joined on equality, so no pair is
-    compared that doesn't match; the lengths are a handful of numbers.
+    compared that doesn't match; lengths are whole numbers up to that of the longest key.
     """
-    sizes = [r[0] for r in keys.select(F.length(key)).distinct().orderBy(F.length(key)).limit(256).collect()]
+    sizes = [r[0] for r in keys.where(F.col(key).isNotNull()).select(F.length(key)).distinct().orderBy(F.length(key)).collect()]
     if not sizes:
         return files.join(keys, F.lit(False))
-    cuts = F.array(*[F.when(F.length(name) >= n, F.substring(name, 1, n)) for n in sizes])
-    return files.withColumn("_prefix", F.explode(F.array_compact(cuts))).join(keys, F.col("_prefix") == F.col(key)).drop("_prefix")
+    fitting = F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= F.length(name))
+    return files.withColumn("_prefix", F.explode(F.transform(fitting, lambda n: F.substring(name, F.lit(1), n)))).join(keys, F.col("_prefix") == F.col(key)).drop("_prefix")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+from sievework.operators import merging
 from sievework.operators import evaluation
 from sievework.plans import extraction
 from sievework.sources import readers, writers
@@ -60,3 +61,10 @@ def test_papers_to_verified_result(spark, tmp_path):
     back = readers.verified_csv(spark, str(tmp_path / "out"))
     counts = evaluation.confusion(evaluation.gold_pairs(back, "PMID", "Sequence"), evaluation.gold_pairs(gold))
     assert {r.pmid: (r.tp, r.fn) for r in counts.collect()}["123"] == (1, 0)
+
+
+def test_prefixes_of_many_lengths(spark):
+    keys = spark.createDataFrame([("é" * n,) for n in range(1, 301)] + [("b",), (None,)], "key string")
+    files = spark.createDataFrame([("é" * 299 + ".csv",), ("b.csv",), ("é.csv",), ("c",), ("",), (None,)], "name string")
+    got = [(r.name, r.key) for r in merging.join_by_prefix(files, keys, "name", "key").collect()]
+    assert sorted(got) == sorted([("é" * 299 + ".csv", "é" * n) for n in range(1, 300)] + [("b.csv", "b"), ("é.csv", "é")])
