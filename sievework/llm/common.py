@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
+import re
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +24,19 @@ HOT_KEYS = 256
 HOT_ROWS = 1000
 
 
+_LOCAL = re.compile(r"local(\[|$)")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the session names in spark.checkpoint.dir; a folder of our own is
-    used only where the session names none (single-machine tests).
+    It is what the session names in spark.checkpoint.dir. A folder of our own is used
+    only where the session names none and driver and executors are one process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not _LOCAL.match(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = os.path.join(tempfile.gettempdir(), "sievework-checkpoints")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -41,9 +50,29 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is removed at the end; for phases whose result is stored outside."""
+    scopes = _open.__dict__.setdefault("scopes", [])
+    own: list[str] = []
+    scopes.append(own)
+    try:
+        yield
+    finally:
+        scopes.remove(own)
+        for path in own:
+            _remove(spark, path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the driver ends."""
+    """A fresh path in the shared folder, removed when the innermost scratch or else the driver ends."""
     path = f"{shared_folder(spark)}/sievework-{name}-{uuid.uuid4().hex}"
+    if scopes := _open.__dict__.get("scopes"):
+        scopes[-1].append(path)
+        return path
 
     def forget() -> None:
         try:
@@ -58,9 +87,9 @@ def new_path(spark: SparkSession, name: str) -> str:
 class Stored:
     """A DataFrame written to the shared folder; df reads it back, drop removes it."""
 
-    def __init__(self, frame: DataFrame, name: str):
+    def __init__(self, frame: DataFrame, name: str, path: str | None = None):
         self.spark = frame.sparkSession
-        self.path = new_path(self.spark, name)
+        self.path = path or new_path(self.spark, name)
         frame.write.parquet(self.path)
         self.df = self.spark.read.schema(frame.schema).parquet(self.path)
 
@@ -73,6 +102,13 @@ def store(frame: DataFrame, name: str) -> DataFrame:
     return Stored(frame, name).df
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build returns, stored; all that it stored on the way is removed."""
+    path = new_path(spark, name)
+    with scratch(spark):
+        return Stored(build(), name, path).df
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark remove shuffle files that nothing refers to any more.
 
@@ -83,9 +119,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def row_key(*columns: str) -> F.Column:
-    """A 64-bit key of a row's values; equal rows share it."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+def row_key(*columns: str, seed: int | None = None) -> F.Column:
+    """A 64-bit key of a row's values; equal rows share it. Another seed gives an independent key."""
+    return F.xxhash64(*([] if seed is None else [F.lit(seed)]), *[F.col(c) for c in columns])
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that is not among columns yet (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def hot_threshold(sized: DataFrame, count: str) -> int:
@@ -125,8 +169,24 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, starts, ends
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def trim() -> None:
+    """Gives memory that a worker no longer uses back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that a column holds about `most` bytes in each, one row at least."""
+    try:
+        yield from _slices(batches, column, most)
+    finally:
+        trim()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         _, starts, ends = bytes_of(batch.column(batch.schema.get_field_index(column)))
         total, begin = np.cumsum(ends - starts), 0

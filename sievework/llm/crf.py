@@ -6,12 +6,17 @@ all its lines in the fit; forward-backward marginals, weighted by line length, a
 the document's quality, which a logistic curve fitted on the same documents turns into a
 probability. Only text enters the score, never labels, language, source or ids.
 
-The fit takes at most `sample` labelled documents (those of least hash of their id) that
-are not held out; scoring covers every document and every line.
+The fit takes at most `sample` labelled documents that are not held out, in order of a
+hash of their id, as long as they have `lines` lines together at most (an id with more
+than a tenth of that plays no part in the fit). Lines are described on the executors; what
+comes to the driver is their features, 56 bytes a line. Scoring covers every document and
+every line, whatever its length.
 
 Null text is empty: one empty line. Without labels of both kinds the score is the share
-of good labels (a half without any). Repeated rows get the same score; an empty table
-gives no rows.
+of good labels (a half without any). Of two labels of one id the lower counts; each of
+repeated rows counts in the fit. Repeated rows get the same score, and a
+score equal to the threshold is predicted 1. Columns other than those kept play no part,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,14 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import slices
+from .common import slices, store
 
 #: Labelled documents in a fit at most.
 SAMPLE = 4000
+#: Lines of a fit's documents in all at most.
+LINES = 200_000
 #: Gradient steps, step size and weight decay of the fit.
 STEPS, RATE, DECAY = 150, 0.15, 1e-3
 
@@ -63,7 +70,7 @@ def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     lower, upper, high = count(_LOWER), count(_UPPER), count(_HIGH)
     letters = lower + upper + high
     w_starts, w_ends, w_first = kernels.words(data, offsets)
-    hashes = kernels.word_hashes(data, w_starts, w_ends)
+    hashes = kernels.range_hashes(data, w_starts, w_ends)
     again = np.zeros(len(hashes) + 1, np.int64)
     if len(hashes):
         again[2:] = np.cumsum(hashes[1:] == hashes[:-1])
@@ -141,7 +148,9 @@ class Chain:
 
     def quality(self, column: pa.Array) -> np.ndarray:
         """Length-weighted share of good lines of each text."""
-        x, lengths, first = line_features(column)
+        return self.quality_of_lines(*line_features(column))
+
+    def quality_of_lines(self, x: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
         good, _, _ = self.passes(with_neighbours(x, first) @ self.weights, self.turns, first)
         weight = lengths + 1.0
         return kernels.totals(good * weight, first) / kernels.totals(weight, first)
@@ -151,8 +160,11 @@ class Chain:
             return np.zeros(0)
         if self.weights is None:
             return np.full(len(column), self.prior)
+        return self.probability(self.quality(column))
+
+    def probability(self, quality: np.ndarray) -> np.ndarray:
         a, b = self.scale
-        return np.clip(1 / (1 + np.exp(-(a * _logit(self.quality(column)) + b))), 0.0, 1.0)
+        return np.clip(1 / (1 + np.exp(-(a * _logit(quality) + b))), 0.0, 1.0)
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -161,11 +173,15 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def fit_chain(texts: pa.Array, good: np.ndarray, steps: int = STEPS) -> Chain:
-    """Maximum conditional likelihood with Adam; good holds 0 or 1 for each text."""
+    """fit_lines over the lines of texts."""
+    return fit_lines(*line_features(texts), good, steps)
+
+
+def fit_lines(x: np.ndarray, lengths: np.ndarray, first: np.ndarray, good: np.ndarray, steps: int = STEPS) -> Chain:
+    """Maximum conditional likelihood with Adam; good holds 0 or 1 for each text, whose lines begin at first."""
     prior = float(good.mean()) if len(good) else 0.5
     if len(np.unique(good)) < 2:
         return Chain(None, None, (1.0, 0.0), prior)
-    x, lengths, first = line_features(texts)
     full = with_neighbours(x, first)
     n = np.diff(first)
     y = np.repeat(good.astype(float), n)
@@ -188,7 +204,7 @@ def fit_chain(texts: pa.Array, good: np.ndarray, steps: int = STEPS) -> Chain:
         w = w - RATE * (m1 / c1) / (np.sqrt(m2 / c2) + 1e-8)
         turns = np.clip(turns - RATE / 3 * (t1 / c1) / (np.sqrt(t2 / c2) + 1e-8), -1.5, 1.5)
     chain = Chain(w, turns, (1.0, 0.0), prior)
-    q, a, b = _logit(chain.quality(texts)), 1.0, 0.0
+    q, a, b = _logit(chain.quality_of_lines(x, lengths, first)), 1.0, 0.0
     for _ in range(40):  # logistic curve by Newton steps, lightly held back
         p = 1 / (1 + np.exp(-(a * q + b)))
         v = p * (1 - p) + 1e-6
@@ -205,12 +221,29 @@ def held_out() -> F.Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    """The chain of docs (doc_id, text) with labels (doc_id, quality), on at most `sample` rows not held out."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Chain:
+    """The chain of docs (doc_id, text) with labels (doc_id, quality), on a bounded sample of rows not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality").toArrow()
-    return fit_chain(rows.column("text").combine_chunks(), rows.column("quality").to_numpy().astype(np.int64))
+    text = F.coalesce("text", F.lit(""))
+    own = F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).alias("own")
+    counts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(own)  # `sample` rows at most
+    upto = F.sum("own").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    few = store(counts.where(F.col("own") <= lines // 10).withColumn("upto", upto).where(F.col("upto") <= lines), "sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(few.select("doc_id", F.col("quality").cast("int").alias("quality"))), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            x, length, first = line_features(batch.column(1))
+            parts = [[v[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)] for v in (x.astype("<f4"), length.astype("<i8"))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.diff(first)), *[pa.array(v, pa.binary()) for v in parts]], names=["doc_id", "quality", "n", "x", "length"])
+
+    got = rows.select("doc_id", "text", "quality").mapInArrow(run, "doc_id long, quality int, n long, x binary, length binary").toArrow()
+    got = got.sort_by([(c, "ascending") for c in ("doc_id", "n", "x")])  # the fit adds up in this order wherever rows come from
+    first = np.append(0, np.cumsum(got.column("n").to_numpy())).astype(np.int64)
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), "<f4").reshape(-1, OWN).astype(np.float64)
+    length = np.frombuffer(b"".join(got.column("length").to_pylist()), "<i8")
+    return fit_lines(x, length, first, got.column("quality").to_numpy().astype(np.int64))
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -219,7 +252,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.3, keep: tuple[str
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             s = shared.value.score(batch.column(0))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 

@@ -6,6 +6,8 @@ Texts stay UTF-8 bytes end to end. A word is a run of bytes other than \\x20 and
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -18,6 +20,10 @@ LOWER[65:91] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes of a range that are hashed with numpy; what follows goes through blake2b.
+_LONG = 512
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -43,7 +49,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """c with c[j] - c[i], times base^-i, a hash of data[i:j]."""
+    """c with c[j] - c[i], times base^-i, a rolling hash of data[i:j].
+
+    Equal bytes have equal hashes; unequal ones may be made to (sums modulo 2^64), so it
+    chooses places only and never decides that bytes are equal.
+    """
     up, _ = powers(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:-1], out=out[1:])
@@ -72,9 +82,27 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums = prefix_hashes(data)
-    return mix((sums[ends] - sums[starts]) * powers(len(data) + 1)[1][starts] + (ends - starts).astype(np.uint64))
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range: eight at a time, each block mixed into all before it.
+
+    Every step is a bijection of the block for given bytes before it, and no step is
+    linear, so texts that repeat by a rule do not cancel out as they do in sums of powers.
+    """
+    length = ends - starts
+    out = mix(length.astype(np.uint64) + _BASE)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    live, at = np.flatnonzero(length > 0), 0
+    while len(live) and at < _LONG:
+        block = eight[starts[live] + at] & _FIRST[np.minimum(length[live] - at, 8)]
+        out[live] = mix((out[live] ^ block) * _BASE + np.uint64(at + 1))
+        at += 8
+        live = live[length[live] > at]
+    for i in live.tolist():  # few ranges are that long
+        rest = hashlib.blake2b(data[starts[i] + at : ends[i]], digest_size=8, key=int(out[i]).to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(rest, "little")
+    return out
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,8 +119,13 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
 
 
 def totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of values between neighbouring offsets."""
-    sums = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
+    """Sums of values between neighbouring offsets; floats are added up within each, whatever stands around it."""
+    if values.dtype.kind == "f":
+        out, filled = np.zeros(len(offsets) - 1), np.flatnonzero(np.diff(offsets))
+        if len(filled):
+            out[filled] = np.add.reduceat(values, offsets[filled])
+        return out
+    sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[offsets[1:]] - sums[offsets[:-1]]
 

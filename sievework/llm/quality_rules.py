@@ -18,10 +18,15 @@ group of them could make the band its own; every row is then judged.
 Both ends reject: text far too predictable (boilerplate, repeats) and text far too
 surprising (symbols, noise).
 
+Words and lines are compared by 64-bit hashes of their bytes. Figures of a text are
+added up within it, so verdicts hang neither on partitions nor on the order of rows.
+
 Null text is empty; documents without a scorable n-gram, and languages with fewer than
 `least` distinct texts, have no band. Null language is a language of its own. Languages
-share a model if their 24-bit codes collide. Repeated rows are judged alike; an empty
-table gives no rows.
+share a model if their 24-bit codes collide. Texts of any length are read whole, a few
+megabytes of rows at a time and one row at least. Repeated rows and ties are judged
+alike; other columns of docs, whatever their names, play no part; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ from .common import bounded, join_hot, release, row_key, slices, store
 
 ORDER = 5
 #: n-grams in a broadcast table at most (12 bytes each).
-TABLE = 6_000_000
+TABLE = 4_000_000
 #: Band ends in interquartile ranges below and above the quartiles; documents for a band.
 LOW, HIGH, LEAST = 2.0, 2.0, 50
 #: Languages whose bands are broadcast at most.
@@ -103,7 +108,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             return keys[at], np.add.reduceat(n, at)
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             data, offsets = kernels.flat(batch.column(0))
             keys, _ = grams(data, offsets, np.asarray(batch.column(1)), order)
             if len(keys):
@@ -227,7 +232,7 @@ def text_nats(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFram
     """(vote, nats) of docs (text, code, vote) by a model that fit_table made of the same texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             data, offsets = kernels.flat(batch.column(0))
             keys, first = grams(data, offsets, np.asarray(batch.column(1)), order)
             text = np.repeat(np.arange(len(batch)), np.diff(first))
@@ -253,7 +258,6 @@ def base_figures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
     }
     letters = np.append(0, np.cumsum(_LETTER[data]))
     out["n_lettered"] = kernels.totals(letters[ends] > letters[starts], first)
-    sums, back = kernels.prefix_hashes(data), kernels.powers(len(data) + 1)[1]
 
     # lines: cut at \n and at text edges; those with a word, less the distinct ones
     breaks = np.flatnonzero(data == 10)
@@ -262,14 +266,12 @@ def base_figures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
     line_ends = np.sort(np.concatenate([breaks, offsets[1:]]))
     filled = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     a, b, t = line_starts[filled], line_ends[filled], line_text[filled]
-    hashes = kernels.mix((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
-    same = kernels.mix(hashes ^ kernels.mix(t.astype(np.uint64)))
+    same = kernels.mix(kernels.range_hashes(data, a, b) ^ kernels.mix(t.astype(np.uint64)))
     _, at = np.unique(same, return_index=True)
     out["n_dup_lines"] = np.bincount(t, minlength=texts) - np.bincount(t[at], minlength=texts)
 
     # words under an 8-word window that its text has twice or more
-    hashes = kernels.mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-    window, where = kernels.windows(hashes, first, 8)
+    window, where = kernels.windows(kernels.range_hashes(data, starts, ends), first, 8)
     text = np.repeat(np.arange(texts), np.diff(first))
     covered = np.zeros(len(starts) + 1, np.int32)
     if len(window):
@@ -296,13 +298,13 @@ def measure(docs: DataFrame, model: KneserNey | None, keep: tuple[str, ...]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm = shared.value
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             data, offsets = kernels.flat(batch.column(0))
             figures = base_figures(data, offsets)
             nats = pa.nulls(len(batch), pa.float64())
             if lm is not None:
                 keys, first = grams(data, offsets, np.asarray(batch.column(1)), lm.order)
-                sums = kernels.totals(lm.log_p(keys).astype(np.float64), first) if len(keys) else np.zeros(len(batch))
+                sums = kernels.totals(lm.log_p(keys).astype(np.float64), first)
                 nats = pa.array(-sums, mask=np.diff(first) == 0)
             made = [*[pa.array(figures[c].astype(np.int64)) for c in (*_FIGURES, "n_lettered")], nats]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*rest, *_FIGURES, "n_lettered", "nats"])
@@ -311,6 +313,22 @@ def measure(docs: DataFrame, model: KneserNey | None, keep: tuple[str, ...]) ->
     return source.mapInArrow(run, schema)
 
 
+def quartiles(figures: DataFrame) -> DataFrame:
+    """(code, _docs, _q1, _q3): distinct texts of each language, and quartiles of their log_ppl.
+
+    Texts are counted by steps of a thousandth of log_ppl (relative, so a language has
+    some ten thousand steps at most, however many texts); a quartile is the first step that
+    a quarter of the texts have reached. Counts add up alike in any order.
+    """
+    step = F.floor(1000 * F.log1p("log_ppl")).cast("int").alias("step")
+    votes = figures.groupBy("code", "vote").agg(F.min("log_ppl").alias("log_ppl"))
+    counts = votes.groupBy("code", step).agg(F.count("*").alias("n"))
+    language = Window.partitionBy("code")
+    run = counts.withColumn("upto", F.sum("n").over(language.orderBy("step").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_docs", F.sum("n").over(language))
+    reached = lambda part: F.expm1(F.min(F.when(F.col("upto") * 4 >= F.col("_docs") * part, F.col("step"))) / 1000)
+    return run.groupBy("code").agg(F.first("_docs").alias("_docs"), reached(1).alias("_q1"), reached(3).alias("_q3"))
+
+
 def judge(docs: DataFrame, order: int = ORDER, table: int = TABLE, low: float = LOW, high: float = HIGH, least: int = LEAST, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns of docs (doc_id, text, lang), base figures, log_ppl, base_failed and kept."""
     coded = docs.withColumn("code", language_code()).withColumn("vote", row_key("code", "text"))
@@ -325,11 +343,9 @@ def judge(docs: DataFrame, order: int = ORDER, table: int = TABLE, low: float =
     figures = figures.withColumn("log_ppl", F.when(F.col("n_lettered") > 0, F.col("nats") / F.col("n_lettered")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     figures = figures.withColumn("base_failed", failed)
-    quartile = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
-    votes = figures.where("log_ppl is not null and not base_failed").groupBy("code", "vote").agg(F.min("log_ppl").alias("log_ppl"))
-    bands = votes.groupBy("code").agg(quartile.alias("_q"), F.count("*").alias("_docs")).where(F.col("_docs") >= least)
+    bands = quartiles(figures.where("log_ppl is not null and not base_failed")).where(F.col("_docs") >= least)
     # languages are few; a language with a third of all documents stays where its rows are
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    q1, q3 = F.col("_q1"), F.col("_q3")
     width = F.greatest(q3 - q1, F.lit(0.05)) * (1 + F.sqrt(40 / F.greatest(F.col("n_words"), F.lit(1))))
     inside = F.col("log_ppl").between(q1 - low * width, q3 + high * width)
     bands = F.broadcast(bands) if bounded(bands, LANGUAGES) else bands

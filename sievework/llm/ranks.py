@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_within(rows: DataFrame, key: str, order: list[Column], spread: Column, buckets: int, rank: str = "rank") -> DataFrame:
+def rank_within(rows: DataFrame, key: str, order: list[Column], spread: Column, buckets: int | Column, rank: str = "rank") -> DataFrame:
     """rows with a number from 0 within each key, gapless, the same on every run.
 
-    A key's rows are dealt into `buckets` by a hash of `spread`; bucket totals give each
-    bucket's first number and rows are counted on from there, in `order`. So a key with a
-    third of all rows is numbered by `buckets` tasks. The totals, at most keys x buckets
-    rows, are shuffled by key only after they are summed.
+    A key's rows are dealt into `buckets` (a number, or a column that the key decides) by a
+    hash of `spread`, which should differ from row to row: rows equal in it share a bucket.
+    Bucket totals give each bucket's first number and rows are counted on from there, in
+    `order`. So a key with a third of all rows is numbered by `buckets` tasks. The totals,
+    at most keys x buckets rows, are shuffled by key only after they are summed.
     """
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int"))
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(spread), buckets if isinstance(buckets, Column) else F.lit(buckets)).cast("int"))
     totals = dealt.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = totals.select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

@@ -4,24 +4,31 @@ A document is the set of its distinct `width`-word shingles, as 64-bit keys whos
 is the global order: a class of frequency (0: not known to be frequent), then a hash.
 Rare shingles come first. Two sets that are similar enough share a known number of keys
 among the first few of each; a shuffle of those few keys counts what pairs share, or,
-under keys that many sets have, chains sets of similar size. That links documents into
+under keys that many sets have, chains sets of similar size. A key known to be frequent
+(HOT) is never counted: a set whose other keys are too many for it to be similar to
+anything through frequent ones alone does not go there at all, and the rest go under
+the rarest of them only, as many as any similar set must share one of. That links documents into
 coarse groups that are sure to hold every similar pair. Within a coarse group the sets stand in a trie; each set
 walks it once, overlaps are carried along shared paths, and a subtree is left as soon as
 the lengths that remain can't reach the threshold, or all its sets are linked already.
 
-Equal sets are one node (a 64-bit signature), joined back at the end, so copies are
-never paired. A coarse group larger than `block` shingles is split: first its parts are
+Equal sets are one node, joined back at the end, so copies are never paired. A node is a
+63-bit signature of the set; a second one of 64 bits tells whether two different sets
+share it, and then both take part in the signature, so no two sets are taken for one.
+Shingles are compared by 56 bits of hash. A coarse group larger than `block` shingles is split: first its parts are
 joined with a few leaders of the group, then what did not fall to the group's largest
-class is joined with every part. Nothing is dropped, capped or sampled.
+class is joined with every part (the square of what is left, over `block`, in the worst
+case). Nothing is dropped, capped or sampled.
 
 Frequencies only set the order, which changes cost and never results: they come from
 every document, as sums of counts that tasks see twice or more; the table that goes
 to the tasks holds FREQUENT keys at most.
 
 Null, empty and wordless texts have an empty set and link with nothing. A text of fewer
-words than the width is one shingle. Rows without doc_id belong to their class but
-don't name it; a class without any doc_id has a null component_id. Repeated rows are
-kept, one result a row.
+words than the width is one shingle. Very long texts are sets like others, whole. Rows
+without doc_id belong to their class but don't name it; a class without any doc_id has a
+null component_id. Repeated rows are kept, one result a row. Other columns, whatever
+their names, play no part. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,11 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, has_rows, join_hot, release, row_key, slices, store
+from .common import bounded, bytes_of, has_rows, join_hot, release, settled, slices, store, trim
 from .components import connected_components
 
 WIDTH = 5
@@ -49,6 +57,8 @@ KEYS = 2_000_000
 LEADERS = 8
 #: Nodes under a key up to which their pairs are counted; larger keys are chained.
 GROUP = 64
+#: Class of frequency (four times the binary logarithm of the count) from which a key is chained at once.
+HOT = 32
 #: Percent of a set's keys dealt out beyond those of which one must be shared.
 SHARE = 5
 
@@ -61,7 +71,7 @@ def shingle_sets(column: pa.Array, width: int, frequent: kernels.HashArrays | No
     data, offsets = kernels.flat(column)
     data = kernels.LOWER[data]
     starts, ends, first = kernels.words(data, offsets)
-    hashes = kernels.word_hashes(data, starts, ends)
+    hashes = kernels.range_hashes(data, starts, ends)
     shingles, at = kernels.windows(hashes, first, width)
     n = np.diff(first)
     short = np.flatnonzero((n > 0) & (n < width))
@@ -87,13 +97,22 @@ def shingle_sets(column: pa.Array, width: int, frequent: kernels.HashArrays | No
     return keys[new], np.append(0, np.cumsum(new))[first]
 
 
-def signatures(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A 63-bit signature of each set; the hash part of the keys alone decides."""
-    bare = kernels.mix(keys & np.uint64((1 << 56) - 1))
-    sums = np.zeros(len(keys) + 1, np.uint64)
-    np.cumsum(bare, out=sums[1:])
-    n = np.diff(first).astype(np.uint64)
-    return (kernels.mix((sums[first[1:]] - sums[first[:-1]]) ^ kernels.mix(n)) >> np.uint64(1)).astype(np.int64)
+def signatures(keys: np.ndarray, first: np.ndarray, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(node, mark): two independent signatures of each set; the hash part of the keys alone decides.
+
+    shared: nodes that different sets have; a set's mark then decides its node too.
+    """
+    bare, n = keys & np.uint64((1 << 56) - 1), np.diff(first).astype(np.uint64)
+    out = []
+    for salt in (0, 0x5851F42D4C957F2D):
+        sums = np.zeros(len(keys) + 1, np.uint64)
+        np.cumsum(kernels.mix(kernels.mix(bare + np.uint64(salt)) + np.uint64(salt)), out=sums[1:])
+        out.append(kernels.mix((sums[first[1:]] - sums[first[:-1]]) ^ kernels.mix(n + np.uint64(salt))))
+    node = (out[0] >> np.uint64(1)).astype(np.int64)
+    if shared is not None and len(shared):
+        both = np.isin(node, shared)
+        node[both] = (kernels.mix(out[0][both] ^ kernels.mix(out[1][both])) >> np.uint64(1)).astype(np.int64)
+    return node, out[1].view(np.int64)
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
@@ -116,7 +135,7 @@ def frequencies(docs: DataFrame, width: int, most: int = FREQUENT) -> tuple[kern
         def _pairs(keys, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             keys, _ = shingle_sets(batch.column(0), width, None)
             held.append(keys)
             size += len(keys)
@@ -164,6 +183,12 @@ def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return np.maximum(1, overlap - (larger - prefix_length(larger, percent)))
 
 
+def least_needed(size: np.ndarray, percent: int) -> np.ndarray:
+    """`needed` of a set of this size and any similar one, at least (it is least at either end of their sizes)."""
+    ends = [needed(size, other, percent) for other in (-(-percent * size // 100), 100 * size // percent)]
+    return np.maximum(1, np.minimum(*ends) - 1)
+
+
 def chain(keys: np.ndarray, sizes: np.ndarray, reach: np.ndarray) -> np.ndarray:
     """For entries in order of key and size, whether each begins a chain.
 
@@ -178,11 +203,12 @@ def chain(keys: np.ndarray, sizes: np.ndarray, reach: np.ndarray) -> np.ndarray:
     return begins
 
 
-_MIXED = "kind int, doc_id long, text_key long, n long, node long, bucket int, body binary"
+_MIXED = "kind int, doc_id long, text_key long, n long, node long, mark long, text_mark long, bucket int, body binary"
 _NAMES = [c.split(" ")[0] for c in _MIXED.split(", ")]
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+_KINDS = [pa.int32(), *[pa.int64()] * 6, pa.int32(), pa.binary()]
 _MEMBER, _ENTRIES, _EDGE, _CHAINS = range(4)
-_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4")])
+#: hot: keys of the set among those dealt out that are chained at once.
+_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4"), ("hot", "<i4")])
 _CHAIN = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4"), ("reach", "<i4")])
 
 
@@ -213,7 +239,8 @@ def _pairs(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, n
             x, y = entries[block[:, i].ravel()], entries[block[:, j].ravel()]
             p, q = x["size"].astype(np.int64), y["size"].astype(np.int64)
             ok = 100 * np.minimum(p, q) >= percent * np.maximum(p, q)
-            out.append((x["node"][ok], y["node"][ok], needed(p[ok], q[ok], percent)))
+            least = needed(p[ok], q[ok], percent) - np.minimum(x["hot"][ok], y["hot"][ok])
+            out.append((x["node"][ok], y["node"][ok], np.maximum(1, least)))
     return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
 
 
@@ -224,11 +251,13 @@ def _linked(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return on, begins
 
 
-def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, total: int) -> tuple[DataFrame, DataFrame]:
-    """(members, edges): one row (doc_id, text_key, n, node) per document, and coarse edges (a, b).
+def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, total: int, several: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """(members, edges): one row (doc_id, text_key, text_mark, n, node, mark) per document, and coarse edges (a, b).
 
     Two nodes have an edge if they share enough of their first keys in keys of at most
-    GROUP nodes, or follow one another in a chain of a larger key.
+    GROUP nodes, or follow one another in a chain of a larger key. What a pair needs to
+    share in counted keys is less by the hot ones it may share; a pair that may need none
+    shares enough hot ones to meet in a chain.
     """
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + total // 5_000_000)
@@ -247,19 +276,19 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
         return np.repeat(many > GROUP, many)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, turn = [], 0, TaskContext.get().partitionId() * 7919  # members go round the buckets, each task from another one
 
         def bodies(kind: int, table: np.ndarray) -> pa.RecordBatch:
             bucket = (kernels.mix(table["key"].copy()) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             table, bucket = table[order], bucket[order]
             at = _runs(bucket)
-            cut = [table[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket)), strict=True)]
+            cut = [table[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(bucket))[: len(at)], strict=True)]
             return _mixed(len(at), kind=np.full(len(at), kind, np.int32), bucket=bucket[at], body=cut)
 
         def dealt() -> Iterator[pa.RecordBatch]:
             entries = _distinct(np.concatenate(held))
-            large = large_keys(entries)
+            large = large_keys(entries) | (entries["key"] >> np.uint64(56) >= HOT)
             yield bodies(_ENTRIES, entries[~large])
             if large.any():
                 # a chain within the task is linked here and goes on as its smallest set with its widest reach
@@ -271,16 +300,22 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
                 out["reach"] = np.maximum.reduceat(table["reach"], first)
                 yield bodies(_CHAINS, out)
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             keys, first = shingle_sets(batch.column(0), width, shared.value)
             n = np.diff(first)
-            node = signatures(keys, first)
+            node, mark = signatures(keys, first, several)
             rows = len(batch)
-            yield _mixed(rows, kind=np.zeros(rows, np.int32), doc_id=batch.column(1), text_key=batch.column(2), n=n, node=pa.array(node, mask=n == 0), bucket=(np.arange(rows) % parts).astype(np.int32))
-            at = np.arange(len(keys)) - np.repeat(first[:-1], n)
-            use = at < np.repeat(prefix_length(n, percent), n)
+            yield _mixed(rows, kind=np.zeros(rows, np.int32), doc_id=batch.column(1), text_key=batch.column(2), n=n, node=pa.array(node, mask=n == 0), mark=mark, text_mark=batch.column(3), bucket=((turn + np.arange(rows)) % parts).astype(np.int32))
+            turn += rows
+            at, dealt_out = np.arange(len(keys)) - np.repeat(first[:-1], n), prefix_length(n, percent)
+            use = at < np.repeat(dealt_out, n)
+            frequent_ = use & (keys >> np.uint64(56) >= HOT)
+            hot = kernels.totals(frequent_, first)
+            # frequent keys are a set's last: of those only the first few that any similar set must share one of
+            few = np.where(hot >= (least := least_needed(n, percent)), dealt_out - least + 1, 0)
+            use &= ~frequent_ | (at < np.repeat(few, n))
             made = np.zeros(int(use.sum()), _ENTRY)
-            made["key"], made["node"], made["size"] = keys[use], np.repeat(node, n)[use], np.repeat(n, n)[use]
+            made["key"], made["node"], made["size"], made["hot"] = keys[use], np.repeat(node, n)[use], np.repeat(n, n)[use], np.repeat(hot, n)[use]
             held.append(made)
             size += len(made)
             if size >= WINDOW // 2:
@@ -297,7 +332,7 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
             if rest.any():
                 yield batch.filter(pa.array(rest))
             for k, dtype in ((_ENTRIES, _ENTRY), (_CHAINS, _CHAIN)):
-                held[k] += [np.frombuffer(b, dtype) for b in batch.filter(pa.array(kind == k)).column(6).to_pylist()]
+                held[k] += [np.frombuffer(b, dtype) for b in batch.filter(pa.array(kind == k)).column(8).to_pylist()]
         entries, chains = _distinct(np.concatenate(held[_ENTRIES])), np.concatenate(held[_CHAINS])
         large = large_keys(entries) | np.isin(entries["key"], chains["key"])
         yield _edges(*_pairs(entries[~large], percent))
@@ -306,11 +341,11 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
         on, _ = _linked(table)
         yield _edges(table["node"][on - 1], table["node"][on], np.zeros(len(on), np.int64))
 
-    mixed = docs.select("text", "doc_id", "text_key").mapInArrow(deal, _MIXED).repartition(parts, "bucket").mapInArrow(meet, _MIXED).drop("bucket", "body")
+    mixed = docs.select("text", "doc_id", "text_key", "text_mark").mapInArrow(deal, _MIXED).repartition(parts, "bucket").mapInArrow(meet, _MIXED).drop("bucket", "body")
     done = store(mixed, "sketch")
     release(spark)
     edges = done.where(f"kind = {_EDGE}").groupBy(F.col("n").alias("a"), F.col("node").alias("b")).agg(F.sum("doc_id").alias("times"), F.min("text_key").alias("need"))
-    return done.where(f"kind = {_MEMBER}").select("doc_id", "text_key", "n", "node"), edges.where("times >= need").select("a", "b")
+    return done.where(f"kind = {_MEMBER}").select("doc_id", "text_key", "text_mark", "n", "node", "mark"), edges.where("times >= need").select("a", "b")
 
 
 def _distinct(entries: np.ndarray) -> np.ndarray:
@@ -423,12 +458,7 @@ def classes(sets: list[np.ndarray], percent: int, known: list[int] | None = None
         seen: dict[int, int] = {}
         for i, k in enumerate(known):
             link(i, seen.setdefault(k, i))
-    if len(sets) == 2:
-        a, b = sets
-        overlap = len(np.intersect1d(a, b, assume_unique=True))
-        if (100 + percent) * overlap >= percent * (len(a) + len(b)):
-            link(0, 1)
-    elif len(sets) > 2:
+    if len(sets) > 1:
         trie = Trie(sets)
         for i in range(len(sets)):
             trie.join(i, percent, find, link)
@@ -456,23 +486,25 @@ def _join_blocks(rows: DataFrame, percent: int) -> DataFrame:
             return made
 
         for batch in batches:
-            for block, node, known, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            raw, starts, ends = bytes_of(batch.column(3))
+            for i, (block, node, known) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:3]], strict=True)):
                 if block != now:
                     if held:
                         close()
                     now, held = block, {}
                 if node not in held:
-                    held[node] = (known, np.frombuffer(body, "<u8"))
+                    held[node] = (known, np.frombuffer(raw[starts[i] : ends[i]].tobytes(), "<u8"))
             yield rows_()
         if held:
             close()
         yield rows_()
+        trim()
 
     dealt = rows.select("block", "node", "known", "body").repartition("block").sortWithinPartitions("block")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, block: int = BLOCK) -> DataFrame:
+def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, several: np.ndarray, block: int = BLOCK) -> DataFrame:
     """(node, label) of nodes in coarse groups, label one node of the class."""
     spark = docs.sparkSession
     coarse = store(connected_components(edges).withColumnRenamed("component", "comp"), "coarse")
@@ -486,9 +518,9 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text"):
             keys_, first = shingle_sets(batch.column(0), width, shared.value)
-            nodes, out, bodies = signatures(keys_, first).tolist(), [], []
+            nodes, out, bodies = signatures(keys_, first, several)[0].tolist(), [], []
             for i, node in enumerate(nodes):
                 if node not in seen and first[i + 1] > first[i]:
                     if len(seen) < 500_000:
@@ -536,23 +568,44 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
     return found.unionByName(labels)
 
 
+def text_keys(text: str) -> list[Column]:
+    """Two independent 64-bit keys of a text, null as empty: text_key and text_mark."""
+    body = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(body).alias("text_key"), F.xxhash64(F.lit(1), body).alias("text_mark")]
+
+
 def classes_of_rows(docs: DataFrame, width: int = WIDTH, percent: int = 75, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text_key, n, label, copies, component_id) of each row of docs (doc_id, text).
+    """(doc_id, text_key, text_mark, n, label, copies, component_id) of each row of docs (doc_id, text).
+
+    text_key and text_mark are text_keys of the text.
 
     label names the row's class, whether or not a row of it has a doc_id; it and copies
     are null for rows that are alone.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", row_key("text"))
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *text_keys("text"))
     frequent, total = frequencies(docs, width)
-    members, edges = sketch(docs, width, percent, frequent, total)
-    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    labels = similar_nodes(docs, members, edges, width, percent, frequent, block).dropDuplicates(["node"])
-    nodes = store(nodes.join(labels, "node", "left").where("copies > 1 or label is not null").withColumn("label", F.coalesce("label", "node")), "nodes")
-    named = nodes.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
-    named = store(join_hot(nodes.select("node", "label", "copies"), named, "label", "size", "inner").select("node", "label", "component_id", "copies"), "named")
-    linked = join_hot(members.where("node is not null"), named, "node", "copies", "left").select("doc_id", "text_key", "n", "label", "copies", "component_id")
+    several = np.zeros(0, np.int64)
+    while True:
+        members, edges = sketch(docs, width, percent, frequent, total, several)
+        nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("mark").alias("low"), F.max("mark").alias("high"))
+        nodes = store(nodes, "nodes")
+        # sets share a signature about once in 2^63 pairs: none up to billions of documents, some tens beyond
+        more = nodes.where("low <> high").select("node").limit(KEYS).toArrow().column("node").to_numpy()
+        if not len(more):
+            break
+        several = np.union1d(several, more)
+
+    def named() -> DataFrame:
+        labels = similar_nodes(docs, members, edges, width, percent, frequent, several, block).dropDuplicates(["node"])
+        own = nodes.drop("low", "high").join(labels, "node", "left").where("copies > 1 or label is not null")
+        own = store(own.withColumn("label", F.coalesce("label", "node")), "nodes")
+        classes_ = own.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
+        return join_hot(own.select("node", "label", "copies"), classes_, "label", "size", "inner").select("node", "label", "component_id", "copies")
+
+    linked = join_hot(members.where("node is not null"), settled(spark, "named", named), "node", "copies", "left").select("doc_id", "text_key", "text_mark", "n", "label", "copies", "component_id")
     none = F.lit(None).cast("long")
-    alone = members.where("node is null").select("doc_id", "text_key", "n", none.alias("label"), none.alias("copies"), none.alias("component_id"))
+    alone = members.where("node is null").select("doc_id", "text_key", "text_mark", "n", none.alias("label"), none.alias("copies"), none.alias("component_id"))
     return linked.unionByName(alone)
 
 

@@ -42,12 +42,35 @@ def test_repeats(spark, length, gram):
     assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, length)
 
 
-@pytest.mark.parametrize("crowd", [0, 3])
-def test_repeats_with_split_anchors(spark, crowd, monkeypatch):
-    rows, split = passages(), suffix_dedup.split_crowds
-    monkeypatch.setattr(suffix_dedup, "split_crowds", lambda found, length, _: split(found, length, crowd, 5))
-    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"), 40, 20).collect()
-    assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, 40)
+@pytest.mark.parametrize("crowd", [0, 2, 5])
+def test_repeats_with_split_anchors(spark, crowd):
+    rows = passages()
+    docs = spark.createDataFrame(rows, "key long, text string").fillna("")
+    gone = {}
+    for r in suffix_dedup.removed_ranges(docs, 40, 20, crowd, 5).collect():
+        pairs = np.frombuffer(r.spans, "<u4").reshape(-1, 2)
+        gone[r.key] = (int((pairs[:, 1] - pairs[:, 0]).sum()), len(pairs))
+    assert gone == {i: w[1:3] for i, w in brute.repeats(rows, 40).items() if w[1]}
+
+
+def thue_morse(a: str, b: str, steps: int = 10) -> str:
+    bits = [0]
+    for _ in range(steps):
+        bits += [1 - x for x in bits]
+    return "".join((a, b)[x] for x in bits)
+
+
+def test_texts_that_cancel_out_in_sums_of_powers_are_told_apart(spark):
+    one, two = thue_morse("a", "b"), thue_morse("b", "a")
+    frame = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in setjoin.near_duplicates(frame).collect()} == {1: 1, 2: 2, 3: 1}
+    rows = [(1, one), (2, two), (3, one + two)]
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"), 600, 300).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, 600)
+    words = " ".join(thue_morse("a", "b")), " ".join(thue_morse("b", "a"))
+    rows = [(k, w) for k, w in enumerate([*words, words[0] + " " + words[1]])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_duplicates(rows)
 
 
 def test_many_contexts_of_one_anchor():
@@ -97,15 +120,42 @@ def copies():
 
 
 @pytest.mark.parametrize("block", [setjoin.BLOCK, 500])
-@pytest.mark.parametrize("group", [setjoin.GROUP, 3])
-def test_near_duplicates(spark, block, group, monkeypatch):
+@pytest.mark.parametrize(("group", "hot"), [(setjoin.GROUP, setjoin.HOT), (3, setjoin.HOT), (3, 8), (setjoin.GROUP, 8)])
+def test_near_duplicates(spark, block, group, hot, monkeypatch):
     monkeypatch.setattr(setjoin, "GROUP", group)
+    monkeypatch.setattr(setjoin, "HOT", hot)
     rows = copies()
     frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component_id int")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.near_duplicates(frame, block=block).collect()}
     assert got == brute.near_duplicates(rows)
 
 
+def test_what_similar_sets_share_at_least():
+    for percent in (50, 75, 90):
+        for n in range(1, 300):
+            other = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+            least = setjoin.least_needed(np.array([n]), percent)[0]
+            assert least <= setjoin.needed(np.full(len(other), n), other, percent).min(), (percent, n)
+
+
+def test_sets_that_share_a_signature_are_told_apart(spark, monkeypatch):
+    plain = setjoin.signatures
+
+    def poor(keys, first, shared=None):
+        node, mark = plain(keys, first)
+        node = node % 7
+        if shared is not None and len(shared):
+            both = np.isin(node, shared)
+            node[both] = (mark[both] >> 1) & ((1 << 62) - 1)
+        return node, mark
+
+    rows = copies()[:60]
+    wanted = brute.near_duplicates(rows)
+    monkeypatch.setattr(setjoin, "signatures", poor)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
+
+
 def test_near_duplicates_without_ids_or_rows(spark):
     text = "a b c d e f g"
     frame = spark.createDataFrame([(None, text), (7, text), (7, text), (None, "other words are here now"), (None, None)], "doc_id long, text string")

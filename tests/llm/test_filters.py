@@ -42,7 +42,7 @@ def test_model_is_a_distribution():
     assert model.log_p(keys).mean() > model.log_p(np.array([(3 << 40) | 0x78797A], np.uint64))[0]
 
 
-def test_noise_is_rejected_and_a_smaller_table_lowers_the_order(spark):
+def test_noise_is_rejected_with_and_without_a_table(spark):
     rng = random.Random(4)
     words = ["".join(rng.choice(["an", "the", "ing", "er", "ou", "st"]) for _ in range(rng.randint(1, 3))) for _ in range(300)]
     clean = lambda: " ".join(rng.choice(words) for _ in range(120))
@@ -67,6 +67,34 @@ def test_the_model_is_the_same_beyond_its_table(spark):
         assert a.log_ppl is None or a.log_ppl == pytest.approx(b.log_ppl, rel=1e-6)
 
 
+def test_verdicts_are_the_same_on_any_number_of_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(600)
+    got = [sorted((r.doc_id, r.kept, r.log_ppl) for r in quality_rules.judge(docs.repartition(n)).collect()) for n in (1, 60)]
+    assert got[0] == got[1]
+
+
+def test_lines_that_cancel_out_in_sums_of_powers_are_told_apart(spark):
+    bits = [0]
+    for _ in range(10):
+        bits += [1 - x for x in bits]
+    one, two = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    rows = [(1, f"{one}\n{two}\n{one}", "en"), (2, f"{one}\n{two}", "en"), (3, " ".join([one, two] * 9), "en")]
+    for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute.base_figures(rows[r.doc_id - 1][1])
+
+
+def test_quartiles_are_those_of_distinct_texts(spark):
+    rng = np.random.default_rng(3)
+    values = rng.gamma(4, 3, 400)
+    rows = [(int(i % 3), i, float(v)) for i, v in enumerate(values)] + [(0, 0, float(values[0]))] * 500
+    got = {r.code: r for r in quality_rules.quartiles(spark.createDataFrame(rows, "code long, vote long, log_ppl double")).collect()}
+    for code in range(3):
+        own = np.sort(values[code::3])
+        assert got[code]._docs == len(own)
+        for q, part in ((got[code]._q1, 0.25), (got[code]._q3, 0.75)):
+            assert q == pytest.approx(own[int(np.ceil(part * len(own))) - 1], rel=2e-3)
+
+
 def test_copies_have_one_vote(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice(["an", "the", "ing", "er", "ou", "st"]) for _ in range(rng.randint(1, 3))) for _ in range(300)]
@@ -123,6 +151,13 @@ def test_chain_on_odd_texts_and_labels(spark):
     score = chain.score(pa.array([*ODD, "a\n" * 3000]))
     assert ((score >= 0) & (score <= 1)).all() and score[0] == score[1]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(None, "a", "x")], "doc_id long, text string, score string")
+    rows = [(i, "good words here. " * 3 if i % 2 else "** ## %% $$\n" * (60 if i == 2 else 3), i % 2) for i in range(40)]
+    frame = spark.createDataFrame([r[:2] for r in rows] * 2, "doc_id long, text string")
+    known = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    for most in (crf.LINES, 300, 20):  # fewer lines leave documents out, never all of a kind here
+        model = crf.fit(frame, known, lines=most)
+        if model.weights is not None:
+            assert {r.doc_id % 2 == r.predicted for r in crf.score(frame, model, 0.5).collect()} == {True}
     for labels, wanted in (([], 0.5), ([(1, 1), (2, 1), (3, None), (None, 1)], 1.0)):
         model = crf.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
         assert {r.score for r in crf.score(docs, model).collect()} == {wanted}
@@ -175,6 +210,36 @@ def test_texts_without_digit_or_at_are_searched():
     assert pii.find("the word is verla(at)tiones.org and so on", model)[1] and found >= 5
 
 
+def test_zones_find_what_whole_texts_hold():
+    rng = random.Random(3)
+    some = ["1", "23", "456", "7890", "12345678901234", ".", "-", " ", "(", ")", "+", "a", "DE", "ABCD", "F", ":", "x" * 60, "\n", "é", "4111 1111 1111 1111", "001 ", "a1:b2:c3:d4:", "token=", "TOKEN: ", "AKIA", "ghp_", "f" * 32, "QWERTYUI", " at ", "x.y"]
+    for _ in range(5000):
+        text = "".join(rng.choice(some) for _ in range(rng.randint(0, 40)))
+        assert [(g, m.span()) for g, m in pii.proposals(text)] == [(g, m.span()) for g, m in pii.proposals(text, whole=True)], text
+
+
+@needs_tables
+def test_planted_data_is_found_and_prose_is_left_alone(spark):
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(400).collect()]
+    model, rng = pii.selector(), random.Random(12)
+    clean = [t for t in prose if not brute.personal(t) and not any(m for g, m in pii.proposals(t) if g != 0)]
+    assert len(clean) > 100
+    touched = sum(bool(pii.find(t, model)[1]) for t in clean)
+    assert touched <= 0.02 * len(clean)
+    found = wanted = false = 0
+    for text, kind, start, end, personal in pii.examples(seed=99, each=120):
+        body = text[start:end]
+        at = rng.choice([i for i, c in enumerate(clean[0]) if c == " "])
+        whole = clean[0][: at + 1] + body + clean[0][at:]
+        base, more = pii.find(whole, model)
+        hit = any(s < at + 1 + len(body) and at + 1 < e for _, s, e in base + more)
+        added = any(s < at + 1 + len(body) and at + 1 < e for _, s, e in more)
+        wanted += personal
+        found += personal and hit
+        false += not personal and added
+    assert found >= 0.9 * wanted and false <= 0.1 * wanted
+
+
 def test_digests_and_redaction(spark):
     texts = [None, "", "mail a@b.co or 10.1.2.3", "+1 (225) 555-0123 é +44 20 7946 0958", "plain", "4111111111111111"]
     rows = [(i, t, "s", None if t is None else len(t)) for i, t in enumerate(texts)] + [(1, "", "s", 0)]
