@@ -9,16 +9,18 @@ multikey quicksort on 8-byte characters down to a shallow depth, then blind (Pat
 tries for the groups whose common prefix goes on. Common prefixes of neighbours in the
 two arrays say at which distances before the anchor a string of `length` bytes recurs.
 
-Work per anchor is on distinct contexts: equal ones are one, with a count, before the
-shuffle. Where a third of all documents share a passage, each task sends it once. An
-anchor with very many contexts is split: strings that start STEP or fewer bytes apart
-before their anchors have all bytes between in common, so contexts meet in parts by the
-hash of those bytes, each part with its own suffix arrays.
-
-Texts are judged whole, as UTF-8, on the input; matches never cross documents. Null is
-empty. Rows equal in doc_id and text share a key: both are searched and both lose what
-repeats. Rows of one doc_id with different texts are told apart. An empty table gives
-no rows.
+Work per anchor is on distinct contexts: equal ones (compared byte by byte) are one, with
+a count, before the shuffle. Where a third of all documents share a passage, each task
+sends it once. An anchor with very many contexts is split: strings that start STEP or
+fewer bytes apart before their anchors have all bytes between in common, so contexts meet
+in parts by the digest of those bytes, each part with its own suffix arrays. A part that
+is still too large (very many surroundings of one passage) is taken string by string:
+128-bit digests of its strings are counted by Spark, whatever their number.
+
+Texts are judged whole, as UTF-8, on the input, however long; matches never cross
+documents. Null is empty. Rows equal in doc_id and text share a key: both are searched
+and both lose what repeats. Rows of one doc_id with different texts are told apart. Other
+columns stay as they are, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import bounded, has_rows, row_key, slices, store
+from .common import bounded, has_rows, join_hot, row_key, settled, slices, store, unused
 
 LENGTH = 400
 GRAM = 200
@@ -42,8 +44,8 @@ SHALLOW = 32
 FILTER_BITS = 1 << 28
 #: Rows of removed ranges that are broadcast at most.
 RANGES = 400_000
-#: Contexts (as sent by tasks) from which an anchor is split, and distances in a part.
-CROWD, STEP = 20_000, 25
+#: Contexts (as sent by tasks) from which an anchor, and then a part of it, is split, and distances in a part.
+CROWD, STEP = 1_000, 25
 
 
 # ---------------------------------------------------------------- sorting
@@ -186,7 +188,7 @@ def repeated_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
             h, n = _sorted_counts(np.concatenate(held))
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             held.append(anchors(*kernels.flat(batch.column(0)), length, gram)[1])
             size += len(held[-1])
             if size > 1_000_000:
@@ -208,7 +210,7 @@ def repeated_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
     return out
 
 
-_CONTEXT = "h long, ctx long, n long, left int, low int, body binary, places binary"
+_CONTEXT = "h long, ctx binary, n long, left int, low int, body binary, places binary"
 _PLACE = np.dtype([("doc", "<i8"), ("at", "<i4")])
 
 
@@ -223,41 +225,37 @@ def contexts(docs: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         mask = np.uint64(len(table) * 64 - 1)
-        held: dict[int, list] = {}
+        held: dict[tuple[bytes, int], list] = {}  # by bytes and the anchor's place in them
         size = 0
 
         def rows() -> pa.RecordBatch:
-            v = list(held.values())
-            places = [np.array(x[5], _PLACE).tobytes() for x in v]
+            v = list(held.items())
+            places = [np.array(x[2], _PLACE).tobytes() for _, x in v]
             return pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in v], pa.int64()), pa.array(list(held), pa.int64()), pa.array([len(x[5]) for x in v], pa.int64()), pa.array([x[2] for x in v], pa.int32()), pa.array([x[3] for x in v], pa.int32()), pa.array([x[4] for x in v], pa.binary()), pa.array(places, pa.binary())],
+                [pa.array([x[0] for _, x in v], pa.int64()), pa.array([_digest(*k) for k, _ in v], pa.binary()), pa.array([len(x[2]) for _, x in v], pa.int64()), pa.array([k[1] for k, _ in v], pa.int32()), pa.array([x[1] for _, x in v], pa.int32()), pa.array([k[0] for k, _ in v], pa.binary()), pa.array(places, pa.binary())],
                 names=["h", "ctx", "n", "left", "low", "body", "places"],
             )
 
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             data, offsets = kernels.flat(batch.column(0))
             text, h, at, low, high = anchors(data, offsets, length, gram)
             spot = h & mask
             hit = np.flatnonzero(table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1))
             if not len(hit):
                 continue
-            text, h, at, low, high = text[hit], h[hit], at[hit], low[hit], high[hit]
-            sums = kernels.prefix_hashes(data)
-            whole = (sums[high + length] - sums[low]) * kernels.powers(len(data) + 1)[1][low]
-            ctx = kernels.mix(kernels.mix(whole ^ (high - low).astype(np.uint64)) + h + (at - low).astype(np.uint64)).view(np.int64)
+            text, h, at, low, high = text[hit], h[hit].view(np.int64), at[hit], low[hit], high[hit]
             doc = np.asarray(batch.column(1))[text]
-            where = (at - offsets[text]).astype(np.int64)
             raw = data.tobytes()
-            for i, (c, d, w) in enumerate(zip(ctx.tolist(), doc.tolist(), where.tolist(), strict=True)):
-                own = held.get(c)
+            for h_, d, w, a, b, c in zip(h.tolist(), doc.tolist(), (at - offsets[text]).tolist(), low.tolist(), (high + length).tolist(), at.tolist(), strict=True):
+                key = raw[a:b], c - a
+                own = held.get(key)
                 if own is None:
-                    body = raw[low[i] : high[i] + length]
-                    held[c] = [int(h[i].astype(np.int64)), c, int(at[i] - low[i]), int(at[i] - high[i]), body, [(d, w)]]
-                    size += len(body) + 200
+                    held[key] = [h_, c - b + length, [(d, w)]]
+                    size += b - a + 200
                 else:
-                    own[5].append((d, w))
+                    own[2].append((d, w))
                     size += 100
-            if size > 24 << 20:
+            if size > 8 << 20:
                 yield rows()
                 held, size = {}, 0
         if held:
@@ -266,6 +264,11 @@ def contexts(docs: DataFrame, bits: np.ndarray, length: int, gram: int) -> DataF
     return docs.select("text", "key").mapInArrow(run, _CONTEXT)
 
 
+def _digest(body: bytes, left: int) -> bytes:
+    """128 bits of a context: its bytes and the anchor's place in them."""
+    return hashlib.blake2b(body, digest_size=16, salt=left.to_bytes(8, "little")).digest()
+
+
 # ---------------------------------------------------------------- what recurs
 
 
@@ -346,7 +349,7 @@ def verdicts(found: DataFrame, length: int) -> DataFrame:
                     blobs.append(np.array(ranges, "<u2").tobytes())
 
         def rows() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(blobs, pa.binary())], names=["ctx", "ranges"])
+            made = pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(blobs, pa.binary())], names=["ctx", "ranges"])
             out.clear()
             blobs.clear()
             return made
@@ -357,30 +360,34 @@ def verdicts(found: DataFrame, length: int) -> DataFrame:
                     if group:
                         close()
                     now, group = h, {}
-                if ctx in group:
-                    group[ctx][0] += n
-                else:
-                    group[ctx] = [n, left, low, body]
+                own = group.setdefault(ctx, [0, left, low, body])
+                if own[3] != body:
+                    raise ArithmeticError("two different contexts share a digest")
+                own[0] += n
             yield rows()
         if group:
             close()
         yield rows()
 
-    dealt = found.select("h", "ctx", "n", "left", "low", "body").repartition("h").sortWithinPartitions("h", "ctx")
-    return dealt.mapInArrow(run, "ctx long, ranges binary")
+    dealt = found.select(*_PART).repartition("h").sortWithinPartitions("h", "ctx")
+    return dealt.mapInArrow(run, "ctx binary, ranges binary")
 
 
-def split_crowds(found: DataFrame, length: int, crowd: int = CROWD, step: int = STEP) -> DataFrame:
-    """found with the anchors of more than `crowd` rows in parts: contexts cut to a few distances each.
+_PART = ["h", "ctx", "n", "left", "low", "body"]
+_PARTS = "h long, ctx binary, n long, left int, low int, body binary"
 
-    A part's key is the anchor, its distances, and the hash of the bytes that a string
-    at any of them holds; equal strings are in the same part.
-    """
+
+def crowded(found: DataFrame, crowd: int) -> DataFrame | None:
+    """The anchors (h) of more than `crowd` rows of found; None if there are none."""
     crowds = store(found.groupBy("h").agg(F.count("*").alias("rows")).where(F.col("rows") > crowd).select("h"), "crowds")
     if not has_rows(crowds):
-        return found
+        return None
     # rows are shared among crowds, so there are few; beyond the bound the join shuffles
-    small = F.broadcast(crowds) if bounded(crowds, 1_000_000) else crowds
+    return F.broadcast(crowds) if bounded(crowds, 1_000_000) else crowds
+
+
+def in_parts(found: DataFrame, length: int, step: int = STEP) -> DataFrame:
+    """Contexts cut to `step` distances each; the key of a part is the anchor, its distances, and the digest of the bytes that a string at any of them holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -391,18 +398,50 @@ def split_crowds(found: DataFrame, length: int, crowd: int = CROWD, step: int =
                     core = body[left - begin : left + length - (begin + step - 1)]
                     key = int.from_bytes(hashlib.blake2b(core, digest_size=8, key=(h & (1 << 64) - 1).to_bytes(8, "big"), salt=begin.to_bytes(4, "big")).digest(), "big", signed=True)
                     out.append((key, ctx, n, b, a, body[left - b : left + length - a]))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["h", "ctx", "n", "left", "low", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=_PART)
+
+    return found.select(*_PART).mapInArrow(run, _PARTS)
 
-    names = ["h", "ctx", "n", "left", "low", "body"]
-    parts = found.select(*names).join(small, "h", "left_semi").select(*names).mapInArrow(run, "h long, ctx long, n long, left int, low int, body binary")
-    return found.select(*names).join(small, "h", "left_anti").select(*names).unionByName(parts)
 
+def by_string(found: DataFrame, length: int) -> DataFrame:
+    """(ctx, ranges) of contexts, each of whose strings is compared with all others by its 128-bit digest."""
 
-def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for _, ctx, n, left, low, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                out += [(ctx, n, o, hashlib.blake2b(body[left - o : left - o + length], digest_size=16).digest()) for o in range(low, left + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.int32(), pa.binary()))], names=["ctx", "n", "o", "string"])
+
+    each = store(found.select(*_PART).mapInArrow(run, "ctx binary, n long, o int, string binary"), "strings")
+    twice = store(each.groupBy("string").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).where("n > 1").select("string", "rows"), "twice")
+    hits = join_hot(each.select("ctx", "o", "string"), twice, "string", "rows", "inner").select("ctx", "o").distinct()
+    # a pair of equal little-endian 16-bit ends for each distance
+    end = F.concat(F.unhex(F.substring(F.lpad(F.hex("o"), 4, "0"), 3, 2)), F.unhex(F.substring(F.lpad(F.hex("o"), 4, "0"), 1, 2)))
+    return hits.select("ctx", F.concat(end, end).alias("ranges"))
+
+
+def all_verdicts(found: DataFrame, length: int, crowd: int = CROWD, step: int = STEP) -> DataFrame:
+    """(ctx, ranges), several rows a context where its anchor is split."""
+    crowds = crowded(found, crowd)
+    if crowds is None:
+        return verdicts(found, length)
+    parts = store(in_parts(found.join(crowds, "h", "left_semi"), length, step), "parts")
+    out = verdicts(found.join(crowds, "h", "left_anti"), length)
+    large = crowded(parts, crowd)
+    if large is None:
+        return out.unionByName(verdicts(parts, length))
+    return out.unionByName(verdicts(parts.join(large, "h", "left_anti"), length)).unionByName(by_string(parts.join(large, "h", "left_semi"), length))
+
+
+def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, step: int = STEP) -> DataFrame:
     """(key, spans): for rows of docs (key, text) that lose bytes, maximal runs as pairs of 32-bit ends."""
-    bits = repeated_anchors(docs, length, gram)
-    found = store(contexts(docs, bits, length, gram), "contexts")
-    hits = found.select("ctx", "places").join(verdicts(split_crowds(found, length, crowd), length), "ctx")
+    return settled(docs.sparkSession, "ranges", lambda: _removed(docs, length, gram, crowd, step))
+
+
+def _removed(docs: DataFrame, length: int, gram: int, crowd: int, step: int) -> DataFrame:
+    found = store(contexts(docs, repeated_anchors(docs, length, gram), length, gram), "contexts")
+    hits = found.select("ctx", "places").join(all_verdicts(found, length, crowd, step), "ctx")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -433,30 +472,38 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     wide = hits.select("places", "ranges").mapInArrow(expand, "key long, begin long, end long")
     # a document's ranges are as many as its anchors at most
     lists = wide.distinct().groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("pairs"))
-    return store(lists.mapInArrow(merge, "key long, spans binary"), "ranges")
-
-
-#: Columns of our own beside those of the documents.
-_KEY, _SPANS = "__repeat_key", "__repeat_spans"
+    return lists.mapInArrow(merge, "key long, spans binary")
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """docs with a last column of spans (null: nothing goes)."""
-    keyed = docs.withColumn(_KEY, row_key("doc_id", "text"))
-    ranges = removed_ranges(keyed.select(F.col(_KEY).alias("key"), F.coalesce("text", F.lit("")).alias("text")), length, gram)
-    ranges = ranges.select(F.col("key").alias(_KEY), F.col("spans").alias(_SPANS))
-    return keyed.join(F.broadcast(ranges) if bounded(ranges, RANGES) else ranges, _KEY, "left").select(*docs.columns, _SPANS)
+    key = unused("_key", docs.columns)
+    spans = unused("_spans", docs.columns)
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    ranges = removed_ranges(keyed.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text")), length, gram)
+    ranges = ranges.select(F.col("key").alias(key), F.col("spans").alias(spans))
+    return keyed.join(F.broadcast(ranges) if bounded(ranges, RANGES) else ranges, key, "left").select(*[keyed[c] for c in docs.columns], spans)
 
 
-def _kept(raw: memoryview, spans: bytes | None) -> tuple[bytes, int]:
-    """(what stays, number of removed runs)."""
+def _kept(raw: memoryview, spans: bytes | None, words: int = 0) -> tuple[bytes, int]:
+    """(what stays, number of removed runs); runs with fewer whole words than `words` stay."""
     if not spans:
         return bytes(raw), 0
-    pairs = np.frombuffer(spans, "<u4").reshape(-1, 2)
-    cuts = [0, *pairs.ravel().tolist(), len(raw)]
+    pairs = np.frombuffer(spans, "<u4").reshape(-1, 2).tolist()
+    if words:
+        pairs = [(a, b) for a, b in pairs if _whole_words(raw, a, b) >= words]
+    cuts = [0, *[x for pair in pairs for x in pair], len(raw)]
     return b"".join([raw[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)]), len(pairs)
 
 
+def _whole_words(raw: memoryview, begin: int, end: int) -> int:
+    """Words that lie in raw[begin:end] from their first to their last byte."""
+    inner = bytes(raw[begin:end])
+    cut = begin > 0 and not kernels.SPACE[raw[begin - 1]] and not kernels.SPACE[inner[0]]
+    torn = end < len(raw) and not kernels.SPACE[raw[end]] and not kernels.SPACE[inner[-1]]
+    return max(0, len(inner.split()) - cut - torn)
+
+
 def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row of docs (doc_id, text)."""
 
@@ -475,9 +522,11 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return spanned.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int = 0) -> DataFrame:
     """docs with what repeats cut from text; bytes of characters cut in two go as well.
 
+    With `words`, a run of repeated bytes goes only if it holds so many whole words: a
+    passage of so many words is found whatever its length in bytes, from `length` on.
     Null texts stay null; other columns stay as they are, but n_chars, where there is
     one, follows the text.
     """
@@ -486,11 +535,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = []
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
-                texts.append(text if not spans else _kept(memoryview(text.encode()), spans)[0].decode("utf-8", "ignore"))
-            made = [*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 : -1]]
-            yield pa.RecordBatch.from_arrays(made, names=columns)
+            data, offsets = kernels.flat(batch.column(at))
+            view, spans = memoryview(data), batch.column(len(columns))
+            texts = batch.column(at)
+            if spans.null_count < len(spans):
+                own = [_kept(view[offsets[i] : offsets[i + 1]], x, words)[0].decode("utf-8", "ignore") for i, x in enumerate(spans.to_pylist())]
+                texts = pa.array(own, pa.string(), mask=np.asarray(texts.is_null()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], texts, *batch.columns[at + 1 : -1]], names=columns)
 
     out = with_spans(docs, length, gram).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out

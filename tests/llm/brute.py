@@ -77,6 +77,25 @@ def repeats(rows: list[tuple[int, str | None]], length: int) -> dict[int, tuple]
     return out
 
 
+def without_passages(rows: list[tuple[int, str]], length: int, words: int) -> dict[int, str]:
+    """Texts without runs of repeated bytes that hold so many whole words."""
+    data = [(i, t.encode()) for i, t in rows]
+    times = Counter(b[p : p + length] for _, b in data for p in range(len(b) - length + 1))
+    out = {}
+    for i, b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if times[b[p : p + length]] > 1:
+                gone[p : p + length] = b"\x01" * length
+        kept, at = b"", 0
+        for m in re.finditer(b"\x01+", bytes(gone)):
+            whole = sum(m.start() <= w.start() and w.end() <= m.end() for w in re.finditer(rb"[^\x20\x09-\x0d]+", b))
+            if whole >= words:
+                kept, at = kept + b[at : m.start()], m.end()
+        out[i] = (kept + b[at:]).decode("utf-8", "ignore")
+    return out
+
+
 def near_vectors(rows: list[tuple], least: float = 0.93) -> dict[int, tuple[int, int]]:
     def good(e):
         return e is not None and None not in e and np.isfinite(np.array(e, float)).all() and np.array(e, float).any()
