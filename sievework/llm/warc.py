@@ -2,31 +2,47 @@
 
 An archive is written from a table of chunk rows: a payload up to chunk_bytes is one
 record; a longer one is a first segment and continuation records, each a row keyed by
-record id and segment number. Chunks are views into the Arrow buffer, and digests are
-carried from chunk to chunk, so no payload is ever assembled. Spark's own writer makes
-the files (one gzip stream a task) through its commit protocol, so lost executors leave
-no half archive behind, and any file system that Spark knows will do.
-
-Payloads are UTF-8 texts; null is the empty payload. Records of equal payload (of
-min_bytes at least) are one response, the one with the smallest page_id, and revisits
-to it; repeated rows with that page_id are responses too. Rows without page_id revisit
-like others, and are responses where no equal payload has an id.
+record id and segment number. A payload comes as a value of the pages table, so it is in
+memory as part of an Arrow batch; beyond that, chunks are views into that buffer, digests
+are carried from chunk to chunk, and chunk rows go on as they are made, a few megabytes
+at a time. No record is longer than a chunk, and reading holds one line at a time.
+
+Every record is a gzip member of its own, as readers of archives expect. Spark's text
+writer makes the files through its commit protocol, so lost executors leave no half
+archive behind, and any file system that Spark knows will do: a row is a member without
+its last byte, which is zero (the high byte of the length of a record below 16 MB), and
+zero is the line separator. The files are then renamed to .warc.gz.
+
+Payloads are UTF-8 texts of any length; null is the empty payload. Records of equal
+payload (of min_bytes at least) are one response, the one with the smallest page_id, and
+revisits to it; repeated rows with that page_id are responses too. Rows without page_id
+revisit like others, and are responses where no equal payload has an id. Record ids are
+unique: rows that share a page_id, or lack it, are numbered. An empty table makes an
+archive without records. Columns of the pages but page_id, url and the payload play no
+part, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, join_hot, new_path
+from .common import bounded, bytes_of, has_rows, join_hot, new_path, store, trim
+from .ranks import rank_within
 
 #: Payload bytes in a record at most; longer payloads are segmented.
 CHUNK = 1 << 20
+#: Bytes of made records that a task holds before it hands them on.
+HELD = 4 << 20
+#: Groups of equal payloads, and repeated page_ids, that are broadcast at most (some 50 bytes each).
+GROUPS = 400_000
 _CRLF = b"\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _TYPES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, segments int"
@@ -36,10 +52,6 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def _id(page_id: int | None) -> bytes:
-    return b"urn:page:" + (b"none" if page_id is None else b"%d" % page_id)
-
-
 def chunks(data: memoryview, most: int) -> Iterator[memoryview]:
     """Views of at most `most` bytes that don't cut a UTF-8 character; one empty view for no data."""
     begin, n = 0, len(data)
@@ -53,73 +65,120 @@ def chunks(data: memoryview, most: int) -> Iterator[memoryview]:
             return
 
 
+def _id(page: str, nth: int = 0) -> bytes:
+    return b"urn:page:" + page.encode() + (b":copy:%d" % nth if nth else b"")
+
+
 def plan_revisits(pages: DataFrame, payload: str = "html", min_bytes: int = 0) -> DataFrame:
-    """pages with _first (page_id of the response of an equal payload) and _copies; null where alone."""
+    """pages with _first (page_id of the response of an equal payload; null where alone).
+
+    Payloads stay where they are while their groups are few; only digests move.
+    """
     body = F.coalesce(F.col(payload), F.lit(""))
-    keyed = pages.withColumn("_hash", F.concat(F.sha2(body.cast("binary"), 256), F.when(F.octet_length(body) < min_bytes, F.lit("-")).otherwise(F.lit(""))))
-    groups = (
-        keyed.where(F.octet_length(body) >= min_bytes)
-        .groupBy("_hash")
-        .agg(F.min("page_id").alias("_first"), F.count("*").alias("_copies"))
-        .where("_copies > 1")
-    )
-    return join_hot(keyed, groups, "_hash", "_copies", "left").drop("_hash")
+    keyed = pages.withColumn("_hash", F.when(F.octet_length(body) >= min_bytes, F.unhex(F.sha2(body.cast("binary"), 256))))
+    groups = keyed.where("_hash is not null").groupBy("_hash").agg(F.min("page_id").alias("_first"), F.count("*").alias("_copies"))
+    groups = store(groups.where("_copies > 1"), "groups")
+    if bounded(groups, GROUPS):
+        out = keyed.join(F.broadcast(groups), "_hash", "left")
+    else:
+        out = join_hot(keyed, groups, "_hash", "_copies", "left")
+    return out.drop("_hash", "_copies")
+
+
+def number_copies(pages: DataFrame, payload: str = "html") -> DataFrame:
+    """pages with _id (page_id as text) and _nth, which tells apart the rows of one page_id or without one."""
+    pages = pages.withColumn("_id", F.coalesce(F.col("page_id").cast("string"), F.lit("none")))
+    repeated = store(pages.groupBy("_id").agg(F.count("*").alias("_rows")).where("_rows > 1 or _id = 'none'").select("_id"), "repeated")
+    if not has_rows(repeated):
+        return pages.withColumn("_nth", F.lit(0).cast("long"))
+    few = F.broadcast(repeated) if bounded(repeated, GROUPS) else repeated
+    again = store(pages.join(few, "_id", "left_semi").withColumn("_row", F.monotonically_increasing_id()), "copies")
+    ranked = rank_within(again, "_id", [F.col("_row")], F.col("_row"), max(8, again.count() // 20_000), "_nth").drop("_row")
+    return pages.join(few, "_id", "left_anti").withColumn("_nth", F.lit(0).cast("long")).unionByName(ranked)
+
+
+def _source(pages: DataFrame, payload: str) -> DataFrame:
+    return pages.select("page_id", "url", "_first", "_id", "_nth", F.coalesce(F.col(payload), F.lit("")).alias("_body"))
 
 
 def records(pages: DataFrame, payload: str = "html", chunk_bytes: int = CHUNK) -> DataFrame:
-    """The archive as rows (record_id, segment, value); value is a whole WARC record but its last CRLF."""
-    source = pages.select("page_id", "url", "_first", F.coalesce(F.col(payload), F.lit("")).alias("_body"))
+    """The archive as rows (record_id, segment, value); value is a record with its closing line breaks."""
+    return _source(pages, payload).mapInArrow(_recorder(chunk_bytes), "record_id string, segment int, value binary")
+
+
+def _recorder(chunk_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes batches of chunk rows of batches of pages."""
 
     def head(kind: bytes, rid: bytes, *fields: bytes) -> bytes:
         return _CRLF.join([b"WARC/1.1", b"WARC-Type: " + kind, b"WARC-Record-ID: <" + rid + b">", b"WARC-Date: 1970-01-01T00:00:00Z", *fields])
 
+    def made(page: int | None, url: str | None, first: int | None, rid: bytes, data: memoryview) -> Iterator[bytes]:
+        sha = hashlib.sha1()
+        for part in chunks(data, chunk_bytes):
+            sha.update(part)
+        shared = [b"WARC-Payload-Digest: sha1:" + _base32(sha.digest()).encode(), b"X-Payload-Length: %d" % len(data)]
+        if url is not None:
+            shared.append(b"WARC-Target-URI: " + "".join(c if c > " " else f"%{ord(c):02X}" for c in url).encode())
+        if first is not None and first != page:
+            yield head(b"revisit", rid, b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: <" + _id(str(first)) + b">", *shared, b"Content-Length: 0") + _CRLF * 4
+            return
+        cut = len(data) > chunk_bytes
+        for n, part in enumerate(chunks(data, chunk_bytes), 1):
+            block = _HTTP if n == 1 else b""
+            size = b"Content-Length: %d" % (len(block) + len(part))
+            if n == 1:
+                top = head(b"response", rid, *shared, *([b"WARC-Segment-Number: 1"] if cut else []), b"Content-Type: application/http; msgtype=response", size)
+            else:
+                top = head(b"continuation", rid + b":segment:%d" % n, b"WARC-Segment-Origin-ID: <" + rid + b">", b"WARC-Segment-Number: %d" % n, size)
+            yield b"".join([top, _CRLF * 2, block, part, _CRLF * 2])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, segments, values, held = [], [], [], 0
         for batch in batches:
-            raw, starts, ends = bytes_of(batch.column(3))
+            raw, starts, ends = bytes_of(batch.column(5))
             view = memoryview(raw)
-            ids, segments, values, held = [], [], [], 0
-            for i, (page, url, first) in enumerate(zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)):
-                data, rid = view[starts[i] : ends[i]], _id(page)
-                sha = hashlib.sha1()
-                for part in chunks(data, chunk_bytes):
-                    sha.update(part)
-                digest = _base32(sha.digest()).encode()
-                shared = [b"WARC-Payload-Digest: sha1:" + digest, b"X-Payload-Length: %d" % len(data)]
-                if url is not None:
-                    shared.append(b"WARC-Target-URI: " + "".join(c if c > " " else f"%{ord(c):02X}" for c in url).encode())
-                if first is not None and first != page:
-                    kept = head(b"revisit", rid, b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: <" + _id(first) + b">", *shared, b"Content-Length: 0")
-                    made = [kept + _CRLF * 2 + _CRLF]
-                else:
-                    made, cut = [], len(data) > chunk_bytes
-                    for n, part in enumerate(chunks(data, chunk_bytes), 1):
-                        block = _HTTP if n == 1 else b""
-                        size = b"Content-Length: %d" % (len(block) + len(part))
-                        if n == 1:
-                            top = head(b"response", rid, *shared, *([b"WARC-Segment-Number: 1"] if cut else []), b"Content-Type: application/http; msgtype=response", size)
-                        else:
-                            top = head(b"continuation", rid + b":%d" % n, b"WARC-Segment-Origin-ID: <" + rid + b">", b"WARC-Segment-Number: %d" % n, size)
-                        made.append(b"".join([top, _CRLF * 2, block, part, _CRLF]))
-                for n, value in enumerate(made, 1):
+            for i, (page, url, first, name, nth) in enumerate(zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True)):
+                rid = _id(name, nth)
+                for n, value in enumerate(made(page, url, first, rid, view[starts[i] : ends[i]]), 1):
                     ids.append(rid.decode())
                     segments.append(n)
                     values.append(value)
                     held += len(value)
-                if held > 8 << 20:
-                    yield _rows(ids, segments, values)
-                    ids, segments, values, held = [], [], [], 0
-            yield _rows(ids, segments, values)
+                    if held > HELD:
+                        yield _rows(ids, segments, values)
+                        ids, segments, values, held = [], [], [], 0
+        yield _rows(ids, segments, values)
+        trim()
 
     def _rows(ids: list, segments: list, values: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(segments, pa.int32()), pa.array(values, pa.binary()).cast(pa.string())], names=["record_id", "segment", "value"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(segments, pa.int32()), pa.array(values, pa.binary())], names=["record_id", "segment", "value"])
+
+    return run
+
 
-    return source.mapInArrow(run, "record_id string, segment int, value string")
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record's gzip member without its last byte, as text that Spark writes as it is."""
+    for batch in batches:
+        members = [gzip.compress(v, 6, mtime=0) for v in batch.column(2).to_pylist()]
+        if any(m[-1] for m in members):
+            raise ValueError("a record must be shorter than 16 MB")
+        offsets = np.append(0, np.cumsum([len(m) - 1 for m in members])).astype(np.int32)
+        data = b"".join([m[:-1] for m in members])
+        yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(len(members), pa.py_buffer(offsets), pa.py_buffer(data))], names=["value"])
 
 
 def write(pages: DataFrame, path: str, payload: str = "html", chunk_bytes: int = CHUNK, min_bytes: int = 0) -> None:
-    """Writes pages (page_id, url, payload) as gzipped WARC files under path."""
-    rows = records(plan_revisits(pages.select("page_id", "url", payload), payload, min_bytes), payload, chunk_bytes)
-    rows.select("value").write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    """Writes pages (page_id, url, payload) as WARC files, a gzip member a record, under path."""
+    spark = pages.sparkSession
+    planned = number_copies(plan_revisits(pages.select("page_id", "url", payload), payload, min_bytes), payload)
+    make = _recorder(chunk_bytes)
+    _source(planned, payload).mapInArrow(lambda batches: _members(make(batches)), "value string").write.option("lineSep", "\0").text(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store_ = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in store_.listStatus(folder):  # names of files only
+        old = status.getPath()
+        if old.getName().endswith(".txt"):
+            store_.rename(old, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, old.getName()[:-4] + ".warc.gz"))
 
 
 class _Reader:
@@ -176,7 +235,8 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """Records under path, one row per page; with payloads, those of responses too.
 
     A gzip file is read by one task from its start, so lines come in order; a line holds
-    one chunk at most. Digests of responses are computed anew and compared.
+    one chunk at most. Digests of responses are computed anew and compared. With payloads
+    a whole payload is put together as a value of a row; without, nothing longer than a line.
     """
     names = [c.split(" ")[0] for c in _TYPES.split(", ")] + (["payload"] if payloads else [])
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string()]
@@ -196,6 +256,7 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
             yield rows()
         reader.flush()
         yield rows()
+        trim()
 
     lines = spark.read.option("lineSep", "\r\n").text(path)
     return lines.select("value").mapInArrow(run, _TYPES + (", payload string" if payloads else ""))

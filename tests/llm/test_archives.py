@@ -2,6 +2,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import subprocess
+import sys
+import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +45,48 @@ def test_payloads_come_back(spark):
         assert r.segments == max(1, -(-r.payload_bytes // 5)) or r.segments > 1
 
 
+def test_every_record_is_a_member_with_an_id_of_its_own(spark):
+    path = common.new_path(spark, "members")
+    warc.write(pages(spark).repartition(3), path, chunk_bytes=1000)
+    ids, bodies = [], []
+    for r in spark.read.format("binaryFile").load(path).collect():
+        assert r.path.endswith(".warc.gz")
+        rest = bytes(r.content)
+        while rest:
+            member = zlib.decompressobj(wbits=31)
+            record = member.decompress(rest) + member.flush()
+            rest = member.unused_data
+            head, _, block = record.partition(b"\r\n\r\n")
+            fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+            assert record.startswith(b"WARC/1.1") and len(block) == int(fields[b"Content-Length"]) + 4 and block.endswith(b"\r\n\r\n")
+            ids.append(fields[b"WARC-Record-ID"])
+            bodies += [fields[b"WARC-Refers-To"]] if b"WARC-Refers-To" in fields else []
+    assert len(set(ids)) == len(ids) > len(PAGES) and set(bodies) <= set(ids)
+
+
+def test_long_payloads_go_on_chunk_by_chunk():
+    """150 MB in one value: chunk rows are handed on as they are made."""
+    code = """
+import resource, sys
+import pyarrow as pa
+from sievework.llm import warc
+body = pa.array(["x" * 150_000_000], pa.string())
+one = lambda v, t: pa.array([v], t)
+batch = pa.RecordBatch.from_arrays([one(1, pa.int64()), one("u", pa.string()), one(None, pa.int64()), one("1", pa.string()), one(0, pa.int64()), body], names=list("abcdef"))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = size = 0
+for made in warc._recorder(warc.CHUNK)(iter([batch])):
+    assert made.nbytes < 2 * warc.HELD
+    rows += len(made)
+for made in warc._members(warc._recorder(warc.CHUNK)(iter([batch]))):
+    size += made.nbytes
+assert rows == 144 and size < 2_000_000
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(out.stdout) < 60_000  # kilobytes beyond the payload itself
+
+
 def test_no_pages(spark):
     assert warc.round_trip(pages(spark, [])).collect() == []
 
@@ -73,6 +119,24 @@ def test_a_group_larger_than_shards_is_split(spark):
     assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
 
 
+@pytest.mark.parametrize("linked", [0.9, 1.0])
+def test_groups_stay_whole_where_nearly_all_rows_have_copies(spark, linked):
+    rows = [(i, f"pair {i // 2}") for i in range(int(4000 * linked / 2))]
+    rows += [(10_000 + i, f"five {i // 5}") for i in range(4000 - len(rows) if linked == 1.0 else int(4000 * linked / 2))]
+    rows += [(20_000 + i, f"alone {i}") for i in range(4000 - len(rows))]
+    frame = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    check_shards(frame, rows)
+    cut = sharding.cut_pairs(frame, "link").first()
+    assert cut.pairs > 4000 and cut.cut <= 0.03 * cut.pairs
+
+
+def test_rows_without_id_and_a_hot_group_are_spread_over_buckets(spark):
+    rows = [(None, "same")] * 3000 + [(7, "same")] * 500 + [(i, f"t{i}") for i in range(1500)]
+    got = check_shards(sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+    hot = [r.shard for r in got if r.size == 5 and r.doc_id in (None, 7)]
+    assert len(set(hot)) <= 12  # 3500 rows fill eleven shards and a part
+
+
 def test_few_or_no_rows(spark):
     for rows in ([], [(1, "a")], [(1, "a"), (2, "a")]):
         check_shards(sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")), rows)
