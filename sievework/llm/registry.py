@@ -60,7 +60,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("link")
 
 
 @_query

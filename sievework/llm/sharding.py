@@ -1,16 +1,20 @@
 """Balanced label propagation: linked documents move to their neighbours' shards under quotas.
 
-Links are given as groups: rows with equal link values are neighbours of one another.
-Every linked row begins in the shard of its hash. In each round Spark counts neighbours
-by link and shard, joins the counts back, and every row asks for the shard with most of
-its neighbours among those with room. A shard admits no more than its quota's room: where
-more ask, a threshold on a hash decides, by link for ordinary links, so that neighbours
-move together, and by row for links too large for the room. Only shard-by-shard sums come
+Links are given as groups: rows with equal link values are neighbours of one another. A
+group is one cell, or, where it is too large for a shard to take or leave at once, several
+of at most a 64th of a quota; a cell's rows move together. Cells begin together, by the
+hash of their link. In each round Spark adds up neighbours by link and shard and joins
+the sums back; a cell asks for the shard with most of its neighbours among those with
+room, and cells that lots draw from a shard over its quota must ask for another. A shard
+admits no more than its room: where more ask, lots decide. Rounds end when no cell asks
+(or after ROUNDS, which only leaves more to the last step). Only shard-by-shard sums come
 to the driver. Last, rows over a quota and all rows without links fill what room is left,
 by gapless numbers, so counts end at most one apart (law "rows") whatever the links.
 
-Null text has no bytes. Repeated rows are neighbours like any equal texts, and each gets
-its own place. An empty table gives no rows.
+Null text has no bytes; texts of any length count by digest. Repeated rows are neighbours
+like any equal texts, and each gets its own place; rows without doc_id are rows like
+others. Columns other than doc_id and text play no part, whatever their names. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,61 +22,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, store
+from .common import join_hot, settled, store
 from .ranks import rank_within
 
 SHARDS = 16
-ROUNDS = 5
-_FINE = 1 << 20
+ROUNDS = 12
+#: Cells that a shard's quota holds at least.
+FINE = 64
+#: Rows that one task numbers.
+BUCKET = 2000
+_LOTS = 1 << 20
 
 
-def _chance(*of: Column) -> Column:
-    return F.pmod(F.xxhash64(*of), F.lit(_FINE))
+def _lot(*of: Column) -> Column:
+    return F.pmod(F.xxhash64(*of), F.lit(_LOTS))
 
 
-def propagate(rows: DataFrame, link: str, shards: int, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """rows (every link value shared by two rows or more) with a column shard."""
-    cells = rows.withColumn("_salt", F.xxhash64(F.struct(*rows.columns))).withColumn("shard", F.pmod(F.col("_salt"), F.lit(shards)).cast("int"))
-    # Rows of a link in the same shard are alike, so a round works on (link, part) cells;
-    # a large link has several parts, each moves as one.
-    now = store(cells, "labels")
+def _pick(values: list, at: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), at + 1)
+
+
+def cells_of(groups: DataFrame, link: str, shards: int, cell: int) -> DataFrame:
+    """(link, part, size, shard) of groups (link, copies): parts of `cell` rows, a quota's worth of them in a shard."""
+    each = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / cell).cast("int") - 1)))
+    size = F.least(F.lit(cell).cast("long"), F.col("copies") - F.col("part") * cell)
+    begin = F.pmod(F.pmod(F.xxhash64(link), F.lit(shards)) + F.floor(F.col("part") / FINE), F.lit(shards)).cast("int")
+    return each.select(link, "part", size.alias("size"), begin.alias("shard"))
+
+
+def propagate(cells: DataFrame, link: str, shards: int, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
+    """cells with the shards they have moved to."""
+    now = store(cells, "cells")
     for turn in range(rounds):
-        load = {r[0]: r[1] for r in now.groupBy("shard").count().collect()}  # one row per shard
-        room = [max(0, quota[s] - load.get(s, 0)) for s in range(shards)]
-        tallies = now.groupBy(link).agg(F.array(*[F.sum((F.col("shard") == s).cast("long")) for s in range(shards)]).alias("_near"), F.count("*").alias("_size"))
-        open_ = F.array(*[F.lit(r > 0) for r in room])
-        # of shards with most neighbours the link's own hash prefers one, so all its rows ask for the same
-        turnabout = lambda s: F.pmod(F.xxhash64(F.col(link)) + s, F.lit(shards))
-        choice = F.array_max(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(shards - 1)),
-                lambda s: F.when(F.element_at(open_, s + 1) | (s == F.col("shard")), F.struct(F.element_at("_near", s + 1).alias("n"), turnabout(s).alias("t"), s.alias("s"))),
-            )
-        )
-        # counts are of the round's beginning: one link value a row, joined back whatever its size
-        asked = join_hot(now, tallies, link, "_size", "inner").withColumn("_want", choice["s"])
-        asked = asked.withColumn("_moves", (F.col("_want") != F.col("shard")) & (choice["n"] >= F.element_at("_near", F.col("shard") + 1)))
-        asked = store(asked.drop("_near"), "asked")
-        wanted = {r[0]: r[1] for r in asked.where("_moves").groupBy("_want").count().collect()}
+        load = {r[0]: r[1] for r in now.groupBy("shard").agg(F.sum("size")).collect()}  # one row per shard
+        room = [quota[s] - load.get(s, 0) for s in range(shards)]
+        over = [int(_LOTS * max(0, -room[s]) / max(1, load.get(s, 0))) for s in range(shards)]
+        near = F.array(*[F.sum(F.when(F.col("shard") == s, F.col("size")).otherwise(0)) for s in range(shards)])
+        # only groups larger than a cell have several, and no more than shards x FINE groups are that large
+        several = now.groupBy(link).agg(near.alias("near"), F.count("*").alias("cells")).where("cells > 1").drop("cells")
+        asked = now.join(F.broadcast(several), link, "left").withColumn("drawn", _lot(F.col(link), F.col("part"), F.lit(turn)) < _pick(over, F.col("shard")))
+        here = F.coalesce(F.element_at("near", F.col("shard") + 1), F.col("size"))
+        there = lambda s: F.coalesce(F.element_at("near", s + 1), F.when(s == F.col("shard"), F.col("size")).otherwise(0))
+        # of shards with equally many neighbours a cell's own hash prefers one
+        prefers = lambda s: F.xxhash64(F.col(link), F.col("part"), F.lit(turn), s)
+        may = lambda s: (_pick([r > 0 for r in room], s) & (s != F.col("shard"))) | ((s == F.col("shard")) & ~F.col("drawn"))
+        choice = F.array_max(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.when(may(s), F.struct(there(s).alias("n"), prefers(s).alias("t"), s.alias("s")))))
+        asked = asked.withColumn("choice", choice).withColumn("moves", (F.col("choice.s") != F.col("shard")) & (F.col("drawn") | (F.col("choice.n") > here)))
+        asked = store(asked.select(link, "part", "size", "shard", F.when(F.col("moves"), F.col("choice.s")).alias("want")), "asked")
+        wanted = {r[0]: r[1] for r in asked.where("want is not null").groupBy("want").agg(F.sum("size")).collect()}
         if not wanted:
-            now = asked.drop("_want", "_moves", "_size")
             break
-        share = F.array(*[F.lit(int(_FINE * min(1.0, room[s] / wanted[s])) if wanted.get(s) else 0) for s in range(shards)])
-        least = F.array(*[F.lit(max(1, room[s] // 64)) for s in range(shards)])
-        large = F.col("_size") > F.element_at(least, F.col("_want") + 1)
-        lot = F.when(large, _chance(F.col("_salt"), F.lit(turn))).otherwise(_chance(F.col(link), F.lit(turn)))
-        moved = F.when(F.col("_moves") & (lot < F.element_at(share, F.col("_want") + 1)), F.col("_want")).otherwise(F.col("shard"))
-        now = store(asked.withColumn("shard", moved).drop("_want", "_moves", "_size"), "labels")
-    return now.drop("_salt")
+        share = [int(_LOTS * min(1.0, max(0, room[s]) / wanted[s])) if wanted.get(s) else 0 for s in range(shards)]
+        admitted = _lot(F.col("part"), F.col(link), F.lit(-turn - 1)) < _pick(share, F.col("want"))
+        now = store(asked.withColumn("shard", F.when(admitted, F.col("want")).otherwise(F.col("shard"))).drop("want"), "cells")
+    return now
 
 
-def fill(linked: DataFrame, single: DataFrame, shards: int, quota: list[int], order: list[str]) -> DataFrame:
+def fill(linked: DataFrame, single: DataFrame, link: str, shards: int, quota: list[int]) -> DataFrame:
     """All rows with shard and slot: linked rows stay within quotas, the others fill the room."""
-    whole = linked.unionByName(single.withColumn("shard", F.lit(shards)))
-    sizes = {r[0]: r[1] for r in whole.groupBy("shard").count().collect()}
-    total = sum(sizes.values())
-    buckets = max(8, total // 20_000)
-    ranked = rank_within(whole, "shard", [F.col(c) for c in order], F.struct(*order), buckets, "_rank")
+    whole = linked.unionByName(single.withColumn("part", F.lit(None).cast("int")).withColumn("shard", F.lit(shards)))
+    whole = store(whole, "placed")
+    sizes = {r[0]: r[1] for r in whole.groupBy("shard").count().collect()}  # one row per shard
+    # numbers go cell by cell, so what is over a quota is whole cells but for one
+    spread = F.when(F.col("part").isNull(), F.xxhash64("_row")).otherwise(F.xxhash64(link, "part"))
+    buckets = _pick([max(1, sizes.get(s, 0) // BUCKET) for s in range(shards + 1)], F.col("shard"))
+    ranked = rank_within(whole, "shard", [F.col(link), F.col("part"), F.col("_row")], spread, buckets, "_rank")
     kept = [min(sizes.get(s, 0), quota[s]) for s in range(shards)]
     # rows over quota, then rows without links, are numbered through: the pool
     pool, begins = 0, []
@@ -91,24 +105,46 @@ def fill(linked: DataFrame, single: DataFrame, shards: int, quota: list[int], or
         slot.append(F.when(inside, at - edge + kept[s]))
         edge += room
     stays = F.col("_rank") < F.element_at(keep, F.col("shard") + 1)
-    return ranked.select(*[c for c in whole.columns if c != "shard"], F.when(stays, F.col("shard")).otherwise(F.coalesce(*to)).cast("int").alias("shard"), F.when(stays, F.col("_rank")).otherwise(F.coalesce(*slot)).alias("slot"))
+    rest = [c for c in whole.columns if c not in ("shard", "part", "_row")]
+    return ranked.select(*rest, F.when(stays, F.col("shard")).otherwise(F.coalesce(*to)).cast("int").alias("shard"), F.when(stays, F.col("_rank")).otherwise(F.coalesce(*slot)).alias("slot"))
 
 
-def shard_rows(rows: DataFrame, link: str, order: list[str], shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_rows(rows: DataFrame, link: str, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """rows with shard and slot, counts at most one apart, rows of equal link together where quotas allow."""
-    rows = store(rows, "nodes")
+    return settled(rows.sparkSession, "sharded", lambda: _sharded(rows, link, shards, rounds))
+
+
+def _sharded(rows: DataFrame, link: str, shards: int, rounds: int) -> DataFrame:
+    rows = store(rows.withColumn("_row", F.monotonically_increasing_id()), "nodes")
     total = rows.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]
-    groups = rows.groupBy(link).agg(F.count("*").alias("_copies")).where("_copies > 1")
-    marked = store(join_hot(rows, groups, link, "_copies", "left"), "marked")
-    linked = marked.where("_copies is not null").drop("_copies")
-    single = marked.where("_copies is null").drop("_copies")
-    return fill(propagate(linked, link, shards, quota, rounds), single, shards, quota, order)
+    cell = max(1, quota[0] // FINE)
+    groups = store(rows.groupBy(link).agg(F.count("*").alias("copies")).where("copies > 1"), "groups")
+    cells = propagate(cells_of(groups, link, shards, cell), link, shards, quota, rounds)
+    # groups larger than a cell: shards x FINE at most, and twice as many cells
+    large = F.broadcast(groups.where(F.col("copies") > cell).select(link))
+    ranked = rank_within(rows.join(large, link, "left_semi"), link, [F.col("_row")], F.col("_row"), F.lit(max(8, total // (BUCKET * shards))), "_rank")
+    parted = ranked.withColumn("part", F.floor(F.col("_rank") / cell).cast("int")).drop("_rank")
+    own = cells.join(large, link, "left_semi").select(link, "part", "shard")
+    first = parted.join(F.broadcast(own), [link, "part"])
+    rest = rows.join(large, link, "left_anti")
+    small = groups.where(F.col("copies") <= cell).join(cells.where("part = 0").select(link, "shard"), link)
+    placed = store(join_hot(rest, small, link, "copies", "left").drop("copies"), "rest")
+    second = placed.where("shard is not null").withColumn("part", F.lit(0))
+    columns = [*rows.columns, "part", "shard"]
+    return fill(first.select(*columns).unionByName(second.select(*columns)), placed.where("shard is null").drop("shard"), link, shards, quota)
+
+
+def cut_pairs(placed: DataFrame, link: str) -> DataFrame:
+    """One row: pairs of rows with equal link, and how many of them stand in two shards."""
+    at = placed.groupBy(link, "shard").agg(F.count("*").alias("n")).groupBy(link).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("together"))
+    both = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return at.agg(both(F.expr("n * (n - 1) div 2")).alias("pairs"), both(F.expr("(n * n - together) div 2")).alias("cut"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of docs (doc_id, text); links are equal texts."""
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, link) of docs (doc_id, text); links are equal texts."""
     body = F.coalesce("text", F.lit("")).cast("binary")
     nodes = docs.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.md5(body).alias("link"))
-    placed = shard_rows(nodes, "link", ["doc_id", "link"], shards)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    placed = shard_rows(nodes, "link", shards)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "link")
