@@ -12,8 +12,12 @@ touch a base span.
 No table labels personal data, so the trees are fitted on examples that `examples` makes
 from a fixed seed: formats and look-alikes in random surroundings, a fixed number of them.
 
-Offsets are code points, ends exclusive. Null text is empty. Searching is linear in the
-length of a text. Repeated rows are searched alike; an empty table gives no rows.
+A pattern that can only match around digits, or colons, or where some literal stands,
+is tried there and nowhere else; what it finds is what a search of the whole text finds.
+
+Offsets are code points, ends exclusive. Null text is empty. Texts of any length are
+searched whole, in time linear in their length. Repeated rows are searched alike; columns
+other than those named play no part, or stay as they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,6 +54,22 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
 
 
+#: Digits that stand within 56 characters of one another, and colons within hexadecimal groups.
+_DIGIT_ZONE = re.compile(r"[0-9](?:[^0-9]{0,56}[0-9])*")
+_COLON_ZONE = re.compile(r":(?:[0-9A-Fa-f]{1,4}:){3,}")
+
+
+def zones(text: str, core: re.Pattern, before: int, after: int) -> list[tuple[int, int]]:
+    """Stretches of text around the matches of core, so many characters wider, those that overlap in one; look-behinds see what is before them."""
+    out: list[tuple[int, int]] = []
+    for m in core.finditer(text):
+        begin, end = max(0, m.start() - before), min(len(text), m.end() + after)
+        if out and begin < out[-1][1]:
+            begin = out.pop()[0]
+        out.append((begin, end))
+    return out
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -75,13 +95,14 @@ def base_spans(text: str) -> list[Span]:
             out.append(("email", begin, domain.end()))
             free = domain.end()
         at = text.find("@", max(at + 1, free))
-    for m in _IP.finditer(text):
-        if octets(m[0]):
-            out.append(("ip", m.start(), m.end()))
-    for m in _CARD.finditer(text):
-        digits = _DIGITS.sub("", m[0]) if m.end() - m.start() < 64 else ""
-        if 14 <= len(digits) <= 19 and luhn(digits):
-            out.append(("card", m.start(), m.end()))
+    for begin, end in zones(text, _DIGIT_ZONE, 8, 48):  # no gap between digits of a match is as wide as those between zones
+        for m in _IP.finditer(text, begin, end):
+            if octets(m[0]):
+                out.append(("ip", m.start(), m.end()))
+        for m in _CARD.finditer(text, begin, end):
+            digits = _DIGITS.sub("", m[0]) if m.end() - m.start() < 64 else ""
+            if 14 <= len(digits) <= 19 and luhn(digits):
+                out.append(("card", m.start(), m.end()))
     if "+" in text:
         for m in _PHONE.finditer(text):
             if 10 <= len(_DIGITS.sub("", m[0])) <= 15:
@@ -89,25 +110,25 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-#: High-recall patterns by kind; every repeat is bounded, so a search stays linear.
+#: High-recall patterns by kind, with what any match has in it; every repeat is bounded, so a search stays linear.
 GENERATORS = [
-    ("email", r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,24}){1,4}"),
-    ("ip", r"(?<![0-9.])[0-9]{1,3}(?: ?[.] ?[0-9]{1,3}){3}(?![0-9.])"),
-    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
-    ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
-    ("card", r"(?<![0-9])[0-9]{4}(?:[ .-][0-9]{4}){3}(?![0-9])"),
-    ("card", r"(?<![0-9])3[0-9]{3}[ .-][0-9]{6}[ .-][0-9]{5}(?![0-9])"),
-    ("phone", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])"),
-    ("phone", r"(?<![0-9+])(?:1[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
-    ("phone", r"\b00[0-9]{2}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b"),
-    ("secret", r"(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth))[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"',;]{6,200}"),
-    ("secret", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
-    ("secret", r"\b(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9_-]{16,200}"),
-    ("secret", r"\b[0-9a-f]{32,128}\b"),
+    ("email", r"(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,24}){1,4}", ("@", "(at)", "[at]", " at ")),
+    ("ip", r"(?<![0-9.])[0-9]{1,3}(?: ?[.] ?[0-9]{1,3}){3}(?![0-9.])", _DIGIT_ZONE),
+    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", _COLON_ZONE),
+    ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", _DIGIT_ZONE),
+    ("card", r"(?<![0-9])[0-9]{4}(?:[ .-][0-9]{4}){3}(?![0-9])", _DIGIT_ZONE),
+    ("card", r"(?<![0-9])3[0-9]{3}[ .-][0-9]{6}[ .-][0-9]{5}(?![0-9])", _DIGIT_ZONE),
+    ("phone", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])", _DIGIT_ZONE),
+    ("phone", r"(?<![0-9+])(?:1[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])", _DIGIT_ZONE),
+    ("phone", r"\b00[0-9]{2}[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])", _DIGIT_ZONE),
+    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _DIGIT_ZONE),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b", _DIGIT_ZONE),
+    ("secret", r"(?ai:\b(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth))[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"',;]{6,200}", ("pass", "pwd", "secret", "token", "key", "auth")),
+    ("secret", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", ("akia", "asia")),
+    ("secret", r"\b(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9_-]{16,200}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxa-", "xoxb-", "xoxp-")),
+    ("secret", r"\b[0-9a-f]{32,128}\b", None),
 ]
-_COMPILED = [(kind, re.compile(p)) for kind, p in GENERATORS]
+_COMPILED = [(kind, re.compile(p), needs) for kind, p, needs in GENERATORS]
 _WORDS = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "host", "address", "server"),
@@ -119,9 +140,37 @@ _WORDS = {
 }
 
 
+def proposals(text: str, whole: bool = False) -> Iterator[tuple[int, re.Match]]:
+    """(generator, match) of every pattern; whole: without looking for what a match needs."""
+    low, everywhere = text.lower(), [(0, len(text))]
+    near = {_DIGIT_ZONE: None, _COLON_ZONE: None}
+    for g, (_, pattern, needs) in enumerate(_COMPILED):
+        where = everywhere
+        if isinstance(needs, re.Pattern) and not whole:
+            if near[needs] is None:
+                near[needs] = zones(text, needs, 8, 48)
+            where = near[needs]
+        elif needs and not whole and not any(x in low for x in needs):
+            continue
+        for begin, end in where:
+            for m in pattern.finditer(text, begin, end):
+                yield g, m
+
+
 def candidates(text: str) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, generator) of every proposal; proposals overlap."""
-    return [(kind, m.start(), m.end(), g) for g, (kind, pattern) in enumerate(_COMPILED) for m in pattern.finditer(text)]
+    out = []
+    for g, m in proposals(text):
+        kind, begin = _COMPILED[g][0], m.start()
+        if kind == "email":  # the pattern begins at the sign: up to 64 characters of a name stand before it
+            head = begin - (text[begin - 1 : begin] == " ")
+            begin = head
+            while begin > max(0, head - 64) and text[begin - 1] in _LOCAL:
+                begin -= 1
+            if begin == head:
+                continue
+        out.append((kind, begin, m.end(), g))
+    return out
 
 
 def _iban(text: str) -> bool:
@@ -156,6 +205,10 @@ def describe(text: str, span: tuple[str, int, int, int]) -> list[float]:
         float(s.startswith("+")),
         float("(" in s),
         float("@" in s),
+        float("-" in s),
+        float("." in s),
+        float(" dot " in s),
+        float("[" in s or "(at)" in s),
         max(runs, default=0),
         len(runs),
         _entropy(value),
@@ -234,8 +287,6 @@ class Selector:
 
     def __init__(self, seed: int = 11, each: int = EXAMPLES, precision: float = PRECISION):
         made = examples(seed, each)
-        index = {p.pattern: g for g, (_, p) in enumerate(_COMPILED)}
-        assert len(index) == len(_COMPILED)
         x, y = [], []
         for text, kind, start, end, personal in made:
             g = next(g for k, s, e, g in candidates(text) if (k, s, e) == (kind, start, end))
