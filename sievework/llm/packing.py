@@ -8,8 +8,14 @@ by the waste the incumbent leaves; incumbents come from best fit. What it return
 list of patterns with multiplicities, from which each piece finds its sequence by its
 rank among the pieces of its length.
 
-Null or empty text is the end marker alone (one token). Repeated rows are packed once
-per row. An empty table gives no rows.
+The search is bounded: BRANCHES completions at a node (those with least waste), REACH
+lengths for a place in one, NODES nodes in all. When best fit meets the lower bound, which
+it does where small pieces abound, no node is spent. `search` tells what was found, the
+bound and the nodes spent; a packing above the bound need not be the best there is.
+
+Null or empty text is the end marker alone (one token). Very long texts are tokenised
+whole and cut into pieces. Repeated rows are packed once per row. Columns of documents
+that are named like those of pieces give way to them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from .common import slices, store
 from .ranks import rank_within
 
 #: Nodes of the search before the incumbent is returned.
-NODES = 8000
+NODES = 2500
 #: Completions tried at a node, those with least waste first.
 BRANCHES = 6
 #: Lengths looked at for one place in a completion, longest first.
@@ -146,15 +152,20 @@ def completions(sizes: list[int], counts: dict[int, int], room: int, most: int =
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and their numbers, with as few sequences as the search finds.
+    """Patterns and their numbers, with as few sequences as the search finds."""
+    return search(counts, capacity, nodes)[0]
 
-    Optimal when the bound is met or the search ends within its nodes. Each step fills
-    as many sequences with one pattern as the counts allow, so it uses up a length and a
-    descent has no more steps than there are lengths; fewer at a time is the other branch.
+
+def search(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[list[tuple[tuple[int, ...], int]], int, int]:
+    """(patterns and their numbers, lower bound of sequences, nodes spent).
+
+    The fewest possible when the bound is met. Each step fills as many sequences with one
+    pattern as the counts allow, so it uses up a length and a descent has no more steps
+    than there are lengths; fewer at a time is the other branch.
     """
     counts = {s: n for s, n in counts.items() if n > 0}
     if not counts:
-        return []
+        return [], 0, 0
     bound, best = lower_bound(counts, capacity), best_fit(counts, capacity)
     least = sum(n for _, n in best)
     total = sum(s * n for s, n in counts.items())
@@ -214,7 +225,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
     merged: Counter = Counter()
     for pattern, n in best:
         merged[pattern] += n
-    return sorted(merged.items(), reverse=True)
+    return sorted(merged.items(), reverse=True), bound, spent
 
 
 # ---------------------------------------------------------------- tokens
@@ -290,8 +301,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int =
 def pack(parts: DataFrame, capacity: int = 2048, identity: tuple[str, ...] = ("doc_id", "piece"), nodes: int = NODES) -> DataFrame:
     """parts (with a column length of 1 to capacity) with sequence_id and offset.
 
-    parts is read twice: store it first if it is costly. Rows of equal identity and
-    length are interchangeable; each gets its own place.
+    parts must be stored: it is read twice, and its rows are told apart by their places in
+    its files. Rows of equal identity and length are interchangeable; each gets its own place.
     """
     table = {int(s): int(n) for s, n in parts.groupBy("length").count().collect()}  # at most capacity rows
     if table and not 1 <= min(table) <= max(table) <= capacity:
@@ -325,7 +336,9 @@ def pack(parts: DataFrame, capacity: int = 2048, identity: tuple[str, ...] = ("d
     order = [F.col(c) for c in identity]
     # A third of all rows may share a length; one bucket per 20,000 rows keeps its tasks small.
     buckets = max(8, sum(table.values()) // 20_000)
-    ranked = rank_within(rows, "length", order, F.struct(*order), buckets, "_rank")
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())  # the same each time: parts is stored
+    ranked = rank_within(rows, "length", [*order, F.col("_row")], F.struct(*order, F.col("_row")), buckets, "_rank").drop("_row")
+    rows = rows.drop("_row")
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema], "sequence_id long", "offset long"])
     return ranked.select(*rows.columns, "_rank").mapInArrow(place, schema)
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -75,6 +76,36 @@ def test_search_is_optimal_on_small_inputs():
         assert sum(n for _, n in found) == fewest >= packing.lower_bound(dict(Counter(items)), capacity)
 
 
+@pytest.mark.parametrize(("bins", "least", "parts", "slack"), [(6, 300, 3, 0), (10, 300, 3, 0), (20, 100, 5, 5), (30, 300, 3, 30)])
+def test_search_beats_best_fit_at_full_capacity(bins, least, parts, slack):
+    for seed in range(10):
+        rng, items = random.Random(seed), []
+        for _ in range(bins):  # sequences that can be filled but for a few tokens
+            cuts = [0, *sorted(rng.sample(range(1, 2048 - least * parts), parts - 1)), 2048 - least * parts]
+            own = [least + b - a for a, b in itertools.pairwise(cuts)]
+            items += [own[0] - rng.randint(0, slack), *own[1:]]
+        counts = dict(Counter(items))
+        plain = sum(n for _, n in packing.best_fit(counts, 2048))
+        found, bound, spent = packing.search(counts, 2048)
+        used = Counter()
+        for pattern, n in found:
+            assert sum(pattern) <= 2048
+            for s in pattern:
+                used[s] += n
+        assert used == Counter(items)
+        assert sum(n for _, n in found) == bound == bins < plain and spent > 0
+
+
+def test_ids_are_the_librarys_on_odd_texts(library):
+    rng, model = random.Random(7), packing.load(BYTES)
+    some = ["<|endoftext|>", "'s", "'LL", " ", "  ", "\n", "\r\n", "\t", "a", "B", "é", "日本", "😀", "\u00a0", "\u0085", "1", "234", "½", "_", "-", "...", "\x00", "ﬁ", "İ", "e\u0301", "word"]
+    for _ in range(3000):
+        text = "".join(rng.choice(some) for _ in range(rng.randint(1, 25)))
+        assert model.ids(text).tolist() == library[BYTES].encode(text, add_special_tokens=False).ids, text
+    long = " ".join(rng.choice(some) for _ in range(200_000))
+    assert model.ids(long).tolist() == library[BYTES].encode(long, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("capacity", [2048, 64])
 def test_pieces_are_packed_without_gaps(spark, library, capacity):
     texts = [*TEXTS, "same text here", "same text here"]
