@@ -21,6 +21,23 @@ PMID_PATTERNS = [
     r"PubMed\s+ID[:\s]+(\d+)",
     r"PubMed\s+Identifier[:\s]+(\d+)",
 ]
+#: Sequences cut by a hyphen at a line end, by a hyphen in a line, into single letters, and by a hyphen before a line break.
+HYPHEN_BREAK = rf"(?<=[{AA}])-\s*\n\s*(?=[{AA}])"
+HYPHENATED = r"\b([A-Z01]{2,})-([A-Z01]{2,})\b"
+SPACED_OUT = r"\b(?:[A-Z01][ \t\-]+){3,}[A-Z01]\b"
+BROKEN = r"\b([A-Z01]{2,})-\s*\n\s*([A-Z01]{2,})\b"
+#: START LETTERS [END]
+NUMBERED_LINE = r"^\s*(\d+)\s+([A-Z\s]+?)(?:\s+(\d+))?\s*$"
+#: Characters that OCR takes for others, and what they are.
+OCR_CONFUSED, OCR_MEANT = "0O1I", "QQIL"
+#: Lines below which sequences stand in tables, and words before and after a sequence that speak for it.
+TABLE_HEADER = r"(?i)\b(peptide|sequence|residue|amino acid)\b"
+WORDS_BEFORE, WORDS_AFTER = "peptide|sequence|residues?", "peptide|sequence|residues?|analyzed|purified|isolated"
+#: Lines of the evaluation report.
+REPORT_HEAD = ["Evaluation Report", "=================", ""]
+REPORT_COUNTS = ["Total True Positives (TP)", "Total False Positives (FP)", "Total False Negatives (FN)"]
+REPORT_SHARES = ["Precision", "Recall", "F1 Score"]
+REPORT_TAIL = ["", "Per-PMID Results saved to metrics_by_pmid.csv"]
 BACK_MATTER = ["Acknowledgments", "Acknowledgements", "References", "Literature Cited", "Bibliography"]
 
 BLACKLIST = """

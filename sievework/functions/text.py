@@ -56,40 +56,6 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def located(text: Column, pattern: str) -> Column:
-    """array<struct<no, match, start>>: every match of pattern with its number and character offset, both from 0.
-
-    A match starts after the gaps and matches before it. The sums run over blocks of
-    about the root of their number, all within the row: no text is copied to a match.
-    """
-    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, n: a + n)
-
-    def body(b: Column) -> Column:
-        found, sizes = b["found"], b["sizes"]
-        n = F.size(found)
-        step = F.greatest(F.floor(F.sqrt(n)).cast("int"), F.lit(1))
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / step).cast("int")), lambda k: total(F.slice(sizes, k * step + 1, step)))
-
-        def starts(c: Column) -> Column:
-            def one(m: Column, i: Column) -> Column:
-                k = F.floor(i / step).cast("int")
-                upto = total(F.slice(c, 1, k)) + total(F.slice(sizes, k * step + 1, i - k * step + 1))
-                return F.struct(i.alias("no"), m.alias("match"), (upto - F.length(m)).alias("start"))
-
-            return F.transform(found, one)
-
-        return F.when(n > 0, bound(blocks, starts)).otherwise(F.array().cast("array<struct<no:int,match:string,start:bigint>>"))
-
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found, lambda g, m: (F.length(g) + F.length(m)).cast("long"))
-    return F.when(text.isNotNull(), bound(F.struct(found.alias("found"), sizes.alias("sizes")), body))
-
-
-def matches(rows: DataFrame, text: str, pattern: str) -> DataFrame:
-    """rows without the text, one for each match: no, match and start."""
-    return rows.withColumn("_m", F.explode(located(F.col(text), pattern))).select(*[c for c in rows.columns if c != text], "_m.no", "_m.match", "_m.start")
-
-
 # ------------------------------------------------------------------ identifiers and repairs
 
 
@@ -105,7 +71,7 @@ def letters_only(seq: Column) -> Column:
 
 def join_hyphens(text: Column, letters: str = lex.AA) -> Column:
     """Sequences hyphenated at a line end in one piece; a single pass is the fixpoint."""
-    return F.regexp_replace(text, rf"(?<=[{letters}])-\s*\n\s*(?=[{letters}])", "")
+    return F.regexp_replace(text, lex.HYPHEN_BREAK.replace(lex.AA, letters), "")
 
 
 def before_back_matter(text: Column, headings: list[str] = lex.BACK_MATTER) -> Column:
@@ -126,7 +92,13 @@ def abbreviations(text: Column, heading: str = "Abbreviations") -> Column:
 
 def ocr_letters(seq: Column) -> Column:
     """Letters that OCR confuses: 0 and O for Q, 1 for I, I for L."""
-    return F.translate(F.upper(seq), "0O1I", "QQIL")
+    return F.translate(F.upper(seq), lex.OCR_CONFUSED, lex.OCR_MEANT)
+
+
+def letters_of(match: str, ocr: bool) -> str:
+    """candidate_letters of one match, for the kernels."""
+    plain = _NO_LETTER.sub("", match.upper())
+    return plain.translate(_OCR) if ocr else plain
 
 
 def candidate_letters(seq: Column, source: Column) -> Column:
@@ -141,10 +113,9 @@ def join_numbered(text: Column, letters: str = lex.AA) -> Column:
     return F.array_join(F.transform(lines(text), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, r"[\s\d]+", ""))), "\n")
 
 
-_HYPHEN_BREAK = re.compile(rf"(?<=[{lex.AA}])-\s*\n\s*(?=[{lex.AA}])")
-_HYPHEN = re.compile(r"\b([A-Z01]{2,})-([A-Z01]{2,})\b")
-_SPACED = re.compile(r"\b(?:[A-Z01][ \t\-]+){3,}[A-Z01]\b")
-_BREAK = re.compile(r"\b([A-Z01]{2,})-\s*\n\s*([A-Z01]{2,})\b")
+_HYPHEN_BREAK, _HYPHEN, _SPACED, _BREAK = (re.compile(p) for p in (lex.HYPHEN_BREAK, lex.HYPHENATED, lex.SPACED_OUT, lex.BROKEN))
+_NO_LETTER = re.compile("[^A-Z01]")
+_OCR = str.maketrans(lex.OCR_CONFUSED, lex.OCR_MEANT)
 
 
 def rebuild(text: str, blocked: frozenset[str]) -> str:
@@ -178,7 +149,7 @@ def merge_numbered_lines(rows: DataFrame, keys: list[str], line: str = "line", n
     before if its START is that one's START plus its length. Returns keys, ln (of the
     first line) and line.
     """
-    form = r"^\s*(\d+)\s+([A-Z\s]+?)(?:\s+(\d+))?\s*$"
+    form = lex.NUMBERED_LINE
     seq = F.regexp_replace(F.regexp_extract(line, form, 2), r"\s+", "")
     ordered = Window.partitionBy(*keys).orderBy(number)
     parsed = rows.withColumn("_valid", F.col(line).rlike(form) & seq.rlike(rf"^[{lex.AA}]+$")).withColumn("_seq", F.when(F.col("_valid"), seq))
@@ -191,17 +162,6 @@ def merge_numbered_lines(rows: DataFrame, keys: list[str], line: str = "line", n
     return merged.select(*keys, number, F.when(F.col("_n") > 1, F.col("_whole")).otherwise(F.col("_line")).alias(line))
 
 
-def first_with(parts: Column, target: Column) -> Column:
-    """The first of an array of texts that holds target, stripped; empty where none does."""
-    return F.coalesce(strip(F.get(F.filter(parts, lambda x: x.contains(target)), F.lit(0))), F.lit(""))
-
-
 def first_line_with(text: Column, target: Column) -> Column:
     """The first line that holds target, stripped; empty where none does."""
-    return first_with(lines(text), target)
-
-
-def around(text: Column, start: Column, length: Column, reach: int = 1000) -> Column:
-    """The text from `reach` characters before a match (offset from 0) to as many after it."""
-    begin = F.greatest(start - reach, F.lit(0))
-    return F.substring(text, (begin + 1).cast("int"), (start + length + reach - begin).cast("int"))
+    return F.coalesce(strip(F.get(F.filter(lines(text), lambda x: x.contains(target)), F.lit(0))), F.lit(""))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import lexicons as lex
 from ..functions import text as T
 
 
@@ -60,8 +61,10 @@ def rolled_up(counts: DataFrame) -> DataFrame:
 
 def report(totals: DataFrame) -> DataFrame:
     """The totals as lines of a report (value)."""
-    parts = [F.format_string("True Positives: %d", "tp"), F.format_string("False Positives: %d", "fp"), F.format_string("False Negatives: %d", "fn"), F.lit(""), F.format_string("Precision: %.4f", "precision"), F.format_string("Recall: %.4f", "recall"), F.format_string("F1 Score: %.4f", "f1")]
-    return totals.select(F.explode(F.array(F.lit("Evaluation"), F.lit("=========="), F.lit(""), *parts)).alias("value"))
+    counts = [F.format_string(f"{name}: %d", c) for name, c in zip(lex.REPORT_COUNTS, ("tp", "fp", "fn"), strict=True)]
+    shares = [F.format_string(f"{name}: %.4f", c) for name, c in zip(lex.REPORT_SHARES, ("precision", "recall", "f1"), strict=True)]
+    lines = [*map(F.lit, lex.REPORT_HEAD), *counts, F.lit(""), *shares, *map(F.lit, lex.REPORT_TAIL)]
+    return totals.select(F.posexplode(F.array(*lines)).alias("no", "value")).select("value")
 
 
 def similar_to_gold(rows: DataFrame, gold: DataFrame, least: float = 0.85, pmid: str = "pmid", seq: str = "sequence") -> DataFrame:

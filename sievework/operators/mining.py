@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions import lexicons as lex
 from ..functions import text as T
 
@@ -59,15 +57,19 @@ def table_like(context: Column, keywords: list[str] = lex.TABLE_KEYWORDS) -> Col
 
 
 def candidate_score(
-    seq: Column, context: Column, source: Column, occurrences: Column, is_table: Column, peptide: list[str] = lex.PEPTIDE_KEYWORDS, table: list[str] = lex.TABLE_KEYWORDS, before: str = "peptide|sequence|residues?", after: str = "peptide|sequence|residues?|analyzed|purified|isolated"
+    seq: Column, context: Column, source: Column, occurrences: Column, is_table: Column, peptide: list[str] = lex.PEPTIDE_KEYWORDS, table: list[str] = lex.TABLE_KEYWORDS, before: str = lex.WORDS_BEFORE, after: str = lex.WORDS_AFTER
 ) -> Column:
     """How much speaks for a sequence: words around it, repeats, its source and its letters."""
-    low, one = F.lower(context), lambda c: F.coalesce(c, F.lit(False)).cast("int")
-    score = F.lit(0)
-    for w in peptide:
-        score = score + 3 * one(low.contains(w))
-    for w in table:
-        score = score + 5 * one(low.contains(w))
+    one = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+
+    def words(low: Column) -> Column:
+        said = F.lit(0)
+        for weight, listed in ((3, peptide), (5, table)):
+            for w in listed:
+                said = said + weight * one(low.contains(w))
+        return said
+
+    score = T.bound(F.lower(context), words)
     ahead = F.regexp_like(context, F.concat(F.lit(rf"(?i)\b({before})\W{{0,20}}"), seq, F.lit(r"\b")))
     behind = F.regexp_like(context, F.concat(F.lit(r"(?i)\b"), seq, F.lit(rf"\W{{0,30}}({after})\b")))
     letters = distinct_letters(seq)
@@ -163,28 +165,16 @@ def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns
 # ------------------------------------------------------------------ candidates
 
 
-def raw_matches(rows: DataFrame, key: str, text: str, source: Column, pattern: str = lex.CANDIDATE, where: Callable[[Column], Column] | None = None, reach: int = 1000, line: bool = False) -> DataFrame:
-    """Matches with offset, context, sequence, and how often the document has that sequence.
+#: What a sequence looks like before anything else is asked of it.
+_LETTERS = f"[{lex.AA}]{{{lex.MIN_LENGTH},{lex.MAX_LENGTH}}}"
 
-    where drops sequences before anything else is made of them; line adds the first line
-    that holds the match. All that needs the text is done within the document's row, so
-    what moves on is a match and its surroundings, never the text.
-    """
-    whole = F.col(text)
-    found = F.transform(T.located(whole, pattern), lambda m: F.struct(m["no"].alias("no"), m["match"].alias("match"), m["start"].alias("start"), T.candidate_letters(m["match"], source).alias("sequence")))
-    if where is not None:
-        found = F.filter(found, lambda m: where(m["sequence"]))
-
-    def around(m: Column, *more: Column) -> Column:
-        return F.struct(m["no"].alias("no"), m["match"].alias("match"), m["start"].alias("start"), m["sequence"].alias("sequence"), T.around(whole, m["start"], F.length(m["match"]), reach).alias("context"), *more)
 
-    def with_line(own: Column) -> Column:
-        return F.transform(found, lambda m: around(m, T.first_with(own, m["match"]).alias("sequence_line")))
-
-    # lines are cut once a document, not once a match
-    made = T.bound(T.lines(whole), with_line) if line else F.transform(found, lambda m: around(m))
-    out = rows.select(key, F.explode(made).alias("_m")).select(key, "_m.*").withColumn("source", source)
-    return out.withColumn("occurrences", F.count("*").over(Window.partitionBy(key, "source", "sequence")))
+def sequences(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", pattern: str = lex.CANDIDATE, reach: int = 1000, lines: bool = False, rebuild: bool = False) -> DataFrame:
+    """keys, once for each plausible sequence of a text: sequence, source, occurrences, places (see kernels.sequences)."""
+    ocr, blocked = source == "ocr", frozenset(lex.BLACKLIST)
+    prepare = (lambda t: T.rebuild(t, blocked)) if rebuild else None
+    found = kernels.sequences(rows, keys, text, pattern, lambda m: T.letters_of(m, ocr), _LETTERS, reach, lines, prepare)
+    return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
 
 
 def without_words(found: DataFrame, key: str, words: DataFrame | None) -> DataFrame:
@@ -192,36 +182,35 @@ def without_words(found: DataFrame, key: str, words: DataFrame | None) -> DataFr
     return found if words is None else found.join(words, [key, "sequence"], "left_anti")
 
 
-def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, rebuild: bool = True, least: int = 3, techniques: Patterns = lex.TECHNIQUES, keywords: dict | None = None) -> DataFrame:
-    """Candidates of running text: one row per document and sequence, its first accepted occurrence."""
-    body = T.reconstruct(F.col(text)) if rebuild else F.col(text)
-    ready = rows.select(key, body.alias("_body"))
-    found = raw_matches(ready, key, "_body", F.lit(source), where=plausible, line=True)
-    found = without_words(found, key, bad_words).where(~gene_like(F.col("sequence"), F.col("context")))
-    found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.col("occurrences"), table_like(F.col("context")), **(keywords or {})))
-    first = Window.partitionBy(key, "source", "sequence").orderBy("start")
-    found = found.where(F.col("score") >= least).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    return _finished(found, key, techniques)
+def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, rebuild: bool = True, least: int = 3, techniques: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES, keywords: dict | None = None) -> DataFrame:
+    """Candidates of running text: one row per document and sequence, its first accepted occurrence.
+
+    keywords: other word lists for candidate_score, of which `table` also tells tables.
+    """
+    words = keywords or {}
+    found = without_words(sequences(rows, [key], text, source, lines=True, rebuild=rebuild), key, bad_words)
+    seq = F.col("sequence")
+
+    def judged(p: Column) -> Column:
+        score = candidate_score(seq, p["context"], F.col("source"), F.col("occurrences"), table_like(p["context"], words.get("table", lex.TABLE_KEYWORDS)), **words)
+        return F.struct(p["start"].alias("start"), p["match"].alias("match"), p["context"].alias("context"), p["line"].alias("sequence_line"), F.when(~gene_like(seq, p["context"]), score).alias("score"))
+
+    # a sequence has all its places in one row, so the first that is accepted needs no shuffle
+    first = F.get(F.filter(F.transform("places", judged), lambda p: p["score"] >= least), F.lit(0))
+    found = found.select(key, "sequence", "source", first.alias("_p")).where("_p is not null").select(key, "sequence", "source", "_p.*")
+    return _finished(found, key, techniques, supersedes)
 
 
-def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = r"(?i)\b(peptide|sequence|residue|amino acid)\b", techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
+def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = lex.TABLE_HEADER, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
     """Candidates of cells in the 19 lines below a header line, with seven lines of context."""
-    each = rows.select(key, F.posexplode(T.lines(F.col(text))).alias("ln", "line"))
-    order = Window.partitionBy(key).orderBy("ln")
-    each = each.withColumn("_near", F.max(F.col("line").rlike(header).cast("int")).over(order.rowsBetween(-19, -1)))
-    each = each.withColumn("context", F.array_join(F.collect_list("line").over(order.rowsBetween(-3, 3)), "\n")).where("_near = 1")
-    cell = each.select(key, "ln", "context", F.posexplode(T.cells(F.col("line"))).alias("_cell", "cell"))
-    found = cell.select("*", F.posexplode(F.regexp_extract_all(T.reconstruct(F.col("cell")), F.lit(lex.CANDIDATE), F.lit(0))).alias("_at", "match"))
-    found = found.withColumn("source", F.lit(source)).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
+    blocked, ocr = frozenset(lex.BLACKLIST), F.lit(source)
+    found = kernels.table_matches(rows, key, text, lex.CANDIDATE, header, prepare=lambda c: T.rebuild(c, blocked))
+    found = found.withColumn("source", ocr).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
     found = without_words(found, key, bad_words).where(likely_peptide(F.col("sequence"), F.col("context")))
-    first = Window.partitionBy(key, "sequence").orderBy("ln", "_cell", "_at")
+    first = Window.partitionBy(key, "sequence").orderBy("ln", "cell", "at")
     found = found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
     found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.lit(1), F.lit(True)))
-    found = found.withColumn("start", F.col("ln").cast("long"))
-    # the document's text comes to its few accepted cells, in one join
-    whole = rows.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    found = found.join(whole, F.col(key) == F.col("_key")).withColumn("sequence_line", T.first_line_with(F.col("_text"), F.col("match"))).drop("_key", "_text")
-    return _finished(found, key, techniques)
+    return _finished(found.withColumn("start", F.col("ln").cast("long")), key, techniques)
 
 
 def mine_cells(rows: DataFrame, keys: list[str], cells: Column, context: Column, source: Column, whole: bool = False, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
@@ -234,9 +223,9 @@ def mine_cells(rows: DataFrame, keys: list[str], cells: Column, context: Column,
     return _finished(found.withColumn("sequence_line", F.lit("from supplementary")), keys, techniques)
 
 
-def _finished(found: DataFrame, keys: str | list[str], techniques: Patterns) -> DataFrame:
+def _finished(found: DataFrame, keys: str | list[str], techniques: Patterns, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else keys
-    found = found.withColumn("_pairs", technique_lines(F.col("context"), techniques))
+    found = found.withColumn("_pairs", technique_lines(F.col("context"), techniques, supersedes))
     names = F.transform("_pairs", lambda p: p["technique"])
     return found.select(
         *keys,
@@ -279,8 +268,11 @@ def evidence(candidates: DataFrame, keys: list[str]) -> DataFrame:
     return candidates.select(*keys, "sequence", "original_sequence", "normalized_sequence", "sequence_line", names.alias("techniques"), lines.alias("technique_lines"), F.coalesce("evidence_score", evidence_score(names)).alias("evidence_score"), F.col("context").alias("evidence_text"), "score", "source")
 
 
+def chunks(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidates as evidence chunks: keys, sequence, source and context."""
+    return candidates.select(*keys, "sequence", "source", "context")
+
+
 def abbreviation_words(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, sequence) of each document's own abbreviations."""
     return rows.select(key, F.explode(T.abbreviations(F.col(text))).alias("sequence"))
-
-

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
 
-#: Reference sequences in an index at most.
+#: Reference sequences in an index at most, and its entries where it is broadcast (24 bytes each).
 INDEX_ROWS = 500_000
+POSTINGS = 1_000_000
 
 
 def grams(seq: Column, n: int = 3) -> Column:
@@ -35,8 +38,9 @@ def letter_shares(refs: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def capped(refs: DataFrame, seq: str = "seq", rows: int = INDEX_ROWS) -> DataFrame:
-    """Distinct references, at most `rows` of them: those of least hash, the same on every run."""
-    return refs.select(seq).distinct().orderBy(F.xxhash64(seq), seq).limit(rows)
+    """Distinct references, at most `rows` of them: those of least MD5, the same on every run."""
+    each = refs.select(seq).distinct()
+    return each if each.limit(rows + 1).count() <= rows else each.orderBy(F.md5(seq), seq).limit(rows)
 
 
 def gram_idf(refs: DataFrame, seq: str = "seq", n: int = 3) -> DataFrame:
@@ -55,20 +59,59 @@ def weighted(rows: DataFrame, seq: str, idf: DataFrame, n: int = 3) -> DataFrame
     return terms.select(seq, "gram", (F.col("v") / norm).alias("w"))
 
 
-def nearest(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: int = 3) -> DataFrame:
+def nearest(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: int = 3, postings: int = POSTINGS) -> DataFrame:
     """(seq, nearest) of distinct queries: highest cosine of tf-idf n-grams to any reference; 0 without a shared gram.
 
-    An inverted index: query and reference grams meet in an equi-join, products add up
-    by pair, and the best pair of a query stays. AQE splits the keys of common grams.
+    An inverted index. Of at most `postings` entries (counted) it is broadcast as arrays,
+    and each query adds up its grams' entries. A larger one is joined: query and reference
+    grams meet in an equi-join, products add up by pair, and the best pair of a query
+    stays; AQE splits the keys of common grams.
     """
     each = queries.select(seq).distinct()
     idf = gram_idf(refs, seq, n)
-    postings = weighted(refs.select(seq).distinct(), seq, idf, n).select(F.col(seq).alias("ref"), "gram", F.col("w").alias("r"))
-    products = weighted(each, seq, idf, n).join(postings, "gram").groupBy(seq, "ref").agg(F.sum(F.col("w") * F.col("r")).alias("cosine"))
+    index = weighted(refs.select(seq).distinct(), seq, idf, n).select(F.col(seq).alias("ref"), "gram", F.col("w").alias("r"))
+    if index.limit(postings + 1).count() <= postings:
+        return _nearest_here(each, index, idf, seq, n)
+    products = weighted(each, seq, idf, n).join(index, "gram").groupBy(seq, "ref").agg(F.sum(F.col("w") * F.col("r")).alias("cosine"))
     best = products.groupBy(seq).agg(F.max("cosine").alias("nearest"))
     return each.join(best, seq, "left").select(seq, F.coalesce(F.greatest("nearest", F.lit(0.0)), F.lit(0.0)).alias("nearest"))
 
 
+def _nearest_here(queries: DataFrame, index: DataFrame, idf: DataFrame, seq: str, n: int) -> DataFrame:
+    got = index.join(F.broadcast(idf.select("gram", "idf")), "gram").toArrow()
+    grams_, gram = np.unique(got.column("gram").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    refs, ref = np.unique(got.column("ref").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    order = np.argsort(gram, kind="stable")
+    begin = np.searchsorted(gram[order], np.arange(len(grams_) + 1))
+    weight = np.zeros(len(grams_))
+    weight[gram] = got.column("idf").to_numpy()
+    shared = queries.sparkSession.sparkContext.broadcast(({g: k for k, g in enumerate(grams_.tolist())}, weight, begin, ref[order], got.column("r").to_numpy()[order], len(refs)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, idf_, begin, ref, r, refs = shared.value
+        rows = max(1, 4_000_000 // max(1, refs))
+        for whole in batches:
+            for at in range(0, len(whole), rows):
+                part = whole.slice(at, rows)
+                of, known = [], []
+                for i, s in enumerate(part.column(0).to_pylist()):
+                    low = (s or "").lower()
+                    found = [number[g] for g in (low[k : k + n] for k in range(len(low) - n + 1)) if g in number]
+                    of += [i] * len(found)
+                    known += found
+                pair, times = np.unique(np.array(of, np.int64) * max(1, len(idf_)) + np.array(known, np.int64), return_counts=True)
+                i, g = pair // max(1, len(idf_)), pair % max(1, len(idf_))
+                v = times * idf_[g]
+                v /= np.sqrt(np.bincount(i, v * v, len(part)))[i]
+                many = begin[g + 1] - begin[g]
+                entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[g], many)
+                sums = np.bincount(np.repeat(i, many) * refs + ref[entry], np.repeat(v, many) * r[entry], len(part) * refs)
+                best = sums.reshape(len(part), refs).max(axis=1) if refs else np.zeros(len(part))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(best)], names=[seq, "nearest"])
+
+    return queries.select(seq).mapInArrow(run, f"`{seq}` string, nearest double")
+
+
 def length_score(length: Column, median: Column) -> Column:
     return F.greatest(F.lit(0.0), 1 - F.abs(length - median) / F.greatest(median, F.lit(1.0)))
 
@@ -98,7 +141,7 @@ def sequence_scores(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: in
     known = refs.select(seq).distinct()
     miss = each.join(known, seq, "left_anti").where(F.length(seq) > 0)
     stats = reference_statistics(refs, seq)
-    scored = nearest(miss, refs, seq, n).crossJoin(F.broadcast(stats))  # one row
+    scored = nearest(miss, capped(refs, seq), seq, n).crossJoin(F.broadcast(stats))  # one row
     scored = scored.select(F.col(seq), F.lit(False).alias("exact"), "nearest", composition(F.col(seq), F.col("counts")).alias("composition"), length_score(F.length(seq).cast("double"), F.col("median_length")).alias("length_score"), validity(F.col(seq)).alias("validity"))
     total = (0.5 * F.col("nearest") + 0.3 * F.col("composition") + 0.2 * F.col("length_score")) * F.col("validity") * F.col("validity")
     one = lambda v: [F.lit(v).alias(c) for c in ("nearest", "composition", "length_score", "validity", "sequence_score")]

@@ -17,12 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 Model = Callable[[str], str]
 
-#: What a verified sequence may be supported by, and thresholds.
+#: What a verified sequence may be supported by, thresholds, and what a model is asked with.
 SUPPORT = ("strong", "moderate", "weak", "reject")
 LEAST_SCORE = 0.6
 LEAST_TECHNIQUE = 0.5
+OPTIONS = {"temperature": 0, "num_predict": 512, "num_thread": 6}
 
 
 def http_model(url: str, model: str, timeout: int = 300) -> Callable[[], Model]:
@@ -30,7 +33,7 @@ def http_model(url: str, model: str, timeout: int = 300) -> Callable[[], Model]:
 
     def load() -> Model:
         def generate(prompt: str) -> str:
-            body = {"model": model, "prompt": prompt, "stream": False, "format": "json", "options": {"temperature": 0, "num_predict": 512, "num_thread": 6}}
+            body = {"model": model, "prompt": prompt, "stream": False, "format": "json", "options": OPTIONS}
             request = urllib.request.Request(f"{url.rstrip('/')}/api/generate", json.dumps(body).encode(), {"Content-Type": "application/json"})
             with urllib.request.urlopen(request, timeout=timeout) as answer:
                 return json.loads(answer.read())["response"]
@@ -46,10 +49,9 @@ def http_model(url: str, model: str, timeout: int = 300) -> Callable[[], Model]:
 def json_object(response: Column) -> Column:
     """The object in a response, as a variant: the whole text, or what its outermost braces hold; null if none."""
     text = F.trim(response)
-    whole = F.try_parse_json(text)
     inner = F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
-    found = F.when(whole.isNotNull(), whole).otherwise(inner)
-    return F.when(F.schema_of_variant(found).startswith("OBJECT"), found)
+    found = F.coalesce(F.try_parse_json(text), inner)
+    return T.bound(found, lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
 
 
 def _kind(v: Column, path: str) -> Column:
@@ -70,7 +72,10 @@ def _text(v: Column, name: str) -> Column:
 
 def read_verdict(response: Column) -> Column:
     """struct<ok, error, valid_sequence, confidence, support_type, linked_techniques, reason, species, is_synthesized, synthesized_line>."""
-    v = json_object(response)
+    return T.bound(json_object(response), _verdict)  # parsed once
+
+
+def _verdict(v: Column) -> Column:
     confidence, reason = _confidence(v), _text(v, "reason")
     support = F.coalesce(F.try_variant_get(v, "$.support_type", "string"), F.lit(""))
     listed = _kind(v, "$.linked_techniques")
@@ -98,8 +103,11 @@ def read_verdict(response: Column) -> Column:
     )
 
 
-def _read_confirmation(response: Column, flag: str, extra: list[Column], extra_error: Callable[[Column], Column | None]) -> Column:
-    v = json_object(response)
+def _read_confirmation(response: Column, flag: str, extra_error: Callable[[Column], Column | None]) -> Column:
+    return T.bound(json_object(response), lambda v: _confirmation(v, flag, extra_error))
+
+
+def _confirmation(v: Column, flag: str, extra_error: Callable[[Column], Column | None]) -> Column:
     confidence, line, reason = _confidence(v), _text(v, "evidence_line"), _text(v, "reason")
     error = F.when(v.isNull(), F.lit("no object")).when(_kind(v, f"$.{flag}") != "BOOLEAN", F.lit(flag)).when(confidence.isNull(), F.lit("confidence"))
     more = extra_error(v)
@@ -112,16 +120,16 @@ def _read_confirmation(response: Column, flag: str, extra: list[Column], extra_e
 
 def read_technique(response: Column) -> Column:
     """struct<ok, error, technique_confirmed, confidence, evidence_line, reason>."""
-    return _read_confirmation(response, "technique_confirmed", [], lambda v: None)
+    return _read_confirmation(response, "technique_confirmed", lambda v: None)
 
 
 def read_species(response: Column) -> Column:
     """struct<ok, error, species_confirmed, confidence, verified_species, evidence_line, reason>."""
-    return _read_confirmation(response, "species_confirmed", [], lambda v: ~_kind(v, "$.verified_species").isin("STRING", "VOID", "MISSING"))
+    return _read_confirmation(response, "species_confirmed", lambda v: ~_kind(v, "$.verified_species").isin("STRING", "VOID", "MISSING"))
 
 
-def well_formed(text: str, flag: str) -> bool:
-    """Whether a response is worth keeping: an object with its flag. Decides on retries, in the worker."""
+def well_formed(text: str, flag: str | None) -> bool:
+    """Whether a response is worth keeping: an object with its flag, if it needs one. Decides on retries, in the worker."""
     try:
         value = json.loads(text.strip())
     except ValueError:
@@ -130,7 +138,7 @@ def well_formed(text: str, flag: str) -> bool:
             value = json.loads(text[a : b + 1]) if 0 <= a < b else None
         except ValueError:
             return False
-    return isinstance(value, dict) and isinstance(value.get(flag), bool) and not (isinstance(value.get("confidence"), float) and math.isnan(value["confidence"]))
+    return isinstance(value, dict) and (flag is None or isinstance(value.get(flag), bool)) and not (isinstance(value.get("confidence"), float) and math.isnan(value["confidence"]))
 
 
 # ------------------------------------------------------------------ prompts
@@ -150,6 +158,14 @@ def sequence_prompt() -> Column:
     )
 
 
+def graded_prompt() -> Column:
+    """The prompt of a model that grades evidence: the facts by name, then the question."""
+    listed = F.coalesce(F.nullif(F.array_join("techniques", "\n"), F.lit("")), F.lit("None"))
+    score = lambda c: F.format_string("%.3f", F.coalesce(F.col(c), F.lit(0.0)))
+    parts = {"Sequence": F.col("sequence"), "Sequence score": score("sequence_score"), "Context score": score("bio_score"), "Evidence score": score("evidence_score"), "Techniques": listed, "Text": F.col("context")}
+    return F.concat_ws("\n", *[x for name, value in parts.items() for x in (F.lit(name), value)], F.lit("Does the text show this to be a real peptide, validated by experiment? Answer with verified, confidence, evidence_strength and reason."))
+
+
 def extended_context() -> Column:
     """The context, with the technique sentences below it where there are any."""
     block = F.concat(F.lit("\n\nExtracted Technique Sentences:\n"), F.array_join("technique_lines", "\n"))
@@ -164,7 +180,7 @@ def species_prompt(species: Column, context: Column) -> Column:
     return F.concat_ws("\n", F.lit("Decide which plant species the peptides of this document come from."), F.lit('Answer with one JSON object: {"species_confirmed": bool, "confidence": 0..1, "verified_species": null, "evidence_line": "", "reason": ""}'), F.concat(F.lit("Document: "), F.col("pmid")), F.concat(F.lit("Named in it: "), F.array_join(species, ", ")), F.concat(F.lit("Text:\n"), F.substring(context, 1, 4000)))
 
 
-def ask(prompts: DataFrame, load: Callable[[], Model], flag: str, attempts: int, partitions: int = 0, threads: int = 4) -> DataFrame:
+def ask(prompts: DataFrame, load: Callable[[], Model], flag: str | None, attempts: int, partitions: int = 0, threads: int = 4) -> DataFrame:
     """(prompt, response, tries) of distinct prompts; a bad or failed answer is asked for again.
 
     A task waits for `threads` answers at a time; partitions sets how many tasks ask.
@@ -207,17 +223,19 @@ def final_validity(valid: Column) -> Column:
     return F.coalesce(valid, F.lit(False)) & passes_scores()
 
 
-def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model], save: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model], save: Callable[[DataFrame, str], DataFrame], key: str = "pmid", graded: bool = False) -> tuple[DataFrame, DataFrame]:
     """(verified candidates, audit log).
 
     candidates: id, pmid, sequence, sequence_line, source, context, techniques,
-    technique_lines, evidence_score, sequence_score, bio_score; documents: pmid,
-    species, head. save(frame, name) writes a frame and reads it back: a model is asked
-    once, whatever runs again later.
+    technique_lines, evidence_score, sequence_score, bio_score, and key; documents: key
+    (a document's own, one row each), species, head. save(frame, name) writes a frame and
+    reads it back: a model is asked once, whatever runs again later. graded: the model
+    judges sequences by grading evidence.
     """
-    possible = candidates.where(passes_scores()).withColumn("prompt", sequence_prompt())
-    first = save(ask(possible, load, "valid_sequence", 3), "sequence")
-    judged = possible.join(first, "prompt").withColumn("v", read_verdict(F.col("response")))
+    possible = candidates.where(passes_scores()).withColumn("prompt", graded_prompt() if graded else sequence_prompt())
+    first = save(ask(possible, load, None if graded else "valid_sequence", 3), "sequence")
+    read = read_graded if graded else read_verdict
+    judged = possible.join(first, "prompt").withColumn("v", read(F.col("response")))
     valid = save(judged.where(F.col("v.ok") & F.col("v.valid_sequence")).drop("prompt", "response", "tries"), "valid")
 
     each = valid.select("id", "pmid", F.posexplode("techniques").alias("no", "technique"), extended_context().alias("_text"))
@@ -227,7 +245,7 @@ def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model
     sure = sure.where(F.col("t.ok") & F.col("t.technique_confirmed") & (F.col("t.confidence") >= LEAST_TECHNIQUE))
     kept = sure.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("no", "technique", F.round("t.confidence", 4).alias("score"), F.col("t.evidence_line").alias("line")))).alias("ts"))
 
-    with_docs = valid.join(documents.select("pmid", F.col("species").alias("found"), "head"), "pmid", "left")
+    with_docs = valid.join(documents.select(key, F.col("species").alias("found"), "head"), key, "left")
     named = F.coalesce("found", F.array().cast("array<string>"))
     llm = F.when(F.lower("v.species") != "null", F.col("v.species"))
     species = F.when(llm.isNull() | F.array_contains(named, llm), named).otherwise(F.array_append(named, llm))
@@ -267,7 +285,10 @@ def label_from_strength(strength: Column) -> Column:
 
 def read_graded(response: Column) -> Column:
     """The verdict of a model that answers with verified, confidence, evidence_strength and reason."""
-    v = json_object(response)
+    return T.bound(json_object(response), _graded)
+
+
+def _graded(v: Column) -> Column:
     value = F.coalesce(F.try_variant_get(v, "$.verified", "boolean"), F.try_variant_get(v, "$.valid_sequence", "boolean"), F.lit(False))
     reason = F.coalesce(F.try_variant_get(v, "$.reason", "string"), F.lit(""))
     low = F.lower(reason)

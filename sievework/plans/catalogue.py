@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import evaluating, mining, scoring  # noqa: F401  they register their queries
+from . import evaluating, files, mining, scoring  # noqa: F401  they register their queries
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -24,23 +24,23 @@ def _sets(spark, sf_dir):
     return found, evaluation.gold_pairs(gold)
 
 
-def _counts(spark, sf_dir):
+def counts(spark, sf_dir):
     return evaluation.confusion(*_sets(spark, sf_dir))
 
 
 @query("confusion_by_doc", f"WITH {SETS} SELECT * FROM counts")
 def confusion_by_doc(spark, sf_dir):
-    return _counts(spark, sf_dir)
+    return counts(spark, sf_dir)
 
 
 @query("micro_prf", f"WITH {SETS} SELECT tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 6) AS f1 FROM pr")
 def micro_prf(spark, sf_dir):
-    return evaluation.micro(_counts(spark, sf_dir)).select("tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+    return evaluation.micro(counts(spark, sf_dir)).select("tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query("eval_rollup", f"WITH {SETS} SELECT pmid, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM counts GROUP BY ROLLUP (pmid)")
 def eval_rollup(spark, sf_dir):
-    return evaluation.rolled_up(_counts(spark, sf_dir))
+    return evaluation.rolled_up(counts(spark, sf_dir))
 
 
 @query("gold_intersect", f"WITH {SETS} SELECT pmid, sequence FROM found INTERSECT SELECT pmid, sequence FROM gold")
@@ -82,11 +82,11 @@ def gold_stanza_ffill(spark, sf_dir):
 @query(
     "eval_report",
     f"""WITH {SETS}, x AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM pr)
-    SELECT unnest(['Evaluation', '==========', '', format('True Positives: {{}}', tp), format('False Positives: {{}}', fp), format('False Negatives: {{}}', fn), '',
-      format('Precision: {{:.4f}}', precision), format('Recall: {{:.4f}}', recall), format('F1 Score: {{:.4f}}', f1)]) AS value FROM x""",
+    SELECT unnest(['Evaluation Report', '=================', '', format('Total True Positives (TP): {{}}', tp), format('Total False Positives (FP): {{}}', fp), format('Total False Negatives (FN): {{}}', fn), '',
+      format('Precision: {{:.4f}}', precision), format('Recall: {{:.4f}}', recall), format('F1 Score: {{:.4f}}', f1), '', 'Per-PMID Results saved to metrics_by_pmid.csv']) AS value FROM x""",
 )
 def eval_report(spark, sf_dir):
-    return evaluation.report(evaluation.micro(_counts(spark, sf_dir)))
+    return evaluation.report(evaluation.micro(counts(spark, sf_dir)))
 
 
 @query(
@@ -100,7 +100,10 @@ def metadata(spark, sf_dir):
 
 @query("result_columns", "SELECT CAST(p_partkey AS VARCHAR) AS PMID, p_type AS Sequence, '[\"' || p_brand || '\"]' AS Techniques, CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN 'True' ELSE 'False' END AS Gold_Standard_Match, '' AS Species FROM part")
 def result_columns(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
+    return writers.result_columns(result_rows(table(spark, sf_dir, "part"))).select("PMID", "Sequence", "Techniques", "Gold_Standard_Match", "Species")
+
+
+def result_rows(part):
+    """part with the columns of a verified result."""
     text = lambda v: F.lit(v).cast("string")
-    rows = part.select(F.col("p_partkey").cast("string").alias("pmid"), F.col("p_type").alias("sequence"), text("").alias("sequence_line"), F.lit(0.5).alias("sequence_confidence"), F.array("p_brand").alias("verified_techniques"), F.array(F.lit(0.5)).alias("technique_scores"), F.array(F.lit("")).alias("technique_evidence_lines"), text(None).alias("verified_species"), F.lit(0.0).alias("species_confidence"), text("").alias("species_evidence_line"), F.lit(False).alias("is_synthesized"), F.when(F.col("p_size") % 3 > 0, F.col("p_size") % 3 == 1).alias("gold_match"), text("").alias("reason"))
-    return writers.result_columns(rows).select("PMID", "Sequence", "Techniques", "Gold_Standard_Match", "Species")
+    return part.select("p_name", F.col("p_partkey").cast("string").alias("pmid"), F.col("p_type").alias("sequence"), text("").alias("sequence_line"), F.lit(0.5).alias("sequence_confidence"), F.array("p_brand").alias("verified_techniques"), F.array(F.lit(0.5)).alias("technique_scores"), F.array(F.lit("")).alias("technique_evidence_lines"), text(None).alias("verified_species"), F.lit(0.0).alias("species_confidence"), text("").alias("species_evidence_line"), F.lit(False).alias("is_synthesized"), F.when(F.col("p_size") % 3 > 0, F.col("p_size") % 3 == 1).alias("gold_match"), text("").alias("reason"))

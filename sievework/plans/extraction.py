@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
@@ -70,11 +70,9 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def supplementary(files: DataFrame, docs: DataFrame) -> DataFrame:
-    """Distinct candidates of files (path, source, id, cells, context, whole) whose names begin with a document's PMID."""
-    named = files.select(F.col("path").alias("file"), "source", "id", "cells", "context", "whole", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
+    """Distinct candidates of files (path, source, id, row, cells, context, whole) whose names begin with a document's PMID; of equal sequences the first in the order of file, row and cell."""
+    named = files.select(F.col("path").alias("file"), "source", "id", "row", "cells", "context", "whole", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
     own = merging.join_by_prefix(named, docs.select("path", "pmid").distinct(), "name", "pmid")
-    order = Window.partitionBy("path").orderBy("file")
-    own = own.withColumn("row", F.row_number().over(order.orderBy("file", "context")))
     keys = ["path", "file", "row", "id"]
     found = [mining.mine_cells(own.where(F.col("whole") == w), keys, F.col("cells"), F.col("context"), F.col("source"), whole=w) for w in (True, False)]
     return merging.first_of(found[0].unionByName(found[1]), ["path", "sequence"], ["file", "row", "start"]).drop("file", "row")
@@ -93,11 +91,12 @@ def prepare(pages: DataFrame, ocr: DataFrame | None, files: DataFrame | None, sa
         out["supplementary"] = save(supplementary(files, docs), "supplementary")
         out["merged"] = with_supplementary(main, out["supplementary"])
     out["evidence"] = mining.evidence(out["merged"], ["path"])
+    out["chunks"] = mining.chunks(main, ["path"])
     return out
 
 
 def run(
-    stages: dict[str, DataFrame], references: DataFrame, model: Callable[[], verification.Model], save: Save, encoder: Callable[[], scoring.Encoder] | None = None, contexts: list[str] = lex.REFERENCE_CONTEXTS, gold: DataFrame | None = None
+    stages: dict[str, DataFrame], references: DataFrame, model: Callable[[], verification.Model], save: Save, encoder: Callable[[], scoring.Encoder] | None = None, contexts: list[str] = lex.REFERENCE_CONTEXTS, gold: DataFrame | None = None, graded: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(result with the 13 columns, audit log) of prepared stages and reference sequences (seq).
 
@@ -114,8 +113,9 @@ def run(
         own = save(scoring.encode(found.select("context").distinct(), "context", encoder), "contexts")
         found = found.join(scoring.context_scores(own, "context", refs), "context", "left")
     found = save(found, "scored")
-    extracted = mining.document_species(docs, "pmid", "raw_text").join(docs.select("pmid", F.substring("raw_text", 1, 4000).alias("head")), "pmid").dropDuplicates(["pmid"])
-    verified, log = verification.verify(found, extracted, model, save)
+    species = F.array_sort(mining.technique_names(F.col("raw_text"), lex.SPECIES)).alias("species")
+    extracted = docs.select("path", species, F.substring("raw_text", 1, 4000).alias("head"))
+    verified, log = verification.verify(found, extracted, model, save, key="path", graded=graded)
     marked = verification.with_synthesized(verified)
     matched = evaluation.gold_match(marked, gold if gold is not None else spark.createDataFrame([], "pmid string, sequence string"))
     return writers.result_columns(matched), log

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions import lexicons as lex
 from ..functions import text as T
 from ..operators import merging, mining
@@ -25,9 +26,9 @@ firsts AS (SELECT * FROM counted WHERE {PLAUSIBLE} QUALIFY row_number() OVER (PA
 
 
 def _firsts(spark, sf_dir, reach=0):
-    first = Window.partitionBy("doc_id", "sequence").orderBy("start")
-    found = mining.raw_matches(folded(spark, sf_dir, upper()), "doc_id", "text", F.lit("pdf_text"), where=mining.plausible, reach=reach)
-    return found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    """(doc_id, lang, sequence, source, occurrences, start, context) of each document's plausible sequences, at their first places."""
+    found = mining.sequences(folded(spark, sf_dir, upper()), ["doc_id", "lang"], "text", reach=reach).withColumn("p", F.col("places")[0])
+    return found.select("doc_id", "lang", "sequence", "source", "occurrences", "p.start", "p.context")
 
 
 @query("cand_extract", f"WITH {RAW} SELECT doc_id, sequence, CAST(length(sequence) AS BIGINT) AS length, start, occurrences FROM firsts")
@@ -37,7 +38,7 @@ def cand_extract(spark, sf_dir):
 
 @query("cand_offsets", f"WITH {RAW} SELECT doc_id, CAST(no AS BIGINT) AS no, match, start, substring(up, greatest(start - 20, 0) + 1, start + length(match) + 20 - greatest(start - 20, 0)) AS context FROM placed")
 def cand_offsets(spark, sf_dir):
-    found = mining.raw_matches(folded(spark, sf_dir, upper()), "doc_id", "text", F.lit("pdf_text"), reach=20)
+    found = kernels.matches(folded(spark, sf_dir, upper()), ["doc_id"], "text", lex.CANDIDATE, reach=20)
     return found.select("doc_id", F.col("no").cast("long").alias("no"), "match", "start", "context")
 
 
@@ -47,8 +48,7 @@ def cand_offsets(spark, sf_dir):
     "SELECT lang, sequence, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, sequence) AS rank FROM n QUALIFY rank <= 5",
 )
 def cand_topk(spark, sf_dir):
-    found = _firsts(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    counts = found.groupBy("lang", "sequence").agg(F.count("*").alias("score"))
+    counts = _firsts(spark, sf_dir).groupBy("lang", "sequence").agg(F.count("*").alias("score"))
     return merging.ranked(counts, ["lang"], "sequence").withColumn("rank", F.col("rank").cast("long")).where("rank <= 5")
 
 
@@ -87,15 +87,17 @@ def abbreviations(spark, sf_dir):
 KEYWORD_SCORE = " + ".join([f"3 * CAST(contains(lower(context), '{w}') AS INT)" for w in R.PEPTIDE_WORDS] + [f"5 * CAST(contains(lower(context), '{w}') AS INT)" for w in R.TABLE_WORDS])
 TABLE_LIKE = f"({R.sql_any('lower(context)', R.TABLE_WORDS)} OR len(list_filter({R.LINES.format('context')}, lambda x: len(string_split_regex(trim(x), '\\s{{2,}}|\\t')) >= 2)) > 0)"
 
+SCORE = f"""greatest({KEYWORD_SCORE} + 8 * CAST({TABLE_LIKE} AS INT)
+      + 6 * CAST(regexp_matches(context, '(?i)\\b(the|and)\\W{{0,20}}' || sequence || '\\b') AS INT)
+      + 6 * CAST(regexp_matches(context, '(?i)\\b' || sequence || '\\W{{0,30}}(the|of)\\b') AS INT)
+      + 2 * least(greatest(occurrences - 1, 0), 5)
+      + CASE WHEN length(sequence) >= 20 AND {R.sql_letters('sequence')} >= 10 THEN 4 WHEN length(sequence) >= 15 AND {R.sql_letters('sequence')} >= 8 THEN 2 ELSE 0 END, 0)"""
+
 
 @query(
     "score_context_kw",
     f"""WITH {RAW}, c AS (SELECT *, substring(up, greatest(start - 1000, 0) + 1, start + length(match) + 1000 - greatest(start - 1000, 0)) AS context FROM firsts)
-    SELECT doc_id, sequence, CAST(greatest({KEYWORD_SCORE} + 8 * CAST({TABLE_LIKE} AS INT)
-      + 6 * CAST(regexp_matches(context, '(?i)\\b(the|and)\\W{{0,20}}' || sequence || '\\b') AS INT)
-      + 6 * CAST(regexp_matches(context, '(?i)\\b' || sequence || '\\W{{0,30}}(the|of)\\b') AS INT)
-      + 2 * least(greatest(occurrences - 1, 0), 5)
-      + CASE WHEN length(sequence) >= 20 AND {R.sql_letters('sequence')} >= 10 THEN 4 WHEN length(sequence) >= 15 AND {R.sql_letters('sequence')} >= 8 THEN 2 ELSE 0 END, 0) AS BIGINT) AS score FROM c""",
+    SELECT doc_id, sequence, CAST({SCORE} AS BIGINT) AS score FROM c""",
 )
 def score_context_kw(spark, sf_dir):
     found = _firsts(spark, sf_dir, 1000)
@@ -136,7 +138,21 @@ def numbered_merge(spark, sf_dir):
     return T.merge_numbered_lines(rows, ["p_brand"])
 
 
-@query("numbered_join")
+def _each_match(text: str, pattern: str, change: str) -> str:
+    """SQL: every match m of a pattern replaced by an expression over m."""
+    return f"array_to_string(list_transform(list_zip(string_split_regex({text}, '{pattern}'), regexp_extract_all({text}, '{pattern}')), lambda z: z[1] || coalesce({change.format(m='z[2]')}, '')), '')"
+
+
+BLOCK = rf"\b[{AA}]{{3,}}(?:[\s\d]+[{AA}]{{3,}})+\b"
+
+
+@query(
+    "numbered_join",
+    f"""WITH n AS (SELECT doc_id, {R.LINES.format(rf"regexp_replace({UP}, '\b([{AA}]{{3,}}) ', '\1 10 ', 'g')")} AS ls FROM documents),
+    l AS (SELECT doc_id, CASE WHEN ls[len(ls)] = '' THEN ls[1:len(ls) - 1] ELSE ls END AS ls FROM n),
+    e AS (SELECT doc_id, unnest(ls) AS x, unnest(range(len(ls))) AS no FROM l)
+    SELECT doc_id, md5(string_agg({_each_match('x', BLOCK, r"regexp_replace({m}, '[\s\d]+', '', 'g')")}, chr(10) ORDER BY no)) AS digest FROM e GROUP BY 1""",
+)
 def numbered_join(spark, sf_dir):
     numbered = F.regexp_replace("text", f"\\b([{AA}]{{3,}}) ", "$1 10 ")
     return folded(spark, sf_dir, upper()).select("doc_id", F.md5(T.join_numbered(numbered)).alias("digest"))
@@ -147,7 +163,21 @@ def ocr_translate(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", T.ocr_letters(F.col("p_name")).alias("ocr"), T.candidate_letters(F.col("p_type"), F.lit("ocr")).alias("candidate"), T.letters_only(F.col("p_type")).alias("letters"))
 
 
-@query("reconstruct")
+_LISTED = R.sql_list(lex.BLACKLIST)
+_STEP_A = _each_match("t", r"\b([A-Z01]{2,})-([A-Z01]{2,})\b", f"CASE WHEN split_part({{m}}, '-', 1) IN ({_LISTED}) OR split_part({{m}}, '-', 2) IN ({_LISTED}) THEN {{m}} ELSE replace({{m}}, '-', '') END")
+_STEP_B = _each_match("a", r"\b(?:[A-Z01][ \t\-]+){3,}[A-Z01]\b", r"regexp_replace({m}, '[ \t\-]+', '', 'g')")
+
+
+def sql_rebuilt(text: str) -> str:
+    """CTEs (after WITH RECURSIVE) that end in rebuilt (doc_id, up): the rewriting of text repeated until nothing changes."""
+    return rf"""broken AS (SELECT doc_id, regexp_replace({text}, '([{AA}])-\s*\n\s*([{AA}])', '\1\2', 'g') AS t FROM documents),
+    steps AS (SELECT doc_id, t, FALSE AS done FROM broken UNION ALL
+      SELECT doc_id, regexp_replace(b, '\b([A-Z01]{{2,}})-\s*\n\s*([A-Z01]{{2,}})\b', '\1\2', 'g') AS t, regexp_replace(b, '\b([A-Z01]{{2,}})-\s*\n\s*([A-Z01]{{2,}})\b', '\1\2', 'g') = t AS done
+      FROM (SELECT doc_id, t, {_STEP_B} AS b FROM (SELECT doc_id, t, {_STEP_A} AS a FROM steps WHERE NOT done))),
+    rebuilt AS (SELECT doc_id, t AS up FROM steps WHERE done)"""
+
+
+@query("reconstruct", f"WITH RECURSIVE {sql_rebuilt(rf"regexp_replace({UP}, '(TH|ER|AN) ', '\1-', 'g')")} SELECT doc_id, md5(up) AS digest FROM rebuilt")
 def reconstruct(spark, sf_dir):
     broken = F.regexp_replace("text", "(TH|ER|AN) ", "$1-")
     return folded(spark, sf_dir, upper()).select("doc_id", F.md5(T.reconstruct(broken)).alias("digest"))
@@ -236,19 +266,49 @@ def table_candidates(spark, sf_dir):
     return mining.mine_tables(folded(spark, sf_dir, upper()), "doc_id", "text", header=r"(?i)\b(THING|THAT|QUE)\b").select("doc_id", "sequence", "start")
 
 
-@query("mine_text")
-def mine_text(spark, sf_dir):
-    words = {"peptide": R.PEPTIDE_WORDS, "table": R.TABLE_WORDS}
-    return mining.mine(folded(spark, sf_dir, upper()), "doc_id", "text", techniques=R.TECHNIQUES, keywords=words, least=0).drop("context")
+def sql_techniques(keys: str, context: str, rows: str) -> str:
+    """CTEs that end in k (keys, name, name_no, line): techniques of a context, general ones superseded."""
+    same = " AND ".join(f"g.{c} = h.{c}" for c in keys.split(", "))
+    return f"""s AS (SELECT {keys}, unnest(ss) AS s, unnest(range(len(ss))) AS no FROM (SELECT {keys}, {R.SENTENCES.format(context)} AS ss FROM {rows})),
+    p(name, name_no, pattern_no, pattern) AS (VALUES {PATTERN_ROWS}),
+    h AS (SELECT {keys}, name, name_no, arg_min(s, pattern_no * 1000000 + no) AS line FROM s JOIN p ON regexp_matches(s, pattern) GROUP BY ALL),
+    k AS (SELECT * FROM h WHERE NOT (name = 'Beta' AND EXISTS (SELECT 1 FROM h g WHERE {same} AND g.name = 'Alpha')))"""
+
+
+#: Sequences, contexts and scores of the whole mining of a text, over rebuilt.
+MINED = f"""raw AS (SELECT doc_id, up, regexp_extract_all(up, '{lex.CANDIDATE}') AS ms, string_split_regex(up, '{lex.CANDIDATE}') AS gaps FROM rebuilt),
+    {RAW[RAW.index("each AS"):RAW.index("firsts AS")].strip().rstrip(",")},
+    contexts AS (SELECT *, 'pdf_text' AS source, substring(up, greatest(start - 1000, 0) + 1, start + length(match) + 1000 - greatest(start - 1000, 0)) AS context FROM counted WHERE {PLAUSIBLE}),
+    scored AS (SELECT *, {{score}} AS score FROM contexts WHERE NOT {R.sql_gene('sequence', 'context', lex.GENE_TERMS, lex.PEPTIDE_TERMS)}),
+    accepted AS (SELECT * FROM scored WHERE score >= 3 QUALIFY row_number() OVER (PARTITION BY doc_id, sequence ORDER BY start) = 1)"""
 
 
 @query(
-    "supp_cells",
-    f"""WITH c AS (SELECT p_partkey, [upper(p_name), p_brand, upper(p_type)] AS cells, concat_ws(' | ', upper(p_name), p_brand, upper(p_type)) AS context FROM part),
+    "mine_text",
+    f"""WITH RECURSIVE {sql_rebuilt(UP)}, {MINED.replace('{score}', SCORE)}, {sql_techniques("doc_id, sequence", "context", "accepted")},
+    t AS (SELECT doc_id, sequence, string_agg(name, '|' ORDER BY name_no) AS techniques, string_agg(line, '|' ORDER BY name_no) AS technique_lines FROM k GROUP BY ALL)
+    SELECT a.doc_id, a.sequence, match AS original_sequence, CAST(start AS BIGINT) AS start, CAST(score AS BIGINT) AS score, CAST(length(a.sequence) AS BIGINT) AS length, md5(context) AS context,
+      coalesce(techniques, '') AS techniques, coalesce(technique_lines, '') AS technique_lines, 1.0::DOUBLE AS evidence_score,
+      coalesce(trim(list_filter({R.LINES.format('up')}, lambda x: contains(x, match))[1]), '') AS sequence_line
+    FROM accepted a LEFT JOIN t ON t.doc_id = a.doc_id AND t.sequence = a.sequence""",
+)
+def mine_text(spark, sf_dir):
+    words = {"peptide": R.PEPTIDE_WORDS, "table": R.TABLE_WORDS, "before": "the|and", "after": "the|of"}
+    found = mining.mine(folded(spark, sf_dir, upper()), "doc_id", "text", techniques=R.TECHNIQUES, supersedes=R.SUPERSEDES, keywords=words)
+    lists = [F.array_join(c, "|").alias(c) for c in ("techniques", "technique_lines")]
+    return found.select("doc_id", "sequence", "original_sequence", "start", F.col("score").cast("long").alias("score"), F.col("length").cast("long").alias("length"), F.md5("context").alias("context"), *lists, "evidence_score", "sequence_line")
+
+
+SUPP_CELLS_SQL = f"""WITH c AS (SELECT p_partkey, [upper(p_name), p_brand, upper(p_type)] AS cells, concat_ws(' | ', upper(p_name), p_brand, upper(p_type)) AS context FROM part),
     e AS (SELECT p_partkey, context, unnest(cells) AS cell, unnest(range(len(cells))) AS start FROM c),
     m AS (SELECT p_partkey, context, start, unnest(regexp_extract_all(cell, '{lex.CANDIDATE}')) AS match FROM e),
     q AS (SELECT *, regexp_replace(match, '[^A-Z01]', '', 'g') AS sequence FROM m)
-    SELECT p_partkey, CAST(start AS BIGINT) AS start, sequence, match AS original_sequence FROM q WHERE {PLAUSIBLE} AND NOT {R.sql_gene('sequence', 'context', lex.GENE_TERMS, lex.PEPTIDE_TERMS)}""",
+    SELECT p_partkey, CAST(start AS BIGINT) AS start, sequence, match AS original_sequence FROM q WHERE {PLAUSIBLE} AND NOT {R.sql_gene('sequence', 'context', lex.GENE_TERMS, lex.PEPTIDE_TERMS)}"""
+
+
+@query(
+    "supp_cells",
+    SUPP_CELLS_SQL,
 )
 def supp_cells(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.array(F.upper("p_name"), "p_brand", F.upper("p_type")).alias("cells"))
@@ -313,7 +373,7 @@ def pmid_coalesce(spark, sf_dir):
 @query("fasta_records", f"SELECT 'id' || item_id AS id, 'id' || item_id || ' of benchmark' AS description, regexp_replace({UP}, '\\s+', '', 'g') AS seq FROM benchmark")
 def fasta_records(spark, sf_dir):
     rows = table(spark, sf_dir, "benchmark").select(F.concat(F.lit(">id"), "item_id", F.lit(" of benchmark\n"), T.fold(F.col("text"))).alias("_t"))
-    return readers.fasta_records(rows, "_t")
+    return readers.fasta_records(rows, "_t").drop("row")
 
 
 @query("evidence_records", "SELECT p_partkey, p_type AS sequence, p_brand AS techniques, p_name AS technique_lines, 1.0::DOUBLE AS evidence_score, p_name AS evidence_text, CAST(p_size AS BIGINT) AS score FROM part")

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
-from ..operators import scoring, verification
+from ..functions import lexicons as lex
+from ..functions import sql
+from ..functions import text as T
+from ..operators import mining, scoring, verification
+from ..storage import store
+from . import mining as plans
 from . import registry as R
-from .registry import AA, TOKEN, UP, query, table, upper
+from .registry import AA, FOLD, TOKEN, UP, query, table, upper
 
 
 def _tokens(spark, sf_dir, name):
@@ -80,7 +88,7 @@ def length_validity(spark, sf_dir):
     return part.select("p_partkey", F.round(F.when(F.length("s") > 0, scoring.validity(F.col("s"))), 6).alias("validity"), F.round(scoring.length_score(F.length("s").cast("double"), F.col("m")), 6).alias("length_score"))
 
 
-@query("ref_sample_cap")
+@query("ref_sample_cap", f"WITH {REFS} SELECT seq FROM d ORDER BY md5(seq), seq LIMIT 100")
 def ref_sample_cap(spark, sf_dir):
     return scoring.capped(_tokens(spark, sf_dir, "benchmark"), rows=100)
 
@@ -96,6 +104,10 @@ def context_cosine(spark, sf_dir):
     return scores.withColumn("bio_score", F.round("bio_score", 6))
 
 
+#: A text's letter counts stand in for a model's vector.
+_LETTERS = "aeinst"
+_LETTER_SQL = "[" + ", ".join(f"1.0::DOUBLE + length(t) - length(replace(t, '{c}', ''))" for c in _LETTERS) + "]"
+
 # ------------------------------------------------------------------ responses
 
 _K = "CAST(json_extract_string(props, '$.k') AS INT)"
@@ -162,25 +174,118 @@ def strength_labels(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", verification.label_from_strength(graded).alias("support"))
 
 
+@query(
+    "encoder_scores",
+    f"""WITH v AS (SELECT doc_id, {_LETTER_SQL} AS e FROM (SELECT doc_id, substring({FOLD}, 1, 200) AS t FROM documents)),
+    r AS (SELECT DISTINCT {_LETTER_SQL} AS e FROM (SELECT substring({FOLD}, 1, 200) AS t FROM benchmark))
+    SELECT doc_id, round(max(list_dot_product(v.e, r.e) / sqrt(list_dot_product(v.e, v.e)) / sqrt(list_dot_product(r.e, r.e))), 6) AS bio_score FROM v, r GROUP BY 1""",
+)
+def encoder_scores(spark, sf_dir):
+    """Contexts through an encoder that a worker loads once, and their best references."""
+
+    def load():
+        return lambda texts: [[1.0 + t.count(c) for c in _LETTERS] for t in texts]
+
+    text = lambda name, *keys: table(spark, sf_dir, name).select(*keys, F.substring(T.fold(F.col("text")), 1, 200).alias("t"))
+    refs = store(scoring.encode(text("benchmark").distinct(), "t", load), "references")
+    own = store(scoring.encode(text("documents", "doc_id"), "t", load), "contexts")
+    return scoring.context_scores(own, "doc_id", refs).withColumn("bio_score", F.round("bio_score", 6))
+
+
+@query(
+    "sql_functions",
+    f"""SELECT p_partkey, regexp_replace(upper(p_name), '[^A-Z]', '', 'g') AS letters, translate(regexp_replace(upper(p_type), '[^A-Z01]', '', 'g'), '0O1I', 'QQIL') AS candidate, regexp_replace(replace(upper(p_name), 'A ', 'A-' || chr(10) || ' '), '([{AA}])-\\s*\\n\\s*([{AA}])', '\\1\\2', 'g') AS joined,
+    CAST(2 AS BIGINT) AS sentences, round(greatest(0, 1 - abs(length(p_name) - 20) / 20.0::DOUBLE), 6) AS length_score, round(length(regexp_replace(upper(p_name), '[^{AA}]', '', 'g')) / length(p_name)::DOUBLE, 6) AS validity,
+    CASE WHEN p_size % 2 = 0 THEN {float(lex.EVIDENCE_WEIGHTS["NMR"])}::DOUBLE ELSE 1.0::DOUBLE END AS evidence, 'id' || p_partkey AS id, 'id' || p_partkey || ' d' AS description, regexp_replace(upper(p_brand || p_type), '\\s+', '', 'g') AS seq FROM part""",
+)
+def sql_functions(spark, sf_dir):
+    """The functions as SQL knows them."""
+    sql.register(spark)
+    return spark.sql(
+        """SELECT p_partkey, normalize_sequence(p_name) AS letters, normalize_candidate(p_type, 'ocr') AS candidate, join_hyphens(replace(upper(p_name), 'A ', 'A-\n ')) AS joined,
+        CAST(size(split_sentences(concat('One. ', p_name))) AS BIGINT) AS sentences, round(length_score(length(p_name), 20), 6) AS length_score, round(sequence_validity(upper(p_name)), 6) AS validity,
+        evidence_score(CASE WHEN p_size % 2 = 0 THEN array('NMR', 'NMR') ELSE array('none') END) AS evidence, f.id, f.description, f.seq
+        FROM {part} p, LATERAL fasta(concat('>id', p.p_partkey, ' d\n', p_brand, '\n', p_type)) f""",
+        part=table(spark, sf_dir, "part"),
+    )
+
+
+# ------------------------------------------------------------------ verification
+
+
 def stub_model():
-    """Answers by the prompt's length, for tests: about half the candidates hold."""
+    """Answers by what a prompt asks about, so that SQL can say what comes of it; some answers can't be read."""
 
     def answer(prompt: str) -> str:
-        good = "true" if len(prompt) % 2 else "false"
-        return f'{{"valid_sequence": {good}, "technique_confirmed": {good}, "species_confirmed": {good}, "confidence": 0.9, "support_type": "strong", "verified_species": "Prima", "reason": "stub", "evidence_line": "line"}}'
+        if "Named in it: " in prompt:
+            names = prompt.split("Named in it: ")[1].split("\n")[0]
+            return json.dumps({"species_confirmed": names.startswith("P"), "confidence": 0.75, "verified_species": names.split(", ")[0], "evidence_line": names})
+        if "Technique: " in prompt:
+            name = prompt.split("Technique: ")[1].split("\n")[0]
+            return json.dumps({"technique_confirmed": name in ("Alpha", "Gamma"), "confidence": 0.4 if name == "Gamma" else 0.87654, "evidence_line": f"line of {name}"})
+        n = len(re.split("Sequence: |Sequence\n", prompt)[1].split()[0])
+        if n % 5 == 0:
+            return "no answer"
+        if "Answer with verified" in prompt:
+            return json.dumps({"verified": n % 2 == 1, "confidence": n / 200, "evidence_strength": ("High", "Medium", "Low", "None")[n % 4], "reason": "Synthetic" if n % 3 == 0 else "r"})
+        return "so: " + json.dumps({"valid_sequence": n % 2 == 1, "confidence": n / 200, "support_type": "weak", "reason": "r", "species": "Prima" if n % 3 == 0 else None, "is_synthesized": n % 7 == 0, "synthesized_line": "made"})
 
     return answer
 
 
-@query("verify_stub")
-def verify_stub(spark, sf_dir):
-    from ..operators import mining
-    from . import mining as plans
-
-    docs = R.folded(spark, sf_dir)
-    found = plans._firsts(spark, sf_dir, 100).select(F.concat_ws(":", "doc_id", "sequence").alias("id"), F.col("doc_id").cast("string").alias("pmid"), "sequence", F.lit("").alias("sequence_line"), "source", "context", F.lit(1.0).alias("evidence_score"), F.lit(0.9).alias("sequence_score"), F.lit(None).cast("double").alias("bio_score"))
+def _candidates(spark, sf_dir):
+    """(candidates, documents) as the passes take them."""
+    found = plans._firsts(spark, sf_dir, 100)
     pairs = mining.technique_lines(F.col("context"), R.TECHNIQUES, R.SUPERSEDES)
-    found = found.withColumn("techniques", F.transform(pairs, lambda p: p["technique"])).withColumn("technique_lines", F.transform(pairs, lambda p: p["line"]))
-    documents = docs.select(F.col("doc_id").cast("string").alias("pmid"), F.array_sort(mining.technique_names(F.col("text"), R.SPECIES)).alias("species"), F.substring("text", 1, 4000).alias("head"))
-    verified, _ = verification.verify(found, documents, stub_model, lambda frame, name: frame)
-    return verified.drop("context")
+    score = F.when(F.length("sequence") % 4 == 0, 0.5).otherwise(0.9)
+    found = found.select(F.concat_ws(":", "doc_id", "sequence").alias("id"), F.col("doc_id").cast("string").alias("pmid"), "sequence", F.lit("").alias("sequence_line"), "source", "context", F.lit(1.0).alias("evidence_score"), score.alias("sequence_score"), F.lit(None).cast("double").alias("bio_score"), pairs.alias("p"))
+    found = found.withColumn("techniques", F.transform("p", lambda p: p["technique"])).withColumn("technique_lines", F.transform("p", lambda p: p["line"])).drop("p")
+    documents = R.folded(spark, sf_dir).select(F.col("doc_id").cast("string").alias("pmid"), F.array_sort(mining.technique_names(F.col("text"), R.SPECIES)).alias("species"), F.substring("text", 1, 4000).alias("head"))
+    return store(found, "candidates"), documents
+
+
+_VALID = f"""{plans.RAW}, c AS (SELECT *, length(sequence) AS n, substring(up, greatest(start - 100, 0) + 1, start + length(match) + 100 - greatest(start - 100, 0)) AS context FROM firsts),
+    valid AS (SELECT * FROM c WHERE n % 4 <> 0 AND n % 5 <> 0 AND n % 2 = 1)"""
+
+
+@query(
+    "verify_passes",
+    f"""WITH {_VALID}, {plans.sql_techniques("doc_id, sequence", "context", "valid")},
+    sp AS (SELECT doc_id, list_sort({R.sql_technique(FOLD, R.SPECIES)}) AS named FROM documents),
+    v AS (SELECT valid.*, CASE WHEN n % 3 = 0 AND NOT list_contains(named, 'Prima') THEN list_append(named, 'Prima') ELSE named END AS names FROM valid JOIN sp USING (doc_id)),
+    a AS (SELECT doc_id, sequence, count(*) AS alpha FROM k WHERE name = 'Alpha' GROUP BY ALL)
+    SELECT v.doc_id || ':' || v.sequence AS id, round(n / 200.0::DOUBLE, 6) AS sequence_confidence, 'weak' AS support_type,
+      CASE WHEN alpha IS NULL THEN '' ELSE 'Alpha' END || CASE WHEN n % 7 = 0 THEN CASE WHEN alpha IS NULL THEN '' ELSE '|' END || 'synthesized' ELSE '' END AS techniques,
+      CASE WHEN alpha IS NULL THEN 0 ELSE 0.8765::DOUBLE END + CASE WHEN n % 7 = 0 THEN 1 ELSE 0 END AS score,
+      CASE WHEN alpha IS NULL THEN '' ELSE 'line of Alpha' END || CASE WHEN n % 7 = 0 THEN CASE WHEN alpha IS NULL THEN '' ELSE '|' END || 'made' ELSE '' END AS lines,
+      CASE WHEN names[1] LIKE 'P%' THEN names[1] END AS verified_species, CASE WHEN names[1] LIKE 'P%' THEN 0.75::DOUBLE ELSE 0.0::DOUBLE END AS species_confidence,
+      CASE WHEN names[1] LIKE 'P%' THEN array_to_string(names, ', ') ELSE '' END AS species_line
+    FROM v LEFT JOIN a ON a.doc_id = v.doc_id AND a.sequence = v.sequence""",
+)
+def verify_passes(spark, sf_dir):
+    """The three passes over mined candidates with a model that answers by rule."""
+    verified, _ = verification.verify(*_candidates(spark, sf_dir), stub_model, store)
+    marked = verification.with_synthesized(verified)
+    joined = lambda c: F.array_join(c, "|")
+    score = F.aggregate("technique_scores", F.lit(0.0), lambda a, x: a + x)
+    return marked.select("id", F.round("sequence_confidence", 6).alias("sequence_confidence"), "support_type", joined("verified_techniques").alias("techniques"), score.alias("score"), joined("technique_evidence_lines").alias("lines"), "verified_species", "species_confidence", F.col("species_evidence_line").alias("species_line"))
+
+
+@query(
+    "verify_graded",
+    f"WITH {_VALID} SELECT doc_id || ':' || sequence AS id, CASE n % 4 WHEN 1 THEN 'moderate' WHEN 3 THEN 'reject' ELSE 'weak' END AS support_type, round(n / 200.0::DOUBLE, 6) AS sequence_confidence, n % 3 = 0 AS is_synthesized, CASE WHEN n % 3 = 0 THEN 'Synthetic' ELSE 'r' END AS reason FROM valid",
+)
+def verify_graded(spark, sf_dir):
+    """The passes with a model that grades evidence."""
+    verified, _ = verification.verify(*_candidates(spark, sf_dir), stub_model, store, graded=True)
+    return verified.select("id", "support_type", F.round("sequence_confidence", 6).alias("sequence_confidence"), "is_synthesized", "reason")
+
+
+@query(
+    "verify_log",
+    f"""WITH {plans.RAW} SELECT 'sequence_verification' AS type, CAST(CASE WHEN length(sequence) % 5 = 0 THEN 3 ELSE 1 END AS BIGINT) AS tries, count(*) AS n FROM firsts WHERE length(sequence) % 4 <> 0 GROUP BY ALL""",
+)
+def verify_log(spark, sf_dir):
+    """How often each prompt of the first pass was asked: answers that can't be read are asked for again."""
+    _, log = verification.verify(*_candidates(spark, sf_dir), stub_model, store)
+    return log.where("type = 'sequence_verification'").groupBy("type", F.col("tries").cast("long").alias("tries")).agg(F.count("*").alias("n"))

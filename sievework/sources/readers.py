@@ -6,7 +6,10 @@ will do. Formats that need a library (PDF, images, Excel) take the parser as a f
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +30,18 @@ FASTA_ENDINGS = ("fa", "fasta", "fna")
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length, content) of the files of a folder, or of one file, in order of path."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length", "content").orderBy("path")
+    """(path, length, content) of the files of a folder, or of one file."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length", "content")
+
+
+def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, length) of the files of a folder in order of path; contents are not read."""
+    return files(spark, path, pattern).select("path", "length").orderBy("path")
+
+
+def with_ending(*endings: str) -> str:
+    """A pattern of file names with any of these endings, in either case."""
+    return "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in e) for e in endings) + "}"
 
 
 def ending(path: Column) -> Column:
@@ -126,26 +139,30 @@ def joined_pages(pages: DataFrame, keys: list[str], order: list[str], text: str
 # ------------------------------------------------------------------ sequence and table files
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(path, id, description, seq) of FASTA records, split on lines that begin with >."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    return fasta_records(whole, "value")
+def texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, value) of whole text files; bytes that are no UTF-8 become U+FFFD."""
+    return files(spark, path, pattern).select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("value"))
+
+
+def fasta(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, row, id, description, seq) of FASTA records, split on lines that begin with >."""
+    return fasta_records(texts(spark, path, pattern), "value")
 
 
 def fasta_records(rows: DataFrame, text: str) -> DataFrame:
-    """rows, one for each record of a FASTA text; lines before the first header make a record without one."""
-    each = rows.withColumn("_record", F.explode(F.split(F.concat(F.lit("\n"), F.col(text)), r"\R(?=>)")))
+    """rows, one for each record of a FASTA text, numbered in order; lines before the first header make a record without one."""
+    each = rows.select("*", F.posexplode(F.split(F.concat(F.lit("\n"), F.col(text)), r"\R(?=>)")).alias("row", "_record"))
     own = X.lines(F.regexp_replace("_record", r"^\R", ""))
     headed = F.col("_record").rlike(r"^\R?>")
     head = F.when(headed, F.regexp_extract("_record", r"^\R?>([^\r\n]*)", 1)).otherwise(F.lit(""))
     body = F.when(headed, F.slice(own, 2, F.size(own))).otherwise(own)
     seq = F.upper(F.array_join(F.transform(body, X.strip), ""))
-    out = each.select(*[c for c in rows.columns if c != text], F.split(head, r"\s+")[0].alias("id"), head.alias("description"), F.regexp_replace(seq, r"\s+", "").alias("seq"))
+    out = each.select(*[c for c in rows.columns if c != text], "row", F.split(head, r"\s+")[0].alias("id"), head.alias("description"), F.regexp_replace(seq, r"\s+", "").alias("seq"))
     return out.where("seq <> ''")
 
 
 def delimited(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
-    """(cells, context) of the rows of a delimited file with a header; every value is text, empty ones stay ''."""
+    """(cells, context) of the rows of one table in delimited files with a header; every value is text, empty ones stay ''."""
     raw = spark.read.csv(path, header=True, inferSchema=False, sep=separator, multiLine=True, escape='"')
     return as_cells(raw)
 
@@ -155,47 +172,86 @@ def as_cells(raw: DataFrame) -> DataFrame:
     return raw.select(F.array(*values).alias("cells"), F.concat_ws(" | ", *values).alias("context"))
 
 
-def excel(rows: DataFrame) -> DataFrame:
-    """(path, sheet, cells, context) of all sheets; needs a reader that pandas can use."""
+_CELLS = "row int, cells array<string>, context string"
+
+
+def _as_rows(tables: list[pd.DataFrame]) -> list[tuple]:
+    rows = [[str(v) for v in row] for frame in tables for row in frame.fillna("").itertuples(index=False)]
+    return [(i, row, " | ".join(row)) for i, row in enumerate(rows)]
+
+
+def tables(rows: DataFrame, separator: str = ",") -> DataFrame:
+    """(path, row, cells, context, error) of many delimited files (path, content), each with a header of its own."""
 
     def parse(content: bytes) -> list[tuple]:
-        import io
+        return _as_rows([pd.read_csv(io.BytesIO(content), sep=separator, dtype=str, keep_default_na=False)])
 
-        out = []
-        for sheet, frame in pd.read_excel(io.BytesIO(content), sheet_name=None, dtype=str).items():
-            for row in frame.fillna("").itertuples(index=False):
-                out.append((str(sheet), list(row), " | ".join(row)))
-        return out
+    return parsed(rows, parse, _CELLS)
 
-    return parsed(rows, parse, "sheet string, cells array<string>, context string")
 
+def excel(rows: DataFrame) -> DataFrame:
+    """(path, row, cells, context, error) of all sheets of workbooks (path, content); the old binary format needs a reader that pandas can use."""
 
-def plain(spark: SparkSession, path: str) -> DataFrame:
+    def parse(content: bytes) -> list[tuple]:
+        if zipfile.is_zipfile(io.BytesIO(content)):
+            sheets = workbook(content)
+            return _as_rows([pd.DataFrame([[*r, *[""] * (max(map(len, rows_)) - len(r))] for r in rows_[1:]]) for rows_ in sheets if rows_])
+        return _as_rows(list(pd.read_excel(io.BytesIO(content), sheet_name=None, dtype=str).values()))
+
+    return parsed(rows, parse, _CELLS)
+
+
+def workbook(content: bytes) -> list[list[list[str]]]:
+    """Rows of text of each sheet of an Office Open XML workbook, in the workbook's order."""
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    link = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        xml = lambda name: ElementTree.fromstring(z.read(name))
+        said = lambda node: "".join(t.text or "" for t in node.iter(f"{main}t"))
+        shared = [said(node) for node in xml("xl/sharedStrings.xml").iter(f"{main}si")] if "xl/sharedStrings.xml" in z.namelist() else []
+        places = {r.get("Id"): r.get("Target").lstrip("/").removeprefix("xl/") for r in xml("xl/_rels/workbook.xml.rels")}
+        out = []
+        for sheet in xml("xl/workbook.xml").iter(f"{main}sheet"):
+            rows = []
+            for row in xml(f"xl/{places[sheet.get(link)]}").iter(f"{main}row"):
+                cells: list[str] = []
+                for cell in row.iter(f"{main}c"):
+                    at, kind, value = cell.get("r"), cell.get("t"), cell.find(f"{main}v")
+                    if at:  # cells that are left out are empty
+                        letters = at.rstrip("0123456789")
+                        k = 0
+                        for c in letters:
+                            k = 26 * k + ord(c) - 64
+                        cells += [""] * (k - 1 - len(cells))
+                    text = said(cell) if kind == "inlineStr" else "" if value is None else value.text or ""
+                    cells.append(shared[int(text)] if kind == "s" and text else text)
+                rows.append(cells)
+            out.append([r for r in rows if any(r)])
+    return out
+
+
+def plain(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, text) of whole text files; bytes that are no UTF-8 are left out."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    return raw.select("path", F.regexp_replace("value", "\ufffd", "").alias("text"))
+    return texts(spark, path, pattern).select("path", F.regexp_replace("value", "\ufffd", "").alias("text"))
 
 
 def supplementary(spark: SparkSession, path: str) -> DataFrame:
-    """(path, source, id, cells, context, whole) of all files that can be read, by their ending; others give nothing."""
-    columns = ["path", "source", "id", "cells", "context", "whole"]
-    listed = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # names of files only
-    parts = []
-    for name in sorted(listed):
-        kind = name.rsplit(".", 1)[-1].lower()
-        label = F.lit(name).alias("path")
-        if kind in FASTA_ENDINGS:
-            parts.append(fasta(spark, name).select(label, F.lit("fasta").alias("source"), "id", F.array("seq").alias("cells"), F.col("description").alias("context"), F.lit(True).alias("whole")))
-        elif kind in ("csv", "tsv"):
-            parts.append(delimited(spark, name, "," if kind == "csv" else "\t").select(label, F.lit(kind).alias("source"), F.lit(None).cast("string").alias("id"), "cells", "context", F.lit(False).alias("whole")))
-        elif kind in ("xlsx", "xls"):
-            parts.append(excel(files(spark, name)).where("error is null").select(label, F.lit("xlsx").alias("source"), F.lit(None).cast("string").alias("id"), "cells", "context", F.lit(False).alias("whole")))
-        elif kind == "txt":
-            parts.append(plain(spark, name).select(label, F.lit("txt").alias("source"), F.lit(None).cast("string").alias("id"), F.array("text").alias("cells"), F.substring("text", 1, 500).alias("context"), F.lit(False).alias("whole")))
-    empty = spark.createDataFrame([], "path string, source string, id string, cells array<string>, context string, whole boolean")
-    for part in parts:
-        empty = empty.unionByName(part.select(*columns), allowMissingColumns=True)
-    return empty
+    """(path, source, id, row, cells, context, whole) of all files that can be read, by their ending; others give nothing.
+
+    Each ending is one scan, however many files there are; row is the order in a file.
+    """
+    columns = ["path", "source", "id", "row", "cells", "context", "whole"]
+    none, first = F.lit(None).cast("string").alias("id"), F.lit(0).alias("row")
+
+    def rows(read: DataFrame, source: str) -> DataFrame:
+        return read.where("error is null").select("path", F.lit(source).alias("source"), none, "row", "cells", "context", F.lit(False).alias("whole"))
+
+    out = rows(tables(files(spark, path, with_ending("csv")), ","), "csv")
+    out = out.unionByName(rows(tables(files(spark, path, with_ending("tsv")), "\t"), "tsv"))
+    out = out.unionByName(rows(excel(files(spark, path, with_ending("xlsx", "xls"))), "xlsx"))
+    records = fasta(spark, path, with_ending(*FASTA_ENDINGS)).select("path", F.lit("fasta").alias("source"), "id", "row", F.array("seq").alias("cells"), F.col("description").alias("context"), F.lit(True).alias("whole"))
+    text = plain(spark, path, with_ending("txt")).select("path", F.lit("txt").alias("source"), none, first, F.array("text").alias("cells"), F.substring("text", 1, 500).alias("context"), F.lit(False).alias("whole"))
+    return out.unionByName(records).unionByName(text).select(*columns)
 
 
 # ------------------------------------------------------------------ records
@@ -219,8 +275,7 @@ def gold_json(spark: SparkSession, path: str) -> DataFrame:
 
 def gold_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, ln, line) of a text file in order."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    return whole.select("path", F.posexplode(X.lines(F.col("value"))).alias("ln", "line"))
+    return texts(spark, path).select("path", F.posexplode(X.lines(F.col("value"))).alias("ln", "line"))
 
 
 def verified_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -59,6 +59,12 @@ def csv(rows: DataFrame, path: str, one_file: bool = False) -> None:
     (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("escape", '"').option("emptyValue", "").csv(path, header=True)
 
 
+def metrics(counts: DataFrame, path: str) -> None:
+    """Counts by document (pmid, tp, fp, fn) as one CSV in order of document."""
+    shown = counts.select(F.col("pmid").alias("PMID"), F.col("tp").alias("TP"), F.col("fp").alias("FP"), F.col("fn").alias("FN"))
+    csv(shown.repartition(1).sortWithinPartitions("PMID"), path)
+
+
 def text(rows: DataFrame, path: str) -> None:
     rows.select("value").coalesce(1).write.mode("overwrite").text(path)
 

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
-import random
+import hashlib
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,9 +37,26 @@ def test_sequence_scores(spark):
     assert got["MKTLLW"].nearest == pytest.approx(sum(x * r.get(g, 0) for g, x in q.items()))
 
 
-def test_empty_references_give_no_neighbour(spark):
+@pytest.mark.parametrize("postings", [scoring.POSTINGS, -1])
+def test_empty_references_give_no_neighbour(spark, postings):
     none = spark.createDataFrame([], "seq string")
-    assert scoring.nearest(spark.createDataFrame([("ABC",)], "seq string"), none).first().nearest == 0.0
+    assert scoring.nearest(spark.createDataFrame([("ABC",)], "seq string"), none, postings=postings).first().nearest == 0.0
+
+
+def test_a_broadcast_index_finds_what_the_join_finds(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("ACDE") for _ in range(rng.randint(0, 12)))
+    queries = spark.createDataFrame([(word(),) for _ in range(300)] + [("",), ("WWWW",)], "seq string")
+    refs = spark.createDataFrame([(word(),) for _ in range(60)], "seq string")
+    got = [{r.seq: round(r.nearest, 9) for r in scoring.nearest(queries, refs, postings=n).collect()} for n in (scoring.POSTINGS, 0)]
+    assert got[0] == got[1] and len(set(got[0].values())) > 20
+
+
+def test_references_beyond_the_cap_are_those_of_least_digest(spark):
+    refs = spark.createDataFrame([(f"S{i % 50}",) for i in range(200)], "seq string")
+    least = sorted({f"S{i}" for i in range(50)}, key=lambda s: hashlib.md5(s.encode()).hexdigest())
+    assert {r.seq for r in scoring.capped(refs, rows=7).collect()} == set(least[:7])
+    assert scoring.capped(refs, rows=50).count() == 50
 
 
 def test_context_scores_with_an_encoder(spark):
@@ -133,6 +151,7 @@ def test_sources(spark, tmp_path):
     (tmp_path / "s/1_c.tsv").write_text("name\tseq\nx\tQWERTYW\n")
     (tmp_path / "s/1_d.txt").write_bytes(b"text \xff MKTLLVW")
     (tmp_path / "s/1_e.bin").write_text("?")
+    (tmp_path / "s/1_f.CSV").write_text("a;b\nQQQ\n")
     got = {(r.source, r.id, tuple(r.cells), r.context) for r in readers.supplementary(spark, str(tmp_path / "s")).collect()}
     assert got == {
         ("fasta", "p1", ("MKTLLVW",), "p1 some > thing"),
@@ -141,7 +160,10 @@ def test_sources(spark, tmp_path):
         ("csv", None, ("", "NA"), " | NA"),
         ("tsv", None, ("x", "QWERTYW"), "x | QWERTYW"),
         ("txt", None, ("text  MKTLLVW",), "text  MKTLLVW"),
+        ("csv", None, ("QQQ",), "QQQ"),
     }
+    order = readers.supplementary(spark, str(tmp_path / "s")).where("path like '%b.csv' or path like '%.fasta'").orderBy("path", "row").collect()
+    assert [(r.row, r.cells[-1]) for r in order] == [(1, "MKTLLVW"), (2, "ACDEFGH"), (0, "MKTLLVW"), (1, "NA")]
 
 
 def test_records(spark, tmp_path):

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.functions import kernels
 from sievework.functions import lexicons as lex
 from sievework.functions import text as T
 from sievework.operators import merging, mining
@@ -67,7 +68,7 @@ def test_abbreviations(spark):
 def test_matches_have_offsets_of_python(spark):
     texts = ["ABC DEFG, HIJ 01A", "", "AAAA", "x ABC", "ÀÉ ABC 😀 DEF"]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = sorted((r.i, r.start, r.match) for r in T.matches(frame, "t", r"[A-Z]{3,}").collect())
+    got = sorted((r.i, r.start, r.match) for r in kernels.matches(frame, ["i"], "t", r"[A-Z]{3,}").collect())
     # Java counts UTF-16 units in neither split nor length here: offsets are code points
     assert got == sorted((i, m.start(), m[0]) for i, t in enumerate(texts) for m in re.finditer("[A-Z]{3,}", t))
 
