@@ -11,9 +11,11 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Characters of what was found that a task holds before it hands them on.
 HELD = 4_000_000
@@ -92,23 +94,47 @@ def matches(rows: DataFrame, keys: list[str], text: str, pattern: str, reach: in
     return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, more))
 
 
-_PLACE = pa.struct([("no", pa.int32()), ("start", pa.int64()), ("match", pa.string()), ("context", pa.string()), ("line", pa.string())])
+class Near:
+    """Whether some words stand shortly before or after a sequence in a context, in either case."""
 
+    def __init__(self, before: str, after: str):
+        self.before, self.after = re.compile(rf"(?i)\b(?:{before})\W{{0,20}}\Z"), re.compile(rf"(?i)\W{{0,30}}(?:{after})\b")
+        self.word = re.compile(r"\w")
 
-def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, reach: int = 1000, lines: bool = False, prepare: Prepare = None) -> DataFrame:
+    def of(self, context: str, sequence: str) -> tuple[bool, bool]:
+        low, target, ahead, behind = context.lower(), sequence.lower(), False, False
+        if len(low) != len(context):  # lower case of some letters is longer
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in context)
+        i = low.find(target)
+        while i >= 0 and not (ahead and behind):
+            end = i + len(target)
+            if not ahead and not self.word.match(context, end):
+                ahead = self.before.search(context, max(0, i - 60), i) is not None
+            if not behind and not (i and self.word.match(context, i - 1)):
+                behind = self.after.match(context, end) is not None
+            i = low.find(target, i + 1)
+        return ahead, behind
+
+
+_PLACE = pa.struct([("no", pa.int32()), ("start", pa.int64()), ("match", pa.string()), ("context", pa.string()), ("line", pa.string()), ("ahead", pa.bool_()), ("behind", pa.bool_())])
+
+
+def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, prepare: Prepare = None) -> DataFrame:
     """keys of rows, once for each normalised match that is wholly of the form `keep`: sequence, occurrences, places.
 
     occurrences counts all matches of the text that are normalised alike. places are in
     order, each with its match, its surroundings and, with `lines`, the first line that
-    holds the match; a place whose surroundings equal an earlier one's adds nothing and
-    is left out. prepare rewrites a text before it is searched.
+    holds the match; with `near`, whether words of the first pattern stand up to 20
+    characters before the sequence, or of the second up to 30 after it, anywhere in the
+    surroundings. A place whose surroundings equal an earlier one's adds nothing and is
+    left out. prepare rewrites a text before it is searched.
     """
-    finder, whole = re.compile(pattern), re.compile(keep)
+    finder, whole, close = re.compile(pattern), re.compile(keep), Near(*near) if near else None
     names = [*keys, "sequence", "occurrences", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, sequence, times, size, flat, held = [], [], [], [0], [[], [], [], [], []], 0
+            row, sequence, times, size, flat, held = [], [], [], [0], [[] for _ in _PLACE], 0
 
             def made() -> pa.RecordBatch:
                 struct = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, _PLACE, strict=True)], fields=list(_PLACE))
@@ -142,7 +168,7 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                             if mark in seen:
                                 continue
                             seen.add(mark)
-                        for column, v in zip(flat, (k, m.start(), m[0], context, own.first_with(m[0]) if lines else None), strict=True):
+                        for column, v in zip(flat, (k, m.start(), m[0], context, own.first_with(m[0]) if lines else None, *(close.of(context, name) if close else (None, None))), strict=True):
                             column.append(v)
                         held += len(context) + 64
                     row.append(i)
@@ -151,10 +177,10 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                     size.append(len(flat[0]))
                     if held > HELD:
                         yield made()
-                        row, sequence, times, size, flat, held = [], [], [], [0], [[], [], [], [], []], 0
+                        row, sequence, times, size, flat, held = [], [], [], [0], [[] for _ in _PLACE], 0
             yield made()
 
-    places = "array<struct<no:int,start:bigint,match:string,context:string,line:string>>"
+    places = "array<struct<no:int,start:bigint,match:string,context:string,line:string,ahead:boolean,behind:boolean>>"
     return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, f"sequence string, occurrences long, places {places}"))
 
 
@@ -167,43 +193,129 @@ def cells(line: str) -> list[str]:
     return wide if len(wide) >= 2 else [c for c in _GAP.split(line.strip(BLANK)) if c]
 
 
-def table_matches(rows: DataFrame, key: str, text: str, pattern: str, header: str, reach: int = 19, near: int = 3, prepare: Prepare = None) -> DataFrame:
-    """key, once for each match in a cell of the `reach` lines below a header line: ln, cell, at, match, context, sequence_line.
+_CELL = pa.struct([("cell", pa.int32()), ("at", pa.int32()), ("match", pa.string()), ("sequence", pa.string()), ("line", pa.string())])
+
+
+def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Callable[[str], str], keep: str, header: str, reach: int = 19, near: int = 3, prepare: Prepare = None) -> DataFrame:
+    """key, once for each of the `reach` lines below a header line with matches in its cells: ln, context, found.
 
-    context is the line with `near` lines on either side; prepare rewrites a cell before
-    it is searched.
+    found are those matches that are normalised to the form `keep`, with the first line of
+    the text that holds them. context is the line with `near` lines on either side; prepare
+    rewrites a cell before it is searched.
     """
-    finder, head = re.compile(pattern), re.compile(header)
-    names = [key, "ln", "cell", "at", "match", "context", "sequence_line"]
+    finder, whole, head = re.compile(pattern), re.compile(keep), re.compile(header)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, out, held = [], [[], [], [], [], [], []], 0
+            row, lns, contexts, size, flat, held = [], [], [], [0], [[] for _ in _CELL], 0
 
             def made() -> pa.RecordBatch:
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
-                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), *[pa.array(v, t) for v, t in zip(out, kinds, strict=True)]], names=names)
+                struct = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, _CELL, strict=True)], fields=list(_CELL))
+                found = pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct)
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), pa.array(lns, pa.int32()), pa.array(contexts, pa.string()), found], names=[key, "ln", "context", "found"])
 
             for i, value in enumerate(batch.column(1).to_pylist()):
-                own = Lines(value or "")
                 if not value or not head.search(value):
                     continue
-                every, last = own.all(), None
+                own, last = Lines(value), None
+                every = own.all()
                 for ln, line in enumerate(every):
                     if last is not None and ln - last <= reach:
-                        context = None
                         for c, cell in enumerate(cells(line)):
                             for at, m in enumerate(finder.finditer(prepare(cell) if prepare else cell)):
-                                context = context or "\n".join(every[max(0, ln - near) : ln + near + 1])
-                                row.append(i)
-                                for column, v in zip(out, (ln, c, at, m[0], context, own.first_with(m[0])), strict=True):
-                                    column.append(v)
-                                held += len(context) + len(out[5][-1])
+                                name = normal(m[0])
+                                if whole.fullmatch(name):
+                                    for column, v in zip(flat, (c, at, m[0], name, own.first_with(m[0])), strict=True):
+                                        column.append(v)
+                                    held += len(flat[-1][-1])
+                        if len(flat[0]) > size[-1]:
+                            row.append(i)
+                            lns.append(ln)
+                            contexts.append("\n".join(every[max(0, ln - near) : ln + near + 1]))
+                            size.append(len(flat[0]))
+                            held += len(contexts[-1])
                     if head.search(line):
                         last = ln
                     if held > HELD:
                         yield made()
-                        row, out, held = [], [[], [], [], [], [], []], 0
+                        row, lns, contexts, size, flat, held = [], [], [], [0], [[] for _ in _CELL], 0
             yield made()
 
-    return rows.select(key, text).mapInArrow(run, _types(rows, [key], "ln int, cell int, at int, match string, context string, sequence_line string"))
+    found = "array<struct<cell:int,at:int,match:string,sequence:string,line:string>>"
+    return rows.select(key, text).mapInArrow(run, _types(rows, [key], f"ln int, context string, found {found}"))
+
+
+# ------------------------------------------------------------------ evidence
+
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+#: Sentences whose patterns a worker remembers.
+REMEMBERED = 50_000
+
+
+def literal_of(pattern: str) -> str:
+    """The longest run of plain characters that every match of a pattern has, in lower case; empty if none is sure."""
+    best = run = ""
+    for op, value in re._parser.parse(pattern):
+        run = run + chr(value) if str(op) == "LITERAL" else ""
+        best = max(best, run, key=len)
+    return best.lower()
+
+
+class Evidence:
+    """Which patterns each sentence matches, remembered: contexts of one document share most of their sentences."""
+
+    def __init__(self, patterns: tuple[tuple[str, tuple[str, ...]], ...], supersedes: tuple[tuple[str, tuple[str, ...]], ...]):
+        self.names = [n for n, _ in patterns]
+        self.tries = [(t, k, literal_of(p), re.compile(p, re.IGNORECASE)) for t, (_, own) in enumerate(patterns) for k, p in enumerate(own)]
+        self.supersedes = dict(supersedes)
+        self.known: dict[str, list[tuple[int, int]]] = {}
+
+    def of(self, sentence: str) -> list[tuple[int, int]]:
+        """(technique, pattern) of each pattern that the sentence matches."""
+        found = self.known.get(sentence)
+        if found is None:
+            low = sentence.lower() if sentence.isascii() else None
+            found = [(t, k) for t, k, literal, p in self.tries if (low is None or literal in low) and p.search(sentence)]
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[sentence] = found
+        return found
+
+    def pairs(self, context: str) -> list[tuple[str, str]]:
+        """(technique, sentence) in lexicon order: of the first pattern that any sentence matches the first such sentence; general techniques go where a specific one covers them."""
+        best: dict[int, tuple[int, str]] = {}
+        for part in _SENTENCE_END.split(context.replace("\n", " ")):
+            sentence = part.strip()
+            if not sentence:
+                continue
+            for t, k in self.of(sentence):
+                if t not in best or k < best[t][0]:
+                    best[t] = k, sentence
+        covered = {g for t in best for g in self.supersedes.get(self.names[t], ())}
+        return [(self.names[t], best[t][1]) for t in sorted(best) if self.names[t] not in covered]
+
+
+@lru_cache(maxsize=8)
+def _remembered(patterns: tuple, supersedes: tuple) -> Evidence:
+    """One a worker, so that what it remembers lasts."""
+    return Evidence(patterns, supersedes)
+
+
+def evidence(context: Column, patterns: dict[str, list[str]], supersedes: dict[str, list[str]]) -> Column:
+    """array<struct<technique, line>> of each context (see Evidence.pairs); null for null."""
+    listed = tuple((n, tuple(own)) for n, own in patterns.items()), tuple((n, tuple(own)) for n, own in supersedes.items())
+    kind = pa.list_(pa.struct([("technique", pa.string()), ("line", pa.string())]))
+
+    @F.arrow_udf("array<struct<technique:string,line:string>>")
+    def run(column: pa.Array) -> pa.Array:
+        model = _remembered(*listed)
+        size, names, lines = [0], [], []
+        for text in column.to_pylist():
+            for name, line in model.pairs(text or ""):
+                names.append(name)
+                lines.append(line)
+            size.append(len(names))
+        struct = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.string())], fields=list(kind.value_type))
+        return pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct, mask=column.is_null() if column.null_count else None)
+
+    return run(context)

@@ -38,6 +38,8 @@ REPORT_HEAD = ["Evaluation Report", "=================", ""]
 REPORT_COUNTS = ["Total True Positives (TP)", "Total False Positives (FP)", "Total False Negatives (FN)"]
 REPORT_SHARES = ["Precision", "Recall", "F1 Score"]
 REPORT_TAIL = ["", "Per-PMID Results saved to metrics_by_pmid.csv"]
+#: Names of genes.
+GENE_NAME = r"^[A-Z]{2,6}\d{1,3}[A-Z]?$"
 BACK_MATTER = ["Acknowledgments", "Acknowledgements", "References", "Literature Cited", "Bibliography"]
 
 BLACKLIST = """

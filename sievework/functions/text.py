@@ -120,6 +120,8 @@ _OCR = str.maketrans(lex.OCR_CONFUSED, lex.OCR_MEANT)
 
 def rebuild(text: str, blocked: frozenset[str]) -> str:
     """Hyphenated and spaced-out sequences in one piece, repeated until nothing changes."""
+    if "-" not in text and " " not in text and "\t" not in text:  # nothing that could be joined
+        return text
     text = _HYPHEN_BREAK.sub("", text)
     while True:
         new = _HYPHEN.sub(lambda m: m[0] if m[1] in blocked or m[2] in blocked else m[1] + m[2], text)

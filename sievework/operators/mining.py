@@ -37,8 +37,11 @@ def simple(seq: Column) -> Column:
 
 def gene_like(seq: Column, context: Column) -> Column:
     """Named like a gene, or in a context about genes and not about peptides."""
-    low = F.lower(context)
-    return seq.rlike(r"^[A-Z]{2,6}\d{1,3}[A-Z]?$") | (contains_any(low, lex.GENE_TERMS) & ~contains_any(low, lex.PEPTIDE_TERMS))
+    return seq.rlike(lex.GENE_NAME) | about_genes(context)
+
+
+def about_genes(context: Column) -> Column:
+    return T.bound(F.lower(context), lambda low: contains_any(low, lex.GENE_TERMS) & ~contains_any(low, lex.PEPTIDE_TERMS))
 
 
 def plausible(seq: Column, blacklist: list[str] = lex.BLACKLIST, titles: list[str] = lex.SECTION_TITLES) -> Column:
@@ -51,15 +54,23 @@ def likely_peptide(seq: Column, context: Column, **lists: list[str]) -> Column:
     return plausible(seq, **lists) & ~gene_like(seq, context)
 
 
+#: In a line, a tab or two blanks between two characters that are neither.
+_CELLS = r"[^ \t\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029](?:\t|[ \t]{2})[ \t]*[^ \t\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029]"
+
+
 def table_like(context: Column, keywords: list[str] = lex.TABLE_KEYWORDS) -> Column:
-    rows = F.exists(T.lines(context), lambda x: F.size(F.split(T.strip(x), r"\s{2,}|\t")) >= 2)
-    return contains_any(F.lower(context), keywords) | rows
+    """A word about tables, or a line of two cells or more."""
+    rows = (context.contains("\t") | context.contains("  ")) & context.rlike(_CELLS)
+    return T.bound(F.lower(context), lambda low: contains_any(low, keywords)) | rows
 
 
 def candidate_score(
-    seq: Column, context: Column, source: Column, occurrences: Column, is_table: Column, peptide: list[str] = lex.PEPTIDE_KEYWORDS, table: list[str] = lex.TABLE_KEYWORDS, before: str = lex.WORDS_BEFORE, after: str = lex.WORDS_AFTER
+    seq: Column, context: Column, source: Column, occurrences: Column, is_table: Column, peptide: list[str] = lex.PEPTIDE_KEYWORDS, table: list[str] = lex.TABLE_KEYWORDS, before: str = lex.WORDS_BEFORE, after: str = lex.WORDS_AFTER, near: tuple[Column, Column] | None = None
 ) -> Column:
-    """How much speaks for a sequence: words around it, repeats, its source and its letters."""
+    """How much speaks for a sequence: words around it, repeats, its source and its letters.
+
+    near: whether words of before and after stand next to it, where that is known already.
+    """
     one = lambda c: F.coalesce(c, F.lit(False)).cast("int")
 
     def words(low: Column) -> Column:
@@ -70,14 +81,21 @@ def candidate_score(
         return said
 
     score = T.bound(F.lower(context), words)
-    ahead = F.regexp_like(context, F.concat(F.lit(rf"(?i)\b({before})\W{{0,20}}"), seq, F.lit(r"\b")))
-    behind = F.regexp_like(context, F.concat(F.lit(r"(?i)\b"), seq, F.lit(rf"\W{{0,30}}({after})\b")))
+    ahead, behind = near or (_ahead(seq, context, before), _behind(seq, context, after))
     letters = distinct_letters(seq)
     rich = F.when((F.length(seq) >= 20) & (letters >= 10), 4).when((F.length(seq) >= 15) & (letters >= 8), 2).otherwise(0)
     score = score + 8 * one(is_table) + 6 * one(ahead) + 6 * one(behind) + 4 * one(source.isin(*FILE_SOURCES)) - one(source == "ocr")
     return F.greatest(score + 2 * F.least(F.greatest(occurrences - 1, F.lit(0)), F.lit(5)).cast("int") + rich, F.lit(0))
 
 
+def _ahead(seq: Column, context: Column, words: str) -> Column:
+    return F.regexp_like(context, F.concat(F.lit(rf"(?i)\b({words})\W{{0,20}}"), seq, F.lit(r"\b")))
+
+
+def _behind(seq: Column, context: Column, words: str) -> Column:
+    return F.regexp_like(context, F.concat(F.lit(r"(?i)\b"), seq, F.lit(rf"\W{{0,30}}({words})\b")))
+
+
 # ------------------------------------------------------------------ techniques
 
 
@@ -119,17 +137,7 @@ def technique_lines(context: Column, patterns: Patterns = lex.TECHNIQUES, supers
     The first pattern that any sentence matches decides, then the first such sentence.
     General techniques go where a specific one that covers them is there.
     """
-    found = _evidence(T.sentences(context), F.regexp_replace(context, "\n", " "), patterns)
-    return T.bound(found, lambda pairs: without_superseded(pairs, supersedes))
-
-
-def without_superseded(pairs: Column, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
-    names = F.transform(pairs, lambda p: p["technique"])
-    covered = F.array().cast("array<string>")
-    for specific, general in supersedes.items():
-        if general:
-            covered = F.concat(covered, F.when(F.array_contains(names, specific), F.array(*map(F.lit, general))).otherwise(F.array().cast("array<string>")))
-    return F.filter(pairs, lambda p: ~F.array_contains(covered, p["technique"]))
+    return kernels.evidence(context, patterns, supersedes)
 
 
 def evidence_score(techniques: Column, weights: dict[str, float] = lex.EVIDENCE_WEIGHTS) -> Column:
@@ -169,11 +177,11 @@ def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns
 _LETTERS = f"[{lex.AA}]{{{lex.MIN_LENGTH},{lex.MAX_LENGTH}}}"
 
 
-def sequences(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", pattern: str = lex.CANDIDATE, reach: int = 1000, lines: bool = False, rebuild: bool = False) -> DataFrame:
+def sequences(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", pattern: str = lex.CANDIDATE, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, rebuild: bool = False) -> DataFrame:
     """keys, once for each plausible sequence of a text: sequence, source, occurrences, places (see kernels.sequences)."""
     ocr, blocked = source == "ocr", frozenset(lex.BLACKLIST)
     prepare = (lambda t: T.rebuild(t, blocked)) if rebuild else None
-    found = kernels.sequences(rows, keys, text, pattern, lambda m: T.letters_of(m, ocr), _LETTERS, reach, lines, prepare)
+    found = kernels.sequences(rows, keys, text, pattern, lambda m: T.letters_of(m, ocr), _LETTERS, reach, lines, near, prepare)
     return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
 
 
@@ -188,25 +196,28 @@ def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_wor
     keywords: other word lists for candidate_score, of which `table` also tells tables.
     """
     words = keywords or {}
-    found = without_words(sequences(rows, [key], text, source, lines=True, rebuild=rebuild), key, bad_words)
+    close = words.get("before", lex.WORDS_BEFORE), words.get("after", lex.WORDS_AFTER)
+    found = without_words(sequences(rows, [key], text, source, lines=True, near=close, rebuild=rebuild), key, bad_words)
     seq = F.col("sequence")
 
     def judged(p: Column) -> Column:
-        score = candidate_score(seq, p["context"], F.col("source"), F.col("occurrences"), table_like(p["context"], words.get("table", lex.TABLE_KEYWORDS)), **words)
+        score = candidate_score(seq, p["context"], F.col("source"), F.col("occurrences"), table_like(p["context"], words.get("table", lex.TABLE_KEYWORDS)), near=(p["ahead"], p["behind"]), **words)
         return F.struct(p["start"].alias("start"), p["match"].alias("match"), p["context"].alias("context"), p["line"].alias("sequence_line"), F.when(~gene_like(seq, p["context"]), score).alias("score"))
 
     # a sequence has all its places in one row, so the first that is accepted needs no shuffle
-    first = F.get(F.filter(F.transform("places", judged), lambda p: p["score"] >= least), F.lit(0))
-    found = found.select(key, "sequence", "source", first.alias("_p")).where("_p is not null").select(key, "sequence", "source", "_p.*")
+    first = F.slice(F.filter(F.transform("places", judged), lambda p: p["score"] >= least), 1, 1)
+    found = found.select(key, "sequence", "source", F.explode(first).alias("_p")).select(key, "sequence", "source", "_p.*")
     return _finished(found, key, techniques, supersedes)
 
 
 def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = lex.TABLE_HEADER, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
     """Candidates of cells in the 19 lines below a header line, with seven lines of context."""
-    blocked, ocr = frozenset(lex.BLACKLIST), F.lit(source)
-    found = kernels.table_matches(rows, key, text, lex.CANDIDATE, header, prepare=lambda c: T.rebuild(c, blocked))
-    found = found.withColumn("source", ocr).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
-    found = without_words(found, key, bad_words).where(likely_peptide(F.col("sequence"), F.col("context")))
+    blocked, ocr = frozenset(lex.BLACKLIST), source == "ocr"
+    found = kernels.table_matches(rows, key, text, lex.CANDIDATE, lambda m: T.letters_of(m, ocr), _LETTERS, header, prepare=lambda c: T.rebuild(c, blocked))
+    # what only the context decides is decided once a line, before its matches are told apart
+    found = found.where(~about_genes(F.col("context"))).select(key, "ln", "context", F.explode("found").alias("_f")).select(key, "ln", "context", "_f.*")
+    seq = F.col("sequence")
+    found = without_words(found.where(plausible(seq) & ~seq.rlike(lex.GENE_NAME)), key, bad_words).withColumn("source", F.lit(source)).withColumnRenamed("line", "sequence_line")
     first = Window.partitionBy(key, "sequence").orderBy("ln", "cell", "at")
     found = found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
     found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.lit(1), F.lit(True)))

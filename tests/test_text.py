@@ -95,6 +95,34 @@ def test_candidate_score(spark):
     assert one(spark, score, s="MKTLLVW", c="peptide MKTLLVW") == 9
 
 
+def test_words_next_to_a_sequence(spark):
+    rng, near = random.Random(2), kernels.Near(lex.WORDS_BEFORE, lex.WORDS_AFTER)
+    some = ["MKTLLVW", "mktllvw", " ", "  ", ", ", "peptide", "Residues", "isolated", "x", "-", "\n", " " * 15]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 9))) for _ in range(2000)]
+    one_ = lambda c: mining.candidate_score(F.lit("MKTLLVW"), F.col("t"), F.lit("x"), F.lit(1), F.lit(False), [], [], near=c)
+    plain = mining._ahead(F.lit("MKTLLVW"), F.col("t"), lex.WORDS_BEFORE), mining._behind(F.lit("MKTLLVW"), F.col("t"), lex.WORDS_AFTER)
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", plain[0].alias("a"), plain[1].alias("b"), one_(plain).alias("s")).collect()
+    assert all(near.of(r.t, "MKTLLVW") == (r.a, r.b) and r.s == 6 * r.a + 6 * r.b for r in rows) and sum(r.a and r.b for r in rows) > 5
+
+
+def test_evidence_is_the_first_sentence_of_the_first_pattern():
+    rng = random.Random(3)
+    patterns = (("A", (r"\bab\b", r"b[\-\s]c")), ("B", (r"x+y", r"ab")), ("C", ("Q",)))
+    model = kernels.Evidence(patterns, (("A", ("C",)),))
+    assert [t[2] for t in model.tries] == ["ab", "b", "y", "ab", "q"]
+    for _ in range(3000):
+        text = "".join(rng.choice(["ab", "b-c", " ", ". ", "! ", "xxy", "q", "Q\n", "z"]) for _ in range(rng.randint(0, 14)))
+        parts = [s.strip() for s in re.split(r"(?<=[.!?])\s+", text.replace("\n", " ")) if s.strip()]
+        wanted = []
+        for name, own in patterns:
+            line = next((s for p in own for s in parts if re.search(p, s, re.IGNORECASE)), None)
+            if line is not None:
+                wanted.append((name, line))
+        if any(n == "A" for n, _ in wanted):
+            wanted = [w for w in wanted if w[0] != "C"]
+        assert model.pairs(text) == wanted, text
+
+
 @pytest.mark.parametrize(("names", "wanted"), [([], 1.0), (["Agarose Gel"], 1.0), (["HPLC", "HPLC", "NMR"], 6.0)])
 def test_evidence_score(spark, names, wanted):
     assert one(spark, mining.evidence_score(F.col("t")), t=names) == wanted
