@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import unused
+
 
 def rank_within(rows: DataFrame, key: str, order: list[Column], spread: Column, buckets: int | Column, rank: str = "rank") -> DataFrame:
     """rows with a number from 0 within each key, gapless, the same on every run.
@@ -15,10 +17,11 @@ def rank_within(rows: DataFrame, key: str, order: list[Column], spread: Column,
     `order`. So a key with a third of all rows is numbered by `buckets` tasks. The totals,
     at most keys x buckets rows, are shuffled by key only after they are summed.
     """
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(spread), buckets if isinstance(buckets, Column) else F.lit(buckets)).cast("int"))
-    totals = dealt.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = totals.select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy(key, "_bucket").orderBy(*order)
-    numbered = dealt.withColumn("_at", F.row_number().over(within) - 1)
-    return numbered.join(first, [key, "_bucket"]).withColumn(rank, F.col("_first") + F.col("_at")).drop("_bucket", "_n", "_first", "_at")
+    bucket, n, base, at = (unused(name, rows.columns) for name in ("_bucket", "_n", "_base", "_at"))
+    dealt = rows.withColumn(bucket, F.pmod(F.xxhash64(spread), buckets if isinstance(buckets, Column) else F.lit(buckets)).cast("int"))
+    totals = dealt.groupBy(key, bucket).agg(F.count("*").alias(n))
+    before = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    first = totals.select(key, bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))
+    within = Window.partitionBy(key, bucket).orderBy(*order)
+    numbered = dealt.withColumn(at, F.row_number().over(within) - 1)
+    return numbered.join(first, [key, bucket]).withColumn(rank, F.col(base) + F.col(at)).drop(bucket, base, at)

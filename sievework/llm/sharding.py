@@ -39,14 +39,15 @@ def _lot(*of: Column) -> Column:
 
 
 def _pick(values: list, at: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), at + 1)
+    """values[at], null for a null `at`; element_at would pass for never null under ANSI rules."""
+    return F.get(F.array(*[F.lit(v) for v in values]), at)
 
 
-def cells_of(groups: DataFrame, link: str, shards: int, cell: int) -> DataFrame:
-    """(link, part, size, shard) of groups (link, copies): parts of `cell` rows, a quota's worth of them in a shard."""
+def cells_of(groups: DataFrame, link: str, shards: int, cell: int, quota: int) -> DataFrame:
+    """(link, part, size, shard) of groups (link, copies): parts of `cell` rows, as many in a shard as its quota takes."""
     each = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / cell).cast("int") - 1)))
     size = F.least(F.lit(cell).cast("long"), F.col("copies") - F.col("part") * cell)
-    begin = F.pmod(F.pmod(F.xxhash64(link), F.lit(shards)) + F.floor(F.col("part") / FINE), F.lit(shards)).cast("int")
+    begin = F.pmod(F.pmod(F.xxhash64(link), F.lit(shards)) + F.floor(F.col("part") / max(1, quota // cell)), F.lit(shards)).cast("int")
     return each.select(link, "part", size.alias("size"), begin.alias("shard"))
 
 
@@ -61,8 +62,8 @@ def propagate(cells: DataFrame, link: str, shards: int, quota: list[int], rounds
         # only groups larger than a cell have several, and no more than shards x FINE groups are that large
         several = now.groupBy(link).agg(near.alias("near"), F.count("*").alias("cells")).where("cells > 1").drop("cells")
         asked = now.join(F.broadcast(several), link, "left").withColumn("drawn", _lot(F.col(link), F.col("part"), F.lit(turn)) < _pick(over, F.col("shard")))
-        here = F.coalesce(F.element_at("near", F.col("shard") + 1), F.col("size"))
-        there = lambda s: F.coalesce(F.element_at("near", s + 1), F.when(s == F.col("shard"), F.col("size")).otherwise(0))
+        here = F.coalesce(F.get("near", F.col("shard")), F.col("size"))
+        there = lambda s: F.coalesce(F.get("near", s), F.when(s == F.col("shard"), F.col("size")).otherwise(0))
         # of shards with equally many neighbours a cell's own hash prefers one
         prefers = lambda s: F.xxhash64(F.col(link), F.col("part"), F.lit(turn), s)
         may = lambda s: (_pick([r > 0 for r in room], s) & (s != F.col("shard"))) | ((s == F.col("shard")) & ~F.col("drawn"))
@@ -73,7 +74,7 @@ def propagate(cells: DataFrame, link: str, shards: int, quota: list[int], rounds
         if not wanted:
             break
         share = [int(_LOTS * min(1.0, max(0, room[s]) / wanted[s])) if wanted.get(s) else 0 for s in range(shards)]
-        admitted = _lot(F.col("part"), F.col(link), F.lit(-turn - 1)) < _pick(share, F.col("want"))
+        admitted = F.col("want").isNotNull() & (_lot(F.col("part"), F.col(link), F.lit(-turn - 1)) < _pick(share, F.col("want")))
         now = store(asked.withColumn("shard", F.when(admitted, F.col("want")).otherwise(F.col("shard"))).drop("want"), "cells")
     return now
 
@@ -95,7 +96,7 @@ def fill(linked: DataFrame, single: DataFrame, link: str, shards: int, quota: li
         pool += sizes.get(s, 0) - (kept[s] if s < shards else 0)
     keep = F.array(*[F.lit(k).cast("long") for k in [*kept, 0]])
     begin = F.array(*[F.lit(b).cast("long") for b in begins])
-    at = F.element_at(begin, F.col("shard") + 1) + F.col("_rank")
+    at = F.get(begin, F.col("shard")) + F.col("_rank")
     # the pool's numbers fall into the shards' rooms one after the other
     to, slot, edge = [], [], 0
     for s in range(shards):
@@ -104,7 +105,7 @@ def fill(linked: DataFrame, single: DataFrame, link: str, shards: int, quota: li
         to.append(F.when(inside, F.lit(s)))
         slot.append(F.when(inside, at - edge + kept[s]))
         edge += room
-    stays = F.col("_rank") < F.element_at(keep, F.col("shard") + 1)
+    stays = F.col("_rank") < F.get(keep, F.col("shard"))
     rest = [c for c in whole.columns if c not in ("shard", "part", "_row")]
     return ranked.select(*rest, F.when(stays, F.col("shard")).otherwise(F.coalesce(*to)).cast("int").alias("shard"), F.when(stays, F.col("_rank")).otherwise(F.coalesce(*slot)).alias("slot"))
 
@@ -120,7 +121,7 @@ def _sharded(rows: DataFrame, link: str, shards: int, rounds: int) -> DataFrame:
     quota = [total // shards + (s < total % shards) for s in range(shards)]
     cell = max(1, quota[0] // FINE)
     groups = store(rows.groupBy(link).agg(F.count("*").alias("copies")).where("copies > 1"), "groups")
-    cells = propagate(cells_of(groups, link, shards, cell), link, shards, quota, rounds)
+    cells = propagate(cells_of(groups, link, shards, cell, quota[0]), link, shards, quota, rounds)
     # groups larger than a cell: shards x FINE at most, and twice as many cells
     large = F.broadcast(groups.where(F.col("copies") > cell).select(link))
     ranked = rank_within(rows.join(large, link, "left_semi"), link, [F.col("_row")], F.col("_row"), F.lit(max(8, total // (BUCKET * shards))), "_rank")
