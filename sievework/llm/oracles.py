@@ -76,3 +76,38 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(k, 0) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id, vec_id <= coalesce(c, vec_id) AS kept
 FROM v LEFT JOIN degree d ON d.x = vec_id LEFT JOIN comp m ON m.x = vec_id
 """
+
+ORACLE_SQL["op11_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS no FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), s AS (
+  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS INT)) >= 3
+), m AS (
+  SELECT k.doc_id, no, line, s.key IS NOT NULL AND k.doc_id IS DISTINCT FROM top AS goes FROM k LEFT JOIN s ON s.key = k.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT goes), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+ORACLE_SQL["op12_fim"] = r"""
+WITH x AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), g AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substring(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substring(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substring(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substring(h, 25, 8) AS BIGINT) AS h4 FROM x
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g
+), p AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""

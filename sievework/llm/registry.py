@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, crf, lattice, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
+from . import bpe, crf, fim, lattice, line_dedup, packing, pii, quality_rules, setjoin, sharding, suffix_dedup, warc
 from .oracles import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -79,3 +79,13 @@ def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crf.held_out())
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
     return crf.score(docs, crf.fit(docs, labels), keep=("doc_id", "held_out"))
+
+
+@_query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
