@@ -13,14 +13,17 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .patterns import literal, width
+
 #: Characters of what was found that a task holds before it hands them on.
 HELD = 4_000_000
-#: White space that is cut from ends, and what ends a line, as in the functions over columns.
-BLANK = " \t\n\x0b\x0c\r"
+#: What ends a line, as in the functions over columns.
 LINE_END = re.compile("\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]")
 
 Prepare = Callable[[str], str] | None
@@ -52,9 +55,46 @@ class Lines:
         at = self.text.find(target)
         if at < 0 or LINE_END.search(target):
             return ""
+        return self.line_at(at)
+
+    def line_at(self, at: int) -> str:
         self._cut()
         k = bisect_right(self.begins, at) - 1
-        return self.text[self.begins[k] : self.ends[k]].strip(BLANK)
+        return self.text[self.begins[k] : self.ends[k]].strip()
+
+    def firsts(self, targets: list[str]) -> list[str]:
+        """first_with of each target; the text is read once where that is less work than a search for each."""
+        if len(targets) * len(self.text) < SEARCHED:
+            return [self.first_with(t) for t in targets]
+        places = first_places(self.text, targets)
+        return ["" if places[t] is None or LINE_END.search(t) else self.line_at(places[t]) for t in targets]
+
+
+#: Characters that are searched again and again at most before an automaton is made.
+SEARCHED = 2_000_000
+
+
+def first_places(text: str, targets: list[str]) -> dict[str, int | None]:
+    """Where each target first stands in a text, None where it doesn't: one scan by an automaton of all targets."""
+    places: dict[str, int | None] = dict.fromkeys(targets)
+    machine = ahocorasick.Automaton()
+    for t in places:
+        if t:
+            machine.add_word(t, t)
+        else:
+            places[t] = 0
+    if len(machine):
+        machine.make_automaton()
+        for end, t in machine.iter(text):
+            if places[t] is None:
+                places[t] = end - len(t) + 1
+    return places
+
+
+def lowered(text: str) -> str:
+    """Lower case, character by character: letters whose lower case is longer stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def around(text: str, start: int, end: int, reach: int) -> str:
@@ -100,16 +140,16 @@ class Near:
     def __init__(self, before: str, after: str):
         self.before, self.after = re.compile(rf"(?i)\b(?:{before})\W{{0,20}}\Z"), re.compile(rf"(?i)\W{{0,30}}(?:{after})\b")
         self.word = re.compile(r"\w")
+        #: characters before a sequence that may count: all of them where the words have no longest form
+        self.reach = None if width(before) is None else width(before) + 20
 
     def of(self, context: str, sequence: str) -> tuple[bool, bool]:
-        low, target, ahead, behind = context.lower(), sequence.lower(), False, False
-        if len(low) != len(context):  # lower case of some letters is longer
-            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in context)
+        low, target, ahead, behind = lowered(context), sequence.lower(), False, False
         i = low.find(target)
         while i >= 0 and not (ahead and behind):
             end = i + len(target)
             if not ahead and not self.word.match(context, end):
-                ahead = self.before.search(context, max(0, i - 60), i) is not None
+                ahead = self.before.search(context, 0 if self.reach is None else max(0, i - self.reach), i) is not None
             if not behind and not (i and self.word.match(context, i - 1)):
                 behind = self.after.match(context, end) is not None
             i = low.find(target, i + 1)
@@ -119,7 +159,7 @@ class Near:
 _PLACE = pa.struct([("no", pa.int32()), ("start", pa.int64()), ("match", pa.string()), ("context", pa.string()), ("line", pa.string()), ("ahead", pa.bool_()), ("behind", pa.bool_())])
 
 
-def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, prepare: Prepare = None) -> DataFrame:
+def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, prepare: Prepare = None, first: bool = False) -> DataFrame:
     """keys of rows, once for each normalised match that is wholly of the form `keep`: sequence, occurrences, places.
 
     occurrences counts all matches of the text that are normalised alike. places are in
@@ -127,7 +167,7 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
     holds the match; with `near`, whether words of the first pattern stand up to 20
     characters before the sequence, or of the second up to 30 after it, anywhere in the
     surroundings. A place whose surroundings equal an earlier one's adds nothing and is
-    left out. prepare rewrites a text before it is searched.
+    left out. prepare rewrites a text before it is searched. first: the first place alone.
     """
     finder, whole, close = re.compile(pattern), re.compile(keep), Near(*near) if near else None
     names = [*keys, "sequence", "occurrences", "places"]
@@ -155,7 +195,7 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                         found[name] = [1, [(k, m)] if whole.fullmatch(name) else None]
                     else:
                         at[0] += 1
-                        if at[1] is not None:
+                        if at[1] is not None and not first:
                             at[1].append((k, m))
                 for name, (n, places) in found.items():
                     if places is None:
@@ -184,81 +224,242 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
     return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, f"sequence string, occurrences long, places {places}"))
 
 
-_WIDE, _GAP = re.compile(r"\t|[ \t\n\x0b\x0c\r]{2,}"), re.compile(r"[ \t\n\x0b\x0c\r]+")
+# ------------------------------------------------------------------ judging places
+
+
+#: A gap between two cells of a line, with the characters on its sides.
+_CELL_GAP = re.compile(r"(?<=[^ \t\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029])(?:\t[ \t]*|[ \t]{2,})(?=[^ \t\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029])")
+
+
+def _everywhere(text: str, word: str) -> np.ndarray:
+    out, at = [], text.find(word)
+    while at >= 0:
+        out.append(at)
+        at = text.find(word, at + 1)
+    return np.array(out, np.int64)
+
+
+class Judge:
+    """How much the words around a place speak for a sequence there.
+
+    peptide, table: words that count 3 and 5 where they stand in the surroundings, of
+    which the latter, or two cells in a line, tell a table (8). genes, peptides: words of
+    which some of the first and none of the second speak against any sequence. near:
+    words before and after a sequence (6 each). Where the words of a text stand is found
+    once, and what lies around each place is looked up among these.
+    """
+
+    def __init__(self, peptide: list[str], table: list[str], near: tuple[str, str], genes: list[str], peptides: list[str], gene_name: str, source: int):
+        self.peptide, self.table, self.genes, self.peptides = peptide, table, genes, peptides
+        self.close, self.gene_name, self.source = Near(*near), re.compile(gene_name), source
+        self.words = sorted({*peptide, *table, *genes, *peptides})
+
+    def around(self, text: str, begin: np.ndarray, end: np.ndarray, in_table: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(points, about genes) of the stretches of a text between begin and end, which may be known to be a table's."""
+        low, hits, none = lowered(text), {}, np.zeros(len(begin), bool)
+        for w in self.words:
+            if w in low:
+                hits[w] = self._within(at := _everywhere(low, w), at + len(w), begin, end)
+        any_of = lambda words: np.logical_or.reduce([none, *[hits[w] for w in words if w in hits]])
+        gaps = [m.span() for m in _CELL_GAP.finditer(text)] if "\t" in text or "  " in text else []
+        rows = self._within(np.array([a - 1 for a, _ in gaps], np.int64), np.array([b + 1 for _, b in gaps], np.int64), begin, end)
+        points = 8 * (any_of(self.table) | rows | in_table)
+        for weight, words in ((3, self.peptide), (5, self.table)):
+            for w in words:
+                if w in hits:
+                    points = points + weight * hits[w]
+        return points, any_of(self.genes) & ~any_of(self.peptides)
+
+    @staticmethod
+    def _within(first: np.ndarray, last: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether any of the spans, which are in order, lies in each stretch."""
+        if not len(first):
+            return np.zeros(len(begin), bool)
+        k = np.searchsorted(first, begin)
+        return (k < len(first)) & (last[np.minimum(k, len(first) - 1)] <= end)
+
+    def of_sequence(self, name: str, occurrences: int) -> int:
+        """Points that hang on a sequence and its source alone."""
+        letters = len(set(name))
+        rich = 4 if len(name) >= 20 and letters >= 10 else 2 if len(name) >= 15 and letters >= 8 else 0
+        return self.source + 2 * min(max(occurrences - 1, 0), 5) + rich
+
+
+class Held:
+    """Rows of what was found, until there is enough of them for a batch."""
+
+    def __init__(self, types: dict[str, pa.DataType]):
+        self.types, self.size = types, 0
+        self.rows: list[int] = []
+        self.columns: list[list] = [[] for _ in types]
+
+    def add(self, row: int, *values, size: int) -> None:
+        self.rows.append(row)
+        for column, v in zip(self.columns, values, strict=True):
+            column.append(v)
+        self.size += size
+
+    def batch(self, keys: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+        take = pa.array(self.rows, pa.int32())
+        own = [pa.array(c, t) for c, t in zip(self.columns, self.types.values(), strict=True)]
+        self.__init__(self.types)
+        return pa.RecordBatch.from_arrays([*[k.take(take) for k in keys], *own], names=[*names, *self.types])
+
+
+_PAIRS = pa.list_(pa.struct([("technique", pa.string()), ("line", pa.string())]))
+_ACCEPTED = {"sequence": pa.string(), "start": pa.int64(), "match": pa.string(), "context": pa.string(), "sequence_line": pa.string(), "occurrences": pa.int64(), "score": pa.int32(), "pairs": _PAIRS}
+_ACCEPTED_TYPES = "sequence string, start long, match string, context string, sequence_line string, occurrences long, score int, pairs array<struct<technique:string,line:string>>"
+
+Listed = tuple[tuple[tuple[str, tuple[str, ...]], ...], ...]
+
+
+def listed(*tables: dict[str, list[str]]) -> Listed:
+    """Tables of names and their patterns in a form that can be remembered by."""
+    return tuple(tuple((n, tuple(own)) for n, own in t.items()) for t in tables)
+
+
+def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, judge: Judge, least: int | None, evidence: Listed | None = None, reach: int = 1000, prepare: Prepare = None) -> DataFrame:
+    """keys of rows, once for each normalised match of the form `keep`: its first place with `least` points or more that is not about genes.
+
+    Nothing but the accepted place leaves the worker: sequence, start, match, context,
+    sequence_line (the first line that holds the match), occurrences, score, and pairs
+    (techniques of `evidence` in the context, each with its sentence). Without least each
+    sequence's first place is taken as it is. A text's words are found once, so the work
+    is linear in its length and its matches.
+    """
+    finder, whole = re.compile(pattern), re.compile(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, model = Held(_ACCEPTED), _remembered(*evidence) if evidence else None
+        for batch in batches:
+            for i, value in enumerate(batch.column(len(keys)).to_pylist()):
+                value = prepare(value) if prepare and value else value or ""
+                known: dict[str, str] = {}
+                found: dict[str, list] = {}  # name: times, numbers of its places
+                starts, ends = [], []
+                for m in finder.finditer(value):
+                    name = known.get(m[0])
+                    if name is None:
+                        name = known[m[0]] = normal(m[0])
+                    at = found.get(name)
+                    if at is None:
+                        at = found[name] = [0, [] if whole.fullmatch(name) else None]
+                    at[0] += 1
+                    if at[1] is not None and (least is not None or not at[1]):
+                        at[1].append(len(starts))
+                        starts.append(m.start())
+                        ends.append(m.end())
+                if not starts:
+                    continue
+                begin, end = np.maximum(np.array(starts, np.int64) - reach, 0), np.minimum(np.array(ends, np.int64) + reach, len(value))
+                points, genes = judge.around(value, begin, end)
+                points, genes, begin, end = points.tolist(), genes.tolist(), begin.tolist(), end.tolist()
+                chosen = []
+                for name, (times, places) in found.items():
+                    if places is None or least is not None and judge.gene_name.match(name):
+                        continue
+                    own = judge.of_sequence(name, times)
+                    for k in places:
+                        if least is not None and (genes[k] or points[k] + own + 12 < least):
+                            continue
+                        context = value[begin[k] : end[k]]
+                        score = max(points[k] + own + 6 * sum(judge.close.of(context, name)), 0)
+                        if least is None or score >= least:
+                            chosen.append((name, k, times, score))
+                            break
+                lines = Lines(value).firsts([value[starts[k] : ends[k]] for _, k, _, _ in chosen])
+                for (name, k, times, score), line in zip(chosen, lines, strict=True):
+                    context = value[begin[k] : end[k]]
+                    pairs = [{"technique": t, "line": x} for t, x in model.pairs(context)] if model else None
+                    held.add(i, name, starts[k], value[starts[k] : ends[k]], context, line, times, score, pairs, size=2 * len(context) + len(line))
+                    if held.size > HELD:
+                        yield held.batch(batch.columns[: len(keys)], keys)
+            yield held.batch(batch.columns[: len(keys)], keys)
+
+    return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, _ACCEPTED_TYPES))
+
+
+_WIDE = re.compile(r"\t|\s{2,}")
 
 
 def cells(line: str) -> list[str]:
     """Cells between tabs or wide gaps; words where there is one cell or none."""
-    wide = [c for c in (c.strip(BLANK) for c in _WIDE.split(line)) if c]
-    return wide if len(wide) >= 2 else [c for c in _GAP.split(line.strip(BLANK)) if c]
+    wide = [c for c in (c.strip() for c in _WIDE.split(line)) if c]
+    return wide if len(wide) >= 2 else line.split()
+
 
+class Remembered:
+    """A function of texts whose values are kept, up to so many characters of text."""
+
+    def __init__(self, of: Callable[[str], list], most: int = 4_000_000):
+        self.of, self.most, self.size, self.known = of, most, 0, {}
+
+    def __call__(self, text: str) -> list:
+        value = self.known.get(text)
+        if value is None:
+            value = self.of(text)
+            if self.size > self.most:
+                self.known.clear()
+                self.size = 0
+            self.known[text] = value
+            self.size += len(text) + 64
+        return value
 
-_CELL = pa.struct([("cell", pa.int32()), ("at", pa.int32()), ("match", pa.string()), ("sequence", pa.string()), ("line", pa.string())])
 
+_IN_TABLE = {k: v for k, v in _ACCEPTED.items() if k not in ("occurrences", "pairs")}
+_IN_TABLE_TYPES = "sequence string, start long, match string, context string, sequence_line string, score int"
 
-def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Callable[[str], str], keep: str, header: str, reach: int = 19, near: int = 3, prepare: Prepare = None) -> DataFrame:
-    """key, once for each of the `reach` lines below a header line with matches in its cells: ln, context, found.
 
-    found are those matches that are normalised to the form `keep`, with the first line of
-    the text that holds them. context is the line with `near` lines on either side; prepare
-    rewrites a cell before it is searched.
+def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Callable[[str], str], keep: str, header: str, judge: Judge, reach: int = 19, near: int = 3, prepare: Prepare = None) -> DataFrame:
+    """key, once for each sequence in the cells of the `reach` lines below a header line: its first place in a line that is not about genes.
+
+    start is the line's number, context the line with `near` lines on either side,
+    sequence_line the first line of the text that holds the match. prepare rewrites a
+    cell before it is searched; cells that were seen before are not searched again.
     """
     finder, whole, head = re.compile(pattern), re.compile(keep), re.compile(header)
 
+    def matches_in(cell: str) -> list[tuple[str, str]]:
+        pairs = [(m[0], normal(m[0])) for m in finder.finditer(prepare(cell) if prepare else cell)]
+        return [(m, name) for m, name in pairs if whole.fullmatch(name) and not judge.gene_name.match(name)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, search = Held(_IN_TABLE), Remembered(matches_in)
         for batch in batches:
-            row, lns, contexts, size, flat, held = [], [], [], [0], [[] for _ in _CELL], 0
-
-            def made() -> pa.RecordBatch:
-                struct = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(flat, _CELL, strict=True)], fields=list(_CELL))
-                found = pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct)
-                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), pa.array(lns, pa.int32()), pa.array(contexts, pa.string()), found], names=[key, "ln", "context", "found"])
-
             for i, value in enumerate(batch.column(1).to_pylist()):
                 if not value or not head.search(value):
                     continue
                 own, last = Lines(value), None
-                every = own.all()
+                every, seen, chosen = own.all(), set(), []
                 for ln, line in enumerate(every):
                     if last is not None and ln - last <= reach:
-                        for c, cell in enumerate(cells(line)):
-                            for at, m in enumerate(finder.finditer(prepare(cell) if prepare else cell)):
-                                name = normal(m[0])
-                                if whole.fullmatch(name):
-                                    for column, v in zip(flat, (c, at, m[0], name, own.first_with(m[0])), strict=True):
-                                        column.append(v)
-                                    held += len(flat[-1][-1])
-                        if len(flat[0]) > size[-1]:
-                            row.append(i)
-                            lns.append(ln)
-                            contexts.append("\n".join(every[max(0, ln - near) : ln + near + 1]))
-                            size.append(len(flat[0]))
-                            held += len(contexts[-1])
+                        new = {}
+                        for cell in cells(line):
+                            for m, name in search(cell):
+                                if name not in seen:
+                                    new.setdefault(name, m)
+                        if new:
+                            context = "\n".join(every[max(0, ln - near) : ln + near + 1])
+                            points, genes = judge.around(context, np.zeros(1, np.int64), np.array([len(context)]), in_table=True)
+                            if not genes[0]:
+                                chosen += [(name, ln, m, context, int(points[0])) for name, m in new.items()]
+                                seen.update(new)
                     if head.search(line):
                         last = ln
-                    if held > HELD:
-                        yield made()
-                        row, lns, contexts, size, flat, held = [], [], [], [0], [[] for _ in _CELL], 0
-            yield made()
+                lines = own.firsts([m for _, _, m, _, _ in chosen])
+                for (name, ln, m, context, points), line in zip(chosen, lines, strict=True):
+                    score = max(points + judge.of_sequence(name, 1) + 6 * sum(judge.close.of(context, name)), 0)
+                    held.add(i, name, ln, m, context, line, score, size=len(context) + len(line))
+                    if held.size > HELD:
+                        yield held.batch(batch.columns[:1], [key])
+            yield held.batch(batch.columns[:1], [key])
 
-    found = "array<struct<cell:int,at:int,match:string,sequence:string,line:string>>"
-    return rows.select(key, text).mapInArrow(run, _types(rows, [key], f"ln int, context string, found {found}"))
+    return rows.select(key, text).mapInArrow(run, _types(rows, [key], _IN_TABLE_TYPES))
 
 
 # ------------------------------------------------------------------ evidence
 
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
-#: Sentences whose patterns a worker remembers.
-REMEMBERED = 50_000
-
-
-def literal_of(pattern: str) -> str:
-    """The longest run of plain characters that every match of a pattern has, in lower case; empty if none is sure."""
-    best = run = ""
-    for op, value in re._parser.parse(pattern):
-        run = run + chr(value) if str(op) == "LITERAL" else ""
-        best = max(best, run, key=len)
-    return best.lower()
 
 
 class Evidence:
@@ -266,20 +467,14 @@ class Evidence:
 
     def __init__(self, patterns: tuple[tuple[str, tuple[str, ...]], ...], supersedes: tuple[tuple[str, tuple[str, ...]], ...]):
         self.names = [n for n, _ in patterns]
-        self.tries = [(t, k, literal_of(p), re.compile(p, re.IGNORECASE)) for t, (_, own) in enumerate(patterns) for k, p in enumerate(own)]
+        self.tries = [(t, k, literal(p), re.compile(p, re.IGNORECASE)) for t, (_, own) in enumerate(patterns) for k, p in enumerate(own)]
         self.supersedes = dict(supersedes)
-        self.known: dict[str, list[tuple[int, int]]] = {}
+        self.of = Remembered(self._of)
 
-    def of(self, sentence: str) -> list[tuple[int, int]]:
+    def _of(self, sentence: str) -> list[tuple[int, int]]:
         """(technique, pattern) of each pattern that the sentence matches."""
-        found = self.known.get(sentence)
-        if found is None:
-            low = sentence.lower() if sentence.isascii() else None
-            found = [(t, k) for t, k, literal, p in self.tries if (low is None or literal in low) and p.search(sentence)]
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[sentence] = found
-        return found
+        low = sentence.lower() if sentence.isascii() else None
+        return [(t, k) for t, k, sure, p in self.tries if (low is None or sure in low) and p.search(sentence)]
 
     def pairs(self, context: str) -> list[tuple[str, str]]:
         """(technique, sentence) in lexicon order: of the first pattern that any sentence matches the first such sentence; general techniques go where a specific one covers them."""
@@ -303,12 +498,12 @@ def _remembered(patterns: tuple, supersedes: tuple) -> Evidence:
 
 def evidence(context: Column, patterns: dict[str, list[str]], supersedes: dict[str, list[str]]) -> Column:
     """array<struct<technique, line>> of each context (see Evidence.pairs); null for null."""
-    listed = tuple((n, tuple(own)) for n, own in patterns.items()), tuple((n, tuple(own)) for n, own in supersedes.items())
+    tables = listed(patterns, supersedes)
     kind = pa.list_(pa.struct([("technique", pa.string()), ("line", pa.string())]))
 
     @F.arrow_udf("array<struct<technique:string,line:string>>")
     def run(column: pa.Array) -> pa.Array:
-        model = _remembered(*listed)
+        model = _remembered(*tables)
         size, names, lines = [0], [], []
         for text in column.to_pylist():
             for name, line in model.pairs(text or ""):

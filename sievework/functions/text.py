@@ -1,7 +1,7 @@
 """Text functions over Columns, all inside the JVM but for the one that runs to a fixpoint.
 
-Regular expressions are Java's; text is taken as it is. White space and word boundaries
-follow Java's defaults, so callers that need other rules fold the text first.
+Text is taken as it is. Patterns are written for Python and mean in Spark what they mean
+there (see `patterns`): white space, digits and word boundaries are those of Unicode.
 """
 
 from __future__ import annotations
@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import lexicons as lex
+from . import patterns as P
 
 LINE_BREAK = r"\R|[\x1c-\x1e]"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, rf"\A[{P.SPACE}]+|[{P.SPACE}]+\z", "")
 
 
 def fold(text: Column) -> Column:
@@ -34,14 +35,14 @@ def lines(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    parts = F.split(F.regexp_replace(text, "\n", " "), r"(?<=[.!?])\s+")
+    parts = F.split(F.regexp_replace(text, "\n", " "), P.java(r"(?<=[.!?])\s+"))
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
 def cells(row: Column) -> Column:
     """Cells between tabs or wide gaps; words where there is one cell or none."""
-    wide = F.filter(F.transform(F.split(row, r"\t|\s{2,}"), strip), lambda c: c != "")
-    return F.when(F.size(wide) >= 2, wide).otherwise(F.filter(F.split(strip(row), r"\s+"), lambda c: c != ""))
+    wide = F.filter(F.transform(F.split(row, P.java(r"\t|\s{2,}")), strip), lambda c: c != "")
+    return F.when(F.size(wide) >= 2, wide).otherwise(F.filter(F.split(strip(row), P.java(r"\s+")), lambda c: c != ""))
 
 
 def replace_each(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
@@ -61,7 +62,7 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def pmid(text: Column, otherwise: Column, patterns: list[str] = lex.PMID_PATTERNS) -> Column:
     """The first pattern's first group that occurs anywhere, else the given value."""
-    tries = [F.nullif(F.regexp_extract(text, f"(?i){p}", 1), F.lit("")) for p in patterns]
+    tries = [F.nullif(F.regexp_extract(text, P.java(p, ignore_case=True), 1), F.lit("")) for p in patterns]
     return F.coalesce(*tries, otherwise)
 
 
@@ -71,13 +72,13 @@ def letters_only(seq: Column) -> Column:
 
 def join_hyphens(text: Column, letters: str = lex.AA) -> Column:
     """Sequences hyphenated at a line end in one piece; a single pass is the fixpoint."""
-    return F.regexp_replace(text, lex.HYPHEN_BREAK.replace(lex.AA, letters), "")
+    return F.regexp_replace(text, P.java(lex.HYPHEN_BREAK.replace(lex.AA, letters)), "")
 
 
 def before_back_matter(text: Column, headings: list[str] = lex.BACK_MATTER) -> Column:
     """The lines before the first that is a back-matter heading."""
-    heads = "|".join(re.escape(h).replace(r"\ ", " ") for h in headings)
-    stop = rf"(?i)^\s*(?:\[?\d+\]?\.?\s*)?(?:{heads})[.:\s]*$"
+    heads = "|".join(map(re.escape, headings))
+    stop = P.java(rf"\A\s*(?:\[?\d+\]?\.?\s*)?(?:{heads})[.:\s]*\Z", ignore_case=True)
     own = lines(text)
     at = F.array_position(F.transform(own, lambda x: x.rlike(stop)), True)
     return F.array_join(F.when(at > 0, F.slice(own, 1, (at - 1).cast("int"))).otherwise(own), "\n")
@@ -85,8 +86,8 @@ def before_back_matter(text: Column, headings: list[str] = lex.BACK_MATTER) -> C
 
 def abbreviations(text: Column, heading: str = "Abbreviations") -> Column:
     """Abbreviations listed after the heading, up to a blank line: TERM, meaning; TERM, meaning."""
-    body = F.element_at(F.split(F.regexp_extract(text, rf"(?is){heading}\s*:\s*(.*)", 1), "\n\n"), 1)
-    terms = F.transform(F.split(body, ";"), lambda p: F.regexp_extract(strip(p), r"^([A-Za-z0-9]+)\s*,", 1))
+    body = F.element_at(F.split(F.regexp_extract(text, P.java(rf"(?s){heading}\s*:\s*(.*)", ignore_case=True), 1), "\n\n"), 1)
+    terms = F.transform(F.split(body, ";"), lambda p: F.regexp_extract(strip(p), P.java(r"^([A-Za-z0-9]+)\s*,"), 1))
     return F.array_distinct(F.filter(terms, lambda t: t != ""))
 
 
@@ -109,8 +110,8 @@ def candidate_letters(seq: Column, source: Column) -> Column:
 def join_numbered(text: Column, letters: str = lex.AA) -> Column:
     """Sequence blocks with numbers or spaces between them, joined within a line."""
     word = rf"[{letters}]{{3,}}"
-    block = rf"\b{word}(?:[\s\d]+{word})+\b"
-    return F.array_join(F.transform(lines(text), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, r"[\s\d]+", ""))), "\n")
+    block, gap = P.java(rf"\b{word}(?:[\s\d]+{word})+\b"), P.java(r"[\s\d]+")
+    return F.array_join(F.transform(lines(text), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, gap, ""))), "\n")
 
 
 _HYPHEN_BREAK, _HYPHEN, _SPACED, _BREAK = (re.compile(p) for p in (lex.HYPHEN_BREAK, lex.HYPHENATED, lex.SPACED_OUT, lex.BROKEN))
@@ -151,11 +152,11 @@ def merge_numbered_lines(rows: DataFrame, keys: list[str], line: str = "line", n
     before if its START is that one's START plus its length. Returns keys, ln (of the
     first line) and line.
     """
-    form = lex.NUMBERED_LINE
-    seq = F.regexp_replace(F.regexp_extract(line, form, 2), r"\s+", "")
+    form = P.java(lex.NUMBERED_LINE)
+    seq = F.regexp_replace(F.regexp_extract(line, form, 2), P.java(r"\s+"), "")
     ordered = Window.partitionBy(*keys).orderBy(number)
     parsed = rows.withColumn("_valid", F.col(line).rlike(form) & seq.rlike(rf"^[{lex.AA}]+$")).withColumn("_seq", F.when(F.col("_valid"), seq))
-    parsed = parsed.withColumn("_start", F.when(F.col("_valid"), F.expr(f"try_cast(regexp_extract({line}, r'{form}', 1) as bigint)")))
+    parsed = parsed.withColumn("_start", F.when(F.col("_valid"), F.regexp_extract(line, form, 1).try_cast("bigint")))
     expected = F.lag(F.col("_start") + F.length("_seq")).over(ordered)
     parsed = parsed.withColumn("_joins", F.coalesce(F.col("_start") == expected, F.lit(False)))
     parsed = parsed.withColumn("_island", F.sum((~F.col("_joins")).cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions import lexicons as lex
+from ..functions import patterns as P
 from ..functions import text as T
 
 Patterns = dict[str, list[str]]
@@ -89,11 +90,11 @@ def candidate_score(
 
 
 def _ahead(seq: Column, context: Column, words: str) -> Column:
-    return F.regexp_like(context, F.concat(F.lit(rf"(?i)\b({words})\W{{0,20}}"), seq, F.lit(r"\b")))
+    return F.regexp_like(context, F.concat(F.lit("(?iu)" + P.java(rf"\b(?:{words})\W{{0,20}}", True)), seq, F.lit(rf"(?![{P.WORD}])")))
 
 
 def _behind(seq: Column, context: Column, words: str) -> Column:
-    return F.regexp_like(context, F.concat(F.lit(r"(?i)\b"), seq, F.lit(rf"\W{{0,30}}({words})\b")))
+    return F.regexp_like(context, F.concat(F.lit(f"(?iu)(?<![{P.WORD}])"), seq, F.lit(P.java(rf"\W{{0,30}}(?:{words})\b", True))))
 
 
 # ------------------------------------------------------------------ techniques
@@ -101,7 +102,7 @@ def _behind(seq: Column, context: Column, words: str) -> Column:
 
 def technique_names(context: Column, patterns: Patterns = lex.TECHNIQUES) -> Column:
     """Names of techniques that occur anywhere, in lexicon order."""
-    tries = [F.when(context.rlike("(?i)" + "|".join(f"(?:{p})" for p in own)), F.lit(name)) for name, own in patterns.items()]
+    tries = [F.when(context.rlike(P.any_of(own)), F.lit(name)) for name, own in patterns.items()]
     return F.array_compact(F.array(*tries))
 
 
@@ -109,7 +110,7 @@ def _first_match(texts: Column, tries: list[str]) -> Column:
     """Of the first pattern that any of an array of texts matches, the first such text; null if none does."""
 
     def one(pattern: str) -> Column:
-        return F.get(F.filter(texts, lambda t: t.rlike(f"(?i){pattern}")), F.lit(0))
+        return F.get(F.filter(texts, lambda t: t.rlike(P.java(pattern, ignore_case=True))), F.lit(0))
 
     return F.coalesce(*[one(p) for p in tries])
 
@@ -118,7 +119,7 @@ def _worth_it(text: Column, tries: list[str]) -> Column:
     """Whether a part of text can match at all; a look-ahead may fail on the whole and not on a part."""
     if any("(?!" in p for p in tries):
         return F.lit(True)
-    return text.rlike("(?i)" + "|".join(f"(?:{p})" for p in tries))
+    return text.rlike(P.any_of(tries))
 
 
 def _evidence(parts: Column, whole: Column, patterns: Patterns) -> Column:
@@ -177,51 +178,54 @@ def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns
 _LETTERS = f"[{lex.AA}]{{{lex.MIN_LENGTH},{lex.MAX_LENGTH}}}"
 
 
-def sequences(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", pattern: str = lex.CANDIDATE, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, rebuild: bool = False) -> DataFrame:
+def sequences(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", pattern: str = lex.CANDIDATE, reach: int = 1000, lines: bool = False, near: tuple[str, str] | None = None, rebuild: bool = False, first: bool = False) -> DataFrame:
     """keys, once for each plausible sequence of a text: sequence, source, occurrences, places (see kernels.sequences)."""
-    ocr, blocked = source == "ocr", frozenset(lex.BLACKLIST)
-    prepare = (lambda t: T.rebuild(t, blocked)) if rebuild else None
-    found = kernels.sequences(rows, keys, text, pattern, lambda m: T.letters_of(m, ocr), _LETTERS, reach, lines, near, prepare)
+    normal, prepare = _reading(source, rebuild)
+    found = kernels.sequences(rows, keys, text, pattern, normal, _LETTERS, reach, lines, near, prepare, first)
     return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
 
 
+def _reading(source: str, rebuild: bool) -> tuple:
+    """How a source's matches become sequences, and what is done to its texts before they are searched."""
+    ocr, blocked = source == "ocr", frozenset(lex.BLACKLIST)
+    return (lambda m: T.letters_of(m, ocr)), ((lambda t: T.rebuild(t, blocked)) if rebuild else None)
+
+
+def judge(source: str = "pdf_text", keywords: dict | None = None) -> kernels.Judge:
+    """What candidate_score and gene_like ask of a place, for the kernels. keywords: other word lists (peptide, table, before, after)."""
+    words = {"peptide": lex.PEPTIDE_KEYWORDS, "table": lex.TABLE_KEYWORDS, "before": lex.WORDS_BEFORE, "after": lex.WORDS_AFTER} | (keywords or {})
+    return kernels.Judge(words["peptide"], words["table"], (words["before"], words["after"]), lex.GENE_TERMS, lex.PEPTIDE_TERMS, lex.GENE_NAME, 4 * (source in FILE_SOURCES) - (source == "ocr"))
+
+
 def without_words(found: DataFrame, key: str, words: DataFrame | None) -> DataFrame:
     """found without the sequences that words (key, sequence) lists for their document."""
     return found if words is None else found.join(words, [key, "sequence"], "left_anti")
 
 
+def scored(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", keywords: dict | None = None, least: int | None = None, rebuild: bool = False, evidence: kernels.Listed | None = None) -> DataFrame:
+    """keys, once for each plausible sequence of a text: its first accepted place with its score, or without `least` its first place (see kernels.accepted)."""
+    normal, prepare = _reading(source, rebuild)
+    found = kernels.accepted(rows, keys, text, lex.CANDIDATE, normal, _LETTERS, judge(source, keywords), least, evidence, prepare=prepare)
+    return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
+
+
 def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, rebuild: bool = True, least: int = 3, techniques: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES, keywords: dict | None = None) -> DataFrame:
     """Candidates of running text: one row per document and sequence, its first accepted occurrence.
 
-    keywords: other word lists for candidate_score, of which `table` also tells tables.
+    A text is searched, scored and looked through for techniques in one pass of its row;
+    only accepted places leave it. keywords: other word lists for candidate_score, of
+    which `table` also tells tables.
     """
-    words = keywords or {}
-    close = words.get("before", lex.WORDS_BEFORE), words.get("after", lex.WORDS_AFTER)
-    found = without_words(sequences(rows, [key], text, source, lines=True, near=close, rebuild=rebuild), key, bad_words)
-    seq = F.col("sequence")
-
-    def judged(p: Column) -> Column:
-        score = candidate_score(seq, p["context"], F.col("source"), F.col("occurrences"), table_like(p["context"], words.get("table", lex.TABLE_KEYWORDS)), near=(p["ahead"], p["behind"]), **words)
-        return F.struct(p["start"].alias("start"), p["match"].alias("match"), p["context"].alias("context"), p["line"].alias("sequence_line"), F.when(~gene_like(seq, p["context"]), score).alias("score"))
-
-    # a sequence has all its places in one row, so the first that is accepted needs no shuffle
-    first = F.slice(F.filter(F.transform("places", judged), lambda p: p["score"] >= least), 1, 1)
-    found = found.select(key, "sequence", "source", F.explode(first).alias("_p")).select(key, "sequence", "source", "_p.*")
-    return _finished(found, key, techniques, supersedes)
+    found = scored(rows, [key], text, source, keywords, least, rebuild, kernels.listed(techniques, supersedes))
+    return _finished(without_words(found, key, bad_words).withColumnRenamed("pairs", "_pairs"), key)
 
 
 def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = lex.TABLE_HEADER, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
-    """Candidates of cells in the 19 lines below a header line, with seven lines of context."""
-    blocked, ocr = frozenset(lex.BLACKLIST), source == "ocr"
-    found = kernels.table_matches(rows, key, text, lex.CANDIDATE, lambda m: T.letters_of(m, ocr), _LETTERS, header, prepare=lambda c: T.rebuild(c, blocked))
-    # what only the context decides is decided once a line, before its matches are told apart
-    found = found.where(~about_genes(F.col("context"))).select(key, "ln", "context", F.explode("found").alias("_f")).select(key, "ln", "context", "_f.*")
-    seq = F.col("sequence")
-    found = without_words(found.where(plausible(seq) & ~seq.rlike(lex.GENE_NAME)), key, bad_words).withColumn("source", F.lit(source)).withColumnRenamed("line", "sequence_line")
-    first = Window.partitionBy(key, "sequence").orderBy("ln", "cell", "at")
-    found = found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.lit(1), F.lit(True)))
-    return _finished(found.withColumn("start", F.col("ln").cast("long")), key, techniques)
+    """Candidates of cells in the 19 lines below a header line, with seven lines of context; one row per row of rows and sequence."""
+    normal, prepare = _reading(source, True)
+    found = kernels.table_matches(rows, key, text, lex.CANDIDATE, normal, _LETTERS, header, judge(source), prepare=prepare)
+    found = without_words(found.where(plausible(F.col("sequence"))), key, bad_words).withColumn("source", F.lit(source))
+    return _finished(found.withColumn("_pairs", technique_lines(F.col("context"), techniques)), key)
 
 
 def mine_cells(rows: DataFrame, keys: list[str], cells: Column, context: Column, source: Column, whole: bool = False, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
@@ -231,12 +235,12 @@ def mine_cells(rows: DataFrame, keys: list[str], cells: Column, context: Column,
     found = found.withColumn("match", F.explode(match)).withColumn("sequence", T.candidate_letters(F.col("match"), F.col("source")))
     found = found.where(likely_peptide(F.col("sequence"), F.col("context")))
     found = found.withColumn("score", candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.lit(1), F.col("source").isin(*TABLE_SOURCES)))
-    return _finished(found.withColumn("sequence_line", F.lit("from supplementary")), keys, techniques)
+    return _finished(found.withColumn("sequence_line", F.lit("from supplementary")).withColumn("_pairs", technique_lines(F.col("context"), techniques)), keys)
 
 
-def _finished(found: DataFrame, keys: str | list[str], techniques: Patterns, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> DataFrame:
+def _finished(found: DataFrame, keys: str | list[str]) -> DataFrame:
+    """Found places with their techniques (_pairs) as candidates."""
     keys = [keys] if isinstance(keys, str) else keys
-    found = found.withColumn("_pairs", technique_lines(F.col("context"), techniques, supersedes))
     names = F.transform("_pairs", lambda p: p["technique"])
     return found.select(
         *keys,

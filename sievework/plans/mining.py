@@ -25,10 +25,10 @@ firsts AS (SELECT * FROM counted WHERE {PLAUSIBLE} QUALIFY row_number() OVER (PA
 """
 
 
-def _firsts(spark, sf_dir, reach=0, near=None):
-    """(doc_id, lang, sequence, source, occurrences, start, context) of each document's plausible sequences, at their first places."""
-    found = mining.sequences(folded(spark, sf_dir, upper()), ["doc_id", "lang"], "text", reach=reach, near=near).withColumn("p", F.col("places")[0])
-    return found.select("doc_id", "lang", "sequence", "source", "occurrences", "p.start", "p.context", "p.ahead", "p.behind")
+def _firsts(spark, sf_dir, reach=0):
+    """(doc_id, lang, sequence, occurrences, start, context) of each document's plausible sequences, at their first places."""
+    found = mining.sequences(folded(spark, sf_dir, upper()), ["doc_id", "lang"], "text", reach=reach, first=True).withColumn("p", F.col("places")[0])
+    return found.select("doc_id", "lang", "sequence", "occurrences", "p.start", "p.context")
 
 
 @query("cand_extract", f"WITH {RAW} SELECT doc_id, sequence, CAST(length(sequence) AS BIGINT) AS length, start, occurrences FROM firsts")
@@ -100,9 +100,8 @@ SCORE = f"""greatest({KEYWORD_SCORE} + 8 * CAST({TABLE_LIKE} AS INT)
     SELECT doc_id, sequence, CAST({SCORE} AS BIGINT) AS score FROM c""",
 )
 def score_context_kw(spark, sf_dir):
-    found = _firsts(spark, sf_dir, 1000, ("the|and", "the|of"))
-    score = mining.candidate_score(F.col("sequence"), F.col("context"), F.col("source"), F.col("occurrences"), mining.table_like(F.col("context"), R.TABLE_WORDS), R.PEPTIDE_WORDS, R.TABLE_WORDS, near=(F.col("ahead"), F.col("behind")))
-    return found.select("doc_id", "sequence", score.cast("long").alias("score"))
+    words = {"peptide": R.PEPTIDE_WORDS, "table": R.TABLE_WORDS, "before": "the|and", "after": "the|of"}
+    return mining.scored(folded(spark, sf_dir, upper()), ["doc_id"], "text", keywords=words).select("doc_id", "sequence", F.col("score").cast("long").alias("score"))
 
 
 @query("gene_filter", f"WITH {RAW}, c AS (SELECT *, substring(up, greatest(start - 200, 0) + 1, start + length(match) + 200 - greatest(start - 200, 0)) AS context FROM firsts) SELECT doc_id, sequence, {R.sql_gene('sequence', 'context', lex.GENE_TERMS, lex.PEPTIDE_TERMS)} AS gene FROM c")
