@@ -143,8 +143,8 @@ class Near:
         #: characters before a sequence that may count: all of them where the words have no longest form
         self.reach = None if width(before) is None else width(before) + 20
 
-    def of(self, context: str, sequence: str) -> tuple[bool, bool]:
-        low, target, ahead, behind = lowered(context), sequence.lower(), False, False
+    def of(self, context: str, sequence: str, low: str | None = None) -> tuple[bool, bool]:
+        low, target, ahead, behind = low or lowered(context), sequence.lower(), False, False
         i = low.find(target)
         while i >= 0 and not (ahead and behind):
             end = i + len(target)
@@ -254,8 +254,14 @@ class Judge:
         self.close, self.gene_name, self.source = Near(*near), re.compile(gene_name), source
         self.words = sorted({*peptide, *table, *genes, *peptides})
 
-    def around(self, text: str, begin: np.ndarray, end: np.ndarray, in_table: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """(points, about genes) of the stretches of a text between begin and end, which may be known to be a table's."""
+    def in_table(self, low: str) -> tuple[int, bool]:
+        """(points, about genes) of a whole text in lower case that is known to be a table's."""
+        here = {w for w in self.words if w in low}
+        points = 8 + 3 * sum(w in here for w in self.peptide) + 5 * sum(w in here for w in self.table)
+        return points, not here.isdisjoint(self.genes) and here.isdisjoint(self.peptides)
+
+    def around(self, text: str, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(points, about genes) of the stretches of a text between begin and end."""
         low, hits, none = lowered(text), {}, np.zeros(len(begin), bool)
         for w in self.words:
             if w in low:
@@ -263,7 +269,7 @@ class Judge:
         any_of = lambda words: np.logical_or.reduce([none, *[hits[w] for w in words if w in hits]])
         gaps = [m.span() for m in _CELL_GAP.finditer(text)] if "\t" in text or "  " in text else []
         rows = self._within(np.array([a - 1 for a, _ in gaps], np.int64), np.array([b + 1 for _, b in gaps], np.int64), begin, end)
-        points = 8 * (any_of(self.table) | rows | in_table)
+        points = 8 * (any_of(self.table) | rows)
         for weight, words in ((3, self.peptide), (5, self.table)):
             for w in words:
                 if w in hits:
@@ -440,15 +446,16 @@ def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Ca
                                     new.setdefault(name, m)
                         if new:
                             context = "\n".join(every[max(0, ln - near) : ln + near + 1])
-                            points, genes = judge.around(context, np.zeros(1, np.int64), np.array([len(context)]), in_table=True)
-                            if not genes[0]:
-                                chosen += [(name, ln, m, context, int(points[0])) for name, m in new.items()]
+                            low = lowered(context)
+                            points, genes = judge.in_table(low)
+                            if not genes:
+                                chosen += [(name, ln, m, context, points + 6 * sum(judge.close.of(context, name, low))) for name, m in new.items()]
                                 seen.update(new)
                     if head.search(line):
                         last = ln
                 lines = own.firsts([m for _, _, m, _, _ in chosen])
                 for (name, ln, m, context, points), line in zip(chosen, lines, strict=True):
-                    score = max(points + judge.of_sequence(name, 1) + 6 * sum(judge.close.of(context, name)), 0)
+                    score = max(points + judge.of_sequence(name, 1), 0)
                     held.add(i, name, ln, m, context, line, score, size=len(context) + len(line))
                     if held.size > HELD:
                         yield held.batch(batch.columns[:1], [key])

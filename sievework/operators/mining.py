@@ -209,15 +209,15 @@ def scored(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text"
     return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
 
 
-def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, rebuild: bool = True, least: int = 3, techniques: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES, keywords: dict | None = None) -> DataFrame:
+def mine(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, rebuild: bool = True, least: int = 3, techniques: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES, keywords: dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Candidates of running text: one row per document and sequence, its first accepted occurrence.
 
     A text is searched, scored and looked through for techniques in one pass of its row;
     only accepted places leave it. keywords: other word lists for candidate_score, of
-    which `table` also tells tables.
+    which `table` also tells tables. keep: columns of rows that go along.
     """
-    found = scored(rows, [key], text, source, keywords, least, rebuild, kernels.listed(techniques, supersedes))
-    return _finished(without_words(found, key, bad_words).withColumnRenamed("pairs", "_pairs"), key)
+    found = scored(rows, [key, *keep], text, source, keywords, least, rebuild, kernels.listed(techniques, supersedes))
+    return _finished(without_words(found, key, bad_words).withColumnRenamed("pairs", "_pairs"), [key, *keep])
 
 
 def mine_tables(rows: DataFrame, key: str, text: str, source: str = "pdf_text", bad_words: DataFrame | None = None, header: str = lex.TABLE_HEADER, techniques: Patterns = lex.TECHNIQUES) -> DataFrame:
