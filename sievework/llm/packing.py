@@ -37,7 +37,7 @@ from .common import slices, store
 from .ranks import rank_within
 
 #: Nodes of the search before the incumbent is returned.
-NODES = 2500
+NODES = 8000
 #: Completions tried at a node, those with least waste first.
 BRANCHES = 6
 #: Lengths looked at for one place in a completion, longest first.
