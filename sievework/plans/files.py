@@ -7,7 +7,6 @@ over these says what must come back.
 from __future__ import annotations
 
 import io
-import json
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import evaluation, merging, mining
 from ..sources import readers, writers
-from ..storage import new_path, put
+from ..storage import new_path
 from ..streaming import incremental
 from . import evaluating, extraction
 from . import mining as plans
@@ -58,7 +57,7 @@ def csv_tables(spark, sf_dir):
 def tsv_cells(spark, sf_dir):
     path = new_path(spark, "tsv")
     _parts(spark, sf_dir).write.option("escape", '"').option("emptyValue", "").csv(path, header=True, sep="\t")
-    return _shown(readers.tables(readers.files(spark, path, "part-*"), "\t").where("error is null"))
+    return _shown(readers.delimited(spark, path, "\t"))
 
 
 def _workbook(rows: list[list[str]]) -> bytes:
@@ -88,7 +87,7 @@ def xlsx_cells(spark, sf_dir):
     def book(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"path": [f"{group.k.iloc[0]}.xlsx"], "content": [_workbook(group[["a", "b", "c"]].values.tolist())]})
 
-    parts = _parts(spark, sf_dir).withColumn("k", F.pmod(F.xxhash64("b"), F.lit(20)))
+    parts = _parts(spark, sf_dir).withColumn("k", F.floor(F.col("a").cast("long") / 100))  # as many books as there are hundreds of rows
     books = parts.groupBy("k").applyInPandas(book, "path string, content binary")
     return _shown(readers.excel(books).where("error is null"))
 
@@ -135,54 +134,63 @@ def supp_dispatch(spark, sf_dir):
     parts.repartition(2).write.option("escape", '"').option("emptyValue", "").option("extension", "tsv").csv(f"{root}/b", header=True, sep="\t")
     items = table(spark, sf_dir, "benchmark").select("item_id", T.fold(F.col("text")).alias("t"))
     items.write.partitionBy("item_id").text(f"{root}/c")
-    small = items.orderBy("item_id").limit(100).collect()  # the benchmark's items are few
-    put(spark, f"{root}/d/s.FASTA", "".join(f">id{r.item_id} x\n{r.t}\n" for r in small))
-    put(spark, f"{root}/d/s.json", "[]")
-    return readers.supplementary(spark, f"{root}/{{a,b,d,c/*}}").select("source", "id", "context")
+    records = items.select(F.explode(F.split(F.concat(F.lit(">id"), "item_id", F.lit(" x\n"), "t"), "\n")).alias("line"))
+    _raw_lines(records, f"{root}/d", "FNA")
+    items.write.json(f"{root}/e")
+    return readers.supplementary(spark, f"{root}/{{a,b,d,e,c/*}}").select("source", "id", "context")
+
+
+def _raw_lines(lines, path: str, ending: str) -> None:
+    """Lines as they are, in files with an ending of three letters."""
+    lines.write.option("extension", ending).option("quote", "").option("escapeQuotes", False).option("emptyValue", "").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path, sep="\x01")
 
 
 # ------------------------------------------------------------------ records
 
 
-def _json_files(spark, records: dict[str, list], name: str) -> str:
-    root = new_path(spark, "json")
-    for folder, rows in records.items():
-        put(spark, f"{root}/{folder}/{name}", json.dumps(rows))
-    return root
+def _json_files(spark, rows, key: str, record) -> str:
+    """A folder below key=... for each key, with a file that holds the key's records as one JSON array."""
+    path = new_path(spark, "json")
+    each = rows.groupBy(key).agg(F.to_json(F.collect_list(record)).alias("value"))  # keys have few records
+    each.write.partitionBy(key).text(path)
+    return path
 
 
 @query(
     "candidate_json",
-    "SELECT CAST(item_id % 3 AS VARCHAR) AS pmid, 'S' || item_id AS sequence, CASE WHEN item_id % 2 = 0 THEN 4.0 ELSE 1.0 END::DOUBLE AS evidence_score, CASE WHEN item_id % 2 = 0 THEN 'T|U' ELSE '' END AS techniques, CASE WHEN item_id % 2 = 0 THEN 'l' ELSE '' END AS sequence_line FROM benchmark",
+    "SELECT CAST(item_id // 4 AS VARCHAR) AS pmid, 'S' || item_id AS sequence, CASE WHEN item_id % 2 = 0 THEN 4.0 ELSE 1.0 END::DOUBLE AS evidence_score, CASE WHEN item_id % 2 = 0 THEN 'T|U' ELSE '' END AS techniques, CASE WHEN item_id % 2 = 0 THEN 'l' ELSE '' END AS sequence_line FROM benchmark",
 )
 def candidate_json(spark, sf_dir):
     """Folders of papers with candidate files, older records without some fields; other folders are left alone."""
-    rows = [r[0] for r in table(spark, sf_dir, "benchmark").select("item_id").orderBy("item_id").limit(1000).collect()]  # few
-    records: dict[str, list] = {}
-    for i in rows:
-        more = {"techniques": ["T", "U"], "technique_lines": [], "evidence_score": 4.0, "sequence_line": "l"} if i % 2 == 0 else {}
-        records.setdefault(str(i % 3), []).append({"sequence": f"S{i}", "score": 3, **more})
-    root = _json_files(spark, records, "sequence_candidates.json")
-    put(spark, f"{root}/empty/other.json", "[]")
-    papers = readers.parsed_papers(spark, root)
-    paths = [r.path for r in papers.orderBy("path").limit(1000).collect()]
-    found = readers.candidates(spark, paths).withColumn("path", F.input_file_name())
-    named = found.join(papers.select("pmid"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1) == F.col("pmid"))
-    return named.select("pmid", "sequence", "evidence_score", F.array_join("techniques", "|").alias("techniques"), "sequence_line")
+    new = lambda c: F.when(F.col("item_id") % 2 == 0, c)
+    record = F.struct(F.concat(F.lit("S"), "item_id").alias("sequence"), F.lit(3).alias("score"), new(F.array(F.lit("T"), F.lit("U"))).alias("techniques"), new(F.array().cast("array<string>")).alias("technique_lines"), new(F.lit(4.0)).alias("evidence_score"), new(F.lit("l")).alias("sequence_line"))
+    rows = table(spark, sf_dir, "benchmark").withColumn("paper", F.floor(F.col("item_id") / 4))
+    root = _json_files(spark, rows, "paper", record)
+    rows.limit(1).select("text").write.json(f"{root}/other=1")
+    papers = readers.parsed_papers(spark, root, "*.txt")
+    found = readers.candidates(spark, f"{root}/*/*.txt").withColumn("path", F.input_file_name())
+    named = found.withColumn("folder", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).join(papers.select(F.col("pmid").alias("folder")), "folder")
+    return named.select(F.regexp_extract("folder", r"(\d+)$", 1).alias("pmid"), "sequence", "evidence_score", F.array_join("techniques", "|").alias("techniques"), "sequence_line")
 
 
 @query("gold_json", "SELECT DISTINCT CAST(item_id % 5 AS VARCHAR) AS pmid, regexp_replace(upper('ac-' || (item_id % 4) || 'dEf' || chr(65 + CAST(item_id % 7 AS INT))), '[^A-Z]', '', 'g') AS sequence FROM benchmark WHERE item_id % 6 <> 0")
 def gold_json(spark, sf_dir):
-    rows = [r[0] for r in table(spark, sf_dir, "benchmark").select("item_id").orderBy("item_id").limit(1000).collect()]  # few
-    gold = [{"pmid": str(i % 5), "sequence": "" if i % 12 == 0 else f"ac-{i % 4}dEf{chr(65 + i % 7)}"} if i % 6 or i % 12 == 0 else {"pmid": "", "sequence": "ACD"} for i in rows]
-    return evaluation.gold_pairs(readers.gold_json(spark, _json_files(spark, {"g": gold}, "gold.json") + "/g"))
+    """A gold standard in several files; pairs without a document or a sequence are left out."""
+    i = F.col("item_id")
+    named = (i % 6 != 0) | (i % 12 == 0)
+    made = F.concat(F.lit("ac-"), (i % 4).cast("string"), F.lit("dEf"), F.char(65 + i % 7))
+    record = F.struct(F.when(named, (i % 5).cast("string")).otherwise("").alias("pmid"), F.when(~named, "ACD").when(i % 12 == 0, "").otherwise(made).alias("sequence"))
+    rows = table(spark, sf_dir, "benchmark").withColumn("part", F.floor(i / 50))
+    return evaluation.gold_pairs(readers.gold_json(spark, _json_files(spark, rows, "part", record) + "/*"))
 
 
-@query("reference_contexts", "SELECT DISTINCT CASE WHEN item_id % 2 = 0 THEN substring(text, 1, 40) ELSE 'same' END AS context FROM benchmark WHERE item_id % 3 <> 0")
+@query("reference_contexts", "SELECT DISTINCT CASE WHEN item_id % 2 = 0 THEN text ELSE 'same' END AS context FROM benchmark WHERE item_id % 3 <> 0")
 def reference_contexts(spark, sf_dir):
-    rows = table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1000).collect()  # few
-    made = [{"sequence_source": "no"} if r.item_id % 3 == 0 else {"validation_statement": r.text[:40] if r.item_id % 2 == 0 else "same"} for r in rows]
-    return readers.reference_contexts(spark, _json_files(spark, {"r": made}, "contexts.json") + "/r")
+    """Validation statements of several files, those of equal text once; records without one give nothing."""
+    i = F.col("item_id")
+    record = F.struct(F.when(i % 3 == 0, "no").alias("sequence_source"), F.when(i % 3 != 0, F.when(i % 2 == 0, F.col("text")).otherwise("same")).alias("validation_statement"))
+    rows = table(spark, sf_dir, "benchmark").withColumn("part", F.floor(i / 50))
+    return readers.reference_contexts(spark, _json_files(spark, rows, "part", record) + "/*")
 
 
 @query("verified_csv", "SELECT CAST(p_partkey AS VARCHAR) AS \"PMID\", p_type AS \"Sequence\", '[\"' || p_brand || '\"]' AS \"Techniques\", CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN 'True' ELSE 'False' END AS \"Gold_Standard_Match\", 'a \"b\", ' || p_name AS \"Comments\" FROM part")
@@ -223,21 +231,15 @@ def page_texts(spark, sf_dir):
     return back.select(readers.stem(F.col("path")).cast("long").alias("conv_id"), "page", F.md5("text").alias("digest"), "error")
 
 
-@query("paper_files", "SELECT row_number() OVER (ORDER BY CAST(item_id AS VARCHAR) || '.pdf') AS no, CAST(item_id AS VARCHAR) || '.pdf' AS name, CAST(octet_length(encode(text)) AS BIGINT) AS length FROM benchmark")
+@query("paper_files", "SELECT row_number() OVER (ORDER BY 'paper=' || item_id) AS no, 'paper=' || item_id AS name, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM benchmark")
 def paper_files(spark, sf_dir):
     """Papers of a folder in order of name; other files are not listed."""
     root = new_path(spark, "papers")
-    for r in table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1000).collect():  # few
-        put(spark, f"{root}/{r.item_id}.pdf", r.text)
-    put(spark, f"{root}/note.txt", "x")
-    listed = readers.listing(spark, root, readers.with_ending("pdf")).withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
-    return _numbered(listed)
-
-
-def _numbered(listed):
-    """Rows in the order they come in, numbered; a listing of names is small."""
-    names = [(r.name, r.length) for r in listed.select("name", "length").limit(100_000).collect()]
-    return listed.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(names, 1)], "no long, name string, length long")
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("paper"), "text")
+    rows.write.partitionBy("paper").text(root)
+    rows.write.mode("append").partitionBy("paper").json(root)
+    listed = readers.listing(spark, f"{root}/*", readers.with_ending("txt")).withColumn("name", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
+    return readers.numbered(listed.select("name", "length"), "name").select("no", "name", "length")
 
 
 @query("ocr_texts", f"WITH {PAGES_SQL} SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(page AS INT) AS page, CASE WHEN page % 4 <> 0 THEN md5(upper({FOLD})) END AS digest, page % 4 = 0 AS failed FROM pages WHERE n > 1 AND page % 3 <> 1")
@@ -279,7 +281,10 @@ _HITS = f"SELECT DISTINCT doc_id, s AS statement, unnest({R.sql_technique('s', R
 
 @query("technique_sources", f"WITH a AS ({_HITS.format(FOLD)}), b AS ({_HITS.format(f'substring({FOLD}, 200, 600)')}) SELECT doc_id, technique, statement, min(source) AS source FROM (SELECT *, 'pdf_text' AS source FROM a WHERE length(statement) % 3 > 0 UNION ALL SELECT *, 'zocr' FROM b) GROUP BY ALL")
 def technique_sources(spark, sf_dir):
-    """Techniques of a document's text and of another source, the text's first; stored and read back."""
+    """Techniques of a document's text and of another source, the text's first; stored and read back.
+
+    The tables have no second source of a document, so a stretch of its text stands for one.
+    """
     docs = folded(spark, sf_dir)
     text = mining.technique_hits(docs, ["doc_id"], "text", F.lit("pdf_text"), R.TECHNIQUES).where("length(statement) % 3 > 0")
     ocr = mining.technique_hits(docs.withColumn("text", F.substring("text", 200, 600)), ["doc_id"], "text", F.lit("zocr"), R.TECHNIQUES)
@@ -290,12 +295,12 @@ def technique_sources(spark, sf_dir):
 
 @query(
     "candidate_lists",
-    f"""WITH d AS (SELECT doc_id, unnest(regexp_extract_all({UP}, '{TOKEN}')) AS sequence FROM documents WHERE lang = 'es')
+    f"""WITH d AS (SELECT doc_id, unnest(regexp_extract_all({UP}, '{TOKEN}')) AS sequence FROM documents)
     SELECT doc_id, sequence, 0 AS list, NULL::INT AS start FROM d UNION ALL SELECT doc_id, sequence, 1, length(sequence)::INT FROM d WHERE length(sequence) > 8""",
 )
 def candidate_lists(spark, sf_dir):
     """Lists of candidates one after the other, nothing removed, columns that one lacks null."""
-    found = folded(spark, sf_dir, upper()).where("lang = 'es'").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("sequence"))
+    found = folded(spark, sf_dir, upper()).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("sequence"))
     long = found.where("length(sequence) > 8").withColumn("start", F.length("sequence"))
     return extraction.union(found, long).select("doc_id", "sequence", "list", "start")
 

@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..storage import store
 
 #: Candidate records, as they are written and read.
 CANDIDATE = T.StructType(
@@ -35,8 +36,24 @@ def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length) of the files of a folder in order of path; contents are not read."""
-    return files(spark, path, pattern).select("path", "length").orderBy("path")
+    """(path, length) of the files of a folder; contents are not read."""
+    return files(spark, path, pattern).select("path", "length")
+
+
+def numbered(rows: DataFrame, order: str, name: str = "no") -> DataFrame:
+    """rows with their number from 1 in the order of a column.
+
+    Sorted rows know their place in their part; how many are in the parts before is a
+    table of one row a part. They are stored first, since a sort may cut its parts
+    otherwise when it runs again.
+    """
+    place = F.monotonically_increasing_id()  # part << 33 | place
+    placed = store(rows.orderBy(order).withColumn("_place", place), "numbered")
+    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # one row a part
+    return placed.withColumn("_part", part).join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + at + 1).drop("_part", "_place", "_before")
 
 
 def with_ending(*endings: str) -> str:
@@ -232,7 +249,11 @@ def workbook(content: bytes) -> list[list[list[str]]]:
 
 def plain(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, text) of whole text files; bytes that are no UTF-8 are left out."""
-    return texts(spark, path, pattern).select("path", F.regexp_replace("value", "\ufffd", "").alias("text"))
+    raw = files(spark, path, pattern).select("path", F.col("content").cast("string").alias("value"))
+    # of bytes, not of characters: those that stood in the file are put by, what takes the place of bad bytes is cut
+    mark, bad = F.lit("\ue000\ue001"), F.lit("\ufffd")
+    cut = F.replace(F.make_valid_utf8(F.replace("value", bad, mark)), bad, F.lit(""))
+    return raw.select("path", F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.replace(cut, mark, bad)).alias("text"))
 
 
 def supplementary(spark: SparkSession, path: str) -> DataFrame:
