@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
+from ..storage import store
+from . import blocks
 
 #: Reference sequences in an index at most, and its entries where it is broadcast (24 bytes each).
 INDEX_ROWS = 500_000
 POSTINGS = 1_000_000
+#: References of one block of a larger index; queries that are looked up in it together.
+BLOCK, TOGETHER = 20_000, 2_000
 
 
 def grams(seq: Column, n: int = 3) -> Column:
@@ -63,20 +67,109 @@ def nearest(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: int = 3, p
     """(seq, nearest) of distinct queries: highest cosine of tf-idf n-grams to any reference; 0 without a shared gram.
 
     An inverted index. Of at most `postings` entries (counted) it is broadcast as arrays,
-    and each query adds up its grams' entries. A larger one is joined: query and reference
-    grams meet in an equi-join, products add up by pair, and the best pair of a query
-    stays; AQE splits the keys of common grams.
+    and each query adds up its grams' entries. A larger one is cut into blocks of
+    references, each an index of its own with the greatest weight of every gram; blocks of
+    queries meet them, and a query's best in a block is found without looking at entries
+    that can't change it (see Index.best). No pair of query and reference leaves a task.
     """
     each = queries.select(seq).distinct()
     idf = gram_idf(refs, seq, n)
     index = weighted(refs.select(seq).distinct(), seq, idf, n).select(F.col(seq).alias("ref"), "gram", F.col("w").alias("r"))
     if index.limit(postings + 1).count() <= postings:
         return _nearest_here(each, index, idf, seq, n)
-    products = weighted(each, seq, idf, n).join(index, "gram").groupBy(seq, "ref").agg(F.sum(F.col("w") * F.col("r")).alias("cosine"))
-    best = products.groupBy(seq).agg(F.max("cosine").alias("nearest"))
+    vectors = lambda rows, key, w: rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("gram", w))).alias("v")).select(key, F.transform("v", lambda x: x["gram"]).alias("grams"), F.transform("v", lambda x: x[w]).alias("weights"))  # noqa: E731  a sequence's own grams
+    best = _best_of_blocks(vectors(weighted(each, seq, idf, n), seq, "w"), vectors(index, "ref", "r"), seq)
     return each.join(best, seq, "left").select(seq, F.coalesce(F.greatest("nearest", F.lit(0.0)), F.lit(0.0)).alias("nearest"))
 
 
+class Index:
+    """Entries (gram, reference, weight) by gram, those of a gram in order of reference, with each gram's greatest weight."""
+
+    def __init__(self, grams: list[str], begin: np.ndarray, ref: np.ndarray, weight: np.ndarray):
+        self.number, self.begin, self.ref, self.weight = {g: k for k, g in enumerate(grams)}, begin, ref, weight
+        self.size = int(ref.max()) + 1 if len(ref) else 0
+        self.most = np.maximum.reduceat(weight, begin[:-1]) if len(weight) else np.zeros(0)
+        self.sums, self.seen = np.zeros(self.size), np.zeros(self.size, bool)
+
+    @staticmethod
+    def build(vectors: list[tuple[list[str], list[float]]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        gram = pa.array([g for grams_, _ in vectors for g in grams_], pa.string()).dictionary_encode()
+        weight = np.array([w for _, own in vectors for w in own])
+        ref = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(g) for g, _ in vectors])
+        names, at = gram.dictionary.to_pylist(), gram.indices.to_numpy()
+        order = np.argsort(at, kind="stable")
+        return names, np.searchsorted(at[order], np.arange(len(names) + 1)), ref[order], weight[order]
+
+    def best(self, grams_: list[str], weights: list[float]) -> float:
+        """The highest sum of products with any reference.
+
+        Grams go from the one that can add most to the one that can add least. Once those
+        still to come can't make up for the best sum so far, no new reference can win:
+        from there on only the references seen that can still win are looked up.
+        """
+        own = [(self.number[g], w) for g, w in zip(grams_, weights, strict=True) if g in self.number]
+        if not own:
+            return 0.0
+        gram, w = np.array([g for g, _ in own]), np.array([x for _, x in own])
+        order = np.argsort(-w * self.most[gram])
+        gram, w = gram[order], w[order]
+        left = np.append(np.cumsum((w * self.most[gram])[::-1])[::-1], 0.0)  # what this gram and those after it can add
+        top, k, touched = 0.0, 0, []
+        while k < len(gram) and left[k] >= top:
+            a, b = self.begin[gram[k]], self.begin[gram[k] + 1]
+            ref = self.ref[a:b]
+            self.sums[ref] += w[k] * self.weight[a:b]
+            touched.append(ref[~self.seen[ref]])
+            self.seen[ref] = True
+            top = max(top, float(self.sums[ref].max()))
+            k += 1
+        every = np.concatenate(touched)
+        live = np.sort(every)
+        while k < len(gram):
+            live = live[self.sums[live] + left[k] >= top]
+            a, b = self.begin[gram[k]], self.begin[gram[k] + 1]
+            if len(live) and a < b:
+                at = a + np.searchsorted(self.ref[a:b], live)
+                hit = (at < b) & (self.ref[np.minimum(at, b - 1)] == live)
+                self.sums[live[hit]] += w[k] * self.weight[at[hit]]
+                top = max(top, float(self.sums[live].max()))
+            k += 1
+        self.sums[every] = 0.0
+        self.seen[every] = False
+        return top
+
+
+def _best_of_blocks(queries: DataFrame, refs: DataFrame, seq: str) -> DataFrame:
+    """(seq, nearest) of queries and refs (key, grams, weights)."""
+    refs = store(refs, "vectors")
+    parts = max(1, -(-refs.count() // BLOCK))
+
+    def index(table: pa.Table) -> pa.Table:
+        names, begin, ref, weight = Index.build(list(zip(table.column("grams").to_pylist(), table.column("weights").to_pylist(), strict=True)))
+        made = [table.column("number")[:1], pa.array([names], pa.list_(pa.string())), *[pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in ((begin, "<i8"), (ref, "<i4"), (weight, "<f8"))]]
+        return pa.Table.from_arrays(made, names=["number", "names", "begins", "refs", "entries"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), c) for c in part.columns], names=["seqs", "grams", "weights"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                seqs, grams_, weights, names, begins, ref, entries = (batch.column(c)[r].as_py() for c in range(7))
+                own = Index(names, np.frombuffer(begins, "<i8"), np.frombuffer(ref, "<i4"), np.frombuffer(entries, "<f8"))
+                yield pa.RecordBatch.from_arrays([pa.array(seqs, pa.string()), pa.array([own.best(g, w) for g, w in zip(grams_, weights, strict=True)])], names=[seq, "best"])
+
+    # the references of a part are BLOCK, give or take what a hash gives
+    dealt = refs.withColumn("number", F.pmod(F.xxhash64("ref"), F.lit(parts)).cast("int"))
+    indexed = store(dealt.groupBy("number").applyInArrow(index, "number int, names array<string>, begins binary, refs binary, entries binary"), "index")
+    packed = store(queries.mapInArrow(pack, "seqs array<string>, grams array<array<string>>, weights array<array<double>>").withColumn("block", F.monotonically_increasing_id()), "queries")
+    met = blocks.meet(packed, indexed, parts).select("seqs", "grams", "weights", "names", "begins", "refs", "entries")
+    return met.mapInArrow(look, f"`{seq}` string, best double").groupBy(seq).agg(F.max("best").alias("nearest"))
+
+
 def _nearest_here(queries: DataFrame, index: DataFrame, idf: DataFrame, seq: str, n: int) -> DataFrame:
     got = index.join(F.broadcast(idf.select("gram", "idf")), "gram").toArrow()
     grams_, gram = np.unique(got.column("gram").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
@@ -153,14 +246,16 @@ def sequence_scores(queries: DataFrame, refs: DataFrame, seq: str = "seq", n: in
 # ------------------------------------------------------------------ contexts
 
 Encoder = Callable[[list[str]], list[list[float]]]
+#: Tokens of a context that an encoder reads.
+MOST_TOKENS = 256
 
 
-def encode(rows: DataFrame, text: str, load: Callable[[], Encoder], vector: str = "embedding", batch: int = 16) -> DataFrame:
-    """rows with unit vectors of a text column; load makes the encoder once in a worker."""
+def encode(rows: DataFrame, text: str, load: Callable[[], Encoder] | None = None, vector: str = "embedding", batch: int = 16) -> DataFrame:
+    """rows with unit vectors of a text column; load makes the encoder once in a worker (see token_encoder, transformer)."""
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = load()
+        encoder = (load or transformer())()
         for texts in batches:
             out: list = []
             for i in range(0, len(texts), batch):
@@ -183,18 +278,99 @@ def dot(a: Column, b: Column) -> Column:
 def context_scores(rows: DataFrame, key: str, references: DataFrame, vector: str = "embedding", most: int = 4096) -> DataFrame:
     """(key, bio_score) of each row: highest cosine to any reference vector, 0 at least.
 
-    Up to `most` distinct reference vectors (counted) are broadcast, and every row looks at all
-    of them in one expression. More are cut into blocks of about that size; rows meet every
-    block in a Cartesian product without a broadcast, and the maximum over blocks stays.
+    Vectors are multiplied as matrices, in double precision. Up to `most` distinct reference
+    vectors (counted) are broadcast, and rows stay where they are. More are cut into
+    blocks of that size, which blocks of rows meet by number; of each row only its best in
+    a block leaves the task. Vectors that are null, zero, of another length than the
+    references' or not finite score 0.
     """
-    refs = references.select(unit(F.col(vector)).alias("r")).distinct()
-    own = rows.select(key, unit(F.col(vector)).alias("v"))
-    best = F.array_max(F.transform("refs", lambda r: dot(F.col("v"), r)))
-    score = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)).alias("bio_score")
+    refs = references.select(F.col(vector).cast("array<double>").alias("r")).where("r is not null").distinct()
+    rows = rows.select(key, F.col(vector).cast("array<double>").alias(vector))
     if refs.limit(most + 1).count() <= most:
-        return own.crossJoin(F.broadcast(refs.agg(F.collect_list("r").alias("refs")))).select(key, score(best))  # one row
-    blocks = -(-refs.count() // most)
-    packed = refs.groupBy(F.pmod(F.xxhash64("r"), F.lit(blocks)).alias("block")).agg(F.collect_list("r").alias("refs"))
-    each = own.groupBy(key, "v").agg(F.count("*").cast("int").alias("_copies")).crossJoin(packed.select("refs").hint("shuffle_replicate_nl"))
-    top = each.select(key, "v", "_copies", best.alias("_best")).groupBy(key, "v", "_copies").agg(F.max("_best").alias("_best"))
-    return top.select(key, score(F.col("_best")), F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(key, "bio_score")
+        return _scored_here(rows, key, refs, vector)
+    numbers = -(-refs.count() // most)
+    own, other = blocks.packed_rows(rows, key, vector), blocks.packed_references(refs, "r", numbers)
+    other = other.withColumnRenamed("width", "_width").withColumnRenamed("matrix", "_matrix")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                block, width, left, width_, right = (batch.column(c)[r].as_py() for c in range(5))
+                if width == width_ and width:
+                    a, b = (np.frombuffer(x, "<f8").reshape(-1, width) for x in (left, right))
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_best(a, b).tobytes()], pa.binary())], names=["block", "best"])
+
+    def over_all(table: pa.Table) -> pa.Table:
+        best = np.max([np.frombuffer(x, "<f8") for x in table.column("best").to_pylist()], axis=0)
+        return pa.Table.from_arrays([table.column("block")[:1], pa.array([best.tolist()], pa.list_(pa.float64()))], names=["block", "scores"])
+
+    met = blocks.meet(own.drop("keys"), other, numbers).select("block", "width", "matrix", "_width", "_matrix").mapInArrow(run, "block long, best binary")
+    top = met.groupBy("block").applyInArrow(over_all, "block long, scores array<double>")  # a row of each block of references
+    pairs = F.explode(F.arrays_zip("keys", F.coalesce("scores", F.array_repeat(F.lit(0.0), F.size("keys"))).alias("scores")))
+    return own.select("block", "keys").join(top, "block", "left").select(pairs.alias("p")).select(F.col("p.keys").alias(key), F.col("p.scores").alias("bio_score"))
+
+
+def _best(rows: np.ndarray, refs: np.ndarray) -> np.ndarray:
+    return np.maximum((rows @ refs.T).max(axis=1, initial=0.0), 0.0)
+
+
+def _scored_here(rows: DataFrame, key: str, refs: DataFrame, vector: str) -> DataFrame:
+    got = refs.toArrow().column("r").combine_chunks()  # counted
+    matrix, none = blocks.matrix_of(got)
+    shared = rows.sparkSession.sparkContext.broadcast(blocks.units(matrix[~none]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs_ = shared.value
+        for whole in batches:
+            for at in range(0, len(whole), blocks.ROWS):
+                part = whole.slice(at, blocks.ROWS)
+                own = blocks.units(blocks.matrix_of(part.column(1), refs_.shape[1])[0])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_best(own, refs_))], names=[key, "bio_score"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{key}` {kind}, bio_score double")
+
+
+# ------------------------------------------------------------------ encoders
+
+
+def pooled(tokens: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Means of the token vectors (text, token, dimension) that the mask shows; zeros where it shows none."""
+    shown = mask[:, :, None].astype(np.float64)
+    return (tokens * shown).sum(axis=1) / np.maximum(shown.sum(axis=1), 1e-9)
+
+
+def token_encoder(tokenise: Callable[[str], list[int]], embed: Callable[[np.ndarray, np.ndarray], np.ndarray], most: int = MOST_TOKENS, padding: int = 0) -> Encoder:
+    """An encoder of texts out of a tokeniser and a model of token vectors: `most` tokens of a text count, their mean is its vector.
+
+    embed takes ids and mask (text, token), texts filled up to the longest of a batch, and
+    gives a vector for each token.
+    """
+
+    def run(texts: list[str]) -> list[list[float]]:
+        own = [tokenise(t)[:most] for t in texts]
+        ids = np.full((len(own), max(1, *map(len, own), 1)), padding, np.int64)
+        mask = np.zeros(ids.shape, bool)
+        for i, row in enumerate(own):
+            ids[i, : len(row)], mask[i, : len(row)] = row, True
+        return pooled(np.asarray(embed(ids, mask), np.float64), mask).tolist()
+
+    return run
+
+
+def transformer(name: str = "allenai/scibert_scivocab_uncased", most: int = MOST_TOKENS) -> Callable[[], Encoder]:
+    """A loader of a pretrained encoder by name or folder; needs transformers and torch."""
+
+    def load() -> Encoder:
+        import torch
+        from transformers import AutoModel, AutoTokenizer
+
+        tokenizer, model = AutoTokenizer.from_pretrained(name), AutoModel.from_pretrained(name).eval()
+
+        def embed(ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+            with torch.no_grad():
+                return model(input_ids=torch.from_numpy(ids), attention_mask=torch.from_numpy(mask.astype(np.int64))).last_hidden_state.numpy()
+
+        return token_encoder(lambda t: tokenizer(t, truncation=True, max_length=most)["input_ids"], embed, most, tokenizer.pad_token_id or 0)
+
+    return load

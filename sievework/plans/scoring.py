@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
@@ -55,7 +56,17 @@ def kmer_idf(spark, sf_dir):
 
 @query("kmer_nn", f"WITH {REFS}, {QUERIES_SQL}, miss AS (SELECT * FROM q), {NEAREST} SELECT q.seq, round(coalesce(nearest, 0), 6) AS nearest FROM q LEFT JOIN nn USING (seq)")
 def kmer_nn(spark, sf_dir):
-    return scoring.nearest(_tokens(spark, sf_dir, "documents"), _tokens(spark, sf_dir, "benchmark")).withColumn("nearest", F.round("nearest", 6))
+    return _nearest(spark, sf_dir)
+
+
+def _nearest(spark, sf_dir, **more):
+    return scoring.nearest(_tokens(spark, sf_dir, "documents"), _tokens(spark, sf_dir, "benchmark"), **more).withColumn("nearest", F.round("nearest", 6))
+
+
+@query("kmer_nn_blocks", R.ORACLE_SQL["kmer_nn"])
+def kmer_nn_blocks(spark, sf_dir):
+    """The same by blocks of an index, as it is for more references than one index holds."""
+    return _nearest(spark, sf_dir, postings=0)
 
 
 @query("exact_match", f"WITH {REFS}, {QUERIES_SQL} SELECT seq, seq IN (SELECT seq FROM d) AS exact FROM q")
@@ -104,6 +115,14 @@ def context_cosine(spark, sf_dir):
     return scores.withColumn("bio_score", F.round("bio_score", 6))
 
 
+@query("context_cosine_blocks", R.ORACLE_SQL["context_cosine"])
+def context_cosine_blocks(spark, sf_dir):
+    """The same by blocks of references, as it is for more of them than are broadcast."""
+    rows = table(spark, sf_dir, "embeddings")
+    scores = scoring.context_scores(rows, "vec_id", rows.where(F.col("vec_id") % 50 == 0), most=16)
+    return scores.withColumn("bio_score", F.round("bio_score", 6))
+
+
 #: A text's letter counts stand in for a model's vector.
 _LETTERS = "aeinst"
 _LETTER_SQL = "[" + ", ".join(f"1.0::DOUBLE + length(t) - length(replace(t, '{c}', ''))" for c in _LETTERS) + "]"
@@ -174,19 +193,37 @@ def strength_labels(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", verification.label_from_strength(graded).alias("support"))
 
 
+#: The mean of the letter counts of a text's first 256 words; no words, no vector.
+_WORD_SQL = "[" + ", ".join(f"1.0::DOUBLE + (length(t) - length(replace(t, '{c}', ''))) / n::DOUBLE" for c in _LETTERS) + "]"
+_CUT = f"SELECT *, array_to_string(ws, ' ') AS t, len(ws) AS n FROM (SELECT *, regexp_extract_all({FOLD}, '[A-Za-z]+')[1:256] AS ws FROM {{0}})"
+
+
 @query(
     "encoder_scores",
-    f"""WITH v AS (SELECT doc_id, {_LETTER_SQL} AS e FROM (SELECT doc_id, substring({FOLD}, 1, 200) AS t FROM documents)),
-    r AS (SELECT DISTINCT {_LETTER_SQL} AS e FROM (SELECT substring({FOLD}, 1, 200) AS t FROM benchmark))
-    SELECT doc_id, round(max(list_dot_product(v.e, r.e) / sqrt(list_dot_product(v.e, v.e)) / sqrt(list_dot_product(r.e, r.e))), 6) AS bio_score FROM v, r GROUP BY 1""",
+    f"""WITH v AS (SELECT doc_id, {_WORD_SQL} AS e FROM ({_CUT.format("documents")}) WHERE n > 0),
+    r AS (SELECT DISTINCT {_WORD_SQL} AS e FROM ({_CUT.format("benchmark")}) WHERE n > 0),
+    s AS (SELECT doc_id, max(list_dot_product(v.e, r.e) / sqrt(list_dot_product(v.e, v.e)) / sqrt(list_dot_product(r.e, r.e))) AS s FROM v, r GROUP BY 1)
+    SELECT doc_id, round(coalesce(s, 0), 6) AS bio_score FROM documents LEFT JOIN s USING (doc_id)""",
 )
 def encoder_scores(spark, sf_dir):
-    """Contexts through an encoder that a worker loads once, and their best references."""
+    """Contexts through an encoder of tokens that a worker loads once, cut and pooled, and their best references."""
 
     def load():
-        return lambda texts: [[1.0 + t.count(c) for c in _LETTERS] for t in texts]
+        words, known = re.compile("[A-Za-z]+"), {}
+        vectors = [[0.0] * len(_LETTERS)]
+
+        def tokenise(text):
+            out = []
+            for w in words.findall(text):
+                if w not in known:
+                    known[w] = len(vectors)
+                    vectors.append([1.0 + w.count(c) for c in _LETTERS])
+                out.append(known[w])
+            return out
+
+        return scoring.token_encoder(tokenise, lambda ids, mask: np.array(vectors)[ids])
 
-    text = lambda name, *keys: table(spark, sf_dir, name).select(*keys, F.substring(T.fold(F.col("text")), 1, 200).alias("t"))
+    text = lambda name, *keys: table(spark, sf_dir, name).select(*keys, T.fold(F.col("text")).alias("t"))
     refs = store(scoring.encode(text("benchmark").distinct(), "t", load), "references")
     own = store(scoring.encode(text("documents", "doc_id"), "t", load), "contexts")
     return scoring.context_scores(own, "doc_id", refs).withColumn("bio_score", F.round("bio_score", 6))

@@ -5,6 +5,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,3 +235,54 @@ def test_context_scores_beyond_one_block_of_references(spark):
     for most in (1, 7, 39):
         got = scoring.context_scores(frame, "id", refs, most=most)
         assert sorted(((r.id, round(r.bio_score, 9)) for r in got.collect()), key=str) == wanted, most
+
+
+def test_an_index_in_blocks_finds_what_all_products_give(spark, monkeypatch):
+    """Common grams, equal sequences, none shared; blocks of both sides; MaxScore against every product."""
+    rng = random.Random(11)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(rng.randint(0, n)))
+    queries = [(word("ACD", 15),) for _ in range(150)] + [(word("ACDEFGHIKL", 25),) for _ in range(150)] + [("",), ("WWWW",)]
+    refs = [(word("ACD", 15),) for _ in range(90)] + [(word("ACDEFGHIKL", 25),) for _ in range(90)]
+    frames = [spark.createDataFrame(x, "seq string") for x in (queries, refs)]
+    wanted = {r.seq: round(r.nearest, 9) for r in scoring.nearest(*frames).collect()}
+    monkeypatch.setattr(scoring, "BLOCK", 25)
+    monkeypatch.setattr(scoring, "TOGETHER", 13)
+    assert {r.seq: round(r.nearest, 9) for r in scoring.nearest(*frames, postings=0).collect()} == wanted
+    assert len(set(wanted.values())) > 50
+
+
+def test_best_of_an_index():
+    rng = random.Random(6)
+    for _ in range(300):
+        names = [f"g{i}" for i in range(rng.randint(1, 12))]
+        vectors = []
+        for _ in range(rng.randint(1, 30)):
+            own = rng.sample(names, rng.randint(0, len(names)))
+            vectors.append((own, [rng.choice([0.1, 0.5, 1.0]) * rng.random() for _ in own]))
+        index = scoring.Index(*scoring.Index.build(vectors))
+        for _ in range(3):
+            own = rng.sample([*names, "none"], rng.randint(0, len(names)))
+            weights = [rng.random() for _ in own]
+            wanted = max([sum(w * v[1][v[0].index(g)] for g, w in zip(own, weights, strict=True) if g in v[0]) for v in vectors], default=0.0)
+            assert index.best(own, weights) == pytest.approx(wanted)
+
+
+def test_pooled_tokens(spark):
+    vectors = np.array([[0.0, 0.0], [1.0, 3.0], [3.0, 1.0], [9.0, 9.0]])
+    encoder = scoring.token_encoder(lambda t: [int(c) for c in t], lambda ids, mask: vectors[ids], most=3)
+    assert encoder(["12", "", "1113333", "3"]) == [[2.0, 2.0], [0.0, 0.0], [1.0, 3.0], [9.0, 9.0]]
+    tokens = np.arange(24.0).reshape(2, 3, 4)
+    assert scoring.pooled(tokens, np.array([[True, False, True], [False] * 3])).tolist() == [[4.0, 5.0, 6.0, 7.0], [0.0] * 4]
+    rows = spark.createDataFrame([("12",), ("",), (None,)], "t string")
+    out = scoring.encode(rows, "t", lambda: encoder).collect()
+    assert [r.embedding for r in out] == [[pytest.approx(0.5**0.5)] * 2, [0.0, 0.0], [0.0, 0.0]]
+
+
+def test_vectors_that_score_nothing(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [1.0, float("nan")]), (6, [float("inf"), 1.0]), (7, [-1.0, 0.0]), (8, [1.0, None])]
+    frame = spark.createDataFrame(rows, "id long, embedding array<double>")
+    refs = spark.createDataFrame([([2.0, 0.0],), ([2.0, 0.0],), (None,), ([3.0, 3.0],), ([0.0, 0.0],), ([float("nan"), 1.0],)], "embedding array<double>")
+    for most in (4096, 2, 1):
+        got = {r.id: r.bio_score for r in scoring.context_scores(frame, "id", refs, most=most).collect()}
+        assert got == {k: pytest.approx(1.0) if k == 1 else 0.0 for k, _ in rows}, most
+    assert scoring.context_scores(frame, "id", refs.limit(0)).agg(F.max("bio_score")).first()[0] == 0.0
