@@ -464,6 +464,55 @@ def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Ca
     return rows.select(key, text).mapInArrow(run, _types(rows, [key], _IN_TABLE_TYPES))
 
 
+def pages_with(rows: DataFrame, keys: list[str], page: str, text: str, wanted: str, prepare: Prepare = None) -> DataFrame:
+    """First of keys, sequence, original_sequence, page: for each of the wanted pairs of a row of which either is in its text.
+
+    Rows with the same keys have the same wanted pairs; where they follow one another the
+    automaton is made once. prepare rewrites a text before it is read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, pairs, owners, machine = None, [], {}, None
+        for batch in batches:
+            row, found, held = [], [], 0
+            names = list(zip(*[batch.column(k).to_pylist() for k in range(len(keys))], strict=True))
+
+            def made() -> pa.RecordBatch:
+                words = [pa.array([p[k] for p in found], pa.string()) for k in ("sequence", "original_sequence")]
+                take = pa.array(row, pa.int32())
+                return pa.RecordBatch.from_arrays([batch.column(0).take(take), *words, batch.column(len(keys)).take(take)], names=[keys[0], "sequence", "original_sequence", page])
+
+            for i, name in enumerate(names):
+                if name != last:
+                    last, pairs, owners, machine = name, batch.column(len(keys) + 2)[i].as_py(), {}, ahocorasick.Automaton()
+                    for k, p in enumerate(pairs):
+                        for word in {p["sequence"], p["original_sequence"]} - {None}:
+                            owners.setdefault(word, []).append(k)
+                    for word in owners:
+                        if word:
+                            machine.add_word(word, word)
+                    if len(machine):
+                        machine.make_automaton()
+                body = batch.column(len(keys) + 1)[i].as_py()
+                if body is None:
+                    continue
+                body = prepare(body) if prepare else body
+                words = {w for _, w in machine.iter(body)} if len(machine) else set()
+                if "" in owners:
+                    words.add("")
+                for k in {k for w in words for k in owners[w]}:
+                    row.append(i)
+                    found.append(pairs[k])
+                    held += 64
+                if held > HELD:
+                    yield made()
+                    row, found, held = [], [], 0
+            yield made()
+
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.select(*keys, page, text, wanted).mapInArrow(run, f"`{keys[0]}` {types[keys[0]]}, sequence string, original_sequence string, `{page}` {types[page]}")
+
+
 # ------------------------------------------------------------------ evidence
 
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
@@ -259,14 +261,28 @@ def _finished(found: DataFrame, keys: str | list[str]) -> DataFrame:
     )
 
 
+#: Sequences of a document that one automaton looks for.
+TOGETHER = 5_000
+
+
 def first_page(candidates: DataFrame, pages: DataFrame, key: str, page: str = "page", text: str = "text", rebuild: bool = True) -> DataFrame:
-    """candidates with the first page of their document that holds the sequence; null where none does."""
-    body = T.reconstruct(F.col(text)) if rebuild else F.col(text)
-    ready = pages.select(F.col(key).alias("_key"), F.col(page).alias("_page"), body.alias("_body"))
-    there = F.col("_body").contains(F.col("sequence")) | F.col("_body").contains(F.col("original_sequence"))
-    found = candidates.select(key, "sequence", "original_sequence").distinct().join(ready, (F.col(key) == F.col("_key")) & there)
-    pages_ = found.groupBy(key, "sequence", "original_sequence").agg(F.min("_page").alias("page"))
-    return candidates.join(pages_, [key, "sequence", "original_sequence"], "left")
+    """candidates with the first page of their document that holds the sequence; null where none does.
+
+    A document's sequences meet its pages as one list (a list for each TOGETHER of them),
+    and an automaton of them reads each page once: no page is multiplied by candidates.
+    """
+    words = ["sequence", "original_sequence"]
+    each = candidates.select(key, *words).where(F.col(key).isNotNull()).distinct()
+    parts = F.ceil(F.count("*").over(Window.partitionBy(key)) / TOGETHER)
+    listed = each.withColumn("_part", F.pmod(F.xxhash64(*words), parts)).groupBy(key, "_part").agg(F.collect_list(F.struct(*words)).alias("_wanted"))
+    met = pages.select(key, F.col(page).alias("_page"), F.col(text).alias("_body")).join(listed, key)
+    blocked = frozenset(lex.BLACKLIST)
+    hits = kernels.pages_with(met, [key, "_part"], "_page", "_body", "_wanted", (lambda t: T.rebuild(t, blocked)) if rebuild else None)
+    first = hits.groupBy(key, *words).agg(F.min("_page").alias("page"))
+    # an original sequence may be null
+    same = [F.col(f"_f.{c}").eqNullSafe(F.col(f"_c.{c}")) for c in (key, *words)]
+    out = candidates.alias("_c").join(first.alias("_f"), functools.reduce(lambda x, y: x & y, same), "left")
+    return out.select("_c.*", "_f.page")
 
 
 def llm_candidates(candidates: DataFrame, pages: DataFrame, key: str = "pmid") -> DataFrame:
