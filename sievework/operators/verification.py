@@ -1,14 +1,18 @@
 """Verification by a model: prompts, strict reading of responses, and the three passes.
 
 A model is anything that maps prompts to response texts. Passes send each distinct
-prompt once; responses are validated, retried, and only validated ones count. Candidates
-that their scores rule out are never sent.
+prompt once; responses are validated where they arrive, asked for again if they fail any
+rule, and only validated ones count. Candidates that their scores rule out are never sent.
+With a journal, prompts are a stream of small files: what has been answered stays answered
+when a run fails, and the next one asks the rest.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import math
+import time
 import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -18,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..streaming import incremental
 
 Model = Callable[[str], str]
 
@@ -26,6 +31,9 @@ SUPPORT = ("strong", "moderate", "weak", "reject")
 LEAST_SCORE = 0.6
 LEAST_TECHNIQUE = 0.5
 OPTIONS = {"temperature": 0, "num_predict": 512, "num_thread": 6}
+#: Labels and question that a grading model was tuned on, each with the column it shows.
+GRADED = [("Sequence", "sequence"), ("Species", "_species"), ("Sequence Score", "sequence_score"), ("Bio Score", "bio_score"), ("Evidence Score", "evidence_score"), ("Detected Techniques", "techniques"), ("Context", "context")]
+QUESTION = "Question\nShould this candidate be accepted as a real experimentally validated plant peptide?\n"
 
 
 def http_model(url: str, model: str, timeout: int = 300) -> Callable[[], Model]:
@@ -128,17 +136,61 @@ def read_species(response: Column) -> Column:
     return _read_confirmation(response, "species_confirmed", lambda v: ~_kind(v, "$.verified_species").isin("STRING", "VOID", "MISSING"))
 
 
-def well_formed(text: str, flag: str | None) -> bool:
-    """Whether a response is worth keeping: an object with its flag, if it needs one. Decides on retries, in the worker."""
-    try:
-        value = json.loads(text.strip())
-    except ValueError:
-        a, b = text.find("{"), text.rfind("}")
+def _object(text: str) -> dict | None:
+    """The object in a response: the whole text, or what its outermost braces hold."""
+    for part in (text, text[text.find("{") : text.rfind("}") + 1]):
         try:
-            value = json.loads(text[a : b + 1]) if 0 <= a < b else None
+            value = json.loads(part)
         except ValueError:
-            return False
-    return isinstance(value, dict) and (flag is None or isinstance(value.get(flag), bool)) and not (isinstance(value.get("confidence"), float) and math.isnan(value["confidence"]))
+            continue
+        return value if isinstance(value, dict) else None
+    return None
+
+
+def _number(value) -> float | None:
+    """A confidence as a number; None if it is none, or outside 0 to 1."""
+    try:
+        number = float(value)
+    except (TypeError, ValueError):
+        return None
+    return number if 0 <= number <= 1 else None
+
+
+def check(text: str, kind: str) -> str | None:
+    """The first rule that a response breaks, None if it breaks none: what the readers of responses tell, in the worker.
+
+    kind: sequence, technique, species, or graded for a model that grades evidence.
+    """
+    value = _object(text.strip())
+    if value is None:
+        return "no object"
+    if kind == "graded":
+        given = value.get("confidence", 0.0)
+        return None if isinstance(given, int | float | str) and _float(given) is not None else "confidence"
+    flag = {"sequence": "valid_sequence", "technique": "technique_confirmed", "species": "species_confirmed"}[kind]
+    if not isinstance(value.get(flag), bool):
+        return flag
+    if _number(value.get("confidence", 0.0)) is None:
+        return "confidence"
+    if kind == "sequence":
+        if value.get("support_type") not in SUPPORT:
+            return "support_type"
+        if not isinstance(value.get("linked_techniques", []), list):
+            return "linked_techniques"
+        texts = ["reason"]
+    else:
+        if kind == "species" and not isinstance(value.get("verified_species"), str | None):
+            return "verified_species"
+        texts = ["evidence_line", "reason"]
+    return next((t for t in texts if not isinstance(value.get(t, ""), str)), None)
+
+
+def _float(value) -> float | None:
+    try:
+        number = float(value)
+    except ValueError:
+        return None
+    return None if math.isnan(number) else number
 
 
 # ------------------------------------------------------------------ prompts
@@ -158,12 +210,15 @@ def sequence_prompt() -> Column:
     )
 
 
-def graded_prompt() -> Column:
-    """The prompt of a model that grades evidence: the facts by name, then the question."""
-    listed = F.coalesce(F.nullif(F.array_join("techniques", "\n"), F.lit("")), F.lit("None"))
-    score = lambda c: F.format_string("%.3f", F.coalesce(F.col(c), F.lit(0.0)))
-    parts = {"Sequence": F.col("sequence"), "Sequence score": score("sequence_score"), "Context score": score("bio_score"), "Evidence score": score("evidence_score"), "Techniques": listed, "Text": F.col("context")}
-    return F.concat_ws("\n", *[x for name, value in parts.items() for x in (F.lit(name), value)], F.lit("Does the text show this to be a real peptide, validated by experiment? Answer with verified, confidence, evidence_strength and reason."))
+def graded_prompt(template: list[tuple[str, str]] = GRADED, question: str = QUESTION) -> Column:
+    """The prompt of a model that grades evidence: each fact below its label, then the question."""
+
+    def shown(name: str) -> Column:
+        if name == "techniques":
+            return F.coalesce(F.nullif(F.array_join(name, "\n"), F.lit("")), F.lit("None"))
+        return F.format_string("%.3f", F.coalesce(F.col(name), F.lit(0.0))) if name.endswith("_score") else F.coalesce(F.col(name), F.lit(""))
+
+    return F.concat_ws("\n", *[x for label, name in template for x in (F.lit(label), shown(name))], F.lit(question))
 
 
 def extended_context() -> Column:
@@ -180,35 +235,61 @@ def species_prompt(species: Column, context: Column) -> Column:
     return F.concat_ws("\n", F.lit("Decide which plant species the peptides of this document come from."), F.lit('Answer with one JSON object: {"species_confirmed": bool, "confidence": 0..1, "verified_species": null, "evidence_line": "", "reason": ""}'), F.concat(F.lit("Document: "), F.col("pmid")), F.concat(F.lit("Named in it: "), F.array_join(species, ", ")), F.concat(F.lit("Text:\n"), F.substring(context, 1, 4000)))
 
 
-def ask(prompts: DataFrame, load: Callable[[], Model], flag: str | None, attempts: int, partitions: int = 0, threads: int = 4) -> DataFrame:
-    """(prompt, response, tries) of distinct prompts; a bad or failed answer is asked for again.
+RECORD = "prompt string, attempt int, response string, error string, ok boolean, runtime double"
 
-    A task waits for `threads` answers at a time; partitions sets how many tasks ask.
 
-    A prompt's answer hangs on the prompt alone, so a task that runs twice gives the
-    same row; the answer of the last attempt stays, empty if all failed.
-    """
+def _asked(prompts: DataFrame, load: Callable[[], Model], kind: str, attempts: int, threads: int) -> DataFrame:
+    """A record of each attempt at each prompt (prompt)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
 
-        def one(prompt: str) -> tuple[str, str, int]:
-            text = ""
+        def one(prompt: str) -> list[tuple]:
+            made = []
             for k in range(1, attempts + 1):
+                began = time.monotonic()
                 try:
-                    text = model(prompt)
+                    text, error = model(prompt), None
                 except Exception as e:  # counted as an answer that can't be read
-                    text = f"error: {e}"
-                if well_formed(text, flag):
+                    text, error = "", f"{type(e).__name__}: {e}"
+                error = error or check(text, kind)
+                made.append((prompt, k, text, error, error is None, time.monotonic() - began))
+                if error is None:
                     break
-            return prompt, text, k
+            return made
 
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                yield pd.DataFrame(list(pool.map(one, batch["prompt"])), columns=["prompt", "response", "tries"])
+                yield pd.DataFrame([r for own in pool.map(one, batch["prompt"]) for r in own], columns=RECORD.replace(",", "").split()[::2])
 
-    each = prompts.select("prompt").distinct()
-    return (each.repartition(partitions) if partitions else each).mapInPandas(run, "prompt string, response string, tries int")
+    return prompts.select("prompt").mapInPandas(run, RECORD)
+
+
+def ask(prompts: DataFrame, load: Callable[[], Model], kind: str, attempts: int, partitions: int = 0, threads: int = 4, journal: str | None = None, together: int = 16) -> DataFrame:
+    """(prompt, attempt, response, error, ok, runtime): a record of each attempt at each distinct prompt.
+
+    A bad or failed answer is asked for again, up to `attempts` times. A task waits for
+    `threads` answers at a time; partitions sets how many tasks ask. With a journal, a
+    folder, prompts that it doesn't hold are added to it in `partitions` files, files are
+    asked `together` at a time, and each such batch is recorded before the next: a run that
+    fails repeats one batch at most, and prompts that were answered are never asked again.
+    """
+    each = prompts.select("prompt").where("prompt is not null").distinct()
+    if journal is None:
+        return _asked(each.repartition(partitions) if partitions else each, load, kind, attempts, threads)
+    spark, waiting, records = each.sparkSession, f"{journal}/prompts", f"{journal}/records"
+    new = each
+    if incremental.exists(spark, waiting):
+        new = each.join(spark.read.schema("prompt string").parquet(waiting), "prompt", "left_anti")
+    (new.repartition(partitions) if partitions else new).write.mode("append").parquet(waiting)
+    incremental.write_new(spark, "prompt string", waiting, f"{journal}/checkpoint", lambda batch: {records: _asked(batch, load, kind, attempts, threads)}, files=together).awaitTermination()
+    return spark.read.schema(RECORD).parquet(records).join(each, "prompt", "left_semi")
+
+
+def answers(records: DataFrame) -> DataFrame:
+    """The record of each prompt that counts: the attempt that was right, else the last."""
+    last = F.max_by(F.struct(*[c for c in records.columns if c != "prompt"]), "attempt")
+    return records.groupBy("prompt").agg(last.alias("_a")).select("prompt", "_a.*")
 
 
 # ------------------------------------------------------------------ passes
@@ -223,25 +304,45 @@ def final_validity(valid: Column) -> Column:
     return F.coalesce(valid, F.lit(False)) & passes_scores()
 
 
-def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model], save: Callable[[DataFrame, str], DataFrame], key: str = "pmid", graded: bool = False) -> tuple[DataFrame, DataFrame]:
+def audit(asked: DataFrame, found: DataFrame, kind: str, read: Callable[[Column], Column], flag: str) -> DataFrame:
+    """The record of each question asked: who asked (pmid, sequence or technique), prompt, answer, what was read from it, attempt and time."""
+    who = [F.col(c) if c in asked.columns else F.lit(None).cast("string").alias(c) for c in ("pmid", "sequence", "technique")]
+    joined = asked.select("prompt", *who).join(found, "prompt").withColumn("_v", read(F.col("response")))
+    name = F.lit(f"{kind}_verification") if kind == "sequence" else F.when(F.col("ok"), f"{kind}_verification").otherwise(f"{kind}_verification_error")
+    parsed = F.when(F.col("ok"), F.to_json("_v"))
+    return joined.select(name.alias("type"), "pmid", "sequence", "technique", F.sha2("prompt", 256).alias("prompt_id"), "prompt", F.col("response").alias("raw_response"), parsed.alias("parsed"), F.coalesce(F.col("ok") & F.col(f"_v.{flag}"), F.lit(False)).alias("verification_result"), F.col("ok").alias("parse_ok"), "attempt", "runtime", "error")
+
+
+def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model], save: Callable[[DataFrame, str], DataFrame], key: str = "pmid", graded: bool = False, journal: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(verified candidates, audit log).
 
     candidates: id, pmid, sequence, sequence_line, source, context, techniques,
     technique_lines, evidence_score, sequence_score, bio_score, and key; documents: key
     (a document's own, one row each), species, head. save(frame, name) writes a frame and
     reads it back: a model is asked once, whatever runs again later. graded: the model
-    judges sequences by grading evidence.
+    judges sequences by grading evidence. journal: a folder in which answers stay from
+    run to run.
     """
-    possible = candidates.where(passes_scores()).withColumn("prompt", graded_prompt() if graded else sequence_prompt())
-    first = save(ask(possible, load, None if graded else "valid_sequence", 3), "sequence")
+
+    def answered(asked: DataFrame, kind: str, attempts: int, name: str) -> DataFrame:
+        return save(answers(ask(asked, load, kind, attempts, journal=journal and f"{journal}/{name}")), name)
+
+    possible = candidates.where(passes_scores())
+    if graded:
+        first_named = documents.select(F.col(key).alias("_key"), F.get("species", F.lit(0)).alias("_species"))
+        possible = possible.join(first_named, F.col(key) == F.col("_key"), "left").withColumn("_species", F.coalesce("_species", F.lit("unknown")))
+        possible = possible.withColumn("prompt", graded_prompt()).drop("_key", "_species")
+    else:
+        possible = possible.withColumn("prompt", sequence_prompt())
+    first = answered(possible, "graded" if graded else "sequence", 3, "sequence")
     read = read_graded if graded else read_verdict
-    judged = possible.join(first, "prompt").withColumn("v", read(F.col("response")))
-    valid = save(judged.where(F.col("v.ok") & F.col("v.valid_sequence")).drop("prompt", "response", "tries"), "valid")
+    judged = possible.join(first.select("prompt", "response"), "prompt").withColumn("v", read(F.col("response")))
+    valid = save(judged.where(F.col("v.ok") & F.col("v.valid_sequence")).drop("prompt", "response"), "valid")
 
     each = valid.select("id", "pmid", F.posexplode("techniques").alias("no", "technique"), extended_context().alias("_text"))
     each = each.withColumn("prompt", technique_prompt(F.col("technique"), F.col("_text")))
-    second = save(ask(each, load, "technique_confirmed", 2), "technique")
-    sure = each.join(second, "prompt").withColumn("t", read_technique(F.col("response")))
+    second = answered(each, "technique", 2, "technique")
+    sure = each.join(second.select("prompt", "response"), "prompt").withColumn("t", read_technique(F.col("response")))
     sure = sure.where(F.col("t.ok") & F.col("t.technique_confirmed") & (F.col("t.confidence") >= LEAST_TECHNIQUE))
     kept = sure.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("no", "technique", F.round("t.confidence", 4).alias("score"), F.col("t.evidence_line").alias("line")))).alias("ts"))
 
@@ -251,8 +352,8 @@ def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model
     species = F.when(llm.isNull() | F.array_contains(named, llm), named).otherwise(F.array_append(named, llm))
     asked = with_docs.select("id", "pmid", species.alias("species"), F.coalesce(F.nullif(F.col("head"), F.lit("")), extended_context()).alias("_text"))
     asked = asked.where((F.size("species") > 0) | (F.col("_text") != "")).withColumn("prompt", species_prompt(F.col("species"), F.col("_text")))
-    third = save(ask(asked, load, "species_confirmed", 2), "species")
-    told = asked.join(third, "prompt").withColumn("s", read_species(F.col("response"))).where(F.col("s.ok") & F.col("s.species_confirmed")).select("id", "s")
+    third = answered(asked, "species", 2, "species")
+    told = asked.join(third.select("prompt", "response"), "prompt").withColumn("s", read_species(F.col("response"))).where(F.col("s.ok") & F.col("s.species_confirmed")).select("id", "s")
 
     none = F.array()
     out = valid.join(kept, "id", "left").join(told, "id", "left").select(
@@ -263,11 +364,8 @@ def verify(candidates: DataFrame, documents: DataFrame, load: Callable[[], Model
         F.col("s.verified_species").alias("verified_species"), F.coalesce(F.round("s.confidence", 4), F.lit(0.0)).alias("species_confidence"), F.coalesce("s.evidence_line", F.lit("")).alias("species_evidence_line"),
         "evidence_score", "context", "bio_score", "sequence_score", F.lit(True).alias("is_valid"), F.col("v.is_synthesized").alias("is_synthesized"), F.col("v.synthesized_line").alias("synthesized_line"),
     )
-    log = None
-    for name, answers in (("sequence_verification", first), ("technique_verification", second), ("species_verification", third)):
-        part = answers.select(F.lit(name).alias("type"), F.sha2("prompt", 256).alias("prompt_id"), "prompt", "response", "tries")
-        log = part if log is None else log.unionByName(part)
-    return out, log
+    logs = [audit(possible, first, "sequence", read, "valid_sequence"), audit(each, second, "technique", read_technique, "technique_confirmed"), audit(asked, third, "species", read_species, "species_confirmed")]
+    return out, functools.reduce(DataFrame.unionByName, logs)
 
 
 def with_synthesized(rows: DataFrame) -> DataFrame:
@@ -289,14 +387,17 @@ def read_graded(response: Column) -> Column:
 
 
 def _graded(v: Column) -> Column:
+    kind = _kind(v, "$.confidence")
+    confidence = F.when(kind == "MISSING", F.lit(0.0)).when(kind != "VOID", F.try_variant_get(v, "$.confidence", "double"))
+    error = F.when(v.isNull(), F.lit("no object")).when(confidence.isNull() | F.isnan(confidence), F.lit("confidence"))
     value = F.coalesce(F.try_variant_get(v, "$.verified", "boolean"), F.try_variant_get(v, "$.valid_sequence", "boolean"), F.lit(False))
     reason = F.coalesce(F.try_variant_get(v, "$.reason", "string"), F.lit(""))
     low = F.lower(reason)
     return F.struct(
-        v.isNotNull().alias("ok"),
-        F.when(v.isNull(), F.lit("no object")).alias("error"),
+        error.isNull().alias("ok"),
+        error.alias("error"),
         value.alias("valid_sequence"),
-        F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        confidence.alias("confidence"),
         label_from_strength(F.try_variant_get(v, "$.evidence_strength", "string")).alias("support_type"),
         F.array().cast("array<string>").alias("linked_techniques"),
         reason.alias("reason"),

@@ -263,7 +263,7 @@ def stub_model():
         n = len(re.split("Sequence: |Sequence\n", prompt)[1].split()[0])
         if n % 5 == 0:
             return "no answer"
-        if "Answer with verified" in prompt:
+        if "Question\nShould" in prompt:
             return json.dumps({"verified": n % 2 == 1, "confidence": n / 200, "evidence_strength": ("High", "Medium", "Low", "None")[n % 4], "reason": "Synthetic" if n % 3 == 0 else "r"})
         return "so: " + json.dumps({"valid_sequence": n % 2 == 1, "confidence": n / 200, "support_type": "weak", "reason": "r", "species": "Prima" if n % 3 == 0 else None, "is_synthesized": n % 7 == 0, "synthesized_line": "made"})
 
@@ -325,4 +325,4 @@ def verify_graded(spark, sf_dir):
 def verify_log(spark, sf_dir):
     """How often each prompt of the first pass was asked: answers that can't be read are asked for again."""
     _, log = verification.verify(*_candidates(spark, sf_dir), stub_model, store)
-    return log.where("type = 'sequence_verification'").groupBy("type", F.col("tries").cast("long").alias("tries")).agg(F.count("*").alias("n"))
+    return log.where("type = 'sequence_verification'").groupBy("type", F.col("attempt").cast("long").alias("tries")).agg(F.count("*").alias("n"))

@@ -9,11 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 #: The partition column that tells which batch rows came with.
 BATCH = "batch"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark can read Parquet files at a path."""
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def _pattern(path: str) -> str:
     """A path as a pattern that fits it alone: file streams take a folder or a pattern, and so a single file as well."""
     path = path.rstrip("/")

@@ -132,7 +132,7 @@ def test_verify_asks_each_prompt_once_and_retries(spark, tmp_path):
     assert [(r.id, r.verified_techniques, r.technique_scores, r.verified_species, r.species_confidence) for r in row] == [("1", ["NMR"], [0.8], "Zea mays", 0.75)]
     # one call for 1, three for 2, none for 3; two techniques; one species
     assert len(calls.read_text().split()) == 1 + 3 + 2 + 1
-    assert sorted(r.tries for r in log.collect()) == [1, 1, 1, 1, 3]
+    assert sorted(r.attempt for r in log.collect()) == [1, 1, 1, 1, 3]
     marked = verification.with_synthesized(verified).first()
     assert marked.verified_techniques == ["NMR", "synthesized"] and marked.technique_evidence_lines == ["e", "made"]
 
