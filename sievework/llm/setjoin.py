@@ -504,12 +504,14 @@ def _join_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, several: np.ndarray, block: int = BLOCK) -> DataFrame:
-    """(node, label) of nodes in coarse groups, label one node of the class."""
+def similar_nodes(docs: DataFrame, members: DataFrame, nodes: DataFrame, edges: DataFrame, width: int, percent: int, frequent: kernels.HashArrays, several: np.ndarray, block: int = BLOCK) -> DataFrame:
+    """(node, label) of nodes in coarse groups, label one node of the class.
+
+    nodes (node, text_key, n) has a row for each set, however many members hold it.
+    """
     spark = docs.sparkSession
     coarse = store(connected_components(edges).withColumnRenamed("component", "comp"), "coarse")
-    wanted = members.join(coarse, "node").groupBy("node", "comp").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"))
-    wanted = store(wanted, "wanted")
+    wanted = store(nodes.select("node", "text_key", "n").join(coarse, "node"), "wanted")
     weights = wanted.groupBy("comp").agg(F.sum("n").alias("weight"), F.count("*").alias("of"))
     wanted = store(join_hot(wanted, weights, "comp", "of", "inner"), "wanted")
     release(spark)
@@ -532,9 +534,14 @@ def similar_nodes(docs: DataFrame, members: DataFrame, edges: DataFrame, width:
     def bodies(which: str) -> DataFrame:
         """(node, comp, n, weight, body); only small tables move while they are few."""
         chosen = wanted.where(which)
-        keys, nodes = chosen.select("text_key").distinct(), chosen.drop("text_key", "of")
-        texts = docs.join(F.broadcast(keys) if few else keys, "text_key", "left_semi").select("text")
-        return texts.mapInArrow(run, "node long, body binary").join(F.broadcast(nodes) if few else nodes, "node")
+        keys, own = chosen.select("text_key").distinct(), chosen.drop("text_key", "of")
+        if few:
+            texts = docs.join(F.broadcast(keys), "text_key", "left_semi")
+        else:  # a third of all rows may share a text
+            times = members.groupBy("text_key").agg(F.count("*").alias("rows"))
+            texts = join_hot(docs, store(times.join(keys, "text_key", "left_semi"), "times"), "text_key", "rows", "inner")
+        found = texts.select("text").mapInArrow(run, "node long, body binary")
+        return found.join(F.broadcast(own) if few else own, "node")
 
     none = F.col("node").alias("known")
     small = bodies(f"weight <= {block}").select(F.col("comp").cast("string").alias("block"), "node", none, "body")
@@ -588,7 +595,7 @@ def classes_of_rows(docs: DataFrame, width: int = WIDTH, percent: int = 75, bloc
     several = np.zeros(0, np.int64)
     while True:
         members, edges = sketch(docs, width, percent, frequent, total, several)
-        nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("mark").alias("low"), F.max("mark").alias("high"))
+        nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("mark").alias("low"), F.max("mark").alias("high"), F.min("text_key").alias("text_key"), F.first("n").alias("n"))
         nodes = store(nodes, "nodes")
         # sets share a signature about once in 2^63 pairs: none up to billions of documents, some tens beyond
         more = nodes.where("low <> high").select("node").limit(KEYS).toArrow().column("node").to_numpy()
@@ -597,8 +604,8 @@ def classes_of_rows(docs: DataFrame, width: int = WIDTH, percent: int = 75, bloc
         several = np.union1d(several, more)
 
     def named() -> DataFrame:
-        labels = similar_nodes(docs, members, edges, width, percent, frequent, several, block).dropDuplicates(["node"])
-        own = nodes.drop("low", "high").join(labels, "node", "left").where("copies > 1 or label is not null")
+        labels = similar_nodes(docs, members, nodes, edges, width, percent, frequent, several, block).dropDuplicates(["node"])
+        own = nodes.select("node", "least", "copies").join(labels, "node", "left").where("copies > 1 or label is not null")
         own = store(own.withColumn("label", F.coalesce("label", "node")), "nodes")
         classes_ = own.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
         return join_hot(own.select("node", "label", "copies"), classes_, "label", "size", "inner").select("node", "label", "component_id", "copies")

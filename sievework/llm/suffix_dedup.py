@@ -441,7 +441,11 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
 
 def _removed(docs: DataFrame, length: int, gram: int, crowd: int, step: int) -> DataFrame:
     found = store(contexts(docs, repeated_anchors(docs, length, gram), length, gram), "contexts")
-    hits = found.select("ctx", "places").join(all_verdicts(found, length, crowd, step), "ctx")
+    # boilerplate is one context with places in every task: its verdict, one row, goes to them
+    joined = F.aggregate(F.collect_list("ranges"), F.lit(b""), lambda a, x: F.concat(a, x))
+    told = all_verdicts(found, length, crowd, step).groupBy("ctx").agg(joined.alias("ranges"))
+    told = store(told.join(found.groupBy("ctx").agg(F.count("*").alias("rows")), "ctx"), "told")
+    hits = join_hot(found.select("ctx", "places"), told, "ctx", "rows", "inner")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from sievework.llm import components, lattice, setjoin, suffix_dedup
+from sievework.llm import common, components, lattice, setjoin, suffix_dedup
 
 from . import brute
 
@@ -230,3 +230,29 @@ def test_near_vectors(spark, block):
     assert len(got) == len(rows) and 0.9 * there <= found <= there
     assert {r.vec_id: (r.n_links, r.component_id) for r in got if r.vec_id >= 700} == {i: w for i, w in wanted.items() if i >= 700}
     assert lattice.near_vectors(frame.limit(0)).collect() == []
+
+
+def test_a_text_that_a_third_of_all_rows_share_has_near_copies(spark, monkeypatch):
+    """Tables too large to broadcast, and a hot set and text in them."""
+    monkeypatch.setattr(setjoin, "KEYS", 0)
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    rows = copies()
+    hot = rows[7][1]
+    rows += [(5000 + i, hot) for i in range(120)] + [(9000 + i, hot.replace(" ", "  ")) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.near_duplicates(frame).collect()}
+    assert got == brute.near_duplicates(rows)
+
+
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 0])
+def test_boilerplate_that_a_third_of_all_rows_share(spark, monkeypatch, crowd):
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    rng = random.Random(6)
+    boiler = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 60))) + (boiler if i % 3 == 0 else "") + "".join(rng.choice("ab") for _ in range(rng.randint(0, 30)))) for i in range(240)]
+    docs = spark.createDataFrame(rows, "key long, text string").repartition(12)
+    gone = {}
+    for r in suffix_dedup.removed_ranges(docs, 40, 20, crowd, 5).collect():
+        pairs = np.frombuffer(r.spans, "<u4").reshape(-1, 2)
+        gone[r.key] = (int((pairs[:, 1] - pairs[:, 0]).sum()), len(pairs))
+    assert gone == {i: w[1:3] for i, w in brute.repeats(rows, 40).items() if w[1]}
