@@ -1,12 +1,15 @@
 """Balanced label propagation: linked documents move to their neighbours' shards under quotas.
 
-Links are given as groups: rows with equal link values are neighbours of one another. A
-group is one cell, or, where it is too large for a shard to take or leave at once, several
-of at most a 64th of a quota; a cell's rows move together. Cells begin together, by the
-hash of their link. In each round Spark adds up neighbours by link and shard and joins
-the sums back; a cell asks for the shard with most of its neighbours among those with
-room, and cells that lots draw from a shard over its quota must ask for another. A shard
-admits no more than its room: where more ask, lots decide. Rounds end when no cell asks
+Links are given as groups: rows with equal link values are neighbours of one another.
+Each row begins in a shard of its own hash, so nearly all links are cut at first. Rows of
+a group that stand in the same shard are a cell and move together; a group too large for a
+shard to take or leave at once begins as cells of at most a 64th of a quota (or COARSE rows), side by side.
+In each round Spark adds up neighbours by group and shard and joins the sums back; a cell
+asks for the shard with most of its neighbours, of equal ones that which the group's hash
+prefers in this round, so that its cells agree. What is asked from each shard of each other one is a
+table of shards by shards: as much as is asked in both directions changes places, beyond
+that a shard admits what it has room for, and lots decide which cells go. Cells that lots
+draw from a shard over its quota must ask for one with room. Rounds end when nothing moves
 (or after ROUNDS, which only leaves more to the last step). Only shard-by-shard sums come
 to the driver. Last, rows over a quota and all rows without links fill what room is left,
 by gapless numbers, so counts end at most one apart (law "rows") whatever the links.
@@ -19,6 +22,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +34,16 @@ SHARDS = 16
 ROUNDS = 12
 #: Cells that a shard's quota holds at least.
 FINE = 64
+#: A cell has so many rows at least.
+COARSE = 8
+#: The part of a quota that rounds may put on top of it; the last step moves it, group by group, to where room is left.
+SLACK = 32
 #: Rows that one task numbers.
 BUCKET = 2000
 _LOTS = 1 << 20
 
+log = logging.getLogger(__name__)
+
 
 def _lot(*of: Column) -> Column:
     return F.pmod(F.xxhash64(*of), F.lit(_LOTS))
@@ -43,40 +54,47 @@ def _pick(values: list, at: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), at)
 
 
-def cells_of(groups: DataFrame, link: str, shards: int, cell: int, quota: int) -> DataFrame:
-    """(link, part, size, shard) of groups (link, copies): parts of `cell` rows, as many in a shard as its quota takes."""
-    each = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / cell).cast("int") - 1)))
-    size = F.least(F.lit(cell).cast("long"), F.col("copies") - F.col("part") * cell)
-    begin = F.pmod(F.pmod(F.xxhash64(link), F.lit(shards)) + F.floor(F.col("part") / max(1, quota // cell)), F.lit(shards)).cast("int")
-    return each.select(link, "part", size.alias("size"), begin.alias("shard"))
+def admitted_shares(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], float]:
+    """Of what is asked from shard to shard the part that may go: exchanges in full, beyond them what there is room for."""
+    swap = {(s, t): min(n, asked.get((t, s), 0)) for (s, t), n in asked.items()}
+    more: dict[int, int] = {}
+    for (s, t), n in asked.items():
+        more[t] = more.get(t, 0) + n - swap[s, t]
+    return {(s, t): (swap[s, t] + (n - swap[s, t]) * min(1.0, max(0, room[t]) / max(1, more[t]))) / n for (s, t), n in asked.items()}
 
 
-def propagate(cells: DataFrame, link: str, shards: int, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """cells with the shards they have moved to."""
-    now = store(cells, "cells")
+def propagate(cells: DataFrame, link: str, shards: int, quota: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """(cells (link, part, size, shard) with the shards they have moved to, rows that asked and rows that moved in each round)."""
+    now, history = store(cells, "cells"), []
+    slack = -(-quota[0] // SLACK)
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
     for turn in range(rounds):
         load = {r[0]: r[1] for r in now.groupBy("shard").agg(F.sum("size")).collect()}  # one row per shard
-        room = [quota[s] - load.get(s, 0) for s in range(shards)]
+        room = [quota[s] + slack - load.get(s, 0) for s in range(shards)]
         over = [int(_LOTS * max(0, -room[s]) / max(1, load.get(s, 0))) for s in range(shards)]
         near = F.array(*[F.sum(F.when(F.col("shard") == s, F.col("size")).otherwise(0)) for s in range(shards)])
-        # only groups larger than a cell have several, and no more than shards x FINE groups are that large
-        several = now.groupBy(link).agg(near.alias("near"), F.count("*").alias("cells")).where("cells > 1").drop("cells")
-        asked = now.join(F.broadcast(several), link, "left").withColumn("drawn", _lot(F.col(link), F.col("part"), F.lit(turn)) < _pick(over, F.col("shard")))
-        here = F.coalesce(F.get("near", F.col("shard")), F.col("size"))
-        there = lambda s: F.coalesce(F.get("near", s), F.when(s == F.col("shard"), F.col("size")).otherwise(0))
-        # of shards with equally many neighbours a cell's own hash prefers one
-        prefers = lambda s: F.xxhash64(F.col(link), F.col("part"), F.lit(turn), s)
-        may = lambda s: (_pick([r > 0 for r in room], s) & (s != F.col("shard"))) | ((s == F.col("shard")) & ~F.col("drawn"))
-        choice = F.array_max(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.when(may(s), F.struct(there(s).alias("n"), prefers(s).alias("t"), s.alias("s")))))
-        asked = asked.withColumn("choice", choice).withColumn("moves", (F.col("choice.s") != F.col("shard")) & (F.col("drawn") | (F.col("choice.n") > here)))
-        asked = store(asked.select(link, "part", "size", "shard", F.when(F.col("moves"), F.col("choice.s")).alias("want")), "asked")
-        wanted = {r[0]: r[1] for r in asked.where("want is not null").groupBy("want").agg(F.sum("size")).collect()}
-        if not wanted:
+        # a group has a cell in each shard, or, where it is large, one for each 64th of a quota
+        sums = now.groupBy(link).agg(near.alias("near"))
+        asked = now.join(sums, link).withColumn("drawn", _lot(F.col(link), F.col("part"), F.lit(turn)) < _pick(over, F.col("shard")))
+        # in every other round shards without room may be asked as well, in exchange
+        free = lambda s: _pick([r > 0 for r in room], s) | (~F.col("drawn") & F.lit(turn % 2 == 0))
+        may = lambda s: F.when(s == F.col("shard"), ~F.col("drawn")).otherwise(free(s))
+        value = lambda s: F.struct(F.get("near", s).alias("n"), F.when(F.col("drawn"), F.xxhash64(link, "part", F.lit(turn), s)).otherwise(F.xxhash64(link, s, F.lit(turn))).alias("t"), s.alias("s"))
+        choice = F.array_max(F.transform(every, lambda s: F.when(may(s), value(s))))
+        asked = asked.withColumn("want", F.when(choice["s"] != F.col("shard"), choice["s"]))
+        asked = store(asked.select(link, "part", "size", "shard", "want"), "asked")
+        table = {(r[0], r[1]): r[2] for r in asked.where("want is not null").groupBy("shard", "want").agg(F.sum("size")).collect()}  # shards x shards rows
+        share = admitted_shares(table, room)
+        lots = F.array(*[F.lit(int(_LOTS * share.get((s, t), 0.0))) for s in range(shards) for t in range(shards)])
+        goes = F.col("want").isNotNull() & (_lot(F.col("part"), F.col(link), F.lit(-turn - 1)) < F.get(lots, (F.col("shard") * shards + F.col("want")).cast("int")))
+        moved = asked.withColumn("moved", F.coalesce(goes, F.lit(False)))
+        now = store(moved.select(link, "part", "size", F.when(F.col("moved"), F.col("want")).otherwise(F.col("shard")).alias("shard"), F.when(F.col("moved"), F.col("size")).otherwise(0).alias("gone")), "cells")
+        history.append((sum(table.values()), now.agg(F.coalesce(F.sum("gone"), F.lit(0))).first()[0]))
+        now = now.drop("gone")
+        log.info("round %s: rows of %s asked to move, %s moved", turn + 1, *history[-1])
+        if (turn % 2 == 0 and not history[-1][0]) or (turn and not any(n for _, n in history[-2:])):
             break
-        share = [int(_LOTS * min(1.0, max(0, room[s]) / wanted[s])) if wanted.get(s) else 0 for s in range(shards)]
-        admitted = F.col("want").isNotNull() & (_lot(F.col("part"), F.col(link), F.lit(-turn - 1)) < _pick(share, F.col("want")))
-        now = store(asked.withColumn("shard", F.when(admitted, F.col("want")).otherwise(F.col("shard"))).drop("want"), "cells")
-    return now
+    return now, history
 
 
 def fill(linked: DataFrame, single: DataFrame, link: str, shards: int, quota: list[int]) -> DataFrame:
@@ -119,21 +137,24 @@ def _sharded(rows: DataFrame, link: str, shards: int, rounds: int) -> DataFrame:
     rows = store(rows.withColumn("_row", F.monotonically_increasing_id()), "nodes")
     total = rows.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]
-    cell = max(1, quota[0] // FINE)
+    cell = max(COARSE, quota[0] // FINE)
     groups = store(rows.groupBy(link).agg(F.count("*").alias("copies")).where("copies > 1"), "groups")
-    cells = propagate(cells_of(groups, link, shards, cell, quota[0]), link, shards, quota, rounds)
     # groups larger than a cell: shards x FINE at most, and twice as many cells
     large = F.broadcast(groups.where(F.col("copies") > cell).select(link))
     ranked = rank_within(rows.join(large, link, "left_semi"), link, [F.col("_row")], F.col("_row"), F.lit(max(8, total // (BUCKET * shards))), "_rank")
-    parted = ranked.withColumn("part", F.floor(F.col("_rank") / cell).cast("int")).drop("_rank")
-    own = cells.join(large, link, "left_semi").select(link, "part", "shard")
-    first = parted.join(F.broadcast(own), [link, "part"])
-    rest = rows.join(large, link, "left_anti")
-    small = groups.where(F.col("copies") <= cell).join(cells.where("part = 0").select(link, "shard"), link)
-    placed = store(join_hot(rest, small, link, "copies", "left").drop("copies"), "rest")
-    second = placed.where("shard is not null").withColumn("part", F.lit(0))
-    columns = [*rows.columns, "part", "shard"]
-    return fill(first.select(*columns).unionByName(second.select(*columns)), placed.where("shard is null").drop("shard"), link, shards, quota)
+    parted = ranked.withColumn("part", F.floor(F.col("_rank") / cell).cast("int")).withColumn("_large", F.lit(True)).drop("_rank")
+    rest = store(join_hot(rows.join(large, link, "left_anti"), groups.where(F.col("copies") <= cell), link, "copies", "left"), "rest")
+    own = F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int")
+    small = rest.where("copies is not null").withColumn("part", own).withColumn("_large", F.lit(False))
+    columns = [*rows.columns, "part", "_large"]
+    linked = store(parted.select(*columns).unionByName(small.select(*columns)), "linked")
+    # a large group's cells stand side by side, as many in a shard as its quota takes
+    beside = F.pmod(F.pmod(F.xxhash64(link), F.lit(shards)) + F.floor(F.col("part") / max(1, quota[0] // cell)), F.lit(shards)).cast("int")
+    cells = linked.groupBy(link, "part", "_large").agg(F.count("*").alias("size")).select(link, "part", "size", F.when(F.col("_large"), beside).otherwise(F.col("part")).alias("shard"))
+    cells, _ = propagate(cells, link, shards, quota, rounds)
+    placed = linked.join(cells.select(link, "part", "shard"), [link, "part"])  # a cell has few rows
+    placed = placed.withColumn("part", F.when(F.col("_large"), F.col("part")).otherwise(0)).drop("_large")
+    return fill(placed, rest.where("copies is null").drop("copies"), link, shards, quota)
 
 
 def cut_pairs(placed: DataFrame, link: str) -> DataFrame:

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
+import itertools
+import random
 import subprocess
 import sys
 import zlib
@@ -148,3 +151,59 @@ def test_hot_keys_join_like_others(spark):
     plain = left.join(right, "k", "left")
     one = common.join_hot(left, right, "k", "n")
     assert sorted(map(str, one.select("k", "id", "n", "m").collect())) == sorted(map(str, plain.select("k", "id", "n", "m").collect()))
+
+
+def least_cut(sizes: list[int], quota: list[int]) -> int:
+    """The fewest cut pairs of any placement of groups, every one of them tried."""
+
+    @functools.cache
+    def best(k: int, left: tuple[int, ...]) -> int:
+        if k == len(sizes):
+            return 0
+        found = None
+        for parts in itertools.product(*[range(min(sizes[k], r) + 1) for r in left]):
+            if sum(parts) == sizes[k]:
+                rest = tuple(sorted(r - p for r, p in zip(left, parts, strict=True)))
+                cut = (sizes[k] ** 2 - sum(p * p for p in parts)) // 2 + best(k + 1, rest)
+                found = cut if found is None else min(found, cut)
+        return found
+
+    return best(0, tuple(sorted(quota)))
+
+
+def test_cut_of_small_graphs_is_near_the_least(spark):
+    rng, total, wanted, before = random.Random(8), 0, 0, 0
+    for _ in range(8):
+        sizes = [rng.choice([1, 1, 2, 2, 3, 4]) for _ in range(rng.randint(8, 12))]
+        rows = [(i, str(g)) for i, g in enumerate(g for g, n in enumerate(sizes) for _ in range(n))]
+        frame = spark.createDataFrame(rows, "doc_id long, link string")
+        n = len(rows)
+        quota = [n // 3 + (s < n % 3) for s in range(3)]
+        cuts = [sharding.cut_pairs(sharding.shard_rows(frame, "link", 3, rounds), "link").first().cut for rounds in (0, 12)]
+        least = least_cut(sorted(sizes, reverse=True), quota)
+        assert cuts[1] >= least
+        total, wanted, before = total + cuts[1], wanted + least, before + cuts[0]
+    assert total <= wanted + 0.35 * before, (total, wanted, before)
+
+
+def test_rounds_bring_linked_rows_together(spark):
+    """With no round nearly all pairs are cut, with rounds hardly any; each round tells what moved."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.md5((F.when(F.col("id") < 3000, F.floor(F.col("id") / 3)).otherwise(F.col("id"))).cast("string")).alias("link"))
+    none, some = (sharding.cut_pairs(sharding.shard_rows(rows, "link", rounds=r), "link").first() for r in (0, 12))
+    assert none.cut > 0.8 * none.pairs and some.cut < 0.02 * some.pairs
+    cells = spark.createDataFrame([(str(g), part, 1, part) for g in range(50) for part in range(4)], "link string, part int, size long, shard int")
+    moved, history = sharding.propagate(cells, "link", 4, [60] * 4)
+    assert history[0][0] >= history[0][1] > 50 and len(history) <= sharding.ROUNDS
+    assert moved.groupBy("link").agg(F.countDistinct("shard").alias("n")).where("n = 1").count() > 40
+
+
+def test_exchanges_go_in_full_and_the_rest_as_there_is_room():
+    share = sharding.admitted_shares({(0, 1): 10, (1, 0): 4, (2, 1): 6, (1, 2): 1}, [0, 6, 0])
+    assert share[1, 0] == 1.0 and share[1, 2] == 1.0
+    assert share[0, 1] == pytest.approx((4 + 6 * 6 / 11) / 10) and share[2, 1] == pytest.approx((1 + 5 * 6 / 11) / 6)
+
+
+def test_very_long_texts_and_clashing_columns_in_shards(spark):
+    rows = [(i, ("long " * 400_000) if i % 7 == 0 else f"t{i // 2}") for i in range(40)]
+    frame = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id long, text string, shard int, slot int, link string")
+    assert len(check_shards(sharding.shard_documents(frame), rows)) == 40
