@@ -39,22 +39,6 @@ def job2_evidence_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ SQL
 
 
-def _bounded(pattern: str) -> str:
-    r"""RE2's word boundaries know ASCII alone: a pattern \bword\b with those of Unicode."""
-    inner = pattern.removeprefix(r"\b").removesuffix(r"\b")
-    return rf"(?i)(?:^|[^\pL\pN_]){inner}(?:$|[^\pL\pN_])"
-
-
-def _hits(text: str, patterns: dict[str, list[str]]) -> str:
-    """A list of the patterns that a text matches, as {name, name_no, pattern_no}."""
-    tries = [f"CASE WHEN regexp_matches({text}, '{_bounded(p)}') THEN {{'name': '{n}', 'name_no': {i}, 'pattern_no': {j}}} END" for i, (n, own) in enumerate(patterns.items()) for j, p in enumerate(own)]
-    return f"list_filter([{', '.join(tries)}], lambda x: x IS NOT NULL)"
-
-
-def _names(text: str, patterns: dict[str, list[str]]) -> str:
-    return "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"regexp_matches({text}, '{_bounded(p)}')" for p in own) + f" THEN '{n}' END" for n, own in patterns.items()) + "], lambda x: x IS NOT NULL)"
-
-
 #: A text in which what is not ASCII stands as x (letters and digits), a blank (white space) or a dot, so that RE2's notions of them hold; as long as the text.
 _PLAIN = r"regexp_replace(regexp_replace(regexp_replace(text, '[\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]', ' ', 'g'), '[^\x00-\x7F\pL\pN]', '.', 'g'), '[^\x00-\x7F]', 'x', 'g')"
 
@@ -84,7 +68,7 @@ def _catalogue_sql(config: dict) -> str:
     scored AS (SELECT *, {_points("seen", config["keywords"])} AS score FROM around WHERE NOT {R.sql_gene("sequence", "seen", lex.GENE_TERMS, lex.PEPTIDE_TERMS)}),
     a AS (SELECT * FROM scored WHERE score >= {config["least"]} QUALIFY row_number() OVER (PARTITION BY doc_id, sequence ORDER BY start) = 1),
     s AS (SELECT doc_id, sequence, unnest(ss) AS s, unnest(range(len(ss))) AS no FROM (SELECT doc_id, sequence, {R.SENTENCES.format("context")} AS ss FROM a)),
-    m AS (SELECT doc_id, sequence, s, no, unnest({_hits("s", config["techniques"])}, recursive := true) FROM s),
+    m AS (SELECT doc_id, sequence, s, no, unnest({R.sql_hits("s", config["techniques"])}, recursive := true) FROM s),
     h AS (SELECT doc_id, sequence, name, name_no, arg_min(s, pattern_no * 1000000 + no) AS line FROM m GROUP BY ALL),
     k AS (SELECT * FROM h WHERE NOT ({covered or "FALSE"})),
     w(name, w) AS (VALUES {weights}),
@@ -94,13 +78,13 @@ def _catalogue_sql(config: dict) -> str:
       row_number() OVER (PARTITION BY a.doc_id ORDER BY a.score DESC, a.start) AS rank, 'pdf_text' AS source, a.context,
       coalesce(trim(list_filter({R.LINES.format("a.text")}, lambda x: contains(x, substring(a.text, a.start + 1, length(a.match))))[1]), '') AS sequence_line,
       CAST(CASE WHEN evidence > 0 THEN evidence ELSE 1 END AS DOUBLE) AS evidence_score, b.sequence IS NOT NULL AS known,
-      array_to_string(list_sort({_names("a.text", config["species"])}), '|') AS species, coalesce(techniques, '') AS techniques, coalesce(technique_lines, '') AS technique_lines
+      array_to_string(list_sort({R.sql_names("a.text", config["species"])}), '|') AS species, coalesce(techniques, '') AS techniques, coalesce(technique_lines, '') AS technique_lines
     FROM a LEFT JOIN e ON e.doc_id = a.doc_id AND e.sequence = a.sequence LEFT JOIN b ON b.sequence = a.sequence"""
 
 
 def _ledger_sql(config: dict) -> str:
     return f"""WITH s AS (SELECT doc_id, lang, unnest({R.SENTENCES.format("text")}) AS statement FROM documents)
-    SELECT DISTINCT doc_id, lang, unnest({_names("statement", config["techniques"])}) AS technique, statement FROM s WHERE doc_id IS NOT NULL"""
+    SELECT DISTINCT doc_id, lang, unnest({R.sql_names("statement", config["techniques"])}) AS technique, statement FROM s WHERE doc_id IS NOT NULL"""
 
 
 QUERIES = {"job1_candidate_catalogue": job1_candidate_catalogue, "job2_evidence_ledger": job2_evidence_ledger}

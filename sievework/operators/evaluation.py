@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import string
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -67,18 +68,31 @@ def report(totals: DataFrame) -> DataFrame:
     return totals.select(F.posexplode(F.array(*lines)).alias("no", "value")).select("value")
 
 
+def ratio_bound(a: Column, b: Column) -> Column:
+    """What the matching-blocks ratio of two texts of the letters A to Z can be at most: by the letters they share, however ordered."""
+    times = lambda text: F.array(*[F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in string.ascii_uppercase])
+    shared = F.aggregate(F.zip_with(times(a), times(b), lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    whole = F.length(a) + F.length(b)
+    return F.when(whole > 0, 2 * shared / whole).otherwise(F.lit(1.0))
+
+
 def similar_to_gold(rows: DataFrame, gold: DataFrame, least: float = 0.85, pmid: str = "pmid", seq: str = "sequence") -> DataFrame:
     """rows with similar: whether a gold sequence of the document is nearly the same (matching-blocks ratio).
 
-    Lengths bound the ratio from above, so pairs that can't reach it are never compared.
+    Lengths, then letters, bound the ratio from above; blocks are matched only in pairs
+    that can reach it. A gold sequence of the same letters needs no matching.
     """
 
     @F.pandas_udf("double")
     def ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    pairs = rows.select(pmid, F.col(seq).alias("_a")).distinct().join(gold.select(F.col("pmid").alias("_p"), F.col("sequence").alias("_b")).distinct(), F.col(pmid) == F.col("_p"))
-    pairs = pairs.where(2 * F.least(F.length("_a"), F.length("_b")) >= least * (F.length("_a") + F.length("_b")))
-    near = pairs.withColumn("_r", ratio_of(T.letters_only(F.col("_a")), F.col("_b"))).where(F.col("_r") >= least)
+    own = rows.select(pmid, F.col(seq).alias("_a"), T.letters_only(F.col(seq)).alias("_l")).distinct()
+    known = gold.select(F.col("pmid").alias("_p"), F.col("sequence").alias("_b")).distinct()
+    a, b = F.col("_l"), F.col("_b")
+    fits = (F.col(pmid) == F.col("_p")) & (2 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b)))
+    pairs = own.join(known, fits).where((a == b) | (ratio_bound(a, b) >= least))
+    same = pairs.where(a == b)
+    near = pairs.where(a != b).withColumn("_r", ratio_of(a, b)).where(F.col("_r") >= least).drop("_r").unionByName(same)
     near = near.select(F.col(pmid).alias("_p"), "_a").distinct().withColumn("_near", F.lit(True))
     return rows.join(near, (F.col(pmid) == F.col("_p")) & (F.col(seq) == F.col("_a")), "left").withColumn("similar", F.coalesce("_near", F.lit(False))).drop("_p", "_a", "_near")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
-from ..operators import evaluation
+from ..functions import text as T
+from ..operators import evaluation, verification
 from ..sources import writers
 from .registry import TOKEN, UP, query, table, upper
 
@@ -107,3 +110,41 @@ def result_rows(part):
     """part with the columns of a verified result."""
     text = lambda v: F.lit(v).cast("string")
     return part.select("p_name", F.col("p_partkey").cast("string").alias("pmid"), F.col("p_type").alias("sequence"), text("").alias("sequence_line"), F.lit(0.5).alias("sequence_confidence"), F.array("p_brand").alias("verified_techniques"), F.array(F.lit(0.5)).alias("technique_scores"), F.array(F.lit("")).alias("technique_evidence_lines"), text(None).alias("verified_species"), F.lit(0.0).alias("species_confidence"), text("").alias("species_evidence_line"), F.lit(False).alias("is_synthesized"), F.when(F.col("p_size") % 3 > 0, F.col("p_size") % 3 == 1).alias("gold_match"), text("").alias("reason"))
+
+
+_SHARED = " + ".join(f"least(length(a) - length(replace(a, '{c}', '')), length(b) - length(replace(b, '{c}', '')))" for c in string.ascii_uppercase)
+
+
+@query("ratio_bound", f"WITH p AS (SELECT a.p_partkey, regexp_replace(upper(a.p_name), '[^A-Z]', '', 'g') AS a, regexp_replace(upper(b.p_name), '[^A-Z]', '', 'g') AS b FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1) SELECT p_partkey, round(CASE WHEN length(a) + length(b) > 0 THEN 2 * ({_SHARED}) / (length(a) + length(b))::DOUBLE ELSE 1 END, 6) AS bound FROM p")
+def ratio_bound(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", T.letters_only(F.col("p_name")).alias("a"))
+    after = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b"))
+    return part.join(after, "p_partkey").select("p_partkey", F.round(evaluation.ratio_bound(F.col("a"), F.col("b")), 6).alias("bound"))
+
+
+@query("gold_similar")
+def gold_similar(spark, sf_dir):
+    """Sequences that are nearly a gold sequence of their document; SQL has no matching blocks, so brute force tests it."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("pmid"), F.col("p_name").alias("sequence"))
+    gold = evaluation.gold_pairs(part.where("p_partkey % 10 = 0"))
+    return evaluation.similar_to_gold(part, gold)
+
+
+_ASKED = "SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_type AS sequence, CASE WHEN p_size % 2 = 0 THEN [p_brand, 'T'] ELSE [] END AS ts, CASE WHEN p_size % 2 = 0 THEN [p_name, 'l'] ELSE [] END AS ls, p_size, p_name FROM part"
+
+
+@query(
+    "prompt_pairs",
+    f"SELECT pmid, array_to_string(list_transform(list_zip(ts, ls), lambda z: z[1] || ': ' || z[2]), chr(10)) AS pairs, CASE WHEN p_size % 3 = 0 THEN 'none' ELSE '0.75' END AS score, p_name || CASE WHEN p_size % 2 = 0 THEN chr(10) || chr(10) || 'Extracted Technique Sentences:' || chr(10) || p_name || chr(10) || 'l' ELSE '' END AS extended FROM ({_ASKED})",
+)
+def prompt_pairs(spark, sf_dir):
+    """What prompts say of techniques and their sentences."""
+    even = F.col("p_size") % 2 == 0
+    none = F.array().cast("array<string>")
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("pmid"), F.col("p_type").alias("sequence"), F.lit("csv").alias("source"), F.col("p_name").alias("context"), F.lit(None).cast("double").alias("bio_score"),
+        F.when(F.col("p_size") % 3 != 0, F.lit(0.75)).alias("sequence_score"), F.when(even, F.array("p_brand", F.lit("T"))).otherwise(none).alias("techniques"), F.when(even, F.array("p_name", F.lit("l"))).otherwise(none).alias("technique_lines"),
+    )
+    prompt = verification.sequence_prompt()
+    part = lambda pattern: F.regexp_extract(prompt, pattern, 1)
+    return rows.select("pmid", part(r"(?s)Techniques found:\n(.*)\nText:").alias("pairs"), part(r"Scores: sequence ([^,]*),").alias("score"), verification.extended_context().alias("extended"))

@@ -299,10 +299,12 @@ def technique_sources(spark, sf_dir):
     SELECT doc_id, sequence, 0 AS list, NULL::INT AS start FROM d UNION ALL SELECT doc_id, sequence, 1, length(sequence)::INT FROM d WHERE length(sequence) > 8""",
 )
 def candidate_lists(spark, sf_dir):
-    """Lists of candidates one after the other, nothing removed, columns that one lacks null."""
+    """Lists of candidates one after the other, nothing removed, columns that one lacks null; stored before they are merged."""
     found = folded(spark, sf_dir, upper()).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("sequence"))
     long = found.where("length(sequence) > 8").withColumn("start", F.length("sequence"))
-    return extraction.union(found, long).select("doc_id", "sequence", "list", "start")
+    path = new_path(spark, "lists")
+    writers.table(extraction.union(found, long), path, by="list")
+    return spark.read.parquet(path).select("doc_id", "sequence", "list", "start")
 
 
 def _words(spark, sf_dir):

@@ -218,6 +218,25 @@ def technique_lines(spark, sf_dir):
     return each.select("doc_id", (F.array_position(names, F.col("p.technique")) - 1).cast("long").alias("no"), F.col("p.technique").alias("technique"), F.col("p.line").alias("line"))
 
 
+@query(
+    "raw_techniques",
+    f"""WITH s AS (SELECT doc_id, unnest(ss) AS s, unnest(range(len(ss))) AS no FROM (SELECT doc_id, {R.SENTENCES.format("text")} AS ss FROM documents)),
+    m AS (SELECT doc_id, s, no, unnest({R.sql_hits("s", R.RAW_TECHNIQUES)}, recursive := true) FROM s),
+    h AS (SELECT doc_id, name, arg_min(s, pattern_no * 1000000 + no) AS line FROM m GROUP BY ALL),
+    k AS (SELECT * FROM h WHERE NOT (name = 'Beta' AND EXISTS (SELECT 1 FROM h g WHERE g.doc_id = h.doc_id AND g.name = 'Alpha')))
+    SELECT 'line' AS kind, doc_id, name, line FROM k UNION ALL
+    SELECT 'name', doc_id, unnest({R.sql_names("text", R.RAW_TECHNIQUES)}), NULL FROM documents UNION ALL
+    SELECT DISTINCT 'hit', doc_id, name, s FROM m""",
+)
+def raw_techniques(spark, sf_dir):
+    """Techniques of texts as they are, letters of all scripts in them: by both engines, in a text and in its sentences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    line = docs.select(F.lit("line").alias("kind"), "doc_id", F.explode(mining.technique_lines(F.col("text"), R.RAW_TECHNIQUES, R.SUPERSEDES)).alias("p")).select("kind", "doc_id", F.col("p.technique").alias("name"), "p.line")
+    name = docs.select(F.lit("name").alias("kind"), "doc_id", F.explode(mining.technique_names(F.col("text"), R.RAW_TECHNIQUES)).alias("name"), F.lit(None).cast("string").alias("line"))
+    hit = mining.technique_hits(docs, ["doc_id"], "text", F.lit("text"), R.RAW_TECHNIQUES).select(F.lit("hit").alias("kind"), "doc_id", F.col("technique").alias("name"), F.col("statement").alias("line"))
+    return line.unionByName(name).unionByName(hit)
+
+
 @query("evidence_score", f"{LINE_SQL}, w(name, w) AS (VALUES {', '.join(f'({chr(39)}{k}{chr(39)}, {v}.0)' for k, v in R.WEIGHTS.items())}), t AS (SELECT doc_id, sum(w) AS t FROM k JOIN w USING (name) GROUP BY 1) SELECT doc_id, CAST(CASE WHEN t > 0 THEN t ELSE 1 END AS DOUBLE) AS score FROM documents LEFT JOIN t USING (doc_id)")
 def evidence_score(spark, sf_dir):
     names = F.transform(mining.technique_lines(F.col("text"), R.TECHNIQUES, R.SUPERSEDES), lambda p: p["technique"])

@@ -19,6 +19,8 @@ TECHNIQUES = {"Alpha": [r"\bthing\b", r"\bhand\b"], "Beta": [r"\bthat\b"], "Gamm
 SUPERSEDES = {"Alpha": ["Beta"]}
 WEIGHTS = {"Alpha": 4, "Beta": 2, "Gamma": 3}
 SPECIES = {"Prima": [r"\bthing\b", r"\bles\b"], "Secunda": [r"\bund\b"], "Tertia": [r"\bdel\b", r"\bhand\b"]}
+#: The same for texts as they are.
+RAW_TECHNIQUES = {"Alpha": [r"\bthing\b", r"\bhand\b"], "Beta": [r"\bthat\b", r"\bfür\b"], "Gamma": [r"\bheat\b", r"\béou\b", r"\bque\b"], "Delta": [r"\bunter\b", r"\bétion\b"]}
 PEPTIDE_WORDS = ["thing", "hand"]
 TABLE_WORDS = ["heat", "reand"]
 HEADINGS = ["Les", "Thing", "Die", "Of onthshes"]
@@ -86,3 +88,20 @@ SENTENCES = r"list_filter(list_transform(string_split(regexp_replace(replace({0}
 def sql_technique(context: str, patterns: dict[str, list[str]]) -> str:
     """A list of the names whose patterns occur in a text."""
     return "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({context}, '(?i){'|'.join(p)}') THEN '{n}' END" for n, p in patterns.items()) + "], lambda x: x IS NOT NULL)"
+
+
+def sql_bounded(pattern: str) -> str:
+    r"""RE2's word boundaries know ASCII alone: a pattern \bword\b with those of Unicode."""
+    inner = pattern.removeprefix(r"\b").removesuffix(r"\b")
+    return rf"(?i)(?:^|[^\pL\pN_]){inner}(?:$|[^\pL\pN_])"
+
+
+def sql_hits(text: str, patterns: dict[str, list[str]]) -> str:
+    """A list of the patterns that a text matches, as {name, name_no, pattern_no}."""
+    tries = [f"CASE WHEN regexp_matches({text}, '{sql_bounded(p)}') THEN {{'name': '{n}', 'name_no': {i}, 'pattern_no': {j}}} END" for i, (n, own) in enumerate(patterns.items()) for j, p in enumerate(own)]
+    return f"list_filter([{', '.join(tries)}], lambda x: x IS NOT NULL)"
+
+
+def sql_names(text: str, patterns: dict[str, list[str]]) -> str:
+    """A list of the names whose patterns occur in a text, whatever its script."""
+    return "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"regexp_matches({text}, '{sql_bounded(p)}')" for p in own) + f" THEN '{n}' END" for n, own in patterns.items()) + "], lambda x: x IS NOT NULL)"

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import difflib
 import hashlib
+import http.server
 import json
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -286,3 +289,51 @@ def test_vectors_that_score_nothing(spark):
         got = {r.id: r.bio_score for r in scoring.context_scores(frame, "id", refs, most=most).collect()}
         assert got == {k: pytest.approx(1.0) if k == 1 else 0.0 for k, _ in rows}, most
     assert scoring.context_scores(frame, "id", refs.limit(0)).agg(F.max("bio_score")).first()[0] == 0.0
+
+
+def test_cap_of_many_references_is_a_sort(spark):
+    """Ten million rows of a million texts: the counts by head pick what a whole sort would."""
+    refs = spark.range(10_000_000, numPartitions=16).select(F.concat(F.lit("S"), (F.col("id") % 1_000_000).cast("string")).alias("seq"))
+    for rows in (1, 777, 40_000):
+        got = scoring.capped(refs, rows=rows)
+        own = spark.range(1_000_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("seq")).orderBy(F.md5("seq")).limit(rows)
+        assert got.count() == rows and got.exceptAll(own).count() == 0, rows
+
+
+def test_similar_to_gold_against_every_pair(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("ACDE") for _ in range(rng.randint(0, 14)))
+    gold = {(str(d), w) for d in range(4) for w in (word() for _ in range(12)) if w}
+    rows = [(str(rng.randint(0, 5)), "".join(rng.choice("ACDE") if rng.random() < 0.1 else c for c in rng.choice(sorted(gold))[1])) for _ in range(300)] + [("1", ""), ("1", None), (None, "ACDE")]
+    frame = spark.createDataFrame(rows, "pmid string, sequence string")
+    got = evaluation.similar_to_gold(frame, spark.createDataFrame(sorted(gold), "pmid string, sequence string")).collect()
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.similar == any(d == r.pmid and r.sequence and ratio(r.sequence, g) >= 0.85 for d, g in gold), r
+    pairs = spark.createDataFrame([(word(), word()) for _ in range(400)], "a string, b string").select("a", "b", evaluation.ratio_bound(F.col("a"), F.col("b")).alias("x")).collect()
+    assert all(r.x >= ratio(r.a, r.b) - 1e-12 for r in pairs)
+
+
+def test_model_over_http(spark):
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            body = json.dumps({"response": json.dumps({"technique_confirmed": asked["model"] == "m" and asked["options"]["temperature"] == 0, "confidence": 1, "evidence_line": asked["prompt"]})}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        prompts = spark.createDataFrame([("a",), ("b",), ("a",)], "prompt string")
+        got = verification.ask(prompts, verification.http_model(f"http://127.0.0.1:{server.server_port}/", "m"), "technique", 2).collect()
+        assert sorted((r.prompt, r.attempt, r.ok, json.loads(r.response)["evidence_line"]) for r in got) == [("a", 1, True, "a"), ("b", 1, True, "b")]
+        down = verification.ask(prompts, verification.http_model("http://127.0.0.1:1", "m", 1), "technique", 2).collect()
+        assert sorted((r.prompt, r.attempt, r.ok) for r in down) == [(p, k, False) for p in "ab" for k in (1, 2)]
+    finally:
+        server.shutdown()
