@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..storage import store
+from ..streaming import incremental
 
 #: Candidate records, as they are written and read.
 CANDIDATE = T.StructType(
@@ -147,6 +148,24 @@ def not_done(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def cached(rows: DataFrame, keys: list[str], content: str, made: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """What made gives for rows, from a table of results at path wherever it holds one for the same keys and content.
+
+    Results are kept by keys and the SHA-256 of the content (`digest`), so what changed is
+    made again and what did not is not. made takes rows with digest and keeps both. New
+    results are appended by one write of Spark's: they are there whole, or not at all
+    where it fails. Rows of equal keys and content are made once.
+    """
+    spark = rows.sparkSession
+    own = [*keys, "digest"]
+    marked = rows.withColumn("digest", F.sha2(content, 256))
+    new = marked.dropDuplicates(own)
+    if incremental.exists(spark, path):
+        new = new.join(spark.read.parquet(path).select(*own).distinct(), own, "left_anti")
+    made(new).write.mode("append").parquet(path)
+    return spark.read.parquet(path).join(marked.select(*own).distinct(), own, "left_semi")
+
+
 def joined_pages(pages: DataFrame, keys: list[str], order: list[str], text: str = "text", name: str = "raw_text") -> DataFrame:
     """Parts of a document put together in order, a line break between."""
     parts = F.array_sort(F.collect_list(F.struct(*order, F.coalesce(text, F.lit("")).alias("_t"))))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from sievework.sources import readers
@@ -18,3 +19,33 @@ def test_numbers_follow_an_order_over_parts(spark):
     out = readers.numbered(rows, "name").collect()
     assert sorted((r.no, r.name) for r in out) == [(i + 1, i) for i in range(5000)]
     assert readers.numbered(rows.limit(0), "name").collect() == []
+
+
+def test_cache_makes_what_changed_and_survives_a_write_that_fails(spark, tmp_path):
+    calls, path = tmp_path / "calls", str(tmp_path / "cache")
+    calls.mkdir()
+
+    def made(lost: str | None = None):
+        @F.udf("string")
+        def one(key: int, content: str) -> str:
+            if content == lost:
+                raise ValueError("lost")
+            with open(calls / f"{key}-{content}", "a") as f:
+                f.write("x")
+            return content.upper()
+
+        return lambda rows: rows.select("k", "digest", one("k", "c").alias("text"))
+
+    def run(rows, **more):
+        frame = spark.createDataFrame(rows, "k int, c string").repartition(4)
+        return sorted((r.k, r.text) for r in readers.cached(frame, ["k"], "c", made(**more), path).collect())
+
+    first = [(i, f"c{i}") for i in range(8)]
+    with pytest.raises(Exception, match="lost"):
+        run(first, lost="c5")
+    assert run([*first, (0, "c0")]) == [(i, f"C{i}") for i in range(8)]
+    before = {p.name: len(p.read_text()) for p in calls.iterdir()}
+    changed = [(i, f"c{i}" if i != 3 else "new") for i in range(8)]
+    assert run(changed) == [(i, f"C{i}" if i != 3 else "NEW") for i in range(8)]
+    assert {p.name: len(p.read_text()) for p in calls.iterdir()} == before | {"3-new": 1}
+    assert run(first[:2]) == [(0, "C0"), (1, "C1")]
