@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
 from ..functions import text as T
 from ..operators import evaluation, merging, mining, scoring, verification
 from ..sources import readers, writers
+from ..streaming import incremental
 
 Save = Callable[[DataFrame, str], DataFrame]
 
@@ -96,7 +97,7 @@ def prepare(pages: DataFrame, ocr: DataFrame | None, files: DataFrame | None, sa
 
 
 def run(
-    stages: dict[str, DataFrame], references: DataFrame, model: Callable[[], verification.Model], save: Save, encoder: Callable[[], scoring.Encoder] | None = None, contexts: list[str] = lex.REFERENCE_CONTEXTS, gold: DataFrame | None = None, graded: bool = False
+    stages: dict[str, DataFrame], references: DataFrame, model: Callable[[], verification.Model], save: Save, encoder: Callable[[], scoring.Encoder] | None = None, contexts: list[str] = lex.REFERENCE_CONTEXTS, gold: DataFrame | None = None, graded: bool = False, journal: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(result with the 13 columns, audit log) of prepared stages and reference sequences (seq).
 
@@ -115,7 +116,73 @@ def run(
     found = save(found, "scored")
     species = F.array_sort(mining.technique_names(F.col("raw_text"), lex.SPECIES)).alias("species")
     extracted = docs.select("path", species, F.substring("raw_text", 1, 4000).alias("head"))
-    verified, log = verification.verify(found, extracted, model, save, key="path", graded=graded)
+    verified, log = verification.verify(found, extracted, model, save, key="path", graded=graded, journal=journal)
     marked = verification.with_synthesized(verified)
     matched = evaluation.gold_match(marked, gold if gold is not None else spark.createDataFrame([], "pmid string, sequence string"))
     return writers.result_columns(matched), log
+
+
+def run_folders(
+    spark: SparkSession, papers: str, output: str, supplementary_files: str | None = None, parse: Callable[[bytes], list[tuple]] | None = None, images: Callable[[bytes], list[tuple]] | None = None, read: Callable[[bytes], str] | None = None, ocr: bool = True, references: str | None = None,
+    model: Callable[[], verification.Model] | None = None, encoder: Callable[[], scoring.Encoder] | None = None, gold: str | None = None, graded: bool = False, ending: str = "pdf",
+) -> dict[str, DataFrame]:
+    """From a folder of papers and one of supplementary files to all outputs, each a table below `output`.
+
+    pages (with what could not be read), ocr, documents, techniques, candidates,
+    supplementary, merged, evidence, chunks, metadata; with a model and reference
+    sequences (FASTA) also result (and result_csv for people) and audit; with a gold
+    standard (JSON) also metrics and report. parse, images and read take the place of the
+    parsers that need libraries; ocr=False leaves images alone. A table that is there
+    whole is read and not made again, so a run that failed goes on where it ended; images
+    are known by their content, and a journal keeps the model's answers.
+    """
+    out: dict[str, DataFrame] = {}
+
+    def kept(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{output}/{name}"
+        if not incremental.exists(spark, path):
+            writers.table(build(), path, by=None)
+        out[name] = spark.read.parquet(path)
+        return out[name]
+
+    def save(frame: DataFrame, name: str) -> DataFrame:
+        return kept(name, lambda: frame)
+
+    files = readers.files(spark, papers, readers.with_ending(ending))
+    pages = kept("pages", lambda: readers.pdf_pages(files, parse))
+    read_pages = pages.where("error is null").drop("error")
+    texts = None
+    if ocr:
+        found = kept("images", lambda: readers.pdf_images(files, images))
+        texts = readers.cached(found.where("error is null").drop("error"), ["path", "page", "img_no"], "image", lambda rows: readers.recognised(rows, read), f"{output}/ocr")
+        out["ocr"] = texts
+        texts = texts.where("error is null").select("path", "page", "img_no", "text")
+    docs = kept("documents", lambda: documents(read_pages, texts))
+    kept("techniques", lambda: technique_table(docs))
+    main = kept("candidates", lambda: candidates(docs))
+    merged = main
+    if supplementary_files is not None:
+        extra = kept("supplementary", lambda: supplementary(readers.supplementary(spark, supplementary_files), docs))
+        merged = kept("merged", lambda: with_supplementary(main, extra))
+    kept("evidence", lambda: mining.evidence(merged, ["path"]))
+    kept("chunks", lambda: mining.chunks(main, ["path"]))
+    none = spark.createDataFrame([], "path string")
+    kept("metadata", lambda: writers.metadata(read_pages, out["images"].where("error is null") if ocr else none, out["supplementary"] if supplementary_files is not None else none, "path"))
+    if model is None or references is None:
+        return out
+
+    def verified() -> tuple[DataFrame, DataFrame]:
+        known = readers.gold_json(spark, gold) if gold is not None else None
+        stages = {"documents": docs, "merged": merged}
+        return run(stages, readers.fasta(spark, references).select("seq"), model, save, encoder, gold=None if known is None else evaluation.gold_pairs(known), graded=graded, journal=f"{output}/journal")
+
+    made = verified()
+    result = kept("result", lambda: made[0])
+    kept("audit", lambda: made[1])
+    writers.csv(result, f"{output}/result_csv", one_file=True)
+    if gold is not None:
+        pairs = evaluation.gold_pairs(result, "PMID", "Sequence")
+        counts = kept("metrics", lambda: evaluation.confusion(pairs, evaluation.gold_pairs(readers.gold_json(spark, gold))))
+        writers.metrics(counts, f"{output}/metrics_csv")
+        writers.text(evaluation.report(evaluation.micro(counts)), f"{output}/report")
+    return out
