@@ -6,7 +6,10 @@ scan, that boundary is deleted, and the two neighbouring ranks are looked up aga
 Words longer than SHORT parts go through a heap of pairs, which gives the same merges
 (smallest rank, leftmost first) without the quadratic scan.
 
-Null text counts as empty: no ids. Every other text is encoded whole.
+Null text counts as empty: no ids. Every other text is encoded whole, whatever its length,
+in time linear in it but for the heap's logarithm; a word of any length is one word. Of
+equal ranks the leftmost pair merges first. Repeated rows come out alike, other columns
+play no part or stay as they are, and an empty table gives no rows.
 """
 
 from __future__ import annotations

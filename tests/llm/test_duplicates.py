@@ -232,6 +232,14 @@ def test_near_vectors(spark, block):
     assert lattice.near_vectors(frame.limit(0)).collect() == []
 
 
+def test_very_long_vectors(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((4, 20_000))
+    rows = [(i, [float(v) for v in (base[i % 4] + 0.05 * rng.standard_normal(20_000)).astype(np.float32)], 0) for i in range(16)]
+    got = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute.near_vectors(rows)
+
+
 def test_a_text_that_a_third_of_all_rows_share_has_near_copies(spark, monkeypatch):
     """Tables too large to broadcast, and a hot set and text in them."""
     monkeypatch.setattr(setjoin, "KEYS", 0)

@@ -185,6 +185,16 @@ def test_trees_learn_an_exclusive_or():
     assert ((model.decision(x[600:]) > 0) == y[600:]).mean() > 0.9
 
 
+def test_a_score_of_the_threshold_itself_is_enough(spark):
+    chain = crf.fit_chain(pa.array(["Some words here.", "**** %% ##"] * 20), np.array([1, 0] * 20))
+    docs = spark.createDataFrame([(1, "Some words here."), (2, "**** ##"), (3, None)], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in crf.score(docs, chain).collect()}
+    for one in scores.values():
+        got = {r.doc_id: r.predicted for r in crf.score(docs, chain, threshold=one).collect()}
+        assert got == {k: int(s >= one) for k, s in scores.items()}
+    assert [int(s >= 0.3) for s in (np.float64(0.3), np.nextafter(0.3, 0))] == [1, 0]
+
+
 def test_selected_candidates():
     model = pii.selector()
     added = lambda t: {(k, t[s:e]) for k, s, e in pii.find(t, model)[1]}

@@ -45,6 +45,19 @@ def test_ids_and_decoding_are_the_librarys(spark, library):
         assert got[i] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(shown.encode()).hexdigest()), text
 
 
+def test_long_texts_and_repeated_rows(spark, library):
+    """A text of megabytes, one of them a single word, and rows that come twice."""
+    rng, lib = random.Random(2), library[WORDS]
+    long = " ".join("".join(rng.choices("aeiounrstlé", k=rng.randint(1, 12))) for _ in range(400_000))
+    texts = [long, "ab" * 200_000, long, "twice", "twice", None, None]
+    got = sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(docs(spark, texts), WORDS).collect())
+    assert len(long) > 2_500_000 and [x[0] for x in got] == list(range(len(texts)))
+    for i, n, ids_sha, text_sha in got:
+        ids = lib.encode(texts[i] or "", add_special_tokens=False).ids
+        assert (n, ids_sha) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert text_sha == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_encode_then_decode_keeps_rows(spark, library):
     out = bpe.decode(bpe.encode(docs(spark), WORDS), WORDS).collect()
     assert len(out) == len(TEXTS)
