@@ -42,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A row is known by doc_id and text (128 bits), so rows that share a doc_id or lack it
     are judged one by one; only a class without any doc_id keeps a row without. Rows equal
     in doc_id and text (null is not the empty text) stay once, wordless ones too. Columns of any name stay.
+    Texts of any length are compared whole. An empty table stays empty.
     """
     keys = [unused("_key", docs.columns), unused("_mark", docs.columns)]
 
@@ -75,18 +76,26 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A run of repeated bytes is a passage if it holds 51 whole words or more and 200 bytes,
     wherever its copies stand; shorter repeats are left alone. All copies go, as they do
-    in the operator. Null texts stay null, repeated rows lose what they share.
+    in the operator. Null texts stay null, repeated rows lose what they share. Texts of any
+    length are read whole; columns of any name stay. An empty table stays empty.
     """
     return suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, PASSAGE_BYTES // 2, PASSAGE_WORDS)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind; null texts stay null, rows and other columns as they are."""
+    """Documents with personal data replaced by its kind; null texts stay null, rows and other columns as they are.
+
+    Texts of any length are searched whole, repeated rows alike. An empty table stays empty.
+    """
     return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences of 2048 tokens; every row is packed, null text as its end marker."""
+    """Pieces of the documents with their places in sequences of 2048 tokens; every row is packed, null text as its end marker.
+
+    Very long texts are tokenised whole and cut; repeated rows are packed once each;
+    columns named like those of pieces give way to them. An empty table gives no pieces.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
 
