@@ -8,10 +8,11 @@ by the waste the incumbent leaves; incumbents come from best fit. What it return
 list of patterns with multiplicities, from which each piece finds its sequence by its
 rank among the pieces of its length.
 
-The search is bounded: BRANCHES completions at a node (those with least waste), REACH
-lengths for a place in one, NODES nodes in all. When best fit meets the lower bound, which
-it does where small pieces abound, no node is spent. `search` tells what was found, the
-bound and the nodes spent; a packing above the bound need not be the best there is.
+Completions are enumerated as they are asked for, a few at a time with the least waste
+first, and only NODES bounds the search: each place that is tried in a sequence is one.
+When best fit meets the lower bound, which it does where small pieces abound, no node is
+spent. `search` tells what was found, the bound and the nodes spent; a packing above the
+bound is the best there is only if the search ended before its nodes were spent.
 
 Null or empty text is the end marker alone (one token). Very long texts are tokenised
 whole and cut into pieces. Repeated rows are packed once per row. Columns of documents
@@ -20,6 +21,7 @@ that are named like those of pieces give way to them. An empty table gives no ro
 
 from __future__ import annotations
 
+import itertools
 import json
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -37,12 +39,10 @@ from .common import slices, store
 from .ranks import rank_within
 
 #: Nodes of the search before the incumbent is returned.
-NODES = 8000
-#: Completions tried at a node, those with least waste first.
-BRANCHES = 6
-#: Lengths looked at for one place in a completion, longest first.
-REACH = 48
-#: Nodes between two best-fit runs over what is left, which renew the incumbent.
+NODES = 400_000
+#: Completions that are looked at together, to try those with least waste first.
+AHEAD = 16
+#: Steps between two best-fit runs over what is left, which renew the incumbent.
 RENEW = 128
 
 
@@ -104,51 +104,64 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return sorted(found.items(), reverse=True)
 
 
-def completions(sizes: list[int], counts: dict[int, int], room: int, most: int = BRANCHES) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` from sizes (ascending) with counts, least waste first.
+class Nodes:
+    """How many nodes a search may still spend."""
 
-    A filling is dominated when a further piece fits, or one of its pieces can give way
-    to a longer unused one: the other filling wastes less and leaves smaller pieces.
+    def __init__(self, most: int):
+        self.most = self.left = most
+
+    def spend(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+    @property
+    def spent(self) -> int:
+        return self.most - max(0, self.left)
+
+
+def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int, nodes: Nodes, first: tuple[int, ...] = ()) -> Iterator[tuple[tuple[int, ...], int]]:
+    """(pieces, waste) of the undominated fillings of `room` that waste `most` at most, beside the pieces of first; longest pieces first.
+
+    sizes are in ascending order, counts how many there are of each. A filling is
+    dominated when a further piece fits, or one of its pieces can give way to a longer
+    unused one: the other filling wastes less and leaves smaller pieces. What is left to
+    enumerate is read as it stands when it is asked for, so sizes and counts must be what
+    they were.
     """
-    found: dict[tuple[int, ...], int] = {}
-    steps = 0
 
-    def add(most_at: int, left: int, taken: tuple[int, ...]) -> None:
-        nonlocal steps
-        steps += 1
-        if counts.get(left, 0) > taken.count(left):  # nothing wasted
-            found[(*taken, left)] = 0
-            return
-        top = bisect_right(sizes, min(left, most_at)) - 1
-        if top < 0:
-            found.setdefault(taken, left)
+    def unused(s: int, taken: tuple[int, ...]) -> bool:
+        return counts[s] > taken.count(s)
+
+    def dominated(taken: tuple[int, ...], left: int) -> bool:
+        if not left:
+            return False
+        if any(unused(s, taken) for s in sizes[: bisect_right(sizes, left)]):
+            return True
+        return any(unused(s, taken) for t in set(taken[len(first) :]) for s in sizes[bisect_right(sizes, t) : bisect_right(sizes, t + left)])
+
+    def add(below: int, left: int, taken: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Goes down by lengths, not by pieces: no more of them than different lengths fit."""
+        if not nodes.spend():
             return
         fits = False
-        for i in range(top, max(-1, top - REACH), -1):
+        for i in range(min(below, bisect_right(sizes, left)) - 1, -1, -1):
             s = sizes[i]
-            if counts[s] > taken.count(s):
+            for k in range(min(counts[s] - first.count(s), left // s), 0, -1):
                 fits = True
-                if steps > 12 * REACH or sum(w == 0 for w in found.values()) >= most:
-                    break
-                add(s, left - s, (*taken, s))
-        if not fits:
-            found.setdefault(taken, left)
-
-    add(room, room, ())
-    out = []
-    for taken, left in sorted(found.items(), key=lambda x: (x[1], [-s for s in x[0]])):
-        better = False
-        for t in set(taken):
-            i = bisect_right(sizes, t + left) - 1
-            while i >= 0 and sizes[i] > t and not better:
-                better = counts[sizes[i]] > taken.count(sizes[i])
-                i -= 1
-        if left and (better or any(s <= left and counts[s] > taken.count(s) for s in sizes[: bisect_right(sizes, left)])):
-            continue
-        out.append(taken)
-        if len(out) == most:
-            break
-    return out
+                yield from add(i, left - k * s, taken + (s,) * k)
+                if nodes.left < 0:
+                    return
+        if not fits and left <= most and not dominated(taken, left):
+            yield taken[len(first) :], left
+
+    yield from add(len(sizes), room, first)
+
+
+def completions(sizes: list[int], counts: dict[int, int], room: int, most: int, nodes: Nodes, first: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
+    """The fillings as they come, of each AHEAD of them those with least waste first."""
+    every = fillings(sizes, counts, room, most, nodes, first)
+    while some := list(itertools.islice(every, AHEAD)):
+        yield from (taken for taken, _ in sorted(some, key=lambda x: (x[1], [-s for s in x[0]])))
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
@@ -171,14 +184,13 @@ def search(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[l
     total = sum(s * n for s, n in counts.items())
     left, sizes = dict(counts), sorted(counts)
     done: list[tuple[tuple[int, ...], int]] = []
-    used = wasted = spent = 0
+    used = wasted = steps = 0
+    budget = Nodes(nodes)
 
     def branches() -> Iterator[tuple[tuple[int, ...], int]]:
         top = sizes[-1]
-        left[top] -= 1
-        fillings = completions(sizes, left, capacity - top)
-        left[top] += 1
-        for filling in fillings:
+        allowed = (least - 1) * capacity - total - wasted
+        for filling in completions(sizes, left, capacity - top, allowed, budget, (top,)):
             pattern = (top, *filling)
             times = min(left[s] // k for s, k in Counter(pattern).items())
             for k in dict.fromkeys((times, 1)):
@@ -199,7 +211,7 @@ def search(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[l
             left[s] += k
 
     stack = [branches()] if least > bound else []
-    while stack and spent < nodes and least > bound:
+    while stack and budget.left > 0 and least > bound:
         step = next(stack[-1], None)
         if step is None:
             stack.pop()
@@ -210,14 +222,15 @@ def search(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[l
                 wasted -= k * (capacity - sum(pattern))
             continue
         pattern, k = step
-        spent += 1
+        steps += 1
+        budget.spend()
         waste = wasted + k * (capacity - sum(pattern))
         if waste > (least - 1) * capacity - total:  # the incumbent is no worse
             continue
         take(pattern, k)
         done.append(step)
         used, wasted = used + k, waste
-        if not left or spent % RENEW == 0:
+        if not left or steps % RENEW == 0:
             rest = best_fit(left, capacity)
             if used + sum(n for _, n in rest) < least:
                 best, least = done + rest, used + sum(n for _, n in rest)
@@ -225,7 +238,7 @@ def search(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[l
     merged: Counter = Counter()
     for pattern, n in best:
         merged[pattern] += n
-    return sorted(merged.items(), reverse=True), bound, spent
+    return sorted(merged.items(), reverse=True), bound, budget.spent
 
 
 # ---------------------------------------------------------------- tokens

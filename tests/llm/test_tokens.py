@@ -150,3 +150,34 @@ def test_packing_nothing(spark):
     assert packing.pack_documents(docs(spark, []), BYTES).collect() == []
     with pytest.raises(ValueError, match="capacity"):
         packing.pack(spark.createDataFrame([(1, 0, 70)], "doc_id long, piece int, length long"), 64)
+
+
+def test_fillings_are_those_that_none_dominates():
+    rng = random.Random(12)
+    for _ in range(60):
+        counts = dict(Counter(rng.randint(1, 12) for _ in range(rng.randint(1, 9))))
+        room, first = rng.randint(1, 20), ()
+        if rng.random() < 0.5:
+            first = (rng.choice(list(counts)),)
+        left = Counter(counts) - Counter(first)
+        every = {tuple(sorted(c, reverse=True)) for k in range(len(list(left.elements())) + 1) for c in itertools.combinations(list(left.elements()), k) if sum(c) <= room}
+
+        def dominated(c):
+            waste, rest = room - sum(c), Counter(left) - Counter(c)
+            return any(s <= waste for s in rest) or any(t < s <= t + waste for t in c for s in rest)
+
+        got = list(packing.fillings(sorted(counts), counts, room, room, packing.Nodes(10**6), first))
+        assert sorted(c for c, _ in got) == sorted(c for c in every if not dominated(c)) and len(got) == len(set(got))
+        assert all(w == room - sum(c) for c, w in got)
+        few = room // 3
+        assert [c for c, w in packing.fillings(sorted(counts), counts, room, few, packing.Nodes(10**6), first)] == [c for c, w in got if w <= few]
+
+
+def test_many_small_pieces_and_spent_nodes():
+    counts = {1: 3000, 2: 900, 3: 5, 1500: 7, 1999: 3}
+    patterns, bound, _ = packing.search(counts, 2048)
+    assert sum(n for _, n in patterns) == bound
+    filled = list(packing.completions(sorted(counts), counts, 2048, 2048, packing.Nodes(5000), ()))
+    assert filled and all(sum(f) <= 2048 for f in filled)
+    nodes = packing.Nodes(3)
+    assert len(list(packing.fillings([5, 7], {5: 4, 7: 4}, 30, 30, nodes))) <= 3 and nodes.spent == 3
