@@ -5,8 +5,12 @@ language, counted by Spark over every distinct text of it: tasks pre-count their
 with numpy, Spark adds them up. The smoothed log-probabilities stand in arrays sorted by
 hash, with a directory over the leading hash bits, and go to the tasks by broadcast.
 That table is checked for size: if the corpus has more than `table` distinct n-grams,
-the same model is made by Spark joins and each distinct text scored by a join with it.
-The order is the same at every size.
+the same model is made by Spark joins. Every n-gram of a text is in it, so a text's score is
+a sum over n-grams, and the model is used a table at a time: languages are put together up
+to a table's size, a larger one is dealt over several by hash, and each pass reads the
+texts of its languages where they are and hands on their sums alone. Where that takes more
+than PASSES passes, the n-grams of texts are joined with the model instead. The order is the
+same at every size.
 
 A document's log-perplexity is its negative log-probability divided by its number of
 words with a letter or digit (bytes of symbols are cheap one by one, so a mean over
@@ -31,7 +35,8 @@ no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +53,8 @@ TABLE = 4_000_000
 LOW, HIGH, LEAST = 2.0, 2.0, 50
 #: Languages whose bands are broadcast at most.
 LANGUAGES = 10_000
+#: Passes over texts at most, each with a table of the model.
+PASSES = 64
 #: Keys of repeated texts that are broadcast at most (8 bytes each).
 REPEATED = 2_000_000
 _CODE = 24
@@ -228,8 +235,57 @@ def fit_table(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return lower.select("key", "n", F.log("p").cast("float").cast("double").alias("log_p"))
 
 
-def text_nats(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
+def passes(sizes: dict[int, int], table: int) -> list[tuple[list[int], int, int]]:
+    """(languages, part, parts) of each pass, given the n-grams of each language: few languages' tables together, or a part of one language's."""
+    out: list[tuple[list[int], int, int]] = []
+    together: list[int] = []
+    held = 0
+    for code, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        if n > table:
+            parts = -(-n // table)
+            out += [([code], i, parts) for i in range(parts)]
+            continue
+        if together and held + n > table:
+            out.append((together, 0, 1))
+            together, held = [], 0
+        together.append(code)
+        held += n
+    return [*out, (together, 0, 1)] if together else out
+
+
+def text_nats(docs: DataFrame, model: DataFrame, order: int = ORDER, table: int = TABLE) -> DataFrame:
     """(vote, nats) of docs (text, code, vote) by a model that fit_table made of the same texts."""
+    spark, language = docs.sparkSession, F.shiftrightunsigned("key", 40)
+    sizes = {r[0]: r[1] for r in model.groupBy(language.alias("code")).agg(F.count("*")).limit(LANGUAGES + 1).collect()}
+    every = passes(sizes, table)
+    if not every or len(sizes) > LANGUAGES or len(every) > PASSES:
+        return _joined_nats(docs, model, order)
+    sums = []
+    for codes, part, parts in every:
+        own = model.where(language.isin(codes) & (F.pmod(F.xxhash64("key"), F.lit(parts)) == part)).select("key", "log_p").toArrow()  # a table's size
+        keys, log_p = own.column("key").to_numpy().view(np.uint64), own.column("log_p").to_numpy().astype(np.float32)
+        shared = spark.sparkContext.broadcast(kernels.HashArrays(keys, log_p, 0.0))  # what another pass has adds nothing
+        scored = docs.where(F.col("code").isin(codes)).select("text", "code", "vote").mapInArrow(_adding(shared, order), "vote long, nats double")
+        sums.append(store(scored, "sums"))
+        shared.unpersist()
+    return functools.reduce(DataFrame.unionByName, sums).groupBy("vote").agg(F.sum("nats").alias("nats"))
+
+
+def _adding(shared, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in slices(batches, "text"):
+            data, offsets = kernels.flat(batch.column(0))
+            keys, first = grams(data, offsets, np.asarray(batch.column(1)), order)
+            scored = np.flatnonzero(np.diff(first))
+            nats = -kernels.totals(known.get(keys).astype(np.float64), first)[scored]
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(scored)), pa.array(nats)], names=["vote", "nats"])
+
+    return run
+
+
+def _joined_nats(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """text_nats by a join: a row for each distinct n-gram of each text is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -337,7 +393,7 @@ def judge(docs: DataFrame, order: int = ORDER, table: int = TABLE, low: float =
     small = counts.count() <= table
     figures = store(measure(coded, fit(counts, order) if small else None, (*keep, "vote")), "figures")
     if not small:
-        nats = text_nats(texts, fit_table(counts, order), order)
+        nats = text_nats(texts, fit_table(counts, order), order, table)
         nats = store(nats.join(figures.groupBy("vote").agg(F.count("*").alias("copies")), "vote"), "nats")
         figures = join_hot(figures.drop("nats"), nats, "vote", "copies", "left")
     figures = figures.withColumn("log_ppl", F.when(F.col("n_lettered") > 0, F.col("nats") / F.col("n_lettered")))

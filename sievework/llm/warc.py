@@ -11,7 +11,9 @@ Every record is a gzip member of its own, as readers of archives expect. Spark's
 writer makes the files through its commit protocol, so lost executors leave no half
 archive behind, and any file system that Spark knows will do: a row is a member without
 its last byte, which is zero (the high byte of the length of a record below 16 MB), and
-zero is the line separator. The files are then renamed to .warc.gz.
+zero is the line separator. The files are then renamed to .warc.gz. This hangs on Spark's
+text writer passing the bytes of strings on as they are, without asking whether they are
+UTF-8, as it does; a test reads every member back with another reader.
 
 Payloads are UTF-8 texts of any length; null is the empty payload. Records of equal
 payload (of min_bytes at least) are one response, the one with the smallest page_id, and

@@ -54,17 +54,26 @@ def test_noise_is_rejected_with_and_without_a_table(spark):
         assert sum(kept[i] for i in range(120)) >= 118
 
 
-def test_the_model_is_the_same_beyond_its_table(spark):
+def test_the_model_is_the_same_beyond_its_table(spark, monkeypatch):
     rng = random.Random(6)
     text = lambda: " ".join("".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 80)))
     rows = [(i, text(), rng.choice(["en", "de", None])) for i in range(200)]
     rows += [(300 + i, t, "en") for i, t in enumerate(ODD)] + [(None, rows[0][1], rows[0][2])] * 30
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    got = [quality_rules.judge(frame, table=t).collect() for t in (quality_rules.TABLE, 1000)]
-    assert len(got[0]) == len(got[1]) == len(rows) and len({r.kept for r in got[0]}) == 2
-    for a, b in zip(*[sorted(g, key=lambda r: (r.doc_id is None, r.doc_id)) for g in got], strict=True):
-        assert (a.doc_id, a.kept, a.log_ppl is None) == (b.doc_id, b.kept, b.log_ppl is None)
-        assert a.log_ppl is None or a.log_ppl == pytest.approx(b.log_ppl, rel=1e-6)
+    got = [quality_rules.judge(frame, table=t).collect() for t in (quality_rules.TABLE, 2500, 400)]
+    monkeypatch.setattr(quality_rules, "PASSES", 0)
+    got.append(quality_rules.judge(frame, table=400).collect())
+    assert {len(g) for g in got} == {len(rows)} and len({r.kept for r in got[0]}) == 2
+    ordered = [sorted(g, key=lambda r: (r.doc_id is None, r.doc_id)) for g in got]
+    for other in ordered[1:]:
+        for a, b in zip(ordered[0], other, strict=True):
+            assert (a.doc_id, a.kept, a.log_ppl is None) == (b.doc_id, b.kept, b.log_ppl is None)
+            assert a.log_ppl is None or a.log_ppl == pytest.approx(b.log_ppl, rel=1e-6)
+
+
+def test_passes_hold_a_table_each():
+    assert quality_rules.passes({1: 10, 2: 4, 3: 3, 4: 2, 5: 25}, 10) == [([5], 0, 3), ([5], 1, 3), ([5], 2, 3), ([1], 0, 1), ([2, 3, 4], 0, 1)]
+    assert quality_rules.passes({}, 10) == []
 
 
 def test_verdicts_are_the_same_on_any_number_of_partitions(spark):
