@@ -168,6 +168,8 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
     characters before the sequence, or of the second up to 30 after it, anywhere in the
     surroundings. A place whose surroundings equal an earlier one's adds nothing and is
     left out. prepare rewrites a text before it is searched. first: the first place alone.
+    A row holds all places of a sequence in its text: where surroundings are wide and
+    texts long, take the first places, or those that `accepted` accepts.
     """
     finder, whole, close = re.compile(pattern), re.compile(keep), Near(*near) if near else None
     names = [*keys, "sequence", "occurrences", "places"]

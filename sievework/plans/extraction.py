@@ -129,7 +129,7 @@ def run_folders(
     """From a folder of papers and one of supplementary files to all outputs, each a table below `output`.
 
     pages (with what could not be read), ocr, documents, techniques, candidates,
-    supplementary, merged, evidence, chunks, metadata; with a model and reference
+    supplementary and unreadable, merged, evidence, chunks, metadata; with a model and reference
     sequences (FASTA) also result (and result_csv for people) and audit; with a gold
     standard (JSON) also metrics and report. parse, images and read take the place of the
     parsers that need libraries; ocr=False leaves images alone. A table that is there
@@ -162,6 +162,7 @@ def run_folders(
     main = kept("candidates", lambda: candidates(docs))
     merged = main
     if supplementary_files is not None:
+        kept("unreadable", lambda: readers.unreadable(spark, supplementary_files))
         extra = kept("supplementary", lambda: supplementary(readers.supplementary(spark, supplementary_files), docs))
         merged = kept("merged", lambda: with_supplementary(main, extra))
     kept("evidence", lambda: mining.evidence(merged, ["path"]))

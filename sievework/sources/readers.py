@@ -275,8 +275,15 @@ def plain(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return raw.select("path", F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.replace(cut, mark, bad)).alias("text"))
 
 
+def unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """(path, source, error) of the table files of a folder that supplementary can't read."""
+    kinds = {"csv": (tables, ["csv"], [","]), "tsv": (tables, ["tsv"], ["\t"]), "xlsx": (excel, ["xlsx", "xls"], [])}
+    failed = [read(files(spark, path, with_ending(*endings)), *more).where("error is not null").select("path", F.lit(source).alias("source"), "error") for source, (read, endings, more) in kinds.items()]
+    return failed[0].unionByName(failed[1]).unionByName(failed[2])
+
+
 def supplementary(spark: SparkSession, path: str) -> DataFrame:
-    """(path, source, id, row, cells, context, whole) of all files that can be read, by their ending; others give nothing.
+    """(path, source, id, row, cells, context, whole) of all files that can be read, by their ending; others give nothing (see unreadable).
 
     Each ending is one scan, however many files there are; row is the order in a file.
     """

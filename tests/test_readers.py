@@ -49,3 +49,13 @@ def test_cache_makes_what_changed_and_survives_a_write_that_fails(spark, tmp_pat
     assert run(changed) == [(i, f"C{i}" if i != 3 else "NEW") for i in range(8)]
     assert {p.name: len(p.read_text()) for p in calls.iterdir()} == before | {"3-new": 1}
     assert run(first[:2]) == [(0, "C0"), (1, "C1")]
+
+
+def test_files_that_cannot_be_read_are_told(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "bad.csv").write_text('a,b\n"open')
+    (tmp_path / "bad.xlsx").write_bytes(b"no workbook")
+    (tmp_path / "bad.tsv").write_text("a\tb\n1\t2\t3\t4\n1\n2\t2\t3\t4\t5\n")
+    got = {(r.path.rsplit("/", 1)[1], r.source) for r in readers.unreadable(spark, str(tmp_path)).collect()}
+    assert got >= {("bad.csv", "csv"), ("bad.xlsx", "xlsx")} and ("good.csv", "csv") not in got
+    assert [r.context for r in readers.supplementary(spark, str(tmp_path)).where("source = 'csv'").collect()] == ["1 | 2"]
