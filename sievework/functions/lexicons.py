@@ -42,21 +42,23 @@ REPORT_TAIL = ["", "Per-PMID Results saved to metrics_by_pmid.csv"]
 GENE_NAME = r"^[A-Z]{2,6}\d{1,3}[A-Z]?$"
 BACK_MATTER = ["Acknowledgments", "Acknowledgements", "References", "Literature Cited", "Bibliography"]
 
-BLACKLIST = """
-    REFERENCES REFERENCE ARTICLE LETTER FASTA QIAGEN METHODS RESULTS DISCUSSION ABSTRACT SEQUENCE
-    SEQUENCES PEPTIDE PEPTIDES PROTEIN PROTEINS AUTHOR AUTHORS JOURNAL EDITOR EDITORS REVIEW REVIEWS
-    MERISTEMS ICREA RIKEN ADVANCE TECHNICAL MARKER FERRITIN CATALASE LACTATE DERIVATIVES
-    SIGNIFICANCE TRANSCRIPTS ASSISTANCE RECEIVE ANGELA KATHARINA STACEY INTRODUCTION BACKGROUND
-    CONCLUSION CONCLUSIONS MATERIALS EXPERIMENTAL SUPPLEMENTARY SUPPLEMENTAL FIGURE FIGURES TABLE
-    TABLES LEGEND LEGENDS APPENDIX DATASET DATABASE GENOME GENOMIC GENE GENES MRNA CDNA DNA RNA PCR
-    QPCR ELISA MALDI TOF SDS PAGE HPLC LCMS TRICINE EDMAN WESTERN BLOT SPECTROMETRY CHROMATOGRAPHY
-    ARABIDOPSIS ESCHERICHIA BACILLUS STAPHYLOCOCCUS PSEUDOMONAS CANDIDA SUPPLEMENT SUPPLEMENTS
-""".split()
+BLACKLIST = [
+    "REFERENCES", "REFERENCE", "ARTICLE", "LETTER", "FASTA", "QIAGEN", "METHODS", "RESULTS", "DISCUSSION",
+    "ABSTRACT", "SEQUENCE", "SEQUENCES", "PEPTIDE", "PEPTIDES", "PROTEIN", "PROTEINS", "AUTHOR", "AUTHORS",
+    "JOURNAL", "EDITOR", "EDITORS", "REVIEW", "REVIEWS", "MERISTEMS", "ICREA", "RIKEN", "ADVANCE",
+    "TECHNICAL", "MARKER", "FERRITIN", "CATALASE", "LACTATE", "DERIVATIVES", "SIGNIFICANCE", "TRANSCRIPTS",
+    "ASSISTANCE", "RECEIVE", "ANGELA", "KATHARINA", "STACEY", "INTRODUCTION", "BACKGROUND", "CONCLUSION",
+    "CONCLUSIONS", "MATERIALS", "EXPERIMENTAL", "SUPPLEMENTARY", "SUPPLEMENTAL", "FIGURE", "FIGURES", "TABLE",
+    "TABLES", "LEGEND", "LEGENDS", "APPENDIX", "DATASET", "DATABASE", "GENOME", "GENOMIC", "GENE", "GENES",
+    "MRNA", "CDNA", "DNA", "RNA", "PCR", "QPCR", "ELISA", "MALDI", "TOF", "SDS", "PAGE", "HPLC", "LCMS",
+    "TRICINE", "EDMAN", "WESTERN", "BLOT", "SPECTROMETRY", "CHROMATOGRAPHY", "ARABIDOPSIS", "ESCHERICHIA",
+    "BACILLUS", "STAPHYLOCOCCUS", "PSEUDOMONAS", "CANDIDA", "SUPPLEMENT", "SUPPLEMENTS",
+]
 
-SECTION_TITLES = """
-    ABSTRACT INTRODUCTION BACKGROUND RESULTS METHODS MATERIALS DISCUSSION CONCLUSION CONCLUSIONS
-    REFERENCES ACKNOWLEDGMENTS ACKNOWLEDGEMENTS FIGURE TABLE SUPPLEMENTARY
-""".split()
+SECTION_TITLES = [
+    "ABSTRACT", "INTRODUCTION", "BACKGROUND", "RESULTS", "METHODS", "MATERIALS", "DISCUSSION", "CONCLUSION",
+    "CONCLUSIONS", "REFERENCES", "ACKNOWLEDGMENTS", "ACKNOWLEDGEMENTS", "FIGURE", "TABLE", "SUPPLEMENTARY",
+]
 
 PEPTIDE_KEYWORDS = [
     "peptide",
