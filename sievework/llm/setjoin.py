@@ -48,8 +48,8 @@ from .components import connected_components
 WIDTH = 5
 #: Keys in the broadcast frequency table at most (9 bytes each).
 FREQUENT = 1 << 20
-#: Shingles a task gathers before it sorts and hands on.
-WINDOW = 2_000_000
+#: Shingles a task gathers before it counts them, and those it gathers before it sorts and hands on.
+COUNTED, WINDOW = 2_000_000, 500_000
 #: Shingles of a block in the trie join.
 BLOCK = 2_000_000
 #: Rows of a broadcast semi-join side at most (8 bytes each).
@@ -140,7 +140,7 @@ def frequencies(docs: DataFrame, width: int, most: int = FREQUENT) -> tuple[kern
             held.append(keys)
             size += len(keys)
             total += len(keys)
-            if size >= WINDOW:
+            if size >= COUNTED:
                 yield repeated()
                 held, size = [], 0
         if held:
@@ -318,9 +318,10 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
             made["key"], made["node"], made["size"], made["hot"] = keys[use], np.repeat(node, n)[use], np.repeat(n, n)[use], np.repeat(hot, n)[use]
             held.append(made)
             size += len(made)
-            if size >= WINDOW // 2:
+            if size >= WINDOW:
                 yield from dealt()
                 held, size = [], 0
+                trim()
         if held:
             yield from dealt()
 
