@@ -50,6 +50,8 @@ WIDTH = 5
 FREQUENT = 1 << 20
 #: Shingles a task gathers before it counts them, and those it gathers before it sorts and hands on.
 COUNTED, WINDOW = 2_000_000, 500_000
+#: Bytes of texts that are cut into shingles together.
+TOGETHER = 1 << 19
 #: Shingles of a block in the trie join.
 BLOCK = 2_000_000
 #: Rows of a broadcast semi-join side at most (8 bytes each).
@@ -135,7 +137,7 @@ def frequencies(docs: DataFrame, width: int, most: int = FREQUENT) -> tuple[kern
         def _pairs(keys, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TOGETHER):
             keys, _ = shingle_sets(batch.column(0), width, None)
             held.append(keys)
             size += len(keys)
@@ -300,7 +302,7 @@ def sketch(docs: DataFrame, width: int, percent: int, frequent: kernels.HashArra
                 out["reach"] = np.maximum.reduceat(table["reach"], first)
                 yield bodies(_CHAINS, out)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TOGETHER):
             keys, first = shingle_sets(batch.column(0), width, shared.value)
             n = np.diff(first)
             node, mark = signatures(keys, first, several)
@@ -521,7 +523,7 @@ def similar_nodes(docs: DataFrame, members: DataFrame, nodes: DataFrame, edges:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TOGETHER):
             keys_, first = shingle_sets(batch.column(0), width, shared.value)
             nodes, out, bodies = signatures(keys_, first, several)[0].tolist(), [], []
             for i, node in enumerate(nodes):
