@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import string
 import sys
 from pathlib import Path
 
@@ -43,8 +44,8 @@ def _done(spark: SparkSession, output: str, by: str) -> list:
 
 
 def known_sequences(references: DataFrame, text: str) -> DataFrame:
-    """(sequence, known) of the words of a reference collection that can be sequences."""
-    words = F.regexp_extract_all(F.upper(text), F.lit(f"[{lex.AA}]{{{lex.MIN_LENGTH},}}"), F.lit(0))
+    """(sequence, known) of the words of a reference collection that can be sequences, in either case of A to Z."""
+    words = F.regexp_extract_all(F.translate(text, string.ascii_lowercase, string.ascii_uppercase), F.lit(f"[{lex.AA}]{{{lex.MIN_LENGTH},}}"), F.lit(0))
     return references.select(F.explode(words).alias("sequence")).distinct().withColumn("known", F.lit(True))
 
 

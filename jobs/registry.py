@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +74,7 @@ def _catalogue_sql(config: dict) -> str:
     k AS (SELECT * FROM h WHERE NOT ({covered or "FALSE"})),
     w(name, w) AS (VALUES {weights}),
     e AS (SELECT doc_id, sequence, string_agg(name, '|' ORDER BY name_no) AS techniques, string_agg(line, '|' ORDER BY name_no) AS technique_lines, sum(coalesce(w, 0)) AS evidence FROM k LEFT JOIN w USING (name) GROUP BY ALL),
-    b AS (SELECT DISTINCT unnest(regexp_extract_all(upper({config["reference_text"]}), '[{lex.AA}]{{6,}}')) AS sequence FROM benchmark)
+    b AS (SELECT DISTINCT unnest(regexp_extract_all(translate({config["reference_text"]}, '{string.ascii_lowercase}', '{string.ascii_uppercase}'), '[{lex.AA}]{{6,}}')) AS sequence FROM benchmark)
     SELECT a.doc_id, a.lang, a.sequence, substring(a.text, a.start + 1, length(a.match)) AS original_sequence, CAST(a.start AS BIGINT) AS start, CAST(length(a.sequence) AS BIGINT) AS length, CAST(a.score AS BIGINT) AS score,
       row_number() OVER (PARTITION BY a.doc_id ORDER BY a.score DESC, a.start) AS rank, 'pdf_text' AS source, a.context,
       coalesce(trim(list_filter({R.LINES.format("a.text")}, lambda x: contains(x, substring(a.text, a.start + 1, length(a.match))))[1]), '') AS sequence_line,

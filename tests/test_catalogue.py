@@ -8,7 +8,7 @@ from sievework.plans import catalogue
 
 from . import oracle
 
-SF = "/root/testdata/sf0.001"
+SF, LARGE = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -22,6 +22,12 @@ def test_query_matches_sql(spark, con, name):
     oracle.assert_same(catalogue.QUERIES[name](spark, SF), con, catalogue.ORACLE_SQL[name])
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="no larger tables")
+@pytest.mark.parametrize("name", ["supp_dispatch", "candidate_json", "gold_json", "reference_contexts", "paper_files", "txt_files", "fasta_files"])
+def test_file_query_takes_all_rows_of_larger_tables(spark, name):
+    oracle.assert_same(catalogue.QUERIES[name](spark, LARGE), oracle.connect(LARGE), catalogue.ORACLE_SQL[name])
+
+
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
 def test_query_without_sql_gives_rows(spark, name):
     assert catalogue.QUERIES[name](spark, SF).limit(1).count() == 1

@@ -17,7 +17,7 @@ from jobs.common import config_of
 from . import oracle
 
 ROOT = Path(__file__).resolve().parent.parent
-SF = "/root/testdata/sf0.001"
+SF, LARGE = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 WORDS = "the peptide MKTLLVWAR was isolated. By Edman degradation it is QWERTYWHK. "
 
 
@@ -29,6 +29,13 @@ def test_jobs_match_sql(spark, name):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="no larger tables")
+def test_catalogue_of_larger_tables(spark):
+    """References in several languages: only A to Z count in either case."""
+    name = "job1_candidate_catalogue"
+    oracle.assert_same(jobs.QUERIES[name](spark, LARGE), oracle.connect(LARGE), jobs.ORACLE_SQL[name])
+
+
 def test_jobs_do_not_need_the_other_parts():
     code = "import sys; import jobs.registry; assert not [m for m in sys.modules if m.startswith('sievework.llm') or m == 'corpus_pipeline']"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
