@@ -6,6 +6,9 @@ what it returns is written as Parquet and read again for the next.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,22 @@ BROADCAST = 2_000_000
 PASSAGE_WORDS, PASSAGE_BYTES = 51, 200
 
 
+#: Rows that go to a worker together while a stage decides: several stages share an executor's memory.
+TOGETHER = 2_000
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in an Arrow batch for what is run inside; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(TOGETHER))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     return docs.join(F.broadcast(gone) if bounded(gone, BROADCAST) else gone, keys, "left_anti")
 
@@ -32,7 +51,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     keys = [unused("_key", docs.columns), unused("_mark", docs.columns)]
     keyed = docs.withColumn(keys[0], row_key("doc_id", "text", "lang")).withColumn(keys[1], row_key("text", "lang", "doc_id", seed=1))
-    rejected = settled(spark, "rejected", lambda: quality_rules.judge(keyed, keep=tuple(keys)).where("not kept").select(*keys).distinct())
+    with _small_batches(spark):
+        rejected = settled(spark, "rejected", lambda: quality_rules.judge(keyed, keep=tuple(keys)).where("not kept").select(*keys).distinct())
     return _without(keyed, rejected, keys).select(*[keyed[c] for c in docs.columns])
 
 
@@ -62,7 +82,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         again = classes.groupBy(*own).agg(F.count("*").alias("n")).where("n > 1")
         return gone.select(*own).distinct().withColumn("n", F.lit(1)).unionByName(again.withColumn("n", F.lit(2)))
 
-    found = settled(spark, "others", others)
+    with _small_batches(spark):
+        found = settled(spark, "others", others)
     kept = _without(rows, found.where("n = 1").drop("n"), keys)
     again = found.where("n = 2").drop("n")
     if has_rows(again):
@@ -79,7 +100,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     in the operator. Null texts stay null, repeated rows lose what they share. Texts of any
     length are read whole; columns of any name stay. An empty table stays empty.
     """
-    return suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, PASSAGE_BYTES // 2, PASSAGE_WORDS)
+    with _small_batches(spark):
+        return suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, PASSAGE_BYTES // 2, PASSAGE_WORDS)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
