@@ -108,9 +108,16 @@ def candidate_letters(seq: Column, source: Column) -> Column:
 
 
 def join_numbered(text: Column, letters: str = lex.AA) -> Column:
-    """Sequence blocks with numbers or spaces between them, joined within a line."""
-    word = rf"[{letters}]{{3,}}"
-    block, gap = P.java(rf"\b{word}(?:[\s\d]+{word})+\b"), P.java(r"[\s\d]+")
+    """Sequence blocks with numbers or spaces between them, joined within a line.
+
+    A block is words with gaps between, up to the last word that ends at a boundary. As a
+    plain repeat of gap and word, which takes blocks back one by one, Java's search goes
+    a few calls deeper with each word, and a long block overflows the stack. Gaps and words
+    have no character in common, so nothing within a repeat need be taken back if each
+    ends at a boundary: words up to there are those with a digit right behind them.
+    """
+    word = rf"[{letters}]{{3,}}+"
+    block, gap = P.java(rf"\b{word}(?:[\s\d]++{word}(?:\d[\s\d]*+{word})*+(?!\w))++"), P.java(r"[\s\d]+")
     return F.array_join(F.transform(lines(text), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, gap, ""))), "\n")
 
 

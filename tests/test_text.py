@@ -55,6 +55,18 @@ def test_join_numbered(spark):
     assert one(spark, T.join_numbered(F.col("t")), t="x MKT 10 LLV y\nAC DE") == "x MKTLLV y\nAC DE"
 
 
+def test_join_numbered_takes_blocks_of_any_length(spark):
+    assert one(spark, T.join_numbered(F.col("t")), t="x " + "MKT 10 " * 50_000 + "LLV y") == "x " + "MKT" * 50_000 + "LLV y"
+
+
+def test_join_numbered_ends_a_block_where_python_does(spark):
+    plain = re.compile(r"\b[ACDEFGHIKLMNPQRSTVWY]{3,}(?:[\s\d]+[ACDEFGHIKLMNPQRSTVWY]{3,})+\b")
+    draw = random.Random(5)
+    texts = ["".join(draw.choice(["MKT", "LLVA", "AC", "B", " ", "1", " 10 ", "_", "-", "x", "é"]) for _ in range(draw.randint(1, 14))) for _ in range(3000)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.join_numbered(F.col("t")).alias("j")).collect()
+    assert [r.j for r in got] == [plain.sub(lambda m: re.sub(r"[\s\d]+", "", m[0]), r.t) for r in got]
+
+
 def test_before_back_matter(spark):
     assert one(spark, T.before_back_matter(F.col("t")), t="a\nb\n 7. REFERENCES:\nc") == "a\nb"
     assert one(spark, T.before_back_matter(F.col("t")), t="a references\nb") == "a references\nb"
