@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lex
+from ..functions import text as T
 from ..storage import store
 from . import blocks
 
@@ -278,9 +279,9 @@ def encode(rows: DataFrame, text: str, load: Callable[[], Encoder] | None = None
 
 
 def unit(vector: Column) -> Column:
-    wide = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm)).otherwise(wide)
+    norm = lambda w: F.sqrt(F.aggregate(w, F.lit(0.0), lambda a, x: a + x * x))
+    divided = lambda w, n: F.when(n > 0, F.transform(w, lambda x: x / n)).otherwise(w)
+    return T.bound(F.transform(vector, lambda x: x.cast("double")), lambda w: T.bound(norm(w), lambda n: divided(w, n)))  # the norm once a vector, not once a number
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 
@@ -198,6 +199,36 @@ _WORD_SQL = "[" + ", ".join(f"1.0::DOUBLE + (length(t) - length(replace(t, '{c}'
 _CUT = f"SELECT *, array_to_string(ws, ' ') AS t, len(ws) AS n FROM (SELECT *, regexp_extract_all({FOLD}, '[A-Za-z]+')[1:256] AS ws FROM {{0}})"
 
 
+#: Words that a worker's encoder remembers.
+_KNOWN_WORDS = 50_000
+
+
+def letter_encoder():
+    """Vectors of letter counts, pooled over a text's first words; words are remembered for the texts of a worker, up to a bound."""
+    words, known = re.compile("[A-Za-z]+"), {}
+    vectors = [[0.0] * len(_LETTERS)]
+
+    def tokenise(text):
+        out = []
+        for m in itertools.islice(words.finditer(text), scoring.MOST_TOKENS):  # what comes after is cut in any case
+            w = m[0]
+            if w not in known:
+                known[w] = len(vectors)
+                vectors.append([1.0 + w.count(c) for c in _LETTERS])
+            out.append(known[w])
+        return out
+
+    def embed(ids, mask):
+        own, at = np.unique(ids, return_inverse=True)  # of the words these texts have, not of all that are known
+        shown = np.array([vectors[i] for i in own.tolist()])[at.reshape(ids.shape)]
+        if len(vectors) > _KNOWN_WORDS:  # ids hold for these texts alone
+            known.clear()
+            del vectors[1:]
+        return shown
+
+    return scoring.token_encoder(tokenise, embed)
+
+
 @query(
     "encoder_scores",
     f"""WITH v AS (SELECT doc_id, {_WORD_SQL} AS e FROM ({_CUT.format("documents")}) WHERE n > 0),
@@ -208,24 +239,9 @@ _CUT = f"SELECT *, array_to_string(ws, ' ') AS t, len(ws) AS n FROM (SELECT *, r
 def encoder_scores(spark, sf_dir):
     """Contexts through an encoder of tokens that a worker loads once, cut and pooled, and their best references."""
 
-    def load():
-        words, known = re.compile("[A-Za-z]+"), {}
-        vectors = [[0.0] * len(_LETTERS)]
-
-        def tokenise(text):
-            out = []
-            for w in words.findall(text):
-                if w not in known:
-                    known[w] = len(vectors)
-                    vectors.append([1.0 + w.count(c) for c in _LETTERS])
-                out.append(known[w])
-            return out
-
-        return scoring.token_encoder(tokenise, lambda ids, mask: np.array(vectors)[ids])
-
     text = lambda name, *keys: table(spark, sf_dir, name).select(*keys, T.fold(F.col("text")).alias("t"))
-    refs = store(scoring.encode(text("benchmark").distinct(), "t", load), "references")
-    own = store(scoring.encode(text("documents", "doc_id"), "t", load), "contexts")
+    refs = store(scoring.encode(text("benchmark").distinct(), "t", letter_encoder), "references")
+    own = store(scoring.encode(text("documents", "doc_id"), "t", letter_encoder), "contexts")
     return scoring.context_scores(own, "doc_id", refs).withColumn("bio_score", F.round("bio_score", 6))
 
 

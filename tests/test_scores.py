@@ -7,6 +7,7 @@ import json
 import math
 import random
 import threading
+import time
 
 import numpy as np
 import pytest
@@ -337,3 +338,24 @@ def test_model_over_http(spark):
         assert sorted((r.prompt, r.attempt, r.ok) for r in down) == [(p, k, False) for p in "ab" for k in (1, 2)]
     finally:
         server.shutdown()
+
+
+def test_encoder_takes_no_longer_with_the_words_it_has_seen():
+    from sievework.plans import scoring as plans
+
+    encoder, took = plans.letter_encoder(), []
+    for k in range(60):
+        texts = [" ".join(chr(97 + k % 26) + "".join(chr(97 + int(c)) for c in str(n)) + chr(97 + k // 26) for n in range(300 * i, 300 * i + 300)) for i in range(16)]
+        began = time.process_time()
+        out = encoder(texts)
+        took.append(time.process_time() - began)
+        for text, vector in ((texts[0], out[0]), (texts[-1], out[-1])):
+            words = text.split()[:256]
+            assert vector == pytest.approx([sum(1 + w.count(c) for w in words) / 256 for c in "aeinst"])
+    assert sum(took[-10:]) < 3 * sum(took[:10])
+
+
+def test_unit_divides_by_a_norm_that_is_computed_once(spark):
+    frame = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), (None,)], "v array<double>")
+    unit = frame.select(scoring.unit(F.col("v")).alias("v"))
+    assert [r.v for r in unit.collect()] == [[0.6, 0.8], [0.0, 0.0], None]
