@@ -226,7 +226,7 @@ def page_texts(spark, sf_dir):
     """Files to pages through a parser, a file that fails keeps its error; stored by document and read back."""
     path = new_path(spark, "pages")
     pages = readers.pdf_pages(_papers(spark, sf_dir), _split)
-    writers.table(pages.withColumn("pmid", F.pmod(readers.stem(F.col("path")).cast("long"), F.lit(5))), path)
+    writers.table(pages.withColumn("pmid", F.pmod(readers.stem(F.col("path")).cast("long"), F.lit(5))), path, by="pmid")
     back = spark.read.parquet(path)
     return back.select(readers.stem(F.col("path")).cast("long").alias("conv_id"), "page", F.md5("text").alias("digest"), "error")
 

@@ -23,8 +23,12 @@ RESULT = {
 }
 
 
-def table(rows: DataFrame, path: str, by: str | None = "pmid", mode: str = "overwrite") -> None:
-    """A stage table: page texts, OCR text, techniques, candidates, evidence, metadata."""
+def table(rows: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
+    """A stage table: page texts, OCR text, techniques, candidates, evidence, metadata.
+
+    by: a column of few values, a folder each. What has a value for every paper is no
+    such column: files and folders would grow with the papers.
+    """
     writer = rows.write.mode(mode)
     (writer.partitionBy(by) if by else writer).parquet(path)
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.operators import merging
 from sievework.operators import evaluation
@@ -141,3 +142,10 @@ def test_folders_to_all_outputs(spark, tmp_path):
     assert said.count("ask") - asked <= sum(r["count"] for r in kinds if r.type.startswith("species"))
     shown = sorted(map(str, out["result"].collect()))
     assert sorted(map(str, go()["result"].collect())) == shown and calls.read_text().split() == said
+
+
+def test_a_table_of_many_papers_is_no_folder_each(spark, tmp_path):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("pmid"), F.lit("S").alias("sequence"))
+    writers.table(rows, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).select("pmid").distinct().count() == 3000
+    assert sum(1 for _ in (tmp_path / "t").rglob("*.parquet")) <= 64
