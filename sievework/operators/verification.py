@@ -54,11 +54,16 @@ def http_model(url: str, model: str, timeout: int = 300) -> Callable[[], Model]:
 # ------------------------------------------------------------------ reading responses
 
 
+#: How a JSON value begins.
+_BEGINS = r"^\s*(?:[\[{\"0-9-]|true|false|null)"
+
+
 def json_object(response: Column) -> Column:
     """The object in a response, as a variant: the whole text, or what its outermost braces hold; null if none."""
     text = F.trim(response)
     inner = F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
-    found = F.coalesce(F.try_parse_json(text), inner)
+    # a parse that fails costs much more than one that succeeds: what can't begin a JSON value is not tried
+    found = F.coalesce(F.when(text.rlike(_BEGINS), F.try_parse_json(text)), inner)
     return T.bound(found, lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
 
 
@@ -68,14 +73,13 @@ def _kind(v: Column, path: str) -> Column:
 
 def _confidence(v: Column) -> Column:
     """The confidence from 0 to 1, 0 if absent; null if it is no such number."""
-    kind = _kind(v, "$.confidence")
-    value = F.when(kind == "MISSING", F.lit(0.0)).otherwise(F.try_variant_get(v, "$.confidence", "double"))
-    return F.when(~F.isnan(value) & value.between(0, 1) & (kind != "VOID"), value)
+    number = lambda kind: F.when(kind == "MISSING", F.lit(0.0)).when(kind != "VOID", F.try_variant_get(v, "$.confidence", "double"))
+    return T.bound(T.bound(_kind(v, "$.confidence"), number), lambda x: F.when(~F.isnan(x) & x.between(0, 1), x))
 
 
 def _text(v: Column, name: str) -> Column:
-    kind = _kind(v, f"$.{name}")
-    return F.when(kind == "MISSING", F.lit("")).when(kind == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
+    return T.bound(_kind(v, f"$.{name}"), lambda kind: F.when(kind == "MISSING", F.lit("")).when(kind == "STRING", F.try_variant_get(v, f"$.{name}", "string")))
+
 
 
 def read_verdict(response: Column) -> Column:
@@ -84,27 +88,30 @@ def read_verdict(response: Column) -> Column:
 
 
 def _verdict(v: Column) -> Column:
-    confidence, reason = _confidence(v), _text(v, "reason")
     support = F.coalesce(F.try_variant_get(v, "$.support_type", "string"), F.lit(""))
-    listed = _kind(v, "$.linked_techniques")
-    names = F.when(listed == "MISSING", F.array().cast("array<string>")).when(listed.startswith("ARRAY"), F.try_variant_get(v, "$.linked_techniques", "array<string>"))
-    error = (
+    names = T.bound(_kind(v, "$.linked_techniques"), lambda kind: F.when(kind == "MISSING", F.array().cast("array<string>")).when(kind.startswith("ARRAY"), F.try_variant_get(v, "$.linked_techniques", "array<string>")))
+    values = F.struct(_confidence(v).alias("confidence"), support.alias("support_type"), names.alias("linked_techniques"), _text(v, "reason").alias("reason"))
+    return T.bound(values, lambda x: T.bound(_verdict_error(v, x), lambda error: _verdict_of(v, x, error)))  # each value is read once
+
+
+def _verdict_error(v: Column, x: Column) -> Column:
+    return (
         F.when(v.isNull(), F.lit("no object"))
         .when(_kind(v, "$.valid_sequence") != "BOOLEAN", F.lit("valid_sequence"))
-        .when(confidence.isNull(), F.lit("confidence"))
-        .when(~support.isin(*SUPPORT), F.lit("support_type"))
-        .when(names.isNull(), F.lit("linked_techniques"))
-        .when(reason.isNull(), F.lit("reason"))
+        .when(x["confidence"].isNull(), F.lit("confidence"))
+        .when(~x["support_type"].isin(*SUPPORT), F.lit("support_type"))
+        .when(x["linked_techniques"].isNull(), F.lit("linked_techniques"))
+        .when(x["reason"].isNull(), F.lit("reason"))
     )
+
+
+def _verdict_of(v: Column, x: Column, error: Column) -> Column:
     made = F.try_variant_get(v, "$.is_synthesized", "boolean")
     return F.struct(
         error.isNull().alias("ok"),
         error.alias("error"),
         F.try_variant_get(v, "$.valid_sequence", "boolean").alias("valid_sequence"),
-        confidence.alias("confidence"),
-        support.alias("support_type"),
-        names.alias("linked_techniques"),
-        reason.alias("reason"),
+        *[x[c].alias(c) for c in ("confidence", "support_type", "linked_techniques", "reason")],
         F.nullif(F.try_variant_get(v, "$.species", "string"), F.lit("")).alias("species"),
         F.coalesce(made, F.lit(False)).alias("is_synthesized"),
         F.nullif(F.try_variant_get(v, "$.synthesized_line", "string"), F.lit("")).alias("synthesized_line"),
@@ -116,14 +123,20 @@ def _read_confirmation(response: Column, flag: str, extra_error: Callable[[Colum
 
 
 def _confirmation(v: Column, flag: str, extra_error: Callable[[Column], Column | None]) -> Column:
-    confidence, line, reason = _confidence(v), _text(v, "evidence_line"), _text(v, "reason")
-    error = F.when(v.isNull(), F.lit("no object")).when(_kind(v, f"$.{flag}") != "BOOLEAN", F.lit(flag)).when(confidence.isNull(), F.lit("confidence"))
     more = extra_error(v)
-    if more is not None:
-        error = error.when(more, F.lit("verified_species"))
-    error = error.when(line.isNull(), F.lit("evidence_line")).when(reason.isNull(), F.lit("reason"))
-    species = [F.try_variant_get(v, "$.verified_species", "string").alias("verified_species")] if more is not None else []
-    return F.struct(error.isNull().alias("ok"), error.alias("error"), F.try_variant_get(v, f"$.{flag}", "boolean").alias(flag), confidence.alias("confidence"), *species, line.alias("evidence_line"), reason.alias("reason"))
+
+    def error_of(x: Column) -> Column:
+        error = F.when(v.isNull(), F.lit("no object")).when(_kind(v, f"$.{flag}") != "BOOLEAN", F.lit(flag)).when(x["confidence"].isNull(), F.lit("confidence"))
+        if more is not None:
+            error = error.when(more, F.lit("verified_species"))
+        return error.when(x["evidence_line"].isNull(), F.lit("evidence_line")).when(x["reason"].isNull(), F.lit("reason"))
+
+    def read(x: Column, error: Column) -> Column:
+        species = [F.try_variant_get(v, "$.verified_species", "string").alias("verified_species")] if more is not None else []
+        return F.struct(error.isNull().alias("ok"), error.alias("error"), F.try_variant_get(v, f"$.{flag}", "boolean").alias(flag), x["confidence"].alias("confidence"), *species, x["evidence_line"].alias("evidence_line"), x["reason"].alias("reason"))
+
+    values = F.struct(_confidence(v).alias("confidence"), _text(v, "evidence_line").alias("evidence_line"), _text(v, "reason").alias("reason"))
+    return T.bound(values, lambda x: T.bound(error_of(x), lambda error: read(x, error)))
 
 
 def read_technique(response: Column) -> Column:
@@ -387,21 +400,24 @@ def read_graded(response: Column) -> Column:
 
 
 def _graded(v: Column) -> Column:
-    kind = _kind(v, "$.confidence")
-    confidence = F.when(kind == "MISSING", F.lit(0.0)).when(kind != "VOID", F.try_variant_get(v, "$.confidence", "double"))
-    error = F.when(v.isNull(), F.lit("no object")).when(confidence.isNull() | F.isnan(confidence), F.lit("confidence"))
+    number = lambda kind: F.when(kind == "MISSING", F.lit(0.0)).when(kind != "VOID", F.try_variant_get(v, "$.confidence", "double"))
     value = F.coalesce(F.try_variant_get(v, "$.verified", "boolean"), F.try_variant_get(v, "$.valid_sequence", "boolean"), F.lit(False))
     reason = F.coalesce(F.try_variant_get(v, "$.reason", "string"), F.lit(""))
-    low = F.lower(reason)
-    return F.struct(
-        error.isNull().alias("ok"),
-        error.alias("error"),
-        value.alias("valid_sequence"),
-        confidence.alias("confidence"),
-        label_from_strength(F.try_variant_get(v, "$.evidence_strength", "string")).alias("support_type"),
-        F.array().cast("array<string>").alias("linked_techniques"),
-        reason.alias("reason"),
-        F.try_variant_get(v, "$.species", "string").alias("species"),
-        (low.contains("synthesize") | low.contains("synthetic")).alias("is_synthesized"),
-        F.lit(None).cast("string").alias("synthesized_line"),
-    )
+
+    def read(x: Column) -> Column:
+        error = F.when(v.isNull(), F.lit("no object")).when(x["confidence"].isNull() | F.isnan(x["confidence"]), F.lit("confidence"))
+        low = F.lower(x["reason"])
+        return F.struct(
+            error.isNull().alias("ok"),
+            error.alias("error"),
+            value.alias("valid_sequence"),
+            x["confidence"].alias("confidence"),
+            label_from_strength(F.try_variant_get(v, "$.evidence_strength", "string")).alias("support_type"),
+            F.array().cast("array<string>").alias("linked_techniques"),
+            x["reason"].alias("reason"),
+            F.try_variant_get(v, "$.species", "string").alias("species"),
+            (low.contains("synthesize") | low.contains("synthetic")).alias("is_synthesized"),
+            F.lit(None).cast("string").alias("synthesized_line"),
+        )
+
+    return T.bound(F.struct(T.bound(_kind(v, "$.confidence"), number).alias("confidence"), reason.alias("reason")), read)

@@ -149,3 +149,10 @@ def test_graded_prompt_names_the_species(spark, tmp_path):
     prompts = {r.pmid: r.prompt for r in log.collect()}
     assert prompts["7"].startswith("Sequence\nMKTLLV\nSpecies\nZea mays\nSequence Score\n0.912\nBio Score\n0.000\nEvidence Score\n6.000\nDetected Techniques\nNMR\nContext\nc\nQuestion\n")
     assert "Species\nunknown\n" in prompts["8"] and "Species\nunknown\n" in prompts["9"] and "Detected Techniques\nNone\n" in prompts["8"]
+
+
+@pytest.mark.parametrize("kind", sorted(READ))
+def test_each_value_of_a_response_is_read_once(spark, kind):
+    """As often as it is named in a rule or a result at most; conditions and results don't repeat what they hang on."""
+    plan = spark.range(1).select(READ[kind](F.lit("{}")).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("variant_get(") <= 14
