@@ -156,3 +156,25 @@ def test_each_value_of_a_response_is_read_once(spark, kind):
     """As often as it is named in a rule or a result at most; conditions and results don't repeat what they hang on."""
     plan = spark.range(1).select(READ[kind](F.lit("{}")).alias("v"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("variant_get(") <= 14
+
+
+def test_prompts_are_not_joined_by_their_text(spark, tmp_path):
+    schema = "id string, pmid string, sequence string, sequence_line string, source string, context string, techniques array<string>, technique_lines array<string>, evidence_score double, sequence_score double, bio_score double"
+    rows = spark.createDataFrame([(str(i), "7", "ACDEFG" + "W" * (i % 3), "l", "csv", "c", ["NMR"], ["n"], 6.0, 0.9, None) for i in range(9)], schema)
+    docs = spark.createDataFrame([("7", ["Zea mays"], "head")], "pmid string, species array<string>, head string")
+    stored = {}
+
+    def save(frame, name):
+        frame.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+        return stored[name]
+
+    answer = json.dumps(RIGHT["sequence"] | RIGHT["technique"] | RIGHT["species"] | {"species_confirmed": True})
+    out, log = verification.verify(rows, docs, lambda: lambda prompt: "no" if "WW" in prompt else answer, save)
+    assert sorted(r.id for r in out.collect()) == ["0", "1", "3", "4", "6", "7"]
+    assert sorted(r.attempt for r in stored["sequence"].collect()) == [1, 1, 3]
+    for name in ("sequence", "technique", "species"):
+        assert "prompt" not in stored[name].columns and {len(r._prompt) for r in stored[name].collect()} == {16}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "variant_get" not in plan  # answers were read when they were stored
+    assert all(len(r.prompt) > 100 and r.parsed for r in log.where("parse_ok").collect())
