@@ -57,10 +57,14 @@ class Lines:
             return ""
         return self.line_at(at)
 
-    def line_at(self, at: int) -> str:
+    def span_at(self, at: int) -> tuple[int, int]:
         self._cut()
         k = bisect_right(self.begins, at) - 1
-        return self.text[self.begins[k] : self.ends[k]].strip()
+        return self.begins[k], self.ends[k]
+
+    def line_at(self, at: int) -> str:
+        begin, end = self.span_at(at)
+        return self.text[begin:end].strip()
 
     def firsts(self, targets: list[str]) -> list[str]:
         """first_with of each target; the text is read once where that is less work than a search for each."""
@@ -534,6 +538,29 @@ class Evidence:
         low = sentence.lower() if sentence.isascii() else None
         return [(t, k) for t, k, sure, p in self.tries if (low is None or sure in low) and p.search(sentence)]
 
+    def lines(self, text: str) -> list[tuple[str, str]]:
+        """(technique, line) in lexicon order: of the first pattern that any line matches the first such line, stripped."""
+        own, low = Lines(text), text.lower() if text.isascii() else None
+        every: list[str] | None = None
+        best: dict[int, str] = {}
+        for t, _, sure, pattern in self.tries:
+            if t in best:
+                continue
+            if low is not None and sure:  # lines without what each match has are passed over
+                at = low.find(sure)
+                while at >= 0:
+                    begin, end = own.span_at(at)
+                    if pattern.search(text[begin:end]):
+                        best[t] = text[begin:end].strip()
+                        break
+                    at = low.find(sure, max(at + 1, end))
+                continue
+            every = own.all() if every is None else every
+            line = next((x for x in every if pattern.search(x)), None)
+            if line is not None:
+                best[t] = line.strip()
+        return [(self.names[t], best[t]) for t in sorted(best)]
+
     def pairs(self, context: str) -> list[tuple[str, str]]:
         """(technique, sentence) in lexicon order: of the first pattern that any sentence matches the first such sentence; general techniques go where a specific one covers them."""
         best: dict[int, tuple[int, str]] = {}
@@ -556,19 +583,27 @@ def _remembered(patterns: tuple, supersedes: tuple) -> Evidence:
 
 def evidence(context: Column, patterns: dict[str, list[str]], supersedes: dict[str, list[str]]) -> Column:
     """array<struct<technique, line>> of each context (see Evidence.pairs); null for null."""
-    tables = listed(patterns, supersedes)
+    return _told(context, listed(patterns, supersedes), Evidence.pairs)
+
+
+def line_evidence(text: Column, patterns: dict[str, list[str]]) -> Column:
+    """array<struct<technique, line>> of each text (see Evidence.lines); null for null."""
+    return _told(text, listed(patterns, {}), Evidence.lines)
+
+
+def _told(text: Column, tables: Listed, of: Callable[[Evidence, str], list[tuple[str, str]]]) -> Column:
     kind = pa.list_(pa.struct([("technique", pa.string()), ("line", pa.string())]))
 
     @F.arrow_udf("array<struct<technique:string,line:string>>")
     def run(column: pa.Array) -> pa.Array:
         model = _remembered(*tables)
         size, names, lines = [0], [], []
-        for text in column.to_pylist():
-            for name, line in model.pairs(text or ""):
+        for value in column.to_pylist():
+            for name, line in of(model, value or ""):
                 names.append(name)
                 lines.append(line)
             size.append(len(names))
         struct = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.string())], fields=list(kind.value_type))
         return pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct, mask=column.is_null() if column.null_count else None)
 
-    return run(context)
+    return run(text)

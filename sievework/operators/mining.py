@@ -108,32 +108,6 @@ def technique_names(context: Column, patterns: Patterns = lex.TECHNIQUES) -> Col
     return F.array_compact(F.array(*tries))
 
 
-def _first_match(texts: Column, tries: list[str]) -> Column:
-    """Of the first pattern that any of an array of texts matches, the first such text; null if none does."""
-
-    def one(pattern: str) -> Column:
-        return F.get(F.filter(texts, lambda t: t.rlike(P.java(pattern, ignore_case=True))), F.lit(0))
-
-    return F.coalesce(*[one(p) for p in tries])
-
-
-def _worth_it(text: Column, tries: list[str]) -> Column:
-    """Whether a part of text can match at all; a look-ahead may fail on the whole and not on a part."""
-    if any("(?!" in p for p in tries):
-        return F.lit(True)
-    return text.rlike(P.any_of(tries))
-
-
-def _evidence(parts: Column, whole: Column, patterns: Patterns) -> Column:
-    """array<struct<technique, line>> of the techniques that any of the parts of a text shows."""
-
-    def body(b: Column) -> Column:
-        pairs = [F.struct(F.lit(name).alias("technique"), F.when(_worth_it(b["whole"], tries), _first_match(b["parts"], tries)).alias("line")) for name, tries in patterns.items()]
-        return F.filter(F.array(*pairs), lambda p: p["line"].isNotNull())
-
-    return T.bound(F.struct(parts.alias("parts"), whole.alias("whole")), body)
-
-
 def technique_lines(context: Column, patterns: Patterns = lex.TECHNIQUES, supersedes: dict[str, list[str]] = lex.SUPERSEDES) -> Column:
     """array<struct<technique, line>>: each technique with its evidence sentence, in lexicon order.
 
@@ -169,8 +143,7 @@ def document_species(rows: DataFrame, key: str, text: str, patterns: Patterns =
 
 def document_techniques(rows: DataFrame, key: str, text: str, patterns: Patterns = lex.DOCUMENT_TECHNIQUES) -> DataFrame:
     """(key, techniques): technique to the first line that matches its first matching pattern."""
-    pairs = _evidence(T.lines(F.col(text)), F.col(text), patterns)
-    return rows.select(key, F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["technique"], T.strip(p["line"])))).alias("techniques"))
+    return rows.select(key, F.map_from_entries(kernels.line_evidence(F.col(text), patterns)).alias("techniques"))
 
 
 # ------------------------------------------------------------------ candidates

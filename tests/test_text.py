@@ -201,3 +201,16 @@ def test_prefix_join_pairs_every_key_that_begins_the_name(spark):
     files = spark.createDataFrame([("1234_x.csv",), ("99.csv",)], "name string")
     keys = spark.createDataFrame([("123",), ("1234",), ("7",)], "pmid string")
     assert sorted(tuple(r) for r in merging.join_by_prefix(files, keys, "name", "pmid").collect()) == [("1234_x.csv", "123"), ("1234_x.csv", "1234")]
+
+
+def test_lines_that_show_techniques():
+    patterns = {"A": [r"\bheat\b", r"\bhand"], "B": [r"\bthat\b|\bque\b"], "C": [r"(?!x)that", "at$"]}
+    draw = random.Random(7)
+    model = kernels.Evidence(*kernels.listed(patterns, {}))
+    for _ in range(2000):
+        text = "".join(draw.choice(["heat", "Hand", "that", "que", " ", "\n", "\r\n", "x", "é", "\u2028", "."]) for _ in range(draw.randint(0, 15)))
+        wanted = []
+        for name, own in patterns.items():
+            found = [x for p in own for x in kernels.Lines(text).all() if re.search(p, x, re.IGNORECASE)]
+            wanted += [(name, found[0].strip())] if found else []
+        assert model.lines(text) == wanted
