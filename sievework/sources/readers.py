@@ -28,6 +28,9 @@ CANDIDATE = T.StructType(
     + [T.StructField("evidence_score", T.DoubleType())]
 )
 
+#: Items of parsed files that a task holds, beyond those of one file, before it hands them on.
+ITEMS = 1_000
+
 FASTA_ENDINGS = ("fa", "fasta", "fna")
 
 
@@ -86,6 +89,9 @@ def parsed(rows: DataFrame, parse: Callable[[bytes], list[tuple]], schema: str,
                     out += [(key, *item, None) for item in parse(bytes(content))]
                 except Exception as e:  # one bad file is no reason to lose the others
                     out.append((key, *[None] * len(names), str(e)))
+                if len(out) >= ITEMS:
+                    yield pd.DataFrame(out, columns=[keep, *names, "error"])
+                    out = []
             yield pd.DataFrame(out, columns=[keep, *names, "error"])
 
     return rows.select(keep, "content").mapInPandas(run, f"{keep} string, {schema}, error string")

@@ -59,3 +59,19 @@ def test_files_that_cannot_be_read_are_told(spark, tmp_path):
     got = {(r.path.rsplit("/", 1)[1], r.source) for r in readers.unreadable(spark, str(tmp_path)).collect()}
     assert got >= {("bad.csv", "csv"), ("bad.xlsx", "xlsx")} and ("good.csv", "csv") not in got
     assert [r.context for r in readers.supplementary(spark, str(tmp_path)).where("source = 'csv'").collect()] == ["1 | 2"]
+
+
+def test_items_of_many_files_are_handed_on_before_the_last_file():
+    """A batch of files may hold many items; a task holds those of one file and a bounded number beside."""
+    import pandas as pd
+
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    run = readers.parsed(Frame(), lambda content: [(i,) for i in range(400)], "no int")
+    sizes = [len(x) for x in run(iter([pd.DataFrame({"path": [str(i) for i in range(50)], "content": [b""] * 50})]))]
+    assert sum(sizes) == 20_000 and max(sizes) < readers.ITEMS + 400
