@@ -28,6 +28,10 @@ _PARTS = "SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS a, p_name || ', ' || p
 _CELLS_SQL = f"SELECT CAST(a AS INT) AS p_partkey, a || ' | ' || b || ' | ' || c AS context, CAST(3 AS BIGINT) AS n FROM ({_PARTS})"
 
 
+#: Rows of a table file that is parsed whole.
+_FILE_ROWS = 10_000
+
+
 def _parts(spark, sf_dir):
     size = F.col("p_size") % 3
     c = F.when(size == 0, F.lit("")).when(size == 1, F.concat(F.lit('say "'), F.col("p_type"), F.lit('"'))).otherwise(F.lit("NA"))
@@ -49,7 +53,7 @@ def csv_cells(spark, sf_dir):
 def csv_tables(spark, sf_dir):
     """The same by one scan of many files, each with its own header."""
     path = new_path(spark, "csv")
-    writers.csv(_parts(spark, sf_dir).repartition(3, "a"), path)
+    writers.csv(_parts(spark, sf_dir).repartition(3, "a"), path, rows=_FILE_ROWS)
     return _shown(readers.tables(readers.files(spark, path, readers.with_ending("csv"))).where("error is null"))
 
 
@@ -130,8 +134,9 @@ def supp_dispatch(spark, sf_dir):
     """A folder of every kind of file, and of kinds that give nothing, read by ending."""
     root = new_path(spark, "supp")
     parts = _parts(spark, sf_dir)
-    writers.csv(parts.repartition(2), f"{root}/a")
-    parts.repartition(2).write.option("escape", '"').option("emptyValue", "").option("extension", "tsv").csv(f"{root}/b", header=True, sep="\t")
+    # files are parsed whole: more rows are more files, not larger ones
+    writers.csv(parts.repartition(2), f"{root}/a", rows=_FILE_ROWS)
+    parts.repartition(2).write.option("maxRecordsPerFile", _FILE_ROWS).option("escape", '"').option("emptyValue", "").option("extension", "tsv").csv(f"{root}/b", header=True, sep="\t")
     items = table(spark, sf_dir, "benchmark").select("item_id", T.fold(F.col("text")).alias("t"))
     items.write.partitionBy("item_id").text(f"{root}/c")
     records = items.select(F.explode(F.split(F.concat(F.lit(">id"), "item_id", F.lit(" x\n"), "t"), "\n")).alias("line"))
@@ -385,17 +390,23 @@ def report_file(spark, sf_dir):
     return readers.texts(spark, path, "*.txt").select(F.posexplode(T.lines(F.col("value"))).alias("no", "value")).withColumn("no", F.col("no").cast("long"))
 
 
+#: Documents of a file that arrives at most.
+_STREAM_ROWS = 2_000
+
+
 @query("mined_stream", R.ORACLE_SQL["cand_extract"])
 def mined_stream(spark, sf_dir):
     """Documents that arrive as files, mined batch by batch."""
     root = new_path(spark, "stream")
     docs = folded(spark, sf_dir, upper())
-    docs.repartition(3).write.parquet(f"{root}/in")
+    # documents are written where they are; more of them are more files, not larger ones
+    docs.write.option("maxRecordsPerFile", min(_STREAM_ROWS, max(1, -(-docs.count() // 3)))).parquet(f"{root}/in")
+    arrived = readers.listing(spark, f"{root}/in", "*.parquet").count()
 
     def mine(batch):
         return mining.sequences(batch, ["doc_id"], "text", reach=0).select("doc_id", "sequence", F.length("sequence").cast("long").alias("length"), F.col("places")[0]["start"].alias("start"), "occurrences")
 
-    incremental.mine_new(spark, docs.schema, f"{root}/in", f"{root}/out", f"{root}/checkpoint", mine, files=1).awaitTermination()
+    incremental.mine_new(spark, docs.schema, f"{root}/in", f"{root}/out", f"{root}/checkpoint", mine, files=max(1, -(-arrived // 3))).awaitTermination()
     return spark.read.parquet(f"{root}/out").select("doc_id", "sequence", "length", "start", "occurrences")
 
 

@@ -58,9 +58,9 @@ def result_columns(rows: DataFrame) -> DataFrame:
     return rows.select(*out)
 
 
-def csv(rows: DataFrame, path: str, one_file: bool = False) -> None:
-    """CSV with a header; one_file is for results that people open."""
-    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("escape", '"').option("emptyValue", "").csv(path, header=True)
+def csv(table: DataFrame, path: str, one_file: bool = False, rows: int = 0) -> None:
+    """CSV with a header; one_file is for results that people open. rows: the most that a file has, 0 for any number."""
+    (table.coalesce(1) if one_file else table).write.mode("overwrite").option("maxRecordsPerFile", rows).option("escape", '"').option("emptyValue", "").csv(path, header=True)
 
 
 def metrics(counts: DataFrame, path: str) -> None:

@@ -39,3 +39,18 @@ def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
     assert set(catalogue.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_more_rows_are_more_files(spark, con, monkeypatch):
+    from sievework.plans import files
+    from sievework.sources import readers
+    from sievework.streaming import incremental
+
+    monkeypatch.setattr(files, "_FILE_ROWS", 30)
+    monkeypatch.setattr(files, "_STREAM_ROWS", 20)
+    seen, supplementary, mine_new = {}, readers.supplementary, incremental.mine_new
+    monkeypatch.setattr(readers, "supplementary", lambda s, path: seen.update(supp=readers.listing(s, path, "*.csv").count()) or supplementary(s, path))
+    monkeypatch.setattr(incremental, "mine_new", lambda s, schema, source, *more, **named: seen.update(stream=readers.listing(s, source, "*.parquet").count()) or mine_new(s, schema, source, *more, **named))
+    for name in ("supp_dispatch", "mined_stream"):
+        oracle.assert_same(catalogue.QUERIES[name](spark, SF), con, catalogue.ORACLE_SQL[name])
+    assert seen["supp"] >= 200 / 30 and seen["stream"] >= 200 / 20
