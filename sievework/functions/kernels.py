@@ -9,7 +9,7 @@ offsets are code points from 0.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -266,9 +266,9 @@ class Judge:
         points = 8 + 3 * sum(w in here for w in self.peptide) + 5 * sum(w in here for w in self.table)
         return points, not here.isdisjoint(self.genes) and here.isdisjoint(self.peptides)
 
-    def around(self, text: str, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(points, about genes) of the stretches of a text between begin and end."""
-        low, hits, none = lowered(text), {}, np.zeros(len(begin), bool)
+    def around(self, text: str, low: str, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(points, about genes) of the stretches of a text, and of it in lower case, between begin and end."""
+        hits, none = {}, np.zeros(len(begin), bool)
         for w in self.words:
             if w in low:
                 hits[w] = self._within(at := _everywhere(low, w), at + len(w), begin, end)
@@ -330,32 +330,37 @@ def listed(*tables: dict[str, list[str]]) -> Listed:
     return tuple(tuple((n, tuple(own)) for n, own in t.items()) for t in tables)
 
 
-def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, judge: Judge, least: int | None, evidence: Listed | None = None, reach: int = 1000, prepare: Prepare = None) -> DataFrame:
+def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal: Callable[[str], str], keep: str, judge: Judge, least: int | None, evidence: Listed | None = None, reach: int = 1000, prepare: Prepare = None, never: str | None = None) -> DataFrame:
     """keys of rows, once for each normalised match of the form `keep`: its first place with `least` points or more that is not about genes.
 
     Nothing but the accepted place leaves the worker: sequence, start, match, context,
     sequence_line (the first line that holds the match), occurrences, score, and pairs
     (techniques of `evidence` in the context, each with its sentence). Without least each
-    sequence's first place is taken as it is. A text's words are found once, so the work
-    is linear in its length and its matches.
+    sequence's first place is taken as it is. A text's words and sentences are found once,
+    so the work is linear in its length and its matches. never: what no match has that is
+    normalised to the form `keep`, to pass over others by.
     """
-    finder, whole = re.compile(pattern), re.compile(keep)
+    finder, whole, without = re.compile(pattern), re.compile(keep), re.compile(never) if never else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, model = Held(_ACCEPTED), _remembered(*evidence) if evidence else None
         for batch in batches:
             for i, value in enumerate(batch.column(len(keys)).to_pylist()):
                 value = prepare(value) if prepare and value else value or ""
-                known: dict[str, str] = {}
+                known: dict[str, list] = {}  # match: what its name has in found
                 found: dict[str, list] = {}  # name: times, numbers of its places
                 starts, ends = [], []
                 for m in finder.finditer(value):
-                    name = known.get(m[0])
-                    if name is None:
-                        name = known[m[0]] = normal(m[0])
-                    at = found.get(name)
+                    match = m[0]
+                    if without and without.search(match):
+                        continue
+                    at = known.get(match)
                     if at is None:
-                        at = found[name] = [0, [] if whole.fullmatch(name) else None]
+                        name = normal(match)
+                        at = found.get(name)
+                        if at is None:
+                            at = found[name] = [0, [] if whole.fullmatch(name) else None]
+                        known[match] = at
                     at[0] += 1
                     if at[1] is not None and (least is not None or not at[1]):
                         at[1].append(len(starts))
@@ -364,7 +369,8 @@ def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                 if not starts:
                     continue
                 begin, end = np.maximum(np.array(starts, np.int64) - reach, 0), np.minimum(np.array(ends, np.int64) + reach, len(value))
-                points, genes = judge.around(value, begin, end)
+                low = lowered(value)
+                points, genes = judge.around(value, low, begin, end)
                 points, genes, begin, end = points.tolist(), genes.tolist(), begin.tolist(), end.tolist()
                 chosen = []
                 for name, (times, places) in found.items():
@@ -374,16 +380,18 @@ def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                     for k in places:
                         if least is not None and (genes[k] or points[k] + own + 12 < least):
                             continue
-                        context = value[begin[k] : end[k]]
-                        score = max(points[k] + own + 6 * sum(judge.close.of(context, name)), 0)
+                        near = judge.close.of(value[begin[k] : end[k]], name, low[begin[k] : end[k]])
+                        score = max(points[k] + own + 6 * sum(near), 0)
                         if least is None or score >= least:
                             chosen.append((name, k, times, score))
                             break
                 lines = Lines(value).firsts([value[starts[k] : ends[k]] for _, k, _, _ in chosen])
+                told = Stretches(model, value) if model else None
                 for (name, k, times, score), line in zip(chosen, lines, strict=True):
                     context = value[begin[k] : end[k]]
-                    pairs = [{"technique": t, "line": x} for t, x in model.pairs(context)] if model else None
-                    held.add(i, name, starts[k], value[starts[k] : ends[k]], context, line, times, score, pairs, size=2 * len(context) + len(line))
+                    pairs = told.pairs(begin[k], end[k]) if told else None
+                    size = 2 * len(context) + len(line) + sum(len(x) for _, x in pairs or ())
+                    held.add(i, name, starts[k], value[starts[k] : ends[k]], context, line, times, score, pairs, size=size)
                     if held.size > HELD:
                         yield held.batch(batch.columns[: len(keys)], keys)
             yield held.batch(batch.columns[: len(keys)], keys)
@@ -571,8 +579,54 @@ class Evidence:
             for t, k in self.of(sentence):
                 if t not in best or k < best[t][0]:
                     best[t] = k, sentence
+        return self.named({t: sentence for t, (_, sentence) in best.items()})
+
+    def named(self, best: dict[int, str]) -> list[tuple[str, str]]:
         covered = {g for t in best for g in self.supersedes.get(self.names[t], ())}
-        return [(self.names[t], best[t][1]) for t in sorted(best) if self.names[t] not in covered]
+        return [(self.names[t], best[t]) for t in sorted(best) if self.names[t] not in covered]
+
+
+class Stretches:
+    """Evidence.pairs of stretches of one text: its sentences are looked through once, those that a stretch cuts again."""
+
+    def __init__(self, model: Evidence, text: str):
+        self.model, self.text = model, text.replace("\n", " ")
+        cuts = [m.span() for m in _SENTENCE_END.finditer(self.text)]
+        self.begins, self.ends = [0, *[b for _, b in cuts]], [*[a for a, _ in cuts], len(text)]
+        #: numbers of the sentences that match each (technique, pattern), found when first asked for
+        self.where: dict[tuple[int, int], list[int]] | None = None
+
+    def _sentence(self, k: int) -> str:
+        return self.text[self.begins[k] : self.ends[k]].strip()
+
+    def pairs(self, begin: int, end: int) -> list[tuple[str, str]]:
+        if self.where is None:
+            self.where = {}
+            for k in range(len(self.begins)):
+                for hit in self.model.of(self._sentence(k)):
+                    self.where.setdefault(hit, []).append(k)
+        first, last = bisect_right(self.begins, begin) - 1, bisect_right(self.begins, max(begin, end - 1)) - 1
+        # a stretch that begins or ends between two sentences cuts none there: what is left of the one is empty
+        cut = [] if begin <= self.begins[first] and end >= self.ends[first] else [first]
+        if last > first and end < self.ends[last]:
+            cut.append(last)
+        low, high = first + (first in cut), last + (last not in cut)
+        parts = [self.text[max(begin, self.begins[k]) : min(end, self.ends[k])].strip() for k in cut]
+        hits = [self.model.of(x) if x else [] for x in parts]
+        best: dict[int, str] = {}
+        for hit in sorted({*self.where, *[h for own in hits for h in own]}):
+            if hit[0] in best:
+                continue
+            if cut and cut[0] == first and hit in hits[0]:
+                best[hit[0]] = parts[0]
+                continue
+            own = self.where.get(hit, ())
+            k = bisect_left(own, low)
+            if k < len(own) and own[k] < high:
+                best[hit[0]] = self._sentence(own[k])
+            elif cut and cut[-1] == last and hit in hits[-1]:
+                best[hit[0]] = parts[-1]
+        return self.model.named(best)
 
 
 @lru_cache(maxsize=8)

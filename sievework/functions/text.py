@@ -98,7 +98,9 @@ def ocr_letters(seq: Column) -> Column:
 
 def letters_of(match: str, ocr: bool) -> str:
     """candidate_letters of one match, for the kernels."""
-    plain = _NO_LETTER.sub("", match.upper())
+    plain = "".join(match.upper().split())
+    if not (plain.isascii() and plain.isalpha()):
+        plain = _NO_LETTER.sub("", plain)
     return plain.translate(_OCR) if ocr else plain
 
 
@@ -126,15 +128,37 @@ _NO_LETTER = re.compile("[^A-Z01]")
 _OCR = str.maketrans(lex.OCR_CONFUSED, lex.OCR_MEANT)
 
 
+#: What texts have that the last and the third of these patterns match in; joining makes none of it where there is none.
+_MAY_BREAK, _MAY_SPACE = re.compile(r"-\s*\n"), re.compile(r"[ \t\-][A-Z01][ \t\-]+[A-Z01][ \t\-]")
+#: Words with hyphens between, each up to what is neither: no hyphenated sequence reaches beyond.
+_HYPHENS = re.compile(r"\b\w++(?:-\w++)++")
+
+
 def rebuild(text: str, blocked: frozenset[str]) -> str:
     """Hyphenated and spaced-out sequences in one piece, repeated until nothing changes."""
-    if "-" not in text and " " not in text and "\t" not in text:  # nothing that could be joined
+    hyphens = "-" in text
+    if not hyphens and " " not in text and "\t" not in text:  # nothing that could be joined
         return text
-    text = _HYPHEN_BREAK.sub("", text)
+
+    def joined(m: re.Match) -> str:
+        return m[0] if m[1] in blocked or m[2] in blocked else m[1] + m[2]
+
+    def run(m: re.Match) -> str:
+        old, new = m[0], _HYPHEN.sub(joined, m[0])
+        while new != old:
+            old, new = new, _HYPHEN.sub(joined, new)
+        return new
+
+    broken = hyphens and _MAY_BREAK.search(text) is not None
+    if broken:
+        text = _HYPHEN_BREAK.sub("", text)
+    spaced = _MAY_SPACE.search(text) is not None
+    if not broken and not spaced:  # runs of hyphens have nothing to do with one another
+        return _HYPHENS.sub(run, text) if hyphens else text
     while True:
-        new = _HYPHEN.sub(lambda m: m[0] if m[1] in blocked or m[2] in blocked else m[1] + m[2], text)
-        new = _SPACED.sub(lambda m: re.sub(r"[ \t\-]+", "", m[0]), new)
-        new = _BREAK.sub(r"\1\2", new)
+        new = _HYPHEN.sub(joined, text) if hyphens else text
+        new = _SPACED.sub(lambda m: re.sub(r"[ \t\-]+", "", m[0]), new) if spaced else new
+        new = _BREAK.sub(r"\1\2", new) if broken else new
         if new == text:
             return text
         text = new

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import string
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,6 +167,11 @@ def _reading(source: str, rebuild: bool) -> tuple:
     return (lambda m: T.letters_of(m, ocr)), ((lambda t: T.rebuild(t, blocked)) if rebuild else None)
 
 
+def _no_letter(source: str) -> str:
+    """Characters that no match has whose sequence is of letters of amino acids alone."""
+    return "[" + "".join(c for c in string.ascii_uppercase + "01" if T.letters_of(c, source == "ocr") not in lex.AA) + "]"
+
+
 def judge(source: str = "pdf_text", keywords: dict | None = None) -> kernels.Judge:
     """What candidate_score and gene_like ask of a place, for the kernels. keywords: other word lists (peptide, table, before, after)."""
     words = {"peptide": lex.PEPTIDE_KEYWORDS, "table": lex.TABLE_KEYWORDS, "before": lex.WORDS_BEFORE, "after": lex.WORDS_AFTER} | (keywords or {})
@@ -180,7 +186,7 @@ def without_words(found: DataFrame, key: str, words: DataFrame | None) -> DataFr
 def scored(rows: DataFrame, keys: list[str], text: str, source: str = "pdf_text", keywords: dict | None = None, least: int | None = None, rebuild: bool = False, evidence: kernels.Listed | None = None) -> DataFrame:
     """keys, once for each plausible sequence of a text: its first accepted place with its score, or without `least` its first place (see kernels.accepted)."""
     normal, prepare = _reading(source, rebuild)
-    found = kernels.accepted(rows, keys, text, lex.CANDIDATE, normal, _LETTERS, judge(source, keywords), least, evidence, prepare=prepare)
+    found = kernels.accepted(rows, keys, text, lex.CANDIDATE, normal, _LETTERS, judge(source, keywords), least, evidence, prepare=prepare, never=_no_letter(source))
     return found.where(plausible(F.col("sequence"))).withColumn("source", F.lit(source))
 
 

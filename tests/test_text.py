@@ -135,6 +135,51 @@ def test_evidence_is_the_first_sentence_of_the_first_pattern():
         assert model.pairs(text) == wanted, text
 
 
+def test_stretches_of_a_text_have_the_evidence_of_their_own_and_its_sentences_are_read_once():
+    rng = random.Random(4)
+    model = kernels.Evidence((("A", (r"\bab\b", r"b[\-\s]c")), ("B", (r"x+y", r"ab")), ("C", ("Q",))), (("A", ("C",)),))
+    for _ in range(2000):
+        text = "".join(rng.choice(["ab", "b-c", " ", ". ", ".\n", "!", "  ", "xxy", "q", "Q\n", "z", "é"]) for _ in range(rng.randint(1, 14)))
+        own = kernels.Stretches(model, text)
+        for _ in range(4):
+            begin = rng.randrange(len(text))
+            end = rng.randint(begin + 1, len(text))
+            assert own.pairs(begin, end) == model.pairs(text[begin:end]), (text, begin, end)
+    text, read = " ".join(f"Sentence {i} with ab." for i in range(400)), []
+    of, model.of = model.of, lambda x: read.append(x) or of(x)
+    own = kernels.Stretches(model, text)
+    for begin in range(0, len(text) - 2000, 10):
+        own.pairs(begin, begin + 2000)
+    # each sentence once, and two that are cut a stretch: not all that lie in each
+    assert len(read) <= 400 + 2 * len(range(0, len(text) - 2000, 10))
+
+
+def test_matches_are_passed_over_by_characters_that_no_sequence_has():
+    for source in ("pdf_text", "ocr"):
+        never = re.compile(mining._no_letter(source))
+        for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ01":
+            assert bool(never.search(c)) == (T.letters_of(c, source == "ocr") not in lex.AA), c
+
+
+def test_rebuild_is_its_rules_repeated_whatever_is_passed_over():
+    rng, blocked = random.Random(5), frozenset(lex.BLACKLIST)
+
+    def slowly(text):
+        text = re.sub(lex.HYPHEN_BREAK, "", text)
+        while True:
+            new = re.sub(lex.HYPHENATED, lambda m: m[0] if m[1] in blocked or m[2] in blocked else m[1] + m[2], text)
+            new = re.sub(lex.SPACED_OUT, lambda m: re.sub(r"[ \t\-]+", "", m[0]), new)
+            new = re.sub(lex.BROKEN, r"\1\2", new)
+            if new == text:
+                return text
+            text = new
+
+    some = ["A", "C", "MK", "TT", "PCR", "DNA", "a", "é", "x1", "0", "9", "_", "-", "-", "-", "- ", "\n", "-\n", "- \n ", " ", "  ", "\t", ". ", "\x85"]
+    for _ in range(20000):
+        text = "".join(rng.choices(some, k=rng.randint(1, 14)))
+        assert T.rebuild(text, blocked) == slowly(text), text
+
+
 @pytest.mark.parametrize(("names", "wanted"), [([], 1.0), (["Agarose Gel"], 1.0), (["HPLC", "HPLC", "NMR"], 6.0)])
 def test_evidence_score(spark, names, wanted):
     assert one(spark, mining.evidence_score(F.col("t")), t=names) == wanted
