@@ -33,6 +33,11 @@ def _types(rows: DataFrame, keys: list[str], more: str) -> str:
     return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema], more])
 
 
+def each(column: pa.Array) -> Iterator[str | None]:
+    """The values of a column, one at a time: a batch of texts is in memory once, as Arrow has it."""
+    return (x.as_py() for x in column)
+
+
 class Lines:
     """The lines of a text, found when first asked for."""
 
@@ -138,6 +143,31 @@ def matches(rows: DataFrame, keys: list[str], text: str, pattern: str, reach: in
     return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, more))
 
 
+#: Characters of rewritten texts that leave a task together.
+PIECE = 1_000_000
+
+
+def rewritten(rows: DataFrame, keys: list[str], text: str, change: Callable[[str], str]) -> DataFrame:
+    """keys and text of rows, the text changed (null stays null).
+
+    Texts leave a task some at a time, so of a batch it holds no more than Spark sent.
+    """
+    names = [*keys, text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new, size = [], 0
+            for i, value in enumerate(each(batch.column(len(keys)))):
+                new.append(None if value is None else change(value))
+                size += len(value or "")
+                if size > PIECE or i + 1 == len(batch):
+                    own = [batch.column(k).slice(i + 1 - len(new), len(new)) for k in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(new, pa.string())], names=names)
+                    new, size = [], 0
+
+    return rows.select(*keys, text).mapInArrow(run, _types(rows, keys, f"`{text}` string"))
+
+
 class Near:
     """Whether some words stand shortly before or after a sequence in a context, in either case."""
 

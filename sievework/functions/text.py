@@ -7,9 +7,9 @@ there (see `patterns`): white space, digits and word boundaries are those of Uni
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,14 +164,30 @@ def rebuild(text: str, blocked: frozenset[str]) -> str:
         text = new
 
 
+#: Characters of rebuilt texts that are held as strings at once.
+HELD = 1_000_000
+
+
+def rebuilt(texts: pa.Array, blocked: frozenset[str]) -> pa.Array:
+    """rebuild of each text; a few texts at a time are strings, the others lie in Arrow's buffers."""
+    done, new, held = [], [], 0
+    for x in texts:
+        t = x.as_py()
+        new.append(None if t is None else rebuild(t, blocked))
+        held += len(t or "") + 64
+        if held > HELD:
+            done.append(pa.array(new, pa.string()))
+            new, held = [], 0
+    return pa.concat_arrays([*done, pa.array(new, pa.string())])
+
+
 def reconstruct(text: Column, blacklist: list[str] = lex.BLACKLIST) -> Column:
     """rebuild over a column. Each pass depends on what the one before made, so this is an Arrow UDF."""
     blocked = frozenset(blacklist)
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda t: None if t is None else rebuild(t, blocked))
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        return rebuilt(column, blocked)
 
     return run(text)
 

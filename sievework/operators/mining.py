@@ -167,6 +167,12 @@ def _reading(source: str, rebuild: bool) -> tuple:
     return (lambda m: T.letters_of(m, ocr)), ((lambda t: T.rebuild(t, blocked)) if rebuild else None)
 
 
+def rebuilt(rows: DataFrame, keys: list[str], text: str, blacklist: list[str] = lex.BLACKLIST) -> DataFrame:
+    """keys and text of rows, hyphenated and spaced-out sequences of the text in one piece."""
+    blocked = frozenset(blacklist)
+    return kernels.rewritten(rows, keys, text, lambda t: T.rebuild(t, blocked))
+
+
 def _no_letter(source: str) -> str:
     """Characters that no match has whose sequence is of letters of amino acids alone."""
     return "[" + "".join(c for c in string.ascii_uppercase + "01" if T.letters_of(c, source == "ocr") not in lex.AA) + "]"

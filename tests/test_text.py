@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,20 @@ def test_reconstruct(spark, given, wanted):
     assert one(spark, T.reconstruct(F.col("t")), t=given) == wanted
 
 
+def test_rebuilt_texts_leave_a_task_in_pieces(spark, monkeypatch):
+    """As many rows, keys and nulls as came; a piece is some texts, however many rows a batch has."""
+    given = [(i, [None, "", "AB-CD-EF " * 400, "M K T L", "SDS-PAGE"][i % 5]) for i in range(5000)]
+    frame = spark.createDataFrame(given, "i int, t string").coalesce(1)
+    wanted = {i: None if t is None else T.rebuild(t, frozenset(lex.BLACKLIST)) for i, t in given}
+    made = mining.rebuilt(frame, ["i"], "t")
+    assert {r.i: r.t for r in made.collect()} == wanted
+    runs, batch = [], pa.RecordBatch.from_arrays([pa.array([i for i, _ in given]), pa.array([t for _, t in given])], names=["i", "t"])
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, types: runs.append(run))
+    mining.rebuilt(frame, ["i"], "t")
+    pieces = list(runs[0](iter([batch])))
+    assert len(pieces) == 4 and sum(p.num_rows for p in pieces) == 5000 and max(p.num_rows for p in pieces) < 1500
+
+
 @pytest.mark.parametrize(("lines", "wanted"), [(["1 MKTLL 5", "6 VVA"], ["MKTLLVVA"]), (["1 MKTLL", "7 VVA"], ["1 MKTLL", "7 VVA"]), (["x", "1 MKX", "4 AC", "6 DE 7", "y"], ["x", "1 MKX", "ACDE", "y"])])
 def test_merge_numbered_lines(spark, lines, wanted):
     rows = spark.createDataFrame([("d", i, x) for i, x in enumerate(lines)], "d string, ln int, line string")
