@@ -124,7 +124,7 @@ def matches(rows: DataFrame, keys: list[str], text: str, pattern: str, reach: in
                 own = [pa.array(no, pa.int32()), pa.array(match, pa.string()), pa.array(start, pa.int64()), *([pa.array(context, pa.string())] if reach is not None else [])]
                 return pa.RecordBatch.from_arrays([*[batch.column(i).take(take) for i in range(len(keys))], *own], names=names)
 
-            for i, value in enumerate(batch.column(len(keys)).to_pylist()):
+            for i, value in enumerate(each(batch.column(len(keys)))):
                 for k, m in enumerate(finder.finditer(value or "")):
                     row.append(i)
                     no.append(k)
@@ -218,7 +218,7 @@ def sequences(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
                 places = pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct)
                 return pa.RecordBatch.from_arrays([*[batch.column(i).take(take) for i in range(len(keys))], pa.array(sequence, pa.string()), pa.array(times, pa.int64()), places], names=names)
 
-            for i, value in enumerate(batch.column(len(keys)).to_pylist()):
+            for i, value in enumerate(each(batch.column(len(keys)))):
                 value = prepare(value) if prepare and value else value or ""
                 own, known = Lines(value), {}
                 found: dict[str, list] = {}
@@ -375,7 +375,7 @@ def accepted(rows: DataFrame, keys: list[str], text: str, pattern: str, normal:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, model = Held(_ACCEPTED), _remembered(*evidence) if evidence else None
         for batch in batches:
-            for i, value in enumerate(batch.column(len(keys)).to_pylist()):
+            for i, value in enumerate(each(batch.column(len(keys)))):
                 value = prepare(value) if prepare and value else value or ""
                 known: dict[str, list] = {}  # match: what its name has in found
                 found: dict[str, list] = {}  # name: times, numbers of its places
@@ -476,7 +476,7 @@ def table_matches(rows: DataFrame, key: str, text: str, pattern: str, normal: Ca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, search = Held(_IN_TABLE), Remembered(matches_in)
         for batch in batches:
-            for i, value in enumerate(batch.column(1).to_pylist()):
+            for i, value in enumerate(each(batch.column(1))):
                 if not value or not head.search(value):
                     continue
                 own, last = Lines(value), None
@@ -682,7 +682,7 @@ def _told(text: Column, tables: Listed, of: Callable[[Evidence, str], list[tuple
     def run(column: pa.Array) -> pa.Array:
         model = _remembered(*tables)
         size, names, lines = [0], [], []
-        for value in column.to_pylist():
+        for value in each(column):
             for name, line in of(model, value or ""):
                 names.append(name)
                 lines.append(line)

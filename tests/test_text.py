@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -60,6 +61,22 @@ def test_rebuilt_texts_leave_a_task_in_pieces(spark, monkeypatch):
     assert len(pieces) == 4 and sum(p.num_rows for p in pieces) == 5000 and max(p.num_rows for p in pieces) < 1500
 
 
+def test_texts_of_a_batch_are_not_all_in_memory_again(spark, monkeypatch):
+    """A task holds the batch that came and what it found, not all texts as strings beside it."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(["word " * 2000] * 2000)], names=["pmid", "text"])
+    frame, runs = spark.createDataFrame([], "pmid long, text string"), []
+    with monkeypatch.context() as patched:
+        patched.setattr(type(frame), "mapInArrow", lambda self, run, types: runs.append(run) or self)
+        kernels.table_matches(frame, "pmid", "text", lex.CANDIDATE, str, mining._LETTERS, lex.TABLE_HEADER, mining.judge())
+        kernels.accepted(frame, ["pmid"], "text", lex.CANDIDATE, str, mining._LETTERS, mining.judge(), 3)
+    for run in runs:
+        tracemalloc.start()
+        assert sum(b.num_rows for b in run(iter([batch]))) == 0
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 2_000_000, peak
+
+
 @pytest.mark.parametrize(("lines", "wanted"), [(["1 MKTLL 5", "6 VVA"], ["MKTLLVVA"]), (["1 MKTLL", "7 VVA"], ["1 MKTLL", "7 VVA"]), (["x", "1 MKX", "4 AC", "6 DE 7", "y"], ["x", "1 MKX", "ACDE", "y"])])
 def test_merge_numbered_lines(spark, lines, wanted):
     rows = spark.createDataFrame([("d", i, x) for i, x in enumerate(lines)], "d string, ln int, line string")
