@@ -42,6 +42,15 @@ def test_repeats(spark, length, gram):
     assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, length)
 
 
+def test_repeats_in_batches_of_other_sizes(spark):
+    # the hashes of the halves differ in bits that batches of over a megabyte left out
+    string = "cemzsqulcscfxxvt"
+    rows = [(1, string), (2, string + "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz", k=1_400_000)))]
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"), 16, 8).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute.repeats(rows, 16)
+    assert {r.doc_id: r.n_removed for r in got} == {1: 16, 2: 16}
+
+
 @pytest.mark.parametrize("crowd", [0, 2, 5])
 def test_repeats_with_split_anchors(spark, crowd):
     rows = passages()
