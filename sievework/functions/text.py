@@ -28,9 +28,9 @@ def fold(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\x00-\x7F]", "x")
 
 
-def lines(text: Column) -> Column:
+def lines(text: Column, at: str = LINE_BREAK) -> Column:
     """Lines of a text; a break at its end makes no further line."""
-    parts = F.split(text, LINE_BREAK)
+    parts = F.split(text, at)
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
@@ -109,9 +109,11 @@ def candidate_letters(seq: Column, source: Column) -> Column:
     return F.when(source == "ocr", ocr_letters(plain)).otherwise(plain)
 
 
-def join_numbered(text: Column, letters: str = lex.AA) -> Column:
+def join_numbered(text: Column, letters: str = lex.AA, at: str = LINE_BREAK, space: str = r"\s") -> Column:
     """Sequence blocks with numbers or spaces between them, joined within a line.
 
+    at: where lines end; space: what counts as a space, as it stands in a class.
+
     A block is words with gaps between, up to the last word that ends at a boundary. As a
     plain repeat of gap and word, which takes blocks back one by one, Java's search goes
     a few calls deeper with each word, and a long block overflows the stack. Gaps and words
@@ -119,8 +121,8 @@ def join_numbered(text: Column, letters: str = lex.AA) -> Column:
     ends at a boundary: words up to there are those with a digit right behind them.
     """
     word = rf"[{letters}]{{3,}}+"
-    block, gap = P.java(rf"\b{word}(?:[\s\d]++{word}(?:\d[\s\d]*+{word})*+(?!\w))++"), P.java(r"[\s\d]+")
-    return F.array_join(F.transform(lines(text), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, gap, ""))), "\n")
+    block, gap = P.java(rf"\b{word}(?:[{space}\d]++{word}(?:\d[{space}\d]*+{word})*+(?!\w))++"), P.java(rf"[{space}\d]+")
+    return F.array_join(F.transform(lines(text, at), lambda x: replace_each(x, block, lambda m: F.regexp_replace(m, gap, ""))), "\n")
 
 
 _HYPHEN_BREAK, _HYPHEN, _SPACED, _BREAK = (re.compile(p) for p in (lex.HYPHEN_BREAK, lex.HYPHENATED, lex.SPACED_OUT, lex.BROKEN))

@@ -28,6 +28,14 @@ def test_file_query_takes_all_rows_of_larger_tables(spark, name):
     oracle.assert_same(catalogue.QUERIES[name](spark, LARGE), oracle.connect(LARGE), catalogue.ORACLE_SQL[name])
 
 
+def test_numbered_join_matches_sql_on_odd_texts(spark, tmp_path):
+    texts = [None, "", "\n", "\n\n", " ", "the hand\n", *[t.replace("@", c) for c in "\n\r\v\f\x1c\x1d\x1e\x1f\t\x85\xa0" for t in ("the hand@thing lead@", "the@hand 10 thing\n@lead 1")]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    con = oracle.connect("none")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    oracle.assert_same(catalogue.QUERIES["numbered_join"](spark, str(tmp_path)), con, catalogue.ORACLE_SQL["numbered_join"])
+
+
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
 def test_query_without_sql_gives_rows(spark, name):
     assert catalogue.QUERIES[name](spark, SF).limit(1).count() == 1
