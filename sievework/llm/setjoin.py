@@ -8,9 +8,12 @@ under keys that many sets have, chains sets of similar size. A key known to be f
 (HOT) is never counted: a set whose other keys are too many for it to be similar to
 anything through frequent ones alone does not go there at all, and the rest go under
 the rarest of them only, as many as any similar set must share one of. That links documents into
-coarse groups that are sure to hold every similar pair. Within a coarse group the sets stand in a trie; each set
+coarse groups that are sure to hold every similar pair. Within a small coarse group the sets stand in a trie; each set
 walks it once, overlaps are carried along shared paths, and a subtree is left as soon as
 the lengths that remain can't reach the threshold, or all its sets are linked already.
+In a larger one each set is compared with those that no set of its class has reached yet,
+if they share one of their first keys in the group's own order: a class of near copies is
+passed over once most of it is reached, and sets that are like none cost next to nothing.
 
 Equal sets are one node, joined back at the end, so copies are never paired. A node is a
 63-bit signature of the set; a second one of 64 bits tells whether two different sets
@@ -52,8 +55,12 @@ FREQUENT = 1 << 20
 COUNTED, WINDOW = 2_000_000, 500_000
 #: Bytes of texts that are cut into shingles together.
 TOGETHER = 1 << 19
-#: Shingles of a block in the trie join.
+#: Shingles of a block in the join of a coarse group.
 BLOCK = 2_000_000
+#: Sets up to which a block goes through a trie; each set's walk there may touch all others.
+FEW = 64
+#: Words of 64 bits for the most frequent keys of a larger block's sets.
+WORDS = 16
 #: Rows of a broadcast semi-join side at most (8 bytes each).
 KEYS = 2_000_000
 LEADERS = 8
@@ -442,6 +449,92 @@ class Trie:
             stack.extend((c, overlap) for c in children)
 
 
+class Lists:
+    """Sets in order of size, with lists of which sets have a key among their first ones.
+
+    Keys are ranked by how many of these sets have them, rare ones first; two similar sets
+    share one of the first few of each. The most frequent keys are bits of a row for each
+    set, so what two sets share of them is counted a word at a time; of the others a set
+    holds those that another one has too.
+    """
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.percent = percent
+        sizes = np.array([len(x) for x in sets])
+        self.order = np.argsort(sizes, kind="stable")  # place -> index of the set
+        self.n = sizes[self.order]
+        first = np.append(0, np.cumsum(self.n))
+        _, key, times = np.unique(np.concatenate([sets[i] for i in self.order.tolist()]), return_inverse=True, return_counts=True)
+        rank = np.empty(len(times), np.int64)
+        rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+        times, key = np.sort(times), rank[key]
+        place = np.repeat(np.arange(len(sets)), self.n)
+        key += place * len(times)
+        key.sort()  # within each set by rank
+        key -= place * len(times)
+        self.alive = np.ones(len(sets), bool)
+        shared, hot = times[key] > 1, key >= len(times) - 64 * WORDS
+        few = self.n - -(-percent * self.n // 100) + 1
+        head = shared & (np.arange(len(key)) - np.repeat(first[:-1], self.n) < np.repeat(few, self.n))
+        self.heads, self.heads_at = key[head], np.append(0, np.cumsum(head))[first]
+        by_key = np.argsort(self.heads, kind="stable")
+        self.listed = place[head][by_key].astype(np.int32)
+        self.begins = np.searchsorted(self.heads[by_key], np.arange(len(times) + 1)).astype(np.int32)
+        cold = shared & ~hot
+        self.cold, self.cold_at = key[cold].astype(np.int32), np.append(0, np.cumsum(cold))[first]
+        bit = key[hot] - (len(times) - 64 * WORDS)
+        self.bits = np.zeros((len(sets), WORDS), np.uint64)
+        np.bitwise_or.at(self.bits, (place[hot], bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        self.flags = np.zeros(len(times), bool)
+
+    def similar(self, x: int) -> np.ndarray:
+        """Places of the sets still alive that are similar to that at place x."""
+        n, percent = int(self.n[x]), self.percent
+        heads = self.heads[self.heads_at[x] : self.heads_at[x + 1]]
+        begin, end = self.begins[heads], self.begins[heads + 1]
+        low, high = np.searchsorted(self.n, -(-percent * n // 100)), np.searchsorted(self.n, 100 * n // percent, side="right")
+        if int((end - begin).sum()) < high - low:
+            met = np.zeros(high - low, bool)
+            for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+                own = self.listed[a:b]
+                met[own[(own >= low) & (own < high)] - low] = True
+            met &= self.alive[low:high]
+        elif len(heads):
+            met = self.alive[low:high]
+        else:
+            return np.zeros(0, np.int64)
+        found = low + np.flatnonzero(met)
+        if not len(found):
+            return found
+        overlap = np.bitwise_count(self.bits[found] & self.bits[x]).sum(axis=1, dtype=np.int64)
+        own = self.cold[self.cold_at[x] : self.cold_at[x + 1]]
+        if len(own):
+            self.flags[own] = True
+            many = self.cold_at[found + 1] - self.cold_at[found]
+            at = np.repeat(self.cold_at[found] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            overlap += kernels.totals(self.flags[self.cold[at]], np.append(0, np.cumsum(many)))
+            self.flags[own] = False
+        return found[(100 + percent) * overlap >= percent * (n + self.n[found])]
+
+    def join(self, find, link) -> None:
+        """Links the sets of a class by searching, for each set reached, those that none has reached yet."""
+        order = self.order.tolist()
+        own = [find(i) for i in order]
+        members: dict[int, list[int]] = {}
+        for place, k in enumerate(own):
+            members.setdefault(k, []).append(place)
+        for seed in range(len(order)):
+            todo = members.pop(own[seed], [])
+            self.alive[todo] = False
+            while todo:
+                x = todo.pop()
+                for y in self.similar(x).tolist():
+                    link(order[x], order[y])
+                    more = members.pop(own[y], [])
+                    self.alive[more] = False
+                    todo += more
+
+
 def classes(sets: list[np.ndarray], percent: int, known: list[int] | None = None) -> list[int]:
     """For each set the index of its class's first set; known: classes that hold already."""
     parent = list(range(len(sets)))
@@ -461,7 +554,9 @@ def classes(sets: list[np.ndarray], percent: int, known: list[int] | None = None
         seen: dict[int, int] = {}
         for i, k in enumerate(known):
             link(i, seen.setdefault(k, i))
-    if len(sets) > 1:
+    if len(sets) > FEW:
+        Lists(sets, percent).join(find, link)
+    elif len(sets) > 1:
         trie = Trie(sets)
         for i in range(len(sets)):
             trie.join(i, percent, find, link)
